@@ -21,7 +21,7 @@ from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, lane, with_sl
 SEQ = "__seq"
 LAST_SEQ = "__last_seq"
 DELETED = "__deleted"
-_TIE = "__tie"
+TIE = "__tie"
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def change_events(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
         *named_all(spec.stored(feed)),
         column_as_timestamp(feed, spec.sequence_by).alias(SEQ),
         deleted.alias(DELETED),
-        F.struct(*(comparable(feed, c).alias(f"t{i}") for i, c in enumerate(ties))).alias(_TIE),
+        F.struct(*(comparable(feed, c).alias(f"t{i}") for i, c in enumerate(ties))).alias(TIE),
     )
 
 
@@ -102,13 +102,13 @@ def _latest(events: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
 
 def _scd1(events: DataFrame, spec: ChangeSpec, stored: Sequence[str]) -> DataFrame:
     if not spec.ignore_null_updates:
-        latest = _latest(events, spec.keys, F.struct(SEQ, _TIE))
+        latest = _latest(events, spec.keys, F.struct(SEQ, TIE))
         return latest.where(~F.col(DELETED)).select(*named_all(stored))
 
     # The value of a column is its last non-NULL one after the last delete. All of that
     # is one aggregation per key, so no key needs its history in one place.
     values = [c for c in stored if c not in spec.keys]
-    single = _latest(events, [*spec.keys, SEQ], F.col(_TIE))
+    single = _latest(events, [*spec.keys, SEQ], F.col(TIE))
     present = {c: F.when(named(c).isNotNull() & ~F.col(DELETED), F.col(SEQ)) for c in values}
     state = single.groupBy(*named_all(spec.keys)).agg(
         F.max(SEQ).alias("__last"),
@@ -130,12 +130,12 @@ def _scd1(events: DataFrame, spec: ChangeSpec, stored: Sequence[str]) -> DataFra
 def _one_per_sequence(events: DataFrame, spec: ChangeSpec, part: Sequence[str]) -> DataFrame:
     """Drops the losers among changes with equal key and sequence. Sorted like the windows
     that follow, so that all of them share one sort."""
-    rows = Window.partitionBy(*named_all(part)).orderBy(SEQ, _TIE)
+    rows = Window.partitionBy(*named_all(part)).orderBy(SEQ, TIE)
     following = F.lead(SEQ).over(rows)
     return (
         events.withColumn("__following", following)
         .where(F.col("__following").isNull() | (F.col("__following") != F.col(SEQ)))
-        .drop("__following", _TIE)
+        .drop("__following", TIE)
     )
 
 
@@ -214,24 +214,29 @@ def _join_runs_across_slices(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return inner.unionByName(merged.select(*named_all(runs.columns)))
 
 
-def history_runs(events: DataFrame, spec: ChangeSpec, tracked: Sequence[str], skew: SkewPolicy) -> DataFrame:
+def history_runs(
+    events: DataFrame, spec: ChangeSpec, tracked: Sequence[str], skew: SkewPolicy, passing: Sequence[str] = ()
+) -> DataFrame:
     """Runs of equal tracked values per key, deletes included.
 
-    Columns: those of `events` without the tie-breaker, with LAST_SEQ in place of SEQ, then
-    __START_AT and __END_AT.
+    Columns: those of `events` without the tie-breaker and sequence, then LAST_SEQ,
+    __START_AT and __END_AT. `events` may bring its own LAST_SEQ for rows that stand for
+    several changes. `passing` names columns that are no values of the table.
     """
+    if LAST_SEQ not in events.columns:
+        events = events.withColumn(LAST_SEQ, F.col(SEQ))
     slicing = find_long_keys(events, spec.keys, SEQ, skew)
     sliced = slicing is not None
     if sliced:
         # Many changes with one key and one sequence cannot be cut apart: settle those first.
         at = [*spec.keys, SEQ]
         repeats = F.broadcast(slicing.repeats)
-        settled = _latest(events.join(repeats, at, "left_semi"), at, F.col(_TIE))
+        settled = _latest(events.join(repeats, at, "left_semi"), at, F.col(TIE))
         events = events.join(repeats, at, "left_anti").unionByName(settled)
         events = with_slices(events, spec.keys, SEQ, slicing)
     part = lane(spec.keys, sliced)
     single = _one_per_sequence(events.repartition(*named_all(part)), spec, part)
-    values = [c for c in events.columns if c not in (*part, SEQ, DELETED, _TIE)]
+    values = [c for c in events.columns if c not in (*part, SEQ, LAST_SEQ, DELETED, TIE, *passing)]
     if spec.ignore_null_updates:
         single = _carry_values(single, spec, values, sliced)
 
@@ -240,8 +245,8 @@ def history_runs(events: DataFrame, spec: ChangeSpec, tracked: Sequence[str], sk
     runs = _runs_per_lane(single, part, state)
     if sliced:
         runs = _join_runs_across_slices(runs, spec.keys)
-    out = [c for c in events.columns if c not in (SLICE, SEQ, _TIE)]
-    return runs.select(*named_all(out), F.col(SEQ).alias(LAST_SEQ), START_AT, END_AT)
+    out = [c for c in events.columns if c not in (SLICE, SEQ, LAST_SEQ, TIE)]
+    return runs.select(*named_all(out), LAST_SEQ, START_AT, END_AT)
 
 
 def apply_changes(feed: DataFrame, spec: ChangeSpec, skew: SkewPolicy = SkewPolicy()) -> DataFrame:
