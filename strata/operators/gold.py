@@ -104,7 +104,9 @@ BROADCAST_ROWS = 500_000
 BROADCAST_VERSIONS = 200
 
 
-def with_skey_as_of(facts: DataFrame, lookup: Lookup, skew: SkewPolicy = SkewPolicy()) -> DataFrame:
+def with_skey_as_of(
+    facts: DataFrame, lookup: Lookup, skew: SkewPolicy = SkewPolicy(), broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Adds the key of the version valid at each fact's event time, from <= t < to.
 
     A dimension with few rows and few versions per key is broadcast (both measured).
@@ -124,7 +126,7 @@ def with_skey_as_of(facts: DataFrame, lookup: Lookup, skew: SkewPolicy = SkewPol
 
     per_key = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     total, longest = per_key.agg(F.sum("n"), F.max("n")).first()
-    if (total or 0) <= BROADCAST_ROWS and (longest or 0) <= BROADCAST_VERSIONS:
+    if (total or 0) <= broadcast_rows and (longest or 0) <= BROADCAST_VERSIONS:
         renamed = versions.select(*(F.col(k).alias(f"__d{k}") for k in keys), "__from", "__to", "__skey")
         condition = [F.col(k) == F.col(f"__d{k}") for k in keys]
         condition += [F.col("__t") >= F.col("__from"), F.col("__t") < F.col("__to")]

@@ -37,14 +37,14 @@ BUCKET, OPEN, VERSION, BATCH = "__bucket", "__open", "__version", "__batch"
 Part = tuple[int, int, int]  # open, bucket, version
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet under the path, or no rows where nothing was written yet."""
     try:
-        spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
         raise
-    return True
 
 
 @dataclass(frozen=True)
@@ -82,16 +82,13 @@ class HistoryStore:
 
     def manifest(self, before: int | None = None) -> set[Part]:
         """Parts in force, of the newest micro-batch (before the given one)."""
-        path = f"{self.root}/manifest"
-        if not _exists(self.spark, path):
-            return set()
-        rows = self.spark.read.schema(f"open int, bucket int, version long, {BATCH} long").parquet(path)
+        schema = T._parse_datatype_string(f"open int, bucket int, version long, {BATCH} long")
+        rows = _read(self.spark, f"{self.root}/manifest", schema)
         if before is not None:
             rows = rows.where(F.col(BATCH) < before)
-        newest = rows.agg(F.max(BATCH)).first()[0]
-        if newest is None:
-            return set()
-        return {tuple(r) for r in rows.where(F.col(BATCH) == newest).select("open", "bucket", "version").collect()}
+        newest = rows.groupBy(BATCH).agg(F.collect_list(F.struct("open", "bucket", "version")).alias("parts"))
+        found = newest.orderBy(F.desc(BATCH)).first()
+        return {tuple(part) for part in found["parts"]} if found else set()
 
     def _runs(self, parts: Iterable[Part]) -> DataFrame:
         schema = T.StructType([*self._runs_schema().fields, T.StructField(OPEN, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
@@ -136,10 +133,8 @@ class HistoryStore:
         path = f"{self.root}/changes/{BATCH}={batch_id}"
         stored = events.withColumn(BUCKET, self._bucket())
         stored.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-        if not _exists(spark, path):
-            return
         bucketed = T.StructType([*events.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        arrived = spark.read.schema(bucketed).parquet(path)
+        arrived = _read(spark, path, bucketed)
         touched = {r[0] for r in arrived.select(BUCKET).distinct().collect()}
         if not touched:
             return
