@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,26 @@ TIMESTAMP_FORMATS = (
     "yyyyMMdd",
 )
 
+# What text a layout letter can match at all. Trying a layout on text that it cannot read
+# costs twenty times as much as this check. Years stop at 99999: a year that overflows
+# a timestamp makes even try_to_timestamp fail, and with it the job.
+_SHAPES = {
+    "yyyy": r"[+-]?0*\d{4,5}",
+    "SSSSSS": r"\d{1,6}",
+    "SSS": r"\d{1,3}",
+    "X": r"(?:Z|[+-]\d\d(?:\d\d)?)",
+    "'T'": "T",
+    **dict.fromkeys(("MM", "dd", "HH", "mm", "ss"), r"\d\d"),
+}
+
+
+def _shape(layout: str) -> str:
+    """A pattern that holds for every text the layout can read (and for some others)."""
+    letters = "|".join(sorted(_SHAPES, key=len, reverse=True))
+    parts = re.findall(f"{letters}|.", layout)
+    return "(?i)^" + "".join(_SHAPES.get(part) or re.escape(part) for part in parts) + "$"
+
+
 # The cast of last resort would read a bare time as "today"; only text that begins
 # with a year may reach it.
 _STARTS_WITH_YEAR = r"^\s*[0-9]{4}(-|\s*$)"
@@ -34,7 +56,9 @@ _STARTS_WITH_YEAR = r"^\s*[0-9]{4}(-|\s*$)"
 
 def parse_timestamp(text: Column) -> Column:
     """First layout of TIMESTAMP_FORMATS that fits, then a plain cast, else NULL."""
-    by_layout = (F.try_to_timestamp(text, F.lit(layout)) for layout in TIMESTAMP_FORMATS)
+    by_layout = (
+        F.when(text.rlike(_shape(layout)), F.try_to_timestamp(text, F.lit(layout))) for layout in TIMESTAMP_FORMATS
+    )
     by_cast = F.when(text.rlike(_STARTS_WITH_YEAR), text.try_cast("timestamp"))
     return F.coalesce(*by_layout, by_cast)
 

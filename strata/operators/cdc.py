@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import END_AT, LOADED_AT, RESCUED, SOURCE_UPDATED_AT, START_AT
 from ..functions.timestamps import column_as_timestamp
-from .columns import comparable, named, named_all
+from .columns import comparable, holds_map, named, named_all
 from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, lane, with_slices
 
 SEQ = "__seq"
@@ -75,8 +76,8 @@ def refused_changes(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
 
 
 def change_events(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Applicable rows: stored columns, parsed sequence, delete flag, tie-breaker."""
-    ties = spec.tie_breaker or feed.columns
+    """Applicable rows: stored columns, parsed sequence, delete flag, and those tie-breakers
+    that are not stored or that Spark cannot order as they are."""
     deleted = F.coalesce(F.expr(spec.apply_as_deletes), F.lit(False)) if spec.apply_as_deletes else F.lit(False)
     refused = _is_refused(feed, spec)
     if spec.on_refused == "fail":
@@ -84,31 +85,49 @@ def change_events(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
         feed = feed.where(F.when(refused, F.raise_error(message).cast("boolean")).otherwise(True))
     else:
         feed = feed.where(~refused)
+    ties = _tie_columns(feed, spec)
     return feed.select(
         *named_all(spec.stored(feed)),
         column_as_timestamp(feed, spec.sequence_by).alias(SEQ),
         deleted.alias(DELETED),
-        F.struct(*(comparable(feed, c).alias(f"t{i}") for i, c in enumerate(ties))).alias(TIE),
+        *(comparable(feed, c).alias(name) for name, c in ties.items() if name != c),
     )
 
 
-def _latest(events: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
-    """One whole row per group: the one with the largest order. The aggregation combines
-    before the shuffle, so a hot group costs one row per task."""
-    rest = [c for c in events.columns if c not in by]
-    picked = events.groupBy(*named_all(by)).agg(F.max_by(F.struct(*named_all(rest)), order).alias("__row"))
-    return picked.select(*named_all(by), "__row.*").select(*named_all(events.columns))
+def _tie_columns(feed: DataFrame, spec: ChangeSpec) -> dict[str, str]:
+    """Column of the events -> column of the feed, most significant first. Keys and a
+    sequence that needs no parsing cannot break a tie."""
+    chosen = spec.tie_breaker or [c for c in feed.columns if c not in spec.keys]
+    stored = spec.stored(feed)
+    ties = {}
+    for i, c in enumerate(chosen):
+        if c == spec.sequence_by and isinstance(feed.schema[c].dataType, (T.TimestampType, T.TimestampNTZType)):
+            continue
+        ties[c if c in stored and not holds_map(feed.schema[c].dataType) else f"{TIE}{i}"] = c
+    return ties
+
+
+def tie_order(feed: DataFrame, spec: ChangeSpec) -> list[str]:
+    """The columns of change_events() that order changes of one key and sequence."""
+    return list(_tie_columns(feed, spec))
+
+
+def _latest(events: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per group, the one with the largest order. Spark keeps one row per group and
+    task before it shuffles, so a hot group stays small."""
+    newest = Window.partitionBy(*named_all(by)).orderBy(*(named(c).desc() for c in order))
+    return events.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__rank")
 
 
-def _scd1(events: DataFrame, spec: ChangeSpec, stored: Sequence[str]) -> DataFrame:
+def _scd1(events: DataFrame, spec: ChangeSpec, stored: Sequence[str], ties: Sequence[str]) -> DataFrame:
     if not spec.ignore_null_updates:
-        latest = _latest(events, spec.keys, F.struct(SEQ, TIE))
+        latest = _latest(events, spec.keys, [SEQ, *ties])
         return latest.where(~F.col(DELETED)).select(*named_all(stored))
 
     # The value of a column is its last non-NULL one after the last delete. All of that
     # is one aggregation per key, so no key needs its history in one place.
     values = [c for c in stored if c not in spec.keys]
-    single = _latest(events, [*spec.keys, SEQ], F.col(TIE))
+    single = _latest(events, [*spec.keys, SEQ], ties or [SEQ])
     present = {c: F.when(named(c).isNotNull() & ~F.col(DELETED), F.col(SEQ)) for c in values}
     state = single.groupBy(*named_all(spec.keys)).agg(
         F.max(SEQ).alias("__last"),
@@ -127,15 +146,15 @@ def _scd1(events: DataFrame, spec: ChangeSpec, stored: Sequence[str]) -> DataFra
     return alive.select(*(carried[c].alias(c) if c in carried else named(c) for c in stored))
 
 
-def _one_per_sequence(events: DataFrame, spec: ChangeSpec, part: Sequence[str]) -> DataFrame:
+def _one_per_sequence(events: DataFrame, part: Sequence[str], ties: Sequence[str]) -> DataFrame:
     """Drops the losers among changes with equal key and sequence. Sorted like the windows
     that follow, so that all of them share one sort."""
-    rows = Window.partitionBy(*named_all(part)).orderBy(SEQ, TIE)
+    rows = Window.partitionBy(*named_all(part)).orderBy(SEQ, *named_all(ties))
     following = F.lead(SEQ).over(rows)
     return (
         events.withColumn("__following", following)
         .where(F.col("__following").isNull() | (F.col("__following") != F.col(SEQ)))
-        .drop("__following", TIE)
+        .drop("__following")
     )
 
 
@@ -162,26 +181,26 @@ def _runs_per_lane(events: DataFrame, part: Sequence[str], state: Column) -> Dat
     seen = seen.withColumns(
         {
             "__before": F.lag("__state").over(rows),
-            "__after": F.lead("__state").over(rows),
             "__next": F.lead(SEQ).over(rows),
         }
     ).withColumn("__opens", F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.col("__state")))
+    seen = seen.drop("__before")
     started = seen.withColumns(
         {
             START_AT: F.max(F.when(F.col("__opens"), F.col(SEQ))).over(so_far),
             "__lane_start": F.first(SEQ).over(so_far),
+            "__next_opens": F.lead("__opens").over(rows),
         }
     )
-    last_of_run = F.col("__after").isNull() | ~F.col("__after").eqNullSafe(F.col("__state"))
     return (
-        started.where(last_of_run)
+        started.where(F.coalesce("__next_opens", F.lit(True)))
         .withColumns(
             {
                 END_AT: F.col("__next"),
                 "__edge": (F.col(START_AT) == F.col("__lane_start")) | F.col("__next").isNull(),
             }
         )
-        .drop("__before", "__after", "__next", "__opens", "__lane_start")
+        .drop("__next", "__next_opens", "__opens", "__lane_start")
     )
 
 
@@ -215,11 +234,16 @@ def _join_runs_across_slices(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def history_runs(
-    events: DataFrame, spec: ChangeSpec, tracked: Sequence[str], skew: SkewPolicy, passing: Sequence[str] = ()
+    events: DataFrame,
+    spec: ChangeSpec,
+    tracked: Sequence[str],
+    ties: Sequence[str],
+    skew: SkewPolicy,
+    passing: Sequence[str] = (),
 ) -> DataFrame:
     """Runs of equal tracked values per key, deletes included.
 
-    Columns: those of `events` without the tie-breaker and sequence, then LAST_SEQ,
+    Columns: those of `events` without extra tie-breakers and sequence, then LAST_SEQ,
     __START_AT and __END_AT. `events` may bring its own LAST_SEQ for rows that stand for
     several changes. `passing` names columns that are no values of the table.
     """
@@ -231,12 +255,13 @@ def history_runs(
         # Many changes with one key and one sequence cannot be cut apart: settle those first.
         at = [*spec.keys, SEQ]
         repeats = F.broadcast(slicing.repeats)
-        settled = _latest(events.join(repeats, at, "left_semi"), at, F.col(TIE))
+        settled = _latest(events.join(repeats, at, "left_semi"), at, ties or [SEQ])
         events = events.join(repeats, at, "left_anti").unionByName(settled)
         events = with_slices(events, spec.keys, SEQ, slicing)
     part = lane(spec.keys, sliced)
-    single = _one_per_sequence(events.repartition(*named_all(part)), spec, part)
-    values = [c for c in events.columns if c not in (*part, SEQ, LAST_SEQ, DELETED, TIE, *passing)]
+    single = _one_per_sequence(events.repartition(*named_all(part)), part, ties)
+    internal = {SLICE, SEQ, LAST_SEQ, *(c for c in ties if c.startswith(TIE))}
+    values = [c for c in events.columns if c not in {*spec.keys, DELETED, *internal, *passing}]
     if spec.ignore_null_updates:
         single = _carry_values(single, spec, values, sliced)
 
@@ -245,7 +270,7 @@ def history_runs(
     runs = _runs_per_lane(single, part, state)
     if sliced:
         runs = _join_runs_across_slices(runs, spec.keys)
-    out = [c for c in events.columns if c not in (SLICE, SEQ, LAST_SEQ, TIE)]
+    out = [c for c in events.columns if c not in internal]
     return runs.select(*named_all(out), LAST_SEQ, START_AT, END_AT)
 
 
@@ -254,6 +279,6 @@ def apply_changes(feed: DataFrame, spec: ChangeSpec, skew: SkewPolicy = SkewPoli
     stored = spec.stored(feed)
     events = change_events(feed, spec)
     if spec.scd_type == 1:
-        return _scd1(events, spec, stored)
-    runs = history_runs(events, spec, spec.tracked(feed), skew)
+        return _scd1(events, spec, stored, tie_order(feed, spec))
+    runs = history_runs(events, spec, spec.tracked(feed), tie_order(feed, spec), skew)
     return runs.where(~F.col(DELETED)).select(*named_all(stored), START_AT, END_AT)

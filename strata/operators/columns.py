@@ -18,13 +18,13 @@ def named_all(names: Iterable[str]) -> list[Column]:
     return [named(name) for name in names]
 
 
-def _holds_map(kind: T.DataType) -> bool:
+def holds_map(kind: T.DataType) -> bool:
     if isinstance(kind, (T.MapType, T.VariantType)):
         return True
     if isinstance(kind, T.ArrayType):
-        return _holds_map(kind.elementType)
+        return holds_map(kind.elementType)
     if isinstance(kind, T.StructType):
-        return any(_holds_map(field.dataType) for field in kind.fields)
+        return any(holds_map(field.dataType) for field in kind.fields)
     return False
 
 
@@ -32,6 +32,6 @@ def comparable(df: DataFrame, name: str) -> Column:
     """The column in a form Spark can order and compare. Maps have neither, so they turn
     into their JSON text."""
     column = named(name)
-    if _holds_map(df.schema[name].dataType):
+    if holds_map(df.schema[name].dataType):
         return F.to_json(F.struct(column))
     return column

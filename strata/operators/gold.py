@@ -17,7 +17,7 @@ from ..constants import (
     SOURCE_UPDATED_AT,
 )
 from .columns import named, named_all
-from .processed import ColumnRule
+from .processed import ColumnRule, build_columns
 from .skew import SkewPolicy, fill_forward, find_long_keys, with_slices
 
 CONS_SHEDS = (SOURCE_UPDATED_AT, PROCESSED_AT)
@@ -36,7 +36,7 @@ def mapped(source: DataFrame, rules: Sequence[ColumnRule] = (), filter: str | No
     df = source.where(F.expr(filter)) if filter else source
     if not rules:
         return df
-    return df.select(*(rule.build().alias(rule.target_col) for rule in rules))
+    return df.select(*(column.alias(name) for name, column in build_columns(df, rules).items()))
 
 
 def current_versions(df: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from ..constants import (
     SOURCE_UPDATED_AT,
     START_AT,
 )
+from ..functions.casts import lenient_cast
 from ..functions.keys import surrogate_key
 from .columns import named
 
@@ -57,11 +58,25 @@ class ColumnRule:
             return None
         return ColumnRule(**known)
 
-    def build(self) -> Column:
-        value = F.expr(self.expression) if self.expression else named(self.source_col)
-        if self.data_type:
-            value = value.cast(self.data_type) if self.strict else value.try_cast(self.data_type)
-        return value
+    def value(self) -> Column:
+        return F.expr(self.expression) if self.expression else named(self.source_col)
+
+
+def build_columns(df: DataFrame, rules: Sequence[ColumnRule]) -> dict[str, Column]:
+    """Target name -> expression. A value that does not fit the type is NULL, or an error
+    under `strict`."""
+    if not rules:
+        return {}
+    kinds = df.select(*(rule.value().alias(rule.target_col) for rule in rules)).schema
+    built = {}
+    for rule, field_ in zip(rules, kinds.fields):
+        value = rule.value()
+        if rule.data_type and rule.strict:
+            value = value.cast(rule.data_type)
+        elif rule.data_type:
+            value = lenient_cast(value, field_.dataType, rule.data_type)
+        built[rule.target_col] = value
+    return built
 
 
 def read_rules(entries: Iterable[Mapping[str, Any]] | None) -> tuple[ColumnRule, ...]:
@@ -107,7 +122,7 @@ def processed(df: DataFrame, spec: ProcessedSpec) -> DataFrame:
     """Select list: surrogate key, untouched columns, user columns, audit columns. Then
     the leading columns move to the front. A user column replaces an untouched one of
     the same name."""
-    user = {rule.target_col: rule.build() for rule in spec.columns}
+    user = build_columns(df, spec.columns)
     audit = audit_columns(df, spec.end_of_time)
     handled = {rule.source_col for rule in spec.columns}
     handled |= {START_AT, END_AT, SOURCE_UPDATED_AT, LOADED_AT, *spec.dropped, *user}

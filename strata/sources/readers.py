@@ -97,7 +97,7 @@ def _cloud_storage(spark: SparkSession, connection: Mapping[str, Any], streaming
     kind, path = connection["cloud_storage_type"], connection["cloud_storage_path"]
     options = _text_options(connection)
     batch = spark.read.format(kind).options(**options)
-    schema = T._parse_datatype_string(connection["schema"]) if connection.get("schema") else None
+    schema = T.DataType.fromDDL(connection["schema"]) if connection.get("schema") else None
     if streaming:
         if schema is None:
             schema = _stream_schema(spark, connection, batch, path)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import END_AT, START_AT
-from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs
+from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, tie_order
 from ..operators.columns import named, named_all
 from ..operators.skew import SkewPolicy
 from ..operators.tables import ensure_schema, quoted
@@ -77,12 +77,12 @@ class HistoryStore:
     def _runs_schema(self) -> T.StructType:
         events = self._events_like()
         stamp = events.schema[SEQ].dataType
-        kept = [f for f in events.schema.fields if f.name not in (SEQ, TIE)]
+        kept = [f for f in events.schema.fields if f.name != SEQ and not f.name.startswith(TIE)]
         return T.StructType([*kept, *(T.StructField(c, stamp) for c in (LAST_SEQ, START_AT, END_AT))])
 
     def manifest(self, before: int | None = None) -> set[Part]:
         """Parts in force, of the newest micro-batch (before the given one)."""
-        schema = T._parse_datatype_string(f"open int, bucket int, version long, {BATCH} long")
+        schema = T.StructType.fromDDL(f"open int, bucket int, version long, {BATCH} long")
         rows = _read(self.spark, f"{self.root}/manifest", schema)
         if before is not None:
             rows = rows.where(F.col(BATCH) < before)
@@ -190,12 +190,16 @@ class HistoryStore:
         """Runs of the touched keys that replace their open run, or all runs if late."""
         keys = list(self.spec.keys)
         in_order = status.where(~F.col("__late")).select(*named_all(keys))
-        columns = [c for c in schema.names if c not in (SEQ, TIE)]
         # The open run of a key stands for all that came before. Type 1 has one run per
         # key whose values are those at its end.
         seed_at = LAST_SEQ if self.spec.scd_type == 1 else START_AT
+        extra = [f for f in schema.fields if f.name.startswith(TIE)]
+        columns = [c for c in schema.names if c != SEQ and not c.startswith(TIE)]
         seeds = current.join(in_order, keys, "left_semi").select(
-            *named_all(columns), F.col(seed_at).alias(SEQ), F.lit(None).cast(schema[TIE].dataType).alias(TIE), LAST_SEQ
+            *named_all(columns),
+            F.col(seed_at).alias(SEQ),
+            *(F.lit(None).cast(f.dataType).alias(f.name) for f in extra),
+            LAST_SEQ,
         )
         fresh = arrived
         if late_buckets:
@@ -208,5 +212,6 @@ class HistoryStore:
             fresh = arrived.join(in_order, keys, "left_semi").unionByName(history.join(late_keys, keys, "left_semi"))
         events = seeds.unionByName(fresh.withColumn(LAST_SEQ, F.col(SEQ)))
         tracked = [] if self.spec.scd_type == 1 else self.spec.tracked(self._feed())
-        runs = history_runs(events, self.spec, tracked, self.skew, passing=[BUCKET])
+        ties = tie_order(self._feed(), self.spec)
+        runs = history_runs(events, self.spec, tracked, ties, self.skew, passing=[BUCKET])
         return runs.withColumn(OPEN, F.col(END_AT).isNull().cast("int"))
