@@ -252,11 +252,12 @@ def history_runs(
     slicing = find_long_keys(events, spec.keys, SEQ, skew)
     sliced = slicing is not None
     if sliced:
-        # Many changes with one key and one sequence cannot be cut apart: settle those first.
-        at = [*spec.keys, SEQ]
-        repeats = F.broadcast(slicing.repeats)
-        settled = _latest(events.join(repeats, at, "left_semi"), at, ties or [SEQ])
-        events = events.join(repeats, at, "left_anti").unionByName(settled)
+        if slicing.repeats is not None:
+            # Many changes with one key and one sequence cannot be cut apart: settle those first.
+            at = [*spec.keys, SEQ]
+            repeats = F.broadcast(slicing.repeats)
+            settled = _latest(events.join(repeats, at, "left_semi"), at, ties or [SEQ])
+            events = events.join(repeats, at, "left_anti").unionByName(settled)
         events = with_slices(events, spec.keys, SEQ, slicing)
     part = lane(spec.keys, sliced)
     single = _one_per_sequence(events.repartition(*named_all(part)), part, ties)

@@ -42,10 +42,10 @@ class SkewPolicy:
 @dataclass(frozen=True)
 class Slicing:
     """Cut points of the long keys (one row per key) and their heavily repeated
-    sequence values. Both bounded by the policy."""
+    sequence values, if there are any. Both bounded by the policy."""
 
     cuts: DataFrame
-    repeats: DataFrame
+    repeats: DataFrame | None
 
 
 def find_long_keys(
@@ -97,13 +97,13 @@ def find_long_keys(
             f" i -> slice(__cuts, i * {_CHUNK} + 1, {_CHUNK}))"
         ).alias("__chunks"),
         "__repeats",
-    )
+    ).withColumn("__heads", F.transform("__chunks", lambda chunk: chunk[0]))
     # Written once, so that no later branch counts or ranks again.
     path = scratch_dir(df.sparkSession, "slices")
     cuts.coalesce(1).write.parquet(path)
     stored = df.sparkSession.read.schema(cuts.schema).parquet(path)
     repeats = stored.select(*named_all(keys), F.explode("__repeats").alias(order))
-    return Slicing(stored.drop("__repeats"), repeats)
+    return Slicing(stored.drop("__repeats"), None if repeats.isEmpty() else repeats)
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: str, slicing: Slicing | None) -> DataFrame:
@@ -112,13 +112,12 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: str, slicing: Slicing
     if slicing is None:
         return df.withColumn(SLICE, F.lit(0))
     seq = F.col(order)
-    heads = F.transform("__chunks", lambda chunk: chunk[0])
-    chunk = F.size(F.filter(heads, lambda head: head <= seq))
-    inside = F.size(F.filter(F.get("__chunks", chunk - 1), lambda point: point <= seq))
-    number = F.when(chunk == 0, 1).otherwise(1 + (chunk - 1) * _CHUNK + inside)
+    inside = F.size(F.filter(F.get("__chunks", F.col("__chunk") - 1), lambda point: point <= seq))
+    number = F.when(F.col("__chunk") == 0, 1).otherwise(1 + (F.col("__chunk") - 1) * _CHUNK + inside)
     return (
         df.join(F.broadcast(slicing.cuts), list(keys), "left")
-        .withColumn(SLICE, F.when(F.col("__chunks").isNull(), 0).otherwise(number))
+        .withColumn("__chunk", F.size(F.filter("__heads", lambda head: head <= seq)))
+        .withColumn(SLICE, F.when(F.col("__heads").isNull(), 0).otherwise(number))
         .select(*named_all(df.columns), SLICE)
     )
 

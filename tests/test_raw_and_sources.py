@@ -1,0 +1,140 @@
+import os
+
+import pytest
+
+from strata.operators.raw import RawSpec, check_raw_modes, raw
+from strata.sources import read_source, register_source, source_types
+from strata.streaming.ingest import land_stream, read_hop
+
+LINES = ["id|v", "1|a", "2|^^", "3|c"]
+
+
+@pytest.fixture
+def csv(tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "one.csv").write_text("\n".join(LINES) + "\n")
+    return {
+        "cloud_storage_type": "csv",
+        "cloud_storage_path": str(folder),
+        "header": True,
+        "delimiter": "|",
+        "null_value": "^^",
+    }
+
+
+def test_batch_csv_is_text_with_audit_columns(spark, csv):
+    df = raw(read_source(spark, "cloud_storage", csv))
+    assert df.dtypes == [("id", "string"), ("v", "string"), ("__source_updated_at", "timestamp"), ("__etl_loaded_at", "timestamp")]
+    rows = sorted(df.collect())
+    assert [(r["id"], r["v"]) for r in rows] == [("1", "a"), ("2", None), ("3", "c")]
+    mtime = os.path.getmtime(csv["cloud_storage_path"] + "/one.csv")
+    assert abs(rows[0]["__source_updated_at"].timestamp() - mtime) < 1
+    assert len({r["__etl_loaded_at"] for r in rows}) == 1
+
+
+def test_json_and_parquet(spark, tmp_path):
+    df = spark.sql("select 1L a, 'x' b")
+    for kind in ("json", "parquet", "orc"):
+        df.write.format(kind).save(f"{tmp_path}/{kind}")
+        connection = {"cloud_storage_type": kind, "cloud_storage_path": f"{tmp_path}/{kind}"}
+        assert list(map(tuple, read_source(spark, "cloud_storage", connection).collect())) == [(1, "x")]
+
+
+def test_rescued_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1,a\nx,b\n3\n4,d,e\n")
+    connection = {
+        "cloud_storage_type": "csv",
+        "cloud_storage_path": f"{tmp_path}/in",
+        "schema": "id int, v string, _rescued_data string",
+    }
+    got = set(map(tuple, read_source(spark, "cloud_storage", connection).collect()))
+    assert got == {(1, "a", None), (None, "b", "x,b"), (3, None, "3"), (4, "d", "4,d,e")}
+
+
+def test_stream_takes_each_file_once_and_keeps_its_schema(spark, csv, tmp_path):
+    connection = {**csv, "cloud_schema_location": f"{tmp_path}/schema", "cloud_archive_path": f"{tmp_path}/old"}
+
+    def load():
+        land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{tmp_path}/c", f"{tmp_path}/raw")
+        return spark.read.parquet(f"{tmp_path}/raw")
+
+    assert load().count() == 3
+    assert load().count() == 3
+    folder = csv["cloud_storage_path"]
+    with open(f"{folder}/two.csv", "w") as more:
+        more.write("id|v|new\n4|d|extra\n")
+    later = load()
+    assert later.count() == 4
+    assert "new" not in later.columns and "_rescued_data" in later.columns
+    assert later.where("_rescued_data is not null").count() == 1
+
+
+def test_stream_file_time(spark, csv, tmp_path):
+    land_stream(raw(read_source(spark, "cloud_storage", csv, True)), f"{tmp_path}/c", f"{tmp_path}/raw")
+    assert spark.read.parquet(f"{tmp_path}/raw").where("__source_updated_at is null").count() == 0
+
+
+def test_listing_choice_is_only_a_warning(spark, csv):
+    with pytest.warns(UserWarning, match="listing"):
+        read_source(spark, "cloud_storage", {**csv, "cloud_ingestion_mode": "file_notifications"}, True)
+
+
+def test_filter_and_projection_reach_the_scan(spark, sf):
+    source = spark.read.parquet(f"{sf}/lineitem.parquet")
+    spec = RawSpec(data_items=["l_orderkey", "l_shipdate"], filter="l_quantity > 25", source_updated_at_col="l_shipdate")
+    plan = raw(source, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(l_quantity,25.0)" in plan
+    assert "l_comment" not in plan and "l_tax" not in plan
+
+
+def test_source_registry(spark):
+    assert {"cloud_storage", "jdbc", "kafka", "lakehouse_federation"} <= set(source_types())
+    register_source("numbers", lambda session, connection, streaming: session.range(connection["n"]))
+    assert read_source(spark, "numbers", {"n": 3}).count() == 3
+    with pytest.raises(ValueError, match="unknown source_type"):
+        read_source(spark, "ftp", {})
+
+
+def test_federated_table(spark, tmp_path):
+    spark.sql("create schema if not exists fed")
+    spark.catalog.createTable("fed.t1", path=f"{tmp_path}/t1", source="parquet", schema=spark.range(1).schema)
+    connection = {"remote_catalog": "spark_catalog", "remote_schema": "fed", "remote_table": "t1"}
+    assert read_source(spark, "lakehouse_federation", connection).count() == 0
+
+
+@pytest.mark.parametrize(
+    "kind, connection, streaming, text",
+    [
+        ("cloud_storage", {"cloud_storage_path": "/x"}, False, "lacks cloud_storage_type"),
+        ("cloud_storage", {"cloud_storage_type": "avro", "cloud_storage_path": "/tmp"}, False, "no avro connector"),
+        ("jdbc", {"url": "jdbc:x:y"}, False, "lacks dbtable"),
+        ("jdbc", {"url": "jdbc:x:y", "dbtable": "t"}, True, "snapshot"),
+        ("jdbc", {"url": "jdbc:x:y", "dbtable": "t", "partitionColumn": "id"}, False, "lowerBound"),
+        ("kafka", {"topic": "t"}, True, "lacks bootstrap_servers"),
+        ("kafka", {"bootstrap_servers": "h:1", "topic": "t", "starting_offsets": "earliest"}, True, "no kafka connector"),
+        ("kafka", {"bootstrap_servers": "h:1", "topic": "t", "schema_registry_url": "u"}, True, "schema_registry_url"),
+    ],
+)
+def test_connection_errors(spark, kind, connection, streaming, text):
+    with pytest.raises(ValueError, match=text):
+        read_source(spark, kind, connection, streaming)
+
+
+@pytest.mark.parametrize("mode, strategy", [("streaming", "upsert"), ("snapshot", "upsert"), ("streaming", "overwrite"), ("x", "append"), ("snapshot", "x")])
+def test_refused_modes(mode, strategy):
+    with pytest.raises(ValueError):
+        check_raw_modes(mode, strategy)
+
+
+@pytest.mark.parametrize("mode, strategy", [("streaming", "append"), ("snapshot", "append"), ("snapshot", "overwrite")])
+def test_accepted_modes(mode, strategy):
+    check_raw_modes(mode, strategy)
+
+
+def test_stream_needs_append_only_source(spark):
+    with pytest.raises(ValueError, match="append-only"):
+        read_hop(spark, "any.table", "stream")
+    with pytest.raises(ValueError, match="read_mode"):
+        read_hop(spark, "any.table", "sometimes")
