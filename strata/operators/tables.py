@@ -15,7 +15,7 @@ def quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
-def _text(value: str) -> str:
+def literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -27,7 +27,7 @@ def ensure_schema(spark: SparkSession, table: str) -> None:
 
 def set_comment(spark: SparkSession, table: str, comment: str | None) -> None:
     if comment:
-        spark.sql(f"COMMENT ON TABLE {quoted(table)} IS {_text(comment)}")
+        spark.sql(f"COMMENT ON TABLE {quoted(table)} IS {literal(comment)}")
 
 
 def ensure_table(spark: SparkSession, like: DataFrame, table: str, location: str, comment: str | None = None) -> None:
@@ -55,7 +55,7 @@ def replace_table(df: DataFrame, table: str, location: str, comment: str | None
     if spark.catalog.tableExists(name):
         old = spark.table(name).schema.simpleString()
         if old == df.schema.simpleString():
-            spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(version)}")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(version)}")
             spark.catalog.refreshTable(name)
             set_comment(spark, table, comment)
             return

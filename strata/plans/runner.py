@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import gold
 from ..operators.cdc import apply_changes
-from ..operators.expectations import expectations_of, observe
+from ..operators.expectations import enforce, expectations_of, observe
 from ..operators.processed import processed, read_rules
 from ..operators.raw import raw
 from ..operators.skew import SkewPolicy
-from ..operators.tables import WRITE_MODES, append_table, create_current_view, ensure_schema, quoted, replace_table, set_comment
+from ..operators.tables import WRITE_MODES, append_table, create_current_view, replace_table
 from ..sources import read_source
 from ..streaming.history import HistoryStore
 from ..streaming.ingest import land_stream, read_hop
@@ -79,7 +79,7 @@ class Medallion:
             .start()
         )
         query.awaitTermination()
-        store.publish(spec.table)
+        store.publish(spec.table, spec.comment)
 
     def _processed(self, spec: HopSpec) -> None:
         built = processed(read_hop(self.spark, spec.source_table), spec.processed())
@@ -104,7 +104,9 @@ class Medallion:
         if mode not in WRITE_MODES:
             raise ValueError(f"{spec.table}: write_mode must be one of {WRITE_MODES}, not {mode!r}")
         if df.isStreaming:
-            checked, _ = observe(df, expectations_of(rules))
+            if mode != "streaming_table":
+                raise ValueError(f"{spec.table}: a streaming read needs write_mode 'streaming_table', not {mode!r}")
+            checked = enforce(df, expectations_of(rules))
             land_stream(checked, self._checkpoint(spec), self._location(spec), spec.table, spec.comment)
             return
         checked, counts = observe(df, expectations_of(rules))

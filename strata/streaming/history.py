@@ -5,7 +5,7 @@ Nothing is ever too late.
 
 Most changes are newer than all that is known of their key. They need that key's open run
 only. A change that is not newer may split or join old runs, so its key is computed again
-from its stored changes. Everything is split into key buckets, and a micro-batch reads and
+from its stored changes, back to the run that the late change falls into. Everything is split into key buckets, and a micro-batch reads and
 writes the buckets it touches:
 
     changes/__batch=<id>/__bucket=<b>              all changes, append-only
@@ -18,6 +18,7 @@ starts from the manifest before it and gives the same rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -30,7 +31,7 @@ from ..constants import END_AT, START_AT
 from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, tie_order
 from ..operators.columns import named, named_all
 from ..operators.skew import SkewPolicy
-from ..operators.tables import ensure_schema, quoted
+from ..operators.tables import ensure_schema, literal, quoted
 
 BUCKET, OPEN, VERSION, BATCH = "__bucket", "__open", "__version", "__batch"
 
@@ -113,14 +114,15 @@ class HistoryStore:
         validity = [START_AT, END_AT] if self.spec.scd_type == 2 else []
         return runs.where(~F.col(DELETED)).select(*named_all([*columns, *validity]))
 
-    def publish(self, view: str) -> None:
+    def publish(self, view: str, comment: str | None = None) -> None:
         """Points a catalog view at the parts in force now."""
         ensure_schema(self.spark, view)
         live = ", ".join(f"'{v}/{o}/{b}'" for o, b, v in sorted(self.manifest())) or "''"
         names = self.spec.stored(self._feed()) + ([START_AT, END_AT] if self.spec.scd_type == 2 else [])
         columns = ", ".join(f"`{c}`" for c in names)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {quoted(view)} AS SELECT {columns} FROM parquet.`{self.root}/runs` "
+            f"CREATE OR REPLACE VIEW {quoted(view)} {f'COMMENT {literal(comment)} ' if comment else ''}"
+            f"AS SELECT {columns} FROM parquet.`{self.root}/runs` "
             f"WHERE NOT {DELETED} AND concat_ws('/', {VERSION}, {OPEN}, {BUCKET}) IN ({live})"
         )
 
@@ -145,24 +147,30 @@ class HistoryStore:
         known = current.select(*named_all(keys), LAST_SEQ)
         only_latest = self.spec.scd_type == 1 and not self.spec.ignore_null_updates
         late = F.col("__max") == F.col(LAST_SEQ) if only_latest else F.col("__min") <= F.col(LAST_SEQ)
-        status = span.join(known, keys, "left").select(
-            *named_all(keys), BUCKET, F.coalesce(late, F.lit(False)).alias("__late")
-        )
-        status = self._stored_once(status, f"{self.root}/status/batch={batch_id}")
-        late_keys = status.where("__late").select(*named_all(keys))
+        status = span.join(known, keys, "left").withColumn("__late", F.coalesce(late, F.lit(False)))
+        status = self._stored_once(status.drop(LAST_SEQ), f"{self.root}/status/batch={batch_id}")
         late_buckets = {r[0] for r in status.where("__late").select(BUCKET).distinct().collect()}
+        closed_parts = [p for p in base if p[0] == 0 and p[1] in touched]
+        cuts = None
+        if late_buckets:
+            known_runs = self._runs(p for p in closed_parts if p[1] in late_buckets).unionByName(current)
+            cuts = self._stored_once(self._cuts(status.where("__late"), known_runs), f"{self.root}/cuts/batch={batch_id}")
 
-        new = self._new_runs(arrived, current, status, late_keys, late_buckets, bucketed, batch_id)
+        new = self._new_runs(arrived, current, status, cuts, late_buckets, bucketed, batch_id)
         kept_open = current.join(status.select(*named_all(keys)), keys, "left_anti")
         result = kept_open.unionByName(new)
         merged = set()
         if self.spec.scd_type == 1:
             result = result.where(F.col(END_AT).isNull())
         else:
-            versions = {b: sum(1 for o, c, _ in base if not o and c == b) for b in touched}
-            merged = late_buckets | {b for b, n in versions.items() if n >= self.merge_after}
-            closed = self._runs(p for p in base if p[0] == 0 and p[1] in merged)
-            result = result.unionByName(closed.join(late_keys, keys, "left_anti") if late_buckets else closed)
+            additions = Counter(b for _, b, _ in closed_parts)
+            merged = late_buckets | {b for b, n in additions.items() if n >= self.merge_after}
+            closed = self._runs(p for p in closed_parts if p[1] in merged)
+            if cuts is not None:
+                before_cut = F.col("__hit").isNull() | (F.col(START_AT) < F.col("__cut"))
+                marked = closed.join(cuts.withColumn("__hit", F.lit(True)), keys, "left")
+                closed = marked.where(before_cut).drop("__hit", "__cut")
+            result = result.unionByName(closed)
 
         out = f"{self.root}/runs/{VERSION}={batch_id}"
         parts = result.withColumn(OPEN, F.col(END_AT).isNull().cast("int"))
@@ -177,17 +185,47 @@ class HistoryStore:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _cuts(self, late: DataFrame, runs: DataFrame) -> DataFrame:
+        """Per late key, the moment from which its changes must be read again.
+
+        That is the start of the run that the earliest late change falls into: the change
+        that opened it stays, so all earlier runs stay too. NULL means from the beginning,
+        as always with carried values, which a run does not keep in full.
+        """
+        keys = list(self.spec.keys)
+        if self.spec.ignore_null_updates:
+            nothing = F.lit(None).cast(late.schema["__min"].dataType)
+            return late.select(*named_all(keys), nothing.alias("__cut"))
+        if self.spec.scd_type == 1:
+            return late.select(*named_all(keys), F.col("__max").alias("__cut"))
+        earlier = F.when(F.col(START_AT) < F.col("__min"), F.col(START_AT))
+        spans = runs.select(*named_all(keys), START_AT).join(late.select(*named_all(keys), "__min"), keys)
+        return spans.groupBy(*named_all(keys)).agg(F.max(earlier).alias("__cut"))
+
+    def _history(self, cuts: DataFrame, late_buckets: set[int], schema: T.StructType, batch_id: int) -> DataFrame:
+        """All changes of the late keys so far, from their cuts on."""
+        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
+        changes = stored.parquet(f"{self.root}/changes").where(
+            F.col(BUCKET).isin(sorted(late_buckets)) & (F.col(BATCH) <= batch_id)
+        )
+        # The oldest cut as a literal lets the scan skip what is older.
+        oldest, open_ended = cuts.agg(F.min("__cut").cast("string"), F.count_if(F.col("__cut").isNull())).first()
+        if not open_ended:
+            changes = changes.where(F.col(SEQ) >= F.lit(oldest).cast(schema[SEQ].dataType))
+        needed = F.col("__cut").isNull() | (F.col(SEQ) >= F.col("__cut"))
+        return changes.drop(BATCH).join(cuts, list(self.spec.keys)).where(needed).drop("__cut")
+
     def _new_runs(
         self,
         arrived: DataFrame,
         current: DataFrame,
         status: DataFrame,
-        late_keys: DataFrame,
+        cuts: DataFrame | None,
         late_buckets: set[int],
         schema: T.StructType,
         batch_id: int,
     ) -> DataFrame:
-        """Runs of the touched keys that replace their open run, or all runs if late."""
+        """Runs of the touched keys, in place of their open run or of all runs since a cut."""
         keys = list(self.spec.keys)
         in_order = status.where(~F.col("__late")).select(*named_all(keys))
         # The open run of a key stands for all that came before. Type 1 has one run per
@@ -202,14 +240,9 @@ class HistoryStore:
             LAST_SEQ,
         )
         fresh = arrived
-        if late_buckets:
-            history = (
-                self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
-                .parquet(f"{self.root}/changes")
-                .where(F.col(BUCKET).isin(sorted(late_buckets)) & (F.col(BATCH) <= batch_id))
-                .drop(BATCH)
-            )
-            fresh = arrived.join(in_order, keys, "left_semi").unionByName(history.join(late_keys, keys, "left_semi"))
+        if cuts is not None:
+            history = self._history(cuts, late_buckets, schema, batch_id)
+            fresh = arrived.join(in_order, keys, "left_semi").unionByName(history)
         events = seeds.unionByName(fresh.withColumn(LAST_SEQ, F.col(SEQ)))
         tracked = [] if self.spec.scd_type == 1 else self.spec.tracked(self._feed())
         ties = tie_order(self._feed(), self.spec)
