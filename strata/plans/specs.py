@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from pathlib import Path
 from typing import Any
 
 from ..constants import END_OF_TIME, FIELD_SEPARATOR, NULL_MARKER, START_OF_TIME
@@ -28,6 +29,8 @@ SETTINGS = {
     "field_separator": FIELD_SEPARATOR,
 }
 
+SECTIONS = (("dimension", "dimensions"), ("fact", "facts"))
+
 # Type 1 for facts, type 2 for dimensions.
 SCD_TYPE = {"dimension": 2, "fact": 1}
 
@@ -82,14 +85,37 @@ class HopSpec:
         )
 
 
-def load_registry(path: str) -> dict[str, Any]:
-    """A registry kept as YAML. Needs PyYAML; a registry may as well be a plain dict."""
+def _read_yaml(path: Path) -> dict[str, Any]:
     try:
         import yaml
     except ImportError as error:
-        raise ValueError("reading a YAML registry needs the PyYAML package") from error
-    with open(path) as text:
-        return yaml.safe_load(text) or {}
+        raise ValueError("reading YAML needs the PyYAML package; a registry may as well be a plain dict") from error
+    return yaml.safe_load(path.read_text()) or {}
+
+
+def load_registry(path: str, config_root: str | None = None) -> dict[str, Any]:
+    """A registry kept as YAML, with the per-object files under `config_root`, if given.
+
+    A file {location}/{hop}/{hop}_{object}.yml is the object's own section for that hop.
+    Files in the folder of the gold location are gold hops, in the order of their paths.
+    """
+    registry = _read_yaml(Path(path))
+    if config_root is None:
+        return registry
+    hops = _hops(registry)
+    for source in (registry.get("source_systems") or {}).values():
+        for _, section in SECTIONS:
+            for object_key, value in ((source or {}).get(section) or {}).items():
+                keys, own = object_keys(value)
+                for layer in LAYERS:
+                    name = hops[layer]["name"]
+                    file = Path(config_root, hops[layer]["location"], name, f"{name}_{object_key}.yml")
+                    if file.exists():
+                        own[layer] = {**_present(own.get(layer)), **_present(_read_yaml(file))}
+                source[section][object_key] = {"primary_key_columns": keys, **own}
+    gold = [_read_yaml(file) for file in sorted(Path(config_root, hops["gold"]["location"]).rglob("*.yml"))]
+    registry["gold"] = [*(registry.get("gold") or []), *gold]
+    return registry
 
 
 def object_keys(value: Any) -> tuple[list[str], dict[str, Any]]:
@@ -131,8 +157,12 @@ class _Naming:
         return f"{catalog}.{schema}.{name}"
 
 
+def _hops(registry: Mapping[str, Any]) -> dict[str, dict[str, Any]]:
+    return {layer: {**HOPS[layer], **_present((registry.get("hops") or {}).get(layer))} for layer in HOPS}
+
+
 def _objects(source: Mapping[str, Any]) -> Iterator[tuple[str, str, Any]]:
-    for kind, section in (("dimension", "dimensions"), ("fact", "facts")):
+    for kind, section in SECTIONS:
         for key, value in (source.get(section) or {}).items():
             yield kind, key, value
 
@@ -145,7 +175,7 @@ def plan_objects(registry: Mapping[str, Any], layers: Sequence[str] = LAYERS) ->
     the source system, and the settings. A layer that is not enabled is left out.
     """
     settings = {**SETTINGS, **_present(registry.get("settings"))}
-    hops = {layer: {**HOPS[layer], **_present((registry.get("hops") or {}).get(layer))} for layer in HOPS}
+    hops = _hops(registry)
     naming = _Naming(registry.get("catalog") or "spark_catalog", hops)
     planned: dict[str, list[HopSpec]] = {layer: [] for layer in (*LAYERS, "gold")}
 
@@ -163,6 +193,10 @@ def plan_objects(registry: Mapping[str, Any], layers: Sequence[str] = LAYERS) ->
                 tables[layer] = naming.full(layer, short, options)
                 if not defaults.get("enabled", False) or own.get("enabled") is False:
                     continue
+                if defaults.get("metadata_driven") is False and not overrides.get(layer):
+                    raise ValueError(
+                        f"{source_name}.{object_key}: {layer} is not metadata-driven, so the object needs its own {layer} section"
+                    )
                 options |= _layer_options(layer, kind, object_key, keys, options, source, settings)
                 spec = HopSpec(
                     layer=layer,

@@ -29,7 +29,7 @@ def test_any_split_equals_batch(spark, tmp_path, scd_type, carry):
     feed = frame(spark, rows)
     want = apply_changes(feed, changes, WHOLE)
     store = HistoryStore(spark, f"{tmp_path}/s", changes, feed.schema, buckets=3, merge_after=2, skew=TINY)
-    for i, part in enumerate(split(rows, 3, random.Random(scd_type))):
+    for i, part in enumerate(split(rows, 2, random.Random(scd_type))):
         store.apply(frame(spark, part), i)
         if i == 1:
             store.apply(frame(spark, part), i)  # the same micro-batch once more

@@ -116,6 +116,44 @@ def test_yaml(tmp_path):
     assert [s.object_key for s in plan_objects(load_registry(str(path)))] == ["a"]
 
 
+def test_object_files(tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "objects.yml").write_text(
+        "source_systems:\n  erp:\n    defaults:\n      l02: {enabled: true, metadata_driven: false, sequence_by: s}\n"
+        "    dimensions:\n      a: k\n"
+    )
+    with pytest.raises(ValueError, match="own l02 section"):
+        plan_objects(load_registry(f"{tmp_path}/objects.yml"))
+    (tmp_path / "silver" / "cdc").mkdir(parents=True)
+    (tmp_path / "silver" / "cdc" / "cdc_a.yml").write_text("object_name: cdc_a\nscd_type: 1\nkeys: [k, m]\nsequence_by:\n")
+    (tmp_path / "gold").mkdir()
+    (tmp_path / "gold" / "dim_a.yml").write_text("object_name: dim_a\nsource_object: cons_a\n")
+    cdc, dim = plan_objects(load_registry(f"{tmp_path}/objects.yml", str(tmp_path)))
+    assert (cdc.changes().keys, cdc.changes().scd_type, cdc.changes().sequence_by) == (("k", "m"), 1, "s")
+    assert dim.table == "spark_catalog.03_gold.dim_a"
+
+
+def test_streamed_gold(spark, sf, tmp_path):
+    run = uuid.uuid4().hex[:6]
+    stream = {"object_name": "cons_part", "custom_sql": f"SELECT p_partkey, upper(p_name) n FROM STREAM(spark_catalog.l01_{run}.raw_part)"}
+    one = {
+        "hops": {layer: {"schema": f"{layer}_{run}"} for layer in ("l01", "l02", "l03", "gold")},
+        "source_systems": {
+            "shop": {
+                "connection": {"cloud_storage_path": f"{sf}/{{object}}*.parquet", "cloud_storage_type": "parquet"},
+                "defaults": {"l01": {"enabled": True, "ingestion_mode": "streaming"}},
+                "dimensions": {"part": "p_partkey"},
+            }
+        },
+        "gold": [{**stream, "write_mode": "streaming_table"}],
+    }
+    for _ in range(2):  # the second refresh finds nothing new
+        Medallion(spark, one, f"{tmp_path}/lake").run()
+    assert spark.table(f"spark_catalog.gold_{run}.cons_part").count() == spark.read.parquet(f"{sf}/part.parquet").count()
+    with pytest.raises(ValueError, match="streaming_table"):
+        Medallion(spark, {**one, "gold": [stream]}, f"{tmp_path}/lake").run()
+
+
 def test_replace_table_keeps_readers_and_comment(spark, tmp_path):
     name = f"spark_catalog.t{uuid.uuid4().hex[:6]}.thing"
     replace_table(spark.range(3).selectExpr("id", "true as __etl_is_current"), name, f"{tmp_path}/x", "it's a thing")
@@ -138,7 +176,7 @@ def test_refresh_takes_in_new_files(spark, tmp_path):
     (folder / "1.csv").write_text("id,name,op,changed\n1,Ann,I,2024-01-01\n2,Bob,I,05-01-2024\n1,Anna,U,2024-01-10\n")
     run = uuid.uuid4().hex[:6]
     one = {
-        "hops": {l: {"schema": f"{l}_{run}"} for l in ("l01", "l02", "l03", "gold")},
+        "hops": {layer: {"schema": f"{layer}_{run}"} for layer in ("l01", "l02", "l03", "gold")},
         "source_systems": {
             "crm": {
                 "connection": {"cloud_storage_path": f"{tmp_path}/in/{{object}}", "cloud_storage_type": "csv", "header": True},
@@ -177,7 +215,7 @@ def test_refresh_takes_in_new_files(spark, tmp_path):
 def test_expectation_counts_of_a_run(spark, sf, tmp_path):
     run = uuid.uuid4().hex[:6]
     one = {
-        "hops": {l: {"schema": f"{l}_{run}"} for l in ("l01", "l02", "l03", "gold")},
+        "hops": {layer: {"schema": f"{layer}_{run}"} for layer in ("l01", "l02", "l03", "gold")},
         "source_systems": {
             "shop": {
                 "connection": {"cloud_storage_path": f"{sf}/{{object}}.parquet", "cloud_storage_type": "parquet"},
