@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import IS_CURRENT
+from .columns import named_all
 
 WRITE_MODES = ("materialized_view", "streaming_table", "permanent_table")
 
@@ -41,7 +42,11 @@ def ensure_table(spark: SparkSession, like: DataFrame, table: str, location: str
 def append_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:
     spark = df.sparkSession
     ensure_table(spark, df, table, location, comment)
-    df.write.mode("append").insertInto(quoted(table))
+    columns = spark.table(quoted(table)).columns
+    if set(columns) != set(df.columns):
+        raise ValueError(f"{table}: cannot append, columns differ: {sorted(set(columns) ^ set(df.columns))}")
+    # Appending goes by position.
+    df.select(*named_all(columns)).write.mode("append").insertInto(quoted(table))
 
 
 def replace_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:

@@ -102,7 +102,7 @@ def gold_custom_sql(spark: SparkSession, sf: str) -> DataFrame:
         spark,
         """
         SELECT c.c_mktsegment, year(o.o_orderdate) AS order_year, count(*) AS orders,
-               sum(cast(o.o_totalprice AS DECIMAL(18,2))) AS total
+               cast(sum(cast(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
         FROM src_orders o JOIN src_customer c ON o.o_custkey = c.c_custkey
         GROUP BY c.c_mktsegment, year(o.o_orderdate)
         """,
@@ -130,7 +130,7 @@ def gold_cond_agg(spark: SparkSession, sf: str) -> DataFrame:
         spark,
         """
         SELECT l_suppkey, count(*) AS lines, count_if(l_returnflag = 'R') AS returned,
-               sum(CASE WHEN l_discount > 0.05 THEN cast(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS discounted,
+               cast(sum(CASE WHEN l_discount > 0.05 THEN cast(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DECIMAL(38,2)) AS discounted,
                sum(cast(l_quantity AS BIGINT)) FILTER (WHERE l_linestatus = 'O') AS open_quantity
         FROM src_lineitem GROUP BY l_suppkey
         """,

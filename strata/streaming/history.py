@@ -18,6 +18,7 @@ starts from the manifest before it and gives the same rows.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -48,6 +49,11 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         raise
 
 
+def _folders(df: DataFrame, *columns: str) -> set[tuple[int, ...]]:
+    """Partition values of the files behind a frame, from their paths alone."""
+    return {tuple(int(re.search(f"/{c}=([0-9]+)/", file)[1]) for c in columns) for file in df.inputFiles()}
+
+
 @dataclass(frozen=True)
 class HistoryStore:
     """root: a folder all executors share. buckets: fixed for the life of the store; choose
@@ -83,13 +89,13 @@ class HistoryStore:
 
     def manifest(self, before: int | None = None) -> set[Part]:
         """Parts in force, of the newest micro-batch (before the given one)."""
-        schema = T.StructType.fromDDL(f"open int, bucket int, version long, {BATCH} long")
-        rows = _read(self.spark, f"{self.root}/manifest", schema)
-        if before is not None:
-            rows = rows.where(F.col(BATCH) < before)
-        newest = rows.groupBy(BATCH).agg(F.collect_list(F.struct("open", "bucket", "version")).alias("parts"))
-        found = newest.orderBy(F.desc(BATCH)).first()
-        return {tuple(part) for part in found["parts"]} if found else set()
+        schema = T.StructType.fromDDL("open int, bucket int, version long")
+        everything = _read(self.spark, f"{self.root}/manifest", T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
+        batches = {batch for (batch,) in _folders(everything, BATCH) if before is None or batch < before}
+        if not batches:
+            return set()
+        newest = self.spark.read.schema(schema).parquet(f"{self.root}/manifest/{BATCH}={max(batches)}")
+        return {tuple(row) for row in newest.collect()}
 
     def _runs(self, parts: Iterable[Part]) -> DataFrame:
         schema = T.StructType([*self._runs_schema().fields, T.StructField(OPEN, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
@@ -137,7 +143,7 @@ class HistoryStore:
         stored.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         bucketed = T.StructType([*events.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         arrived = _read(spark, path, bucketed)
-        touched = {r[0] for r in arrived.select(BUCKET).distinct().collect()}
+        touched = {bucket for (bucket,) in _folders(arrived, BUCKET)}
         if not touched:
             return
 
@@ -175,9 +181,9 @@ class HistoryStore:
         out = f"{self.root}/runs/{VERSION}={batch_id}"
         parts = result.withColumn(OPEN, F.col(END_AT).isNull().cast("int"))
         parts.hint("rebalance", F.col(OPEN), F.col(BUCKET)).write.mode("overwrite").partitionBy(OPEN, BUCKET).parquet(out)
-        written = spark.read.parquet(out).select(OPEN, BUCKET).distinct().collect()
+        written = _folders(_read(spark, out, parts.schema), OPEN, BUCKET)
         replaced = {(1, b) for b in touched} | {(0, b) for b in merged}
-        live = {p for p in base if p[:2] not in replaced} | {(r[0], r[1], batch_id) for r in written}
+        live = {p for p in base if p[:2] not in replaced} | {(*part, batch_id) for part in written}
         manifest = spark.createDataFrame(sorted(live), "open int, bucket int, version long")
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/{BATCH}={batch_id}")
 

@@ -2,7 +2,7 @@ import uuid
 
 import pytest
 
-from strata.operators.tables import create_current_view, ensure_table, replace_table
+from strata.operators.tables import append_table, create_current_view, ensure_table, replace_table
 from strata.plans import Medallion, load_registry, plan_objects
 from strata.plans.specs import object_keys, resolve_connection
 
@@ -169,6 +169,15 @@ def test_replace_table_keeps_readers_and_comment(spark, tmp_path):
     assert spark.table(name).dtypes == [("id", "string")]
 
 
+def test_append_goes_by_name(spark, tmp_path):
+    name = f"spark_catalog.t{uuid.uuid4().hex[:6]}.raw"
+    append_table(spark.sql("select 1 a, 2 b"), name, f"{tmp_path}/x")
+    append_table(spark.sql("select 4 b, 3 a"), name, f"{tmp_path}/x")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, 2), (3, 4)]
+    with pytest.raises(ValueError, match="columns differ"):
+        append_table(spark.sql("select 4 b"), name, f"{tmp_path}/x")
+
+
 def test_refresh_takes_in_new_files(spark, tmp_path):
     """Two runs of one streamed dimension from csv, with a late file and a delete."""
     folder = tmp_path / "in" / "customer"
