@@ -89,13 +89,18 @@ class HistoryStore:
 
     def manifest(self, before: int | None = None) -> set[Part]:
         """Parts in force, of the newest micro-batch (before the given one)."""
-        schema = T.StructType.fromDDL("open int, bucket int, version long")
-        everything = _read(self.spark, f"{self.root}/manifest", T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
+        schema = T.StructType([T.StructField("part", T.StringType()), T.StructField(BATCH, T.LongType())])
+        everything = _read(self.spark, f"{self.root}/manifest", schema)
         batches = {batch for (batch,) in _folders(everything, BATCH) if before is None or batch < before}
         if not batches:
             return set()
-        newest = self.spark.read.schema(schema).parquet(f"{self.root}/manifest/{BATCH}={max(batches)}")
-        return {tuple(row) for row in newest.collect()}
+        newest = self.spark.read.schema("part string").parquet(f"{self.root}/manifest/{BATCH}={max(batches)}")
+        return {tuple(map(int, row["part"].split("/"))) for row in newest.collect()}
+
+    def _write_manifest(self, parts: set[Part], batch_id: int) -> None:
+        text = ",".join("/".join(map(str, part)) for part in sorted(parts))
+        rows = self.spark.range(0, 1, 1, 1).select(F.explode(F.split(F.lit(text), ",")).alias("part"))
+        rows.write.mode("overwrite").parquet(f"{self.root}/manifest/{BATCH}={batch_id}")
 
     def _runs(self, parts: Iterable[Part]) -> DataFrame:
         schema = T.StructType([*self._runs_schema().fields, T.StructField(OPEN, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
@@ -123,13 +128,13 @@ class HistoryStore:
     def publish(self, view: str, comment: str | None = None) -> None:
         """Points a catalog view at the parts in force now."""
         ensure_schema(self.spark, view)
-        live = ", ".join(f"'{v}/{o}/{b}'" for o, b, v in sorted(self.manifest())) or "''"
+        live = ", ".join(f"'{o}/{b}/{v}'" for o, b, v in sorted(self.manifest())) or "''"
         names = self.spec.stored(self._feed()) + ([START_AT, END_AT] if self.spec.scd_type == 2 else [])
         columns = ", ".join(f"`{c}`" for c in names)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {quoted(view)} {f'COMMENT {literal(comment)} ' if comment else ''}"
             f"AS SELECT {columns} FROM parquet.`{self.root}/runs` "
-            f"WHERE NOT {DELETED} AND concat_ws('/', {VERSION}, {OPEN}, {BUCKET}) IN ({live})"
+            f"WHERE NOT {DELETED} AND concat_ws('/', {OPEN}, {BUCKET}, {VERSION}) IN ({live})"
         )
 
     # -- one micro-batch -----------------------------------------------------------
@@ -184,8 +189,7 @@ class HistoryStore:
         written = _folders(_read(spark, out, parts.schema), OPEN, BUCKET)
         replaced = {(1, b) for b in touched} | {(0, b) for b in merged}
         live = {p for p in base if p[:2] not in replaced} | {(*part, batch_id) for part in written}
-        manifest = spark.createDataFrame(sorted(live), "open int, bucket int, version long")
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/{BATCH}={batch_id}")
+        self._write_manifest(live, batch_id)
 
     def _stored_once(self, df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
