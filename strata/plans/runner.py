@@ -60,13 +60,15 @@ class Medallion:
         else:
             append_table(df, spec.table, self._location(spec), spec.comment)
 
-    def _raw_is_stream(self, spec: HopSpec) -> bool:
+    def _raw_only_grows(self, spec: HopSpec) -> bool:
         above = [s for s in plan_objects(self.registry, ("l01",)) if s.table == spec.source_table]
-        return bool(above) and above[0].option("ingestion_mode") == "streaming"
+        return bool(above) and above[0].option("merge_strategy") == "append"
 
     def _cdc(self, spec: HopSpec) -> None:
+        """Only new raw rows are read where raw only grows. An overwritten raw table is a
+        new feed each time."""
         changes = spec.changes()
-        if not self._raw_is_stream(spec):
+        if not self._raw_only_grows(spec):
             feed = read_hop(self.spark, spec.source_table)
             replace_table(apply_changes(feed, changes, self.skew), spec.table, self._location(spec), spec.comment)
             return

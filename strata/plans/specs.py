@@ -282,6 +282,8 @@ def _check(spec: HopSpec, label: str) -> None:
     """Every refusal that needs no data, before any job runs."""
     if spec.layer == "l01":
         check_raw_modes(spec.option("ingestion_mode"), spec.option("merge_strategy"), label)
+        if spec.option("source_type") in ("jdbc", "kafka") and not spec.option("source_updated_at_col"):
+            raise ValueError(f"{label}: a {spec.option('source_type')} source has no file time; set source_updated_at_col")
     if spec.layer == "l02":
         try:
             spec.changes()

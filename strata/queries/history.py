@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cdc import ChangeSpec, apply_changes
+from ..operators.cdc import ChangeSpec, apply_changes, refused_changes
 from ..operators.skew import SkewPolicy
 from ..session import scratch_dir
 from ..streaming.history import HistoryStore
@@ -110,6 +110,28 @@ def scd1_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, "scd1", feed, event_changes(scd_type=1, except_column_list=[]))
 
 
+def cdc_refused_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """How many changes lack a key or a sequence."""
+    feed = table(spark, sf, "events").select(
+        "event_id",
+        F.expr("CASE WHEN event_type <> 'signup' THEN user_id END").alias("user_id"),
+        F.expr("CASE WHEN event_id % 7 <> 0 THEN ts END").alias("ts"),
+    )
+    refused = refused_changes(feed, ChangeSpec(keys=["user_id"], sequence_by="ts"))
+    return refused.groupBy(F.isnull("user_id").alias("no_key"), F.isnull("ts").alias("no_sequence")).agg(
+        F.count(F.lit(1)).alias("changes")
+    )
+
+
+def scd1_except_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Rescued text, and here the ids too, are not stored."""
+    feed = table(spark, sf, "events").withColumn("_rescued_data", F.lit("x"))
+    spec = ChangeSpec(
+        keys=["user_id", "event_type"], sequence_by="ts", scd_type=1, except_column_list=["_rescued_data", "event_id", "props"]
+    )
+    return apply_changes(feed, spec)
+
+
 _VERSIONS_SQL = f"""
 WITH {EVENT_VERSIONS}
 SELECT user_id, event_type, start_at AS __START_AT, end_at AS __END_AT FROM versions
@@ -230,6 +252,21 @@ WITH single AS (
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, start_at AS __START_AT,
        lead(start_at) OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY run) AS __END_AT
 FROM merged
+""",
+    ),
+    "cdc_refused_rows": Query(
+        cdc_refused_rows,
+        """
+SELECT event_type = 'signup' AS no_key, event_id % 7 = 0 AS no_sequence, count(*) AS changes
+FROM events WHERE event_type = 'signup' OR event_id % 7 = 0 GROUP BY 1, 2
+""",
+    ),
+    "scd1_except_columns": Query(
+        scd1_except_columns,
+        """
+SELECT user_id, event_type, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS rn FROM events
+) WHERE rn = 1
 """,
     ),
     "scd2_out_of_order": Query(scd2_out_of_order, _VERSIONS_SQL),

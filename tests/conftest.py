@@ -14,8 +14,8 @@ def spark():
         4,
         "tests",
         **{
-            "spark.sql.shuffle.partitions": "4",
-            "spark.default.parallelism": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
         },
     )

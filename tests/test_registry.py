@@ -86,6 +86,7 @@ def test_key_forms():
         ({"defaults": {"l02": {"enabled": True}}}, "sequence_by"),
         ({"defaults": {"l02": {"enabled": True, "sequence_by": "s"}}, "facts": {"f": None}, "dimensions": {}}, "key"),
         ({"defaults": {"l03": {"enabled": True, "read_mode": "stream"}}}, "snapshot"),
+        ({"source_type": "jdbc", "defaults": {"l01": {"enabled": True}}}, "source_updated_at_col"),
     ],
 )
 def test_refusals_before_any_job(changes, text):
@@ -221,6 +222,44 @@ def test_refresh_takes_in_new_files(spark, tmp_path):
     assert "_rescued_data" not in spark.table(f"spark_catalog.l02_{run}.cdc_customer").columns
 
 
+def test_appended_snapshots_are_taken_in_once(spark, tmp_path):
+    """The whole source lands again with each refresh; history does not change by that."""
+    run = uuid.uuid4().hex[:6]
+    source = f"{tmp_path}/in/part"
+    one = {
+        "hops": {layer: {"schema": f"{layer}_{run}"} for layer in ("l01", "l02", "l03", "gold")},
+        "source_systems": {
+            "shop": {
+                "connection": {"cloud_storage_path": f"{tmp_path}/in/{{object}}", "cloud_storage_type": "json"},
+                "defaults": {
+                    "l01": {"enabled": True, "ingestion_mode": "snapshot", "merge_strategy": "append", "source_updated_at_col": "at"},
+                    "l02": {"enabled": True, "sequence_by": "at", "track_history_column_list": ["v"]},
+                },
+                "dimensions": {"part": {"primary_key_columns": "k", "comment": "parts"}},
+            }
+        },
+    }
+    medallion = Medallion(spark, one, f"{tmp_path}/lake", buckets=2)
+    table = f"spark_catalog.l02_{run}.cdc_part"
+
+    def history():
+        return sorted((r["k"], r["v"], str(r["__START_AT"])[:10], str(r["__END_AT"])[:10]) for r in spark.table(table).collect())
+
+    rows = "select * from values (1, 'a', '2024-01-01'), (1, 'b', '2024-01-03') t(k, v, at)"
+    spark.sql(rows).write.json(source)
+    medallion.run()
+    first = [(1, "a", "2024-01-01", "2024-01-03"), (1, "b", "2024-01-03", "None")]
+    assert history() == first
+    medallion.run()
+    assert history() == first
+    spark.sql("select 1 k, 'c' v, '2024-01-02' at").write.mode("append").json(source)
+    medallion.run()
+    assert history() == [
+        (1, "a", "2024-01-01", "2024-01-02"), (1, "b", "2024-01-03", "None"), (1, "c", "2024-01-02", "2024-01-03"),
+    ]
+    assert spark.table(f"spark_catalog.l01_{run}.raw_part").count() == 7
+
+
 def test_expectation_counts_of_a_run(spark, sf, tmp_path):
     run = uuid.uuid4().hex[:6]
     one = {
