@@ -143,19 +143,38 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
     for key in keys:
         complete = complete & F.col(key).isNotNull()
     unmatched = keyed.where(~complete).withColumn("__skey", F.lit(None).cast("bigint"))
+    rows = keyed.where(complete)
+    moments = rows.select(*keys, "__t").unionByName(versions.select(*keys, F.col("__from").alias("__t")))
+    slicing = find_long_keys(moments, keys, "__t", skew)
+
+    crowds = None
+    if slicing is not None and slicing.repeats is not None:
+        # Many facts with one key and one time cannot be cut apart, but have one answer.
+        at = [*keys, "__t"]
+        repeats = F.broadcast(slicing.repeats)
+        valid = (F.col("__t") >= F.col("__from")) & (F.col("__t") < F.col("__to"))
+        answers = versions.join(repeats, keys).where(valid).select(*at, "__skey")
+        crowds = rows.join(repeats, at, "left_semi").join(F.broadcast(answers), at, "left")
+        rows = rows.join(repeats, at, "left_anti")
 
     nothing = F.lit(None)
-    left = keyed.where(complete).select(
-        *keys, "__t", F.lit(1).alias("__kind"), F.struct(*named_all(keyed.columns)).alias("__fact"),
+    left = rows.select(
+        *keys,
+        "__t",
+        F.lit(1).alias("__kind"),
+        F.struct(*named_all(keyed.columns)).alias("__fact"),
         nothing.cast(versions.schema["__skey"].dataType).alias("__skey"),
         nothing.cast(versions.schema["__to"].dataType).alias("__to"),
     )
     right = versions.select(
-        *keys, F.col("__from").alias("__t"), F.lit(0).alias("__kind"),
-        nothing.cast(left.schema["__fact"].dataType).alias("__fact"), "__skey", "__to",
+        *keys,
+        F.col("__from").alias("__t"),
+        F.lit(0).alias("__kind"),
+        nothing.cast(left.schema["__fact"].dataType).alias("__fact"),
+        "__skey",
+        "__to",
     )
     both = left.unionByName(right)
-    slicing = find_long_keys(both, keys, "__t", skew)
     if slicing is not None:
         both = with_slices(both, keys, "__t", slicing)
     # At one instant versions come before facts.
@@ -165,7 +184,8 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
     matched = filled.where(F.col("__kind") == 1).select(
         "__fact.*", F.when(valid, F.col("__version.__skey")).alias("__skey")
     )
-    return matched.unionByName(unmatched)
+    found = matched.unionByName(unmatched)
+    return found if crowds is None else found.unionByName(crowds.select(*named_all(found.columns)))
 
 
 def fact(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy = SkewPolicy()) -> DataFrame:

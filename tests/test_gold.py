@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators.expectations import Expectation, enforce, expectations_of, observe, violation_counts
 from strata.operators.gold import Lookup, cons, dimension, fact, mapped, with_skey, with_skey_as_of
 from strata.operators.processed import read_rules
-from strata.operators.skew import SkewPolicy
+from strata.operators.skew import SkewPolicy, find_long_keys
 
 from .brute import as_of
 
@@ -22,7 +22,8 @@ def random_history(seed):
             at = end + rng.choice([0, 0, 3])
     for i in range(900):
         k = 99 if i % 3 == 0 else rng.choice([*range(14), None])
-        facts.append((i, k, rng.randint(0, 1200 if k == 99 else 30) if rng.random() < 0.97 else None))
+        at = rng.choice([400, rng.randint(0, 1200)]) if k == 99 else rng.randint(0, 30)
+        facts.append((i, k, at if rng.random() < 0.97 else None))
     return versions, facts
 
 
@@ -49,6 +50,13 @@ def test_as_of_lookup_equals_brute_force(spark, way):
     assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) or way != "broadcast"
 
 
+def test_crowded_moments_are_found(spark):
+    _, facts = random_history(4)
+    frame = spark.createDataFrame(facts, "id int, k int, t int").dropna().withColumn("at", F.timestamp_seconds("t"))
+    slicing = find_long_keys(frame, ["k"], "at", SkewPolicy(min_rows=20, target_slices=100))
+    assert slicing.repeats.count() == 1
+
+
 def test_many_versions_per_key_are_not_broadcast(spark):
     dim = spark.range(1000).select(
         F.lit(1).alias("k"),
