@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from ..constants import END_AT, LOADED_AT, RESCUED, SOURCE_UPDATED_AT, START_AT
 from ..functions.timestamps import column_as_timestamp
+from ..session import scratch_dir, stored_once
 from .columns import comparable, holds_map, named, named_all
-from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, lane, with_slices
+from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, split_long_keys
 
 SEQ = "__seq"
 LAST_SEQ = "__last_seq"
@@ -207,8 +208,8 @@ def _runs_per_lane(events: DataFrame, part: Sequence[str], state: Column) -> Dat
 def _join_runs_across_slices(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Only the first and the last run of a slice can touch another slice: two rows per
     slice, merged per key. All other runs are final."""
-    inner = runs.where((F.col(SLICE) == 0) | ~F.col("__edge"))
-    edges = runs.where((F.col(SLICE) > 0) & F.col("__edge"))
+    inner = runs.where(~F.col("__edge"))
+    edges = runs.where("__edge")
     rows = Window.partitionBy(*named_all(keys)).orderBy(START_AT)
     so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before, slice_before = F.lag("__state").over(rows), F.lag(SLICE).over(rows)
@@ -249,30 +250,33 @@ def history_runs(
     """
     if LAST_SEQ not in events.columns:
         events = events.withColumn(LAST_SEQ, F.col(SEQ))
-    slicing = find_long_keys(events, spec.keys, SEQ, skew)
-    sliced = slicing is not None
-    if sliced:
-        if slicing.repeats is not None:
-            # Many changes with one key and one sequence cannot be cut apart: settle those first.
-            at = [*spec.keys, SEQ]
-            repeats = F.broadcast(slicing.repeats)
-            settled = _latest(events.join(repeats, at, "left_semi"), at, ties or [SEQ])
-            events = events.join(repeats, at, "left_anti").unionByName(settled)
-        events = with_slices(events, spec.keys, SEQ, slicing)
-    part = lane(spec.keys, sliced)
-    single = _one_per_sequence(events.repartition(*named_all(part)), part, ties)
     internal = {SLICE, SEQ, LAST_SEQ, *(c for c in ties if c.startswith(TIE))}
     values = [c for c in events.columns if c not in {*spec.keys, DELETED, *internal, *passing}]
-    if spec.ignore_null_updates:
-        single = _carry_values(single, spec, values, sliced)
-
-    compared = F.struct(*(comparable(single, c).alias(f"c{i}") for i, c in enumerate(tracked))) if tracked else F.lit(0)
-    state = F.struct(F.col(DELETED).alias("gone"), F.when(~F.col(DELETED), compared).alias("kept"))
-    runs = _runs_per_lane(single, part, state)
-    if sliced:
-        runs = _join_runs_across_slices(runs, spec.keys)
-    out = [c for c in events.columns if c not in internal]
-    return runs.select(*named_all(out), LAST_SEQ, START_AT, END_AT)
+
+    def runs_of(rows: DataFrame, sliced: bool) -> DataFrame:
+        part = [*spec.keys, SLICE] if sliced else list(spec.keys)
+        single = _one_per_sequence(rows.repartition(*named_all(part)), part, ties)
+        if spec.ignore_null_updates:
+            single = _carry_values(single, spec, values, sliced)
+        compared = [comparable(single, c).alias(f"c{i}") for i, c in enumerate(tracked)]
+        kept = F.when(~F.col(DELETED), F.struct(*compared) if compared else F.lit(0))
+        return _runs_per_lane(single, part, F.struct(F.col(DELETED).alias("gone"), kept.alias("kept")))
+
+    out = [*(c for c in events.columns if c not in internal), LAST_SEQ, START_AT, END_AT]
+    slicing = find_long_keys(events, spec.keys, SEQ, skew)
+    if slicing is None:
+        return runs_of(events, False).select(*named_all(out))
+    short, long = split_long_keys(events, spec.keys, SEQ, slicing)
+    if slicing.repeats is not None:
+        # Many changes with one key and one sequence cannot be cut apart: settle those first.
+        at = [*spec.keys, SEQ]
+        repeats = F.broadcast(slicing.repeats)
+        settled = _latest(long.join(repeats, at, "left_semi"), at, ties or [SEQ])
+        long = long.join(repeats, at, "left_anti").unionByName(settled)
+    # Read twice below, and much smaller than the changes it comes from.
+    cut = stored_once(runs_of(long, True), scratch_dir(events.sparkSession, "runs"))
+    whole = _join_runs_across_slices(cut, spec.keys)
+    return runs_of(short, False).select(*named_all(out)).unionByName(whole.select(*named_all(out)))
 
 
 def apply_changes(feed: DataFrame, spec: ChangeSpec, skew: SkewPolicy = SkewPolicy()) -> DataFrame:

@@ -18,7 +18,7 @@ from ..constants import (
 )
 from .columns import named, named_all
 from .processed import ColumnRule, build_columns
-from .skew import SkewPolicy, fill_forward, find_long_keys, with_slices
+from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, split_long_keys
 
 CONS_SHEDS = (SOURCE_UPDATED_AT, PROCESSED_AT)
 DIM_SHEDS = (SOURCE_UPDATED_AT, PROCESSED_AT, LOADED_AT)
@@ -175,11 +175,14 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
         "__to",
     )
     both = left.unionByName(right)
-    if slicing is not None:
-        both = with_slices(both, keys, "__t", slicing)
     # At one instant versions come before facts.
-    mark = F.when(F.col("__kind") == 0, F.struct("__skey", "__to"))
-    filled = fill_forward(both, keys, ["__t", "__kind"], {"__version": mark}, slicing is not None)
+    order, mark = ["__t", "__kind"], {"__version": F.when(F.col("__kind") == 0, F.struct("__skey", "__to"))}
+    if slicing is None:
+        filled = fill_forward(both, keys, order, mark, False)
+    else:
+        short, long = split_long_keys(both, keys, "__t", slicing)
+        filled = fill_forward(short, keys, order, mark, False)
+        filled = filled.unionByName(fill_forward(long, keys, order, mark, True).drop(SLICE))
     valid = F.col("__t") < F.col("__version.__to")
     matched = filled.where(F.col("__kind") == 1).select(
         "__fact.*", F.when(valid, F.col("__version.__skey")).alias("__skey")

@@ -2,7 +2,7 @@
 
 A window over a key runs in one task. Here the long keys are cut into slices of their
 sequence, so that a window over (key, slice) stays bounded, and a few rows per slice carry
-what crosses a border. Short keys all have slice 0 and pay nothing.
+what crosses a border. Short keys are worked on apart and pay nothing.
 
 Which keys are long is found by counting rows per key, over the key columns only. The
 cut points come from approximate quantiles. Both steer placement alone: results are the
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import scratch_dir, stored_once
 from .columns import named_all
 
 SLICE = "__slice"
@@ -99,32 +99,27 @@ def find_long_keys(
         "__repeats",
     ).withColumn("__heads", F.transform("__chunks", lambda chunk: chunk[0]))
     # Written once, so that no later branch counts or ranks again.
-    path = scratch_dir(df.sparkSession, "slices")
-    cuts.coalesce(1).write.parquet(path)
-    stored = df.sparkSession.read.schema(cuts.schema).parquet(path)
+    stored = stored_once(cuts.coalesce(1), scratch_dir(df.sparkSession, "slices"))
     repeats = stored.select(*named_all(keys), F.explode("__repeats").alias(order))
     return Slicing(stored.drop("__repeats"), None if repeats.isEmpty() else repeats)
 
 
-def with_slices(df: DataFrame, keys: Sequence[str], order: str, slicing: Slicing | None) -> DataFrame:
-    """Adds SLICE: 0 for short keys, 1, 2, ... in sequence order for long ones. Rows of
-    one key with the same sequence share a slice."""
-    if slicing is None:
-        return df.withColumn(SLICE, F.lit(0))
+def split_long_keys(
+    df: DataFrame, keys: Sequence[str], order: str, slicing: Slicing
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of short keys, and those of long keys with SLICE: 1, 2, ... in sequence
+    order. Rows of one key with the same sequence share a slice."""
+    short = df.join(F.broadcast(slicing.cuts.select(*named_all(keys))), list(keys), "left_anti")
     seq = F.col(order)
     inside = F.size(F.filter(F.get("__chunks", F.col("__chunk") - 1), lambda point: point <= seq))
     number = F.when(F.col("__chunk") == 0, 1).otherwise(1 + (F.col("__chunk") - 1) * _CHUNK + inside)
-    return (
-        df.join(F.broadcast(slicing.cuts), list(keys), "left")
+    long = (
+        df.join(F.broadcast(slicing.cuts), list(keys))
         .withColumn("__chunk", F.size(F.filter("__heads", lambda head: head <= seq)))
-        .withColumn(SLICE, F.when(F.col("__heads").isNull(), 0).otherwise(number))
+        .withColumn(SLICE, number)
         .select(*named_all(df.columns), SLICE)
     )
-
-
-def lane(keys: Sequence[str], sliced: bool) -> list[str]:
-    """The columns a bounded window is partitioned by."""
-    return [*keys, SLICE] if sliced else list(keys)
+    return short, long
 
 
 def fill_forward(
@@ -137,10 +132,10 @@ def fill_forward(
     """For each entry of `marks`, adds a column with its last non-NULL value up to and
     including the row. A mark should be a struct if NULL itself must be carried.
 
-    Long keys take two steps: fill inside each slice, then hand on the last mark of the
-    earlier slices. The last marks are one row per slice.
+    `sliced` rows have SLICE and take two steps: fill inside each slice, then hand on the
+    last mark of the earlier slices. The last marks are one row per slice.
     """
-    part = lane(keys, sliced)
+    part = [*keys, SLICE] if sliced else list(keys)
     rows = Window.partitionBy(*named_all(part)).orderBy(*named_all(order))
     so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumns({name: F.last(mark, ignorenulls=True).over(so_far) for name, mark in marks.items()})
@@ -149,8 +144,7 @@ def fill_forward(
 
     position = F.struct(*named_all(order))
     tails = (
-        df.where(F.col(SLICE) > 0)
-        .withColumns({name: mark for name, mark in marks.items()})
+        df.withColumns(dict(marks))
         .groupBy(*named_all(part))
         .agg(*(F.max_by(name, F.when(F.col(name).isNotNull(), position)).alias(name) for name in marks))
     )

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,6 +30,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_once(df: DataFrame, path: str) -> DataFrame:
+    """The frame from a written copy: computed now, once, and safe from lost executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = 8, app: str = "strata", **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

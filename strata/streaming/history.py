@@ -33,6 +33,7 @@ from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_even
 from ..operators.columns import named, named_all
 from ..operators.skew import SkewPolicy
 from ..operators.tables import ensure_schema, literal, quoted
+from ..session import stored_once
 
 BUCKET, OPEN, VERSION, BATCH = "__bucket", "__open", "__version", "__batch"
 
@@ -159,13 +160,13 @@ class HistoryStore:
         only_latest = self.spec.scd_type == 1 and not self.spec.ignore_null_updates
         late = F.col("__max") == F.col(LAST_SEQ) if only_latest else F.col("__min") <= F.col(LAST_SEQ)
         status = span.join(known, keys, "left").withColumn("__late", F.coalesce(late, F.lit(False)))
-        status = self._stored_once(status.drop(LAST_SEQ), f"{self.root}/status/batch={batch_id}")
+        status = stored_once(status.drop(LAST_SEQ), f"{self.root}/status/batch={batch_id}")
         late_buckets = {r[0] for r in status.where("__late").select(BUCKET).distinct().collect()}
         closed_parts = [p for p in base if p[0] == 0 and p[1] in touched]
         cuts = None
         if late_buckets:
             known_runs = self._runs(p for p in closed_parts if p[1] in late_buckets).unionByName(current)
-            cuts = self._stored_once(self._cuts(status.where("__late"), known_runs), f"{self.root}/cuts/batch={batch_id}")
+            cuts = stored_once(self._cuts(status.where("__late"), known_runs), f"{self.root}/cuts/batch={batch_id}")
 
         new = self._new_runs(arrived, current, status, cuts, late_buckets, bucketed, batch_id)
         kept_open = current.join(status.select(*named_all(keys)), keys, "left_anti")
@@ -191,10 +192,6 @@ class HistoryStore:
         live = {p for p in base if p[:2] not in replaced} | {(*part, batch_id) for part in written}
         self._write_manifest(live, batch_id)
 
-    def _stored_once(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def _cuts(self, late: DataFrame, runs: DataFrame) -> DataFrame:
         """Per late key, the moment from which its changes must be read again.
 
