@@ -11,7 +11,7 @@ from ..operators.gold import Lookup, cons, current_versions, custom_sql, dimensi
 from ..operators.processed import read_rules
 from ..operators.skew import SkewPolicy
 from ..operators.tables import append_table, create_current_view, replace_table
-from ..session import scratch_dir
+from ..session import scratch_dir, stored_once
 from ..streaming.ingest import land_stream
 from .base import EVENT_VERSIONS, Query, skey_sql, table
 from .processed import PROCESSED_VERSIONS, customer_keys, event_versions
@@ -49,8 +49,13 @@ def gold_fact_current(spark: SparkSession, sf: str) -> DataFrame:
     return with_skey(_facts(spark, sf), lookup)
 
 
+def _users(spark: SparkSession, sf: str) -> DataFrame:
+    """The type 2 dimension as a stored table, as lookups find it."""
+    return stored_once(event_versions(spark, sf), scratch_dir(spark, "processed_user"))
+
+
 def _as_of(spark: SparkSession, sf: str) -> Lookup:
-    return Lookup(event_versions(spark, sf), {"user_id": "user_id"}, "user_skey", event_time="ts")
+    return Lookup(_users(spark, sf), {"user_id": "user_id"}, "user_skey", event_time="ts")
 
 
 def gold_pit_skey(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,7 +96,7 @@ def gold_dim(spark: SparkSession, sf: str) -> DataFrame:
 def gold_fact(spark: SparkSession, sf: str) -> DataFrame:
     facts = table(spark, sf, "events").select("event_id", "user_id", "ts", "value").withColumn("buyer", F.col("user_id") % 100 + 1)
     lookups = [
-        Lookup(event_versions(spark, sf), {"user_id": "user_id"}, "user_skey", event_time="ts", unknown=-1),
+        Lookup(_users(spark, sf), {"user_id": "user_id"}, "user_skey", event_time="ts", unknown=-1),
         Lookup(customer_keys(spark, sf), {"buyer": "c_custkey"}, "customer_skey"),
     ]
     return fact(facts, lookups).drop("buyer")

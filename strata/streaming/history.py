@@ -90,15 +90,24 @@ class HistoryStore:
 
     def manifest(self, before: int | None = None) -> set[Part]:
         """Parts in force, of the newest micro-batch (before the given one)."""
+        if before is not None:
+            # Usually the micro-batch before left one. Only gaps in the ids need a listing.
+            parts = self._manifest_of(before - 1)
+            if parts:
+                return parts
         schema = T.StructType([T.StructField("part", T.StringType()), T.StructField(BATCH, T.LongType())])
         everything = _read(self.spark, f"{self.root}/manifest", schema)
         batches = {batch for (batch,) in _folders(everything, BATCH) if before is None or batch < before}
-        if not batches:
-            return set()
-        newest = self.spark.read.schema("part string").parquet(f"{self.root}/manifest/{BATCH}={max(batches)}")
-        return {tuple(map(int, row["part"].split("/"))) for row in newest.collect()}
+        return self._manifest_of(max(batches)) if batches else set()
+
+    def _manifest_of(self, batch_id: int) -> set[Part]:
+        schema = T.StructType([T.StructField("part", T.StringType())])
+        rows = _read(self.spark, f"{self.root}/manifest/{BATCH}={batch_id}", schema).collect()
+        return {tuple(map(int, row["part"].split("/"))) for row in rows}
 
     def _write_manifest(self, parts: set[Part], batch_id: int) -> None:
+        if not parts:
+            return
         text = ",".join("/".join(map(str, part)) for part in sorted(parts))
         rows = self.spark.range(0, 1, 1, 1).select(F.explode(F.split(F.lit(text), ",")).alias("part"))
         rows.write.mode("overwrite").parquet(f"{self.root}/manifest/{BATCH}={batch_id}")
@@ -150,10 +159,11 @@ class HistoryStore:
         bucketed = T.StructType([*events.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         arrived = _read(spark, path, bucketed)
         touched = {bucket for (bucket,) in _folders(arrived, BUCKET)}
+        base = self.manifest(before=batch_id)
         if not touched:
+            self._write_manifest(base, batch_id)
             return
 
-        base = self.manifest(before=batch_id)
         current = self._runs(p for p in base if p[0] == 1 and p[1] in touched)
         span = arrived.groupBy(*named_all(keys), BUCKET).agg(F.min(SEQ).alias("__min"), F.max(SEQ).alias("__max"))
         known = current.select(*named_all(keys), LAST_SEQ)

@@ -44,14 +44,14 @@ def test_in_order_batches_add_closed_runs_only(spark, tmp_path):
     feed = frame(spark, rows)
     store = HistoryStore(spark, f"{tmp_path}/s", changes, feed.schema, buckets=2)
     for s in range(1, 4):
-        store.apply(frame(spark, [r for r in rows if r["seq"] == s]), s)
+        store.apply(frame(spark, [r for r in rows if r["seq"] == s]), s * 2 if s == 3 else s)
     before = store.manifest()
-    store.apply(frame(spark, []), 4)
+    store.apply(frame(spark, []), 7)
     assert store.manifest() == before, "an empty micro-batch changes nothing"
     assert versions(store.read()) == expected(rows, ["v"], False)
     closed = sorted((b, v) for o, b, v in store.manifest() if o == 0)
-    assert {v for _, v in closed} == {2, 3}, "earlier closed runs stay where they were"
-    assert {v for o, _, v in store.manifest() if o == 1} == {3}
+    assert {v for _, v in closed} == {2, 6}, "earlier closed runs stay where they were"
+    assert {v for o, _, v in store.manifest() if o == 1} == {6}
 
 
 def test_late_delete_and_emptied_key(spark, tmp_path):
