@@ -15,7 +15,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, stored_once
@@ -31,13 +31,19 @@ class SkewPolicy:
     """A key is cut once it holds more than max(min_rows, all rows / target_slices) rows.
 
     At most target_slices keys can be that long, and their cut points together number at
-    most 2 * target_slices. That bounds what is broadcast, whatever the data size.
+    most 2 * target_slices. That bounds what is broadcast, whatever the data size. By default
+    the target is the number of shuffle partitions, but at least 2,000, so that a slice is
+    no larger than an even share of the data.
     """
 
     min_rows: int = 1_000_000
-    target_slices: int = 2_000
+    target_slices: int | None = None
     enabled: bool = True
 
+    def row_limit(self, spark: SparkSession, total: int) -> int:
+        target = self.target_slices or max(2_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return max(self.min_rows, math.ceil(total / target))
+
 
 @dataclass(frozen=True)
 class Slicing:
@@ -60,7 +66,7 @@ def find_long_keys(
         return None
     per_key = df.groupBy(*named_all(keys)).agg(F.count(F.lit(1)).alias("__rows"))
     total, longest = per_key.agg(F.sum("__rows"), F.max("__rows")).first()
-    limit = max(policy.min_rows, math.ceil((total or 0) / policy.target_slices))
+    limit = policy.row_limit(df.sparkSession, total or 0)
     if not longest or longest <= limit:
         return None
 
@@ -71,7 +77,7 @@ def find_long_keys(
         df.select(*named_all(keys), order)
         .join(F.broadcast(long_keys), list(keys))
         .groupBy(*named_all(keys), "__rows")
-        .agg(F.percentile_approx(order, fractions, max(10_000, 20 * parts)).alias("__all"))
+        .agg(F.percentile_approx(order, fractions, max(10_000, 4 * parts)).alias("__all"))
     )
     # The array has a point every longest/parts rows of the longest key; a shorter key
     # takes every n-th point, so that each of its slices holds about `limit` rows.

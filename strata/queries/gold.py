@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.gold import Lookup, cons, current_versions, custom_sql, dimension, fact, mapped, with_skey, with_skey_as_of
+from ..operators.gold import Lookup, cons, custom_sql, dimension, fact, mapped, with_skey, with_skey_as_of
 from ..operators.processed import read_rules
 from ..operators.skew import SkewPolicy
 from ..operators.tables import append_table, create_current_view, replace_table

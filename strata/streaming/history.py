@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..constants import END_AT, START_AT
 from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, tie_order
-from ..operators.columns import named, named_all
+from ..operators.columns import named_all
 from ..operators.skew import SkewPolicy
 from ..operators.tables import ensure_schema, literal, quoted
 from ..session import stored_once
