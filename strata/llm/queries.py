@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.base import table
-from . import simhash
+from . import langid, simhash
 from .shared import prepared
 
 
@@ -14,6 +14,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, words=4, distance=4).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op2_simhash": op2_simhash}
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs), ["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+QUERIES = {"op2_simhash": op2_simhash, "op3_langid": op3_langid}
 
 SQL: dict[str, str] = {}
