@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.base import table
-from . import langid, simhash
+from . import langid, mixing, simhash
 from .shared import prepared
 
 
@@ -20,6 +20,15 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op3_langid": op3_langid}
+#: Target weights of the sources: src0 most, each next one less; sources not named share one weight.
+WEIGHTS = {f"src{i}": 40 - 2 * i for i in range(20)}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents")
+    return mixing.mixed(docs, WEIGHTS, rest=1).select("doc_id", "source", "block", "slot", "position")
+
+
+QUERIES = {"op2_simhash": op2_simhash, "op3_langid": op3_langid, "op10_mixing": op10_mixing}
 
 SQL: dict[str, str] = {}
