@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..queries.base import table
-from . import langid, mixing, simhash
+from . import langid, mixing, packing, simhash
 from .shared import prepared
 
 
@@ -29,6 +29,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, WEIGHTS, rest=1).select("doc_id", "source", "block", "slot", "position")
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op3_langid": op3_langid, "op10_mixing": op10_mixing}
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(prepared(spark), sf_dir, "documents"), capacity=2048)
+
+
+QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op3_langid": op3_langid,
+    "op5_packing": op5_packing,
+    "op10_mixing": op10_mixing,
+}
 
 SQL: dict[str, str] = {}
