@@ -28,6 +28,8 @@ BITS = 64
 GROUPS = (2, 3, 4, 5)
 #: Most flips of one group that are probed; a threshold with more is not considered.
 MOST_PROBES = 3000
+#: A probe is a row that is written, shuffled and sorted; a candidate is one comparison of two longs.
+PROBE_COST = 8
 #: Above this many fingerprints with one value, pairs cost more than the points within half the distance.
 HEAVY = 4096
 
@@ -163,7 +165,7 @@ def plan(prints: DataFrame, distance: int) -> list[Probe]:
             for t in range(distance + 1):
                 probes = sum(math.comb(len(bits), x) for x in range(t + 1))
                 near = min(float(n) ** 2, same.get(k, 0.0) * sum(within[: t + 1]) / max(within[0], 1e-300))
-                row.append(n * probes + near if probes <= MOST_PROBES else math.inf)
+                row.append(PROBE_COST * n * probes + near if probes <= MOST_PROBES else math.inf)
             costs.append(row)
         choices.append((*allocate(costs, distance - m + 1), groups))
     _, thresholds, groups = min(choices, key=lambda c: c[0])
