@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, mixing, packing, simhash
+from . import langid, mixing, packing, pii, simhash
 from .shared import prepared
 
 
@@ -33,10 +34,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(prepared(spark), sf_dir, "documents"), capacity=2048)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_langid": op3_langid,
     "op5_packing": op5_packing,
+    "op6_pii": op6_pii,
     "op10_mixing": op10_mixing,
 }
 
