@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, mixing, packing, pii, simhash
+from . import langid, mixing, packing, pii, simhash, site_tree
 from .shared import prepared
 
 
+def op1_site_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.extract(table(prepared(spark), sf_dir, "pages"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return simhash.near_duplicates(docs, words=4, distance=4).select("doc_id", "fingerprint", "component_id")
@@ -42,6 +46,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_site_tree": op1_site_tree,
     "op2_simhash": op2_simhash,
     "op3_langid": op3_langid,
     "op5_packing": op5_packing,
