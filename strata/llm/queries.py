@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, mixing, packing, pii, simhash, site_tree
+from . import langid, mixing, packing, pii, simhash, site_tree, topk
 from .shared import prepared
 
 
@@ -29,6 +29,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEIGHTS = {f"src{i}": 40 - 2 * i for i in range(20)}
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(prepared(spark), sf_dir, "embeddings"), k=5, every=50)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return mixing.mixed(docs, WEIGHTS, rest=1).select("doc_id", "source", "block", "slot", "position")
@@ -51,7 +55,24 @@ QUERIES = {
     "op3_langid": op3_langid,
     "op5_packing": op5_packing,
     "op6_pii": op6_pii,
+    "op8_topk": op8_topk,
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_topk": """
+      WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      ),
+      scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        WHERE q.vec_id % 50 = 0
+      ),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+      SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
