@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, mixing, packing, pii, simhash, site_tree, topk
+from . import langid, mixing, packing, pii, quality, simhash, site_tree, topk
 from .shared import prepared
 
 
@@ -29,6 +29,11 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEIGHTS = {f"src{i}": 40 - 2 * i for i in range(20)}
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(prepared(spark), sf_dir, "embeddings"), k=5, every=50)
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op3_langid": op3_langid,
     "op5_packing": op5_packing,
     "op6_pii": op6_pii,
+    "op7_quality": op7_quality,
     "op8_topk": op8_topk,
     "op10_mixing": op10_mixing,
 }
@@ -62,10 +68,10 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op8_topk": """
       WITH vectors AS (
-        SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
       ),
       scores AS (
         SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
