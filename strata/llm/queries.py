@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, mixing, packing, pii, quality, simhash, site_tree, topk
+from . import langid, licenses, mixing, packing, pii, quality, simhash, site_tree, topk
 from .shared import prepared
 
 
@@ -38,6 +38,10 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(prepared(spark), sf_dir, "embeddings"), k=5, every=50)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(prepared(spark), sf_dir, "documents"), containment=0.8)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return mixing.mixed(docs, WEIGHTS, rest=1).select("doc_id", "source", "block", "slot", "position")
@@ -62,6 +66,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op8_topk": op8_topk,
+    "op9_licenses": op9_licenses,
     "op10_mixing": op10_mixing,
 }
 
@@ -81,4 +86,5 @@ SQL: dict[str, str] = {
       ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
       SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op9_licenses": licenses.oracle(),
 }
