@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, licenses, mixing, packing, pii, quality, simhash, site_tree, topk
+from . import langid, licenses, mixing, packing, pii, quality, simhash, site_tree, tokencount, topk
 from .shared import prepared
 
 
@@ -47,6 +47,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, WEIGHTS, rest=1).select("doc_id", "source", "block", "slot", "position")
 
 
+def cleaning_edits(text: str) -> list[tuple[int, int, str]]:
+    """Edits of a cleaning step: base personal data is masked, and lines that repeat an earlier one are cut."""
+    edits = [(a, b, f"<{pii.KINDS[kind].upper()}>") for kind, a, b in pii.base_spans(text)]
+    seen: set[str] = set()
+    at = 0
+    for line in text.split("\n"):
+        if line.strip() and line in seen:
+            edits.append((at - 1, at + len(line), ""))
+        seen.add(line)
+        at += len(line) + 1
+    return edits
+
+
+def op4_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = tokencount.trees(table(prepared(spark), sf_dir, "documents"))
+    counted = tokencount.recount(tokencount.with_edits(held, cleaning_edits))
+    return counted.select("doc_id", "n_tokens_before", "n_edits", "n_encoded", "n_tokens")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(prepared(spark), sf_dir, "documents"), capacity=2048)
 
@@ -62,6 +81,7 @@ QUERIES = {
     "op1_site_tree": op1_site_tree,
     "op2_simhash": op2_simhash,
     "op3_langid": op3_langid,
+    "op4_tokencount": op4_tokencount,
     "op5_packing": op5_packing,
     "op6_pii": op6_pii,
     "op7_quality": op7_quality,
