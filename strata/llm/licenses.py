@@ -80,7 +80,7 @@ def prepared_templates(texts: dict[str, str]) -> list[Template]:
     """Templates with windows of twice their length, lengths rounded up by at most a third: 5, 8, 12, 16, 24, 32 ..."""
     out = []
     for name, text in texts.items():
-        words = tuple(re.findall("[a-z0-9]+", re.sub("[^A-Za-z0-9]+", " ", text).lower()))
+        words = tuple(re.findall("[a-z0-9]+", text.lower()))
         if len(words) < WORDS:
             raise ValueError(f"template {name}: under {WORDS} words")
         sizes = [5, *(x for k in range(3, 24) for x in (2**k, 2**k + 2 ** (k - 1)))]
@@ -94,11 +94,6 @@ def bands(templates: list[Template], containment: float, miss: float) -> int:
     return 1 if lowest >= 1 else math.ceil(math.log(miss) / math.log(1 - lowest))
 
 
-def _words(text: Column) -> Column:
-    """ASCII words in lower case; everything else separates."""
-    return F.filter(F.split(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
-
-
 def _minhashes(shingles: Column, count: int) -> Column:
     hashes = F.transform(shingles, lambda s: F.xxhash64(s))
     return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))))
@@ -122,23 +117,27 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, containment: float
     known, wanted = _template_tables(spark, templates, count)
     sizes = sorted({t.window for t in templates})
 
-    words = docs.select("doc_id", _words(F.col("text").cast("string")).alias("words"))
+    split = docs.select("doc_id", F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), "[^a-z0-9]+").alias("words"))
+    # Nothing stands before the first word, or an empty one.
+    words = split.select("doc_id", F.slice("words", F.when(F.get("words", F.lit(0)) == "", 2).otherwise(1), F.size("words")).alias("words"))
     at = lambda i: F.xxhash64(*[F.get(F.col("words"), i + k) for k in range(WORDS)])
     last = F.size("words") - WORDS
-    hits = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (i <= last) & at(i).isin(known))
+    # Words of a shingle that is in a template are in a template: the cheap test goes first.
+    used = sorted({w for t in templates for w in t.words})
+    word = lambda i, k: F.get(F.col("words"), i + k).isin(used)
+    hits = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (i <= last) & word(i, 0) & word(i, 4) & word(i, 2) & at(i).isin(sorted(set().union(*known.values()))))
     # A window of w words starts every w / 2, so a place is in two; the one before the text's start is none.
+    # Windows of a size meet templates of that size only, so only those templates' shingles open one.
     def cut_for(w: int) -> Column:
         half = w // 2
-        near = F.flatten(F.transform(F.col("hits"), lambda p: F.array(F.floor(p / half).cast("int") - 1, F.floor(p / half).cast("int"))))
+        near = F.flatten(F.transform(F.filter(F.col("hits"), lambda p: at(p).isin(sorted(known[w]))), lambda p: F.array(F.floor(p / half).cast("int") - 1, F.floor(p / half).cast("int"))))
         places = F.array_distinct(F.filter(near, lambda k: k >= 0))
         return F.transform(places, lambda k: F.struct(F.lit(w).alias("w"), k.alias("k"), F.slice(F.col("words"), k * half + 1, w).alias("words")))
 
     cut = F.flatten(F.array(*[cut_for(w) for w in sizes]))
-    # Made once per text: expressions that aren't repeatable aren't copied into a filter below.
-    once = lambda c: F.when(F.rand() >= 0, c)
-    found = words.withColumn("hits", once(hits)).select("doc_id", F.explode(once(cut)).alias("x"))
+    found = words.withColumn("hits", hits).select("doc_id", F.explode(cut).alias("x"))
     windows = found.select("doc_id", "x.w", "x.k", _shingles(F.col("x.words")).alias("shingles"))
-    hashed = windows.withColumn("bands", once(_minhashes(F.col("shingles"), count)))
+    hashed = windows.withColumn("bands", _minhashes(F.col("shingles"), count))
     keyed = hashed.select("doc_id", "w", "k", "shingles", F.posexplode("bands").alias("band", "low"))
     met = keyed.join(F.broadcast(wanted), ["w", "band", "low"])  # one row per band of a few templates
     share = F.size(F.array_intersect("shingles", "template")) / F.size("template")
@@ -149,11 +148,13 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, containment: float
     )
 
 
-def _template_tables(spark: SparkSession, templates: list[Template], count: int) -> tuple[list[int], DataFrame]:
-    """Hashes of all templates' shingles, and (w, band, low, license, template) of their bands."""
+def _template_tables(spark: SparkSession, templates: list[Template], count: int) -> tuple[dict[int, set[int]], DataFrame]:
+    """Hashes of the templates' shingles by window, and (w, band, low, license, template) of their bands."""
     rows = spark.createDataFrame([(t.name, t.window, t.shingles) for t in templates], "license string, w int, template array<string>")
-    hashed = rows.select(F.explode("template").alias("s")).select(F.xxhash64(*[F.split("s", " ")[k] for k in range(WORDS)]).alias("h"))
-    known = sorted({r["h"] for r in hashed.collect()})
+    hashed = rows.select("w", F.explode("template").alias("s")).select("w", F.xxhash64(*[F.split("s", " ")[k] for k in range(WORDS)]).alias("h"))
+    known: dict[int, set[int]] = {t.window: set() for t in templates}
+    for r in hashed.collect():
+        known[r["w"]].add(r["h"])
     keyed = rows.select("license", "w", "template", F.posexplode(_minhashes(F.col("template"), count)).alias("band", "low"))
     return known, keyed
 
@@ -165,7 +166,7 @@ def oracle(texts: dict[str, str] = TEMPLATES, containment: float = 0.8) -> str:
       WITH templates(license, w, n, shingle) AS (VALUES {rows}),
       texts AS (
         SELECT row_number() OVER () AS r, doc_id,
-               list_filter(string_split(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '') AS words
+               list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS words
         FROM documents
       ),
       placed AS (SELECT r, doc_id, words, unnest(range(0, len(words) - {WORDS - 1})) AS p FROM texts),
