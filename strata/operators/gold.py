@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -19,16 +19,32 @@ from ..constants import (
 from .columns import named, named_all
 from .processed import ColumnRule, build_columns
 from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, split_long_keys
+from .tables import quoted
 
 CONS_SHEDS = (SOURCE_UPDATED_AT, PROCESSED_AT)
 DIM_SHEDS = (SOURCE_UPDATED_AT, PROCESSED_AT, LOADED_AT)
 
 
 def custom_sql(spark: SparkSession, text: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """The statement as written. `views` name frames the statement may read."""
+    """The statement as written. `views` name frames the statement may read.
+
+    They are views for the time of analysis only: a view of the caller with that name stays.
+    """
+    held = {name: spark.table(quoted(name)) for name in views or {} if _is_temp_view(spark, name)}
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    try:
+        return spark.sql(text)
+    finally:
+        for name in views or {}:
+            if name in held:
+                held[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
+def _is_temp_view(spark: SparkSession, name: str) -> bool:
+    return any(t.isTemporary and t.name.lower() == name.lower() for t in spark.catalog.listTables(pattern=name))
 
 
 def mapped(source: DataFrame, rules: Sequence[ColumnRule] = (), filter: str | None = None) -> DataFrame:
@@ -98,20 +114,31 @@ def with_skey(facts: DataFrame, lookup: Lookup) -> DataFrame:
     return joined.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
 
 
-# A dimension is sent to every task only below both bounds; the second one bounds the
-# versions a single fact is compared with.
+# A dimension is sent to every task only below both bounds; they choose the plan, never the answer.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+# The second one bounds the versions a single fact is compared with.
 BROADCAST_VERSIONS = 200
 
 
 def with_skey_as_of(
-    facts: DataFrame, lookup: Lookup, skew: SkewPolicy = SkewPolicy(), broadcast_rows: int = BROADCAST_ROWS
+    facts: DataFrame,
+    lookup: Lookup,
+    skew: SkewPolicy = SkewPolicy(),
+    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Adds the key of the version valid at each fact's event time, from <= t < to.
+    """Adds the key of the version in force at each fact's event time; every fact stays one row.
 
-    A dimension with few rows and few versions per key is broadcast (both measured).
+    In force is the version that started last at or before that time, until it ends. Where
+    versions of a key overlap, the later start rules from its start on, also after its own end:
+    the facts there match nothing. Of versions with one start, the one with the latest end and
+    then the largest key counts.
+
+    A dimension that is measured small, in rows, bytes and versions per key, is broadcast.
     Otherwise facts and versions are ordered together by key and time and the last version
-    is filled forward: one shuffle and one sort, never facts x versions.
+    is filled forward: one shuffle and one sort, never facts x versions. Measuring runs one job
+    over the dimension's key columns while the plan is built.
     """
     keys = [f"__k{i}" for i in range(len(lookup.on))]
     versions = lookup.dimension.select(
@@ -124,18 +151,34 @@ def with_skey_as_of(
         "__t", named(lookup.event_time).cast(versions.schema["__from"].dataType)
     )
 
-    per_key = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total, longest = per_key.agg(F.sum("n"), F.max("n")).first()
-    if (total or 0) <= broadcast_rows and (longest or 0) <= BROADCAST_VERSIONS:
-        renamed = versions.select(*(F.col(k).alias(f"__d{k}") for k in keys), "__from", "__to", "__skey")
-        condition = [F.col(k) == F.col(f"__d{k}") for k in keys]
-        condition += [F.col("__t") >= F.col("__from"), F.col("__t") < F.col("__to")]
-        found = keyed.join(F.broadcast(renamed), condition, "left")
+    # Three fixed columns and a row's overhead, and the keys as text.
+    width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(64))
+    per_key = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
+    total, size, longest = (x or 0 for x in per_key.agg(F.sum("n"), F.sum("bytes"), F.max("n")).first())
+    if total <= broadcast_rows and size <= broadcast_bytes and longest <= BROADCAST_VERSIONS:
+        found = _join_versions(keyed, versions, keys)
     else:
         found = _fill_versions(keyed, versions, keys, skew)
     return found.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
 
 
+def _join_versions(keyed: DataFrame, versions: DataFrame, keys: list[str]) -> DataFrame:
+    """Each version cut off where the next one starts, so that one at most holds a fact's time."""
+    best = versions.groupBy(*keys, "__from").agg(F.max(F.struct("__to", "__skey")).alias("__version"))
+    later = F.lead("__from").over(Window.partitionBy(*keys).orderBy("__from"))
+    cut = best.select(
+        *(F.col(k).alias(f"__d{k}") for k in keys),
+        "__from",
+        F.col("__version.__to").alias("__to"),
+        F.col("__version.__skey").alias("__skey"),
+        later.alias("__until"),
+    )
+    condition = [F.col(k) == F.col(f"__d{k}") for k in keys]
+    condition += [F.col("__t") >= F.col("__from"), F.col("__t") < F.col("__to")]
+    condition += [F.col("__until").isNull() | (F.col("__t") < F.col("__until"))]
+    return keyed.join(F.broadcast(cut), condition, "left")
+
+
 def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew: SkewPolicy) -> DataFrame:
     # Facts without key or time match nothing. They stay out of the shuffle, where they
     # would all meet in one task.
@@ -152,8 +195,9 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
         # Many facts with one key and one time cannot be cut apart, but have one answer.
         at = [*keys, "__t"]
         repeats = F.broadcast(slicing.repeats)
-        valid = (F.col("__t") >= F.col("__from")) & (F.col("__t") < F.col("__to"))
-        answers = versions.join(repeats, keys).where(valid).select(*at, "__skey")
+        started = versions.join(repeats, keys).where(F.col("__t") >= F.col("__from"))
+        last = started.groupBy(*at).agg(F.max(F.struct("__from", "__to", "__skey")).alias("__last"))
+        answers = last.where(F.col("__t") < F.col("__last.__to")).select(*at, F.col("__last.__skey").alias("__skey"))
         crowds = rows.join(repeats, at, "left_semi").join(F.broadcast(answers), at, "left")
         rows = rows.join(repeats, at, "left_anti")
 
@@ -175,8 +219,8 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
         "__to",
     )
     both = left.unionByName(right)
-    # At one instant versions come before facts.
-    order, mark = ["__t", "__kind"], {"__version": F.when(F.col("__kind") == 0, F.struct("__skey", "__to"))}
+    # At one instant versions come before facts, and the one that counts comes last.
+    order, mark = ["__t", "__kind", "__to", "__skey"], {"__version": F.when(F.col("__kind") == 0, F.struct("__skey", "__to"))}
     if slicing is None:
         filled = fill_forward(both, keys, order, mark, False)
     else:

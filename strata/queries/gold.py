@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import EFFECTIVE_FROM, EFFECTIVE_TO
 from ..operators.gold import Lookup, cons, custom_sql, dimension, fact, mapped, with_skey, with_skey_as_of
 from ..operators.processed import read_rules
 from ..operators.skew import SkewPolicy
@@ -67,6 +68,26 @@ def gold_pit_skey_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return with_skey_as_of(_facts(spark, sf), _as_of(spark, sf), broadcast_rows=0)
 
 
+def _overlapping(spark: SparkSession, sf: str) -> Lookup:
+    """A dimension whose versions overlap and start together: one per event, from its day on for some hours."""
+    start = F.date_trunc("day", "ts")
+    versions = table(spark, sf, "events").select(
+        "user_id",
+        F.col("event_id").alias("user_skey"),
+        start.alias(EFFECTIVE_FROM),
+        (start + F.make_interval(hours=1 + F.col("event_id") % 97)).alias(EFFECTIVE_TO),
+    )
+    return Lookup(stored_once(versions, scratch_dir(spark, "overlapping")), {"user_id": "user_id"}, "user_skey", event_time="ts")
+
+
+def gold_pit_overlapping(spark: SparkSession, sf: str) -> DataFrame:
+    return with_skey_as_of(_facts(spark, sf), _overlapping(spark, sf))
+
+
+def gold_pit_overlapping_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    return with_skey_as_of(_facts(spark, sf), _overlapping(spark, sf), broadcast_rows=0)
+
+
 def gold_pit_skey_long_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The same with a limit so low that almost every key is cut into slices."""
     skew = SkewPolicy(min_rows=20, target_slices=1_000_000)
@@ -190,6 +211,19 @@ FROM events e LEFT JOIN dim d
   ON e.user_id = d.user_id AND e.ts >= d.__etl_effective_from AND e.ts < d.__etl_effective_to
 """
 
+_OVERLAPPING_SQL = """
+WITH dim AS (
+  SELECT user_id, event_id AS user_skey, date_trunc('day', ts) AS starts,
+         date_trunc('day', ts) + to_hours(CAST(1 + event_id % 97 AS INTEGER)) AS ends
+  FROM events
+),
+best AS (SELECT *, row_number() OVER (PARTITION BY user_id, starts ORDER BY ends DESC, user_skey DESC) AS place FROM dim),
+cut AS (SELECT *, lead(starts) OVER (PARTITION BY user_id ORDER BY starts) AS until FROM best WHERE place = 1)
+SELECT e.event_id, e.user_id, e.ts, c.user_skey
+FROM events e LEFT JOIN cut c
+  ON e.user_id = c.user_id AND e.ts >= c.starts AND e.ts < c.ends AND (c.until IS NULL OR e.ts < c.until)
+"""
+
 QUERIES = {
     "gold_cons_join": Query(
         gold_cons_join,
@@ -218,6 +252,8 @@ FROM events e LEFT JOIN dim d ON e.user_id = d.user_id AND d.__etl_is_current
     "gold_pit_skey": Query(gold_pit_skey, _PIT_SQL),
     "gold_pit_skey_ordered": Query(gold_pit_skey_ordered, _PIT_SQL),
     "gold_pit_skey_long_keys": Query(gold_pit_skey_long_keys, _PIT_SQL),
+    "gold_pit_overlapping": Query(gold_pit_overlapping, _OVERLAPPING_SQL),
+    "gold_pit_overlapping_ordered": Query(gold_pit_overlapping_ordered, _OVERLAPPING_SQL),
     "gold_current_view": Query(
         gold_current_view, f"WITH {EVENT_VERSIONS}, dim AS ({PROCESSED_VERSIONS}) SELECT * FROM dim WHERE __etl_is_current"
     ),

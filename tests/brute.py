@@ -49,3 +49,13 @@ def as_of(facts, versions):
         assert len(hits) <= 1
         found[fact_id] = hits[0] if hits else None
     return found
+
+
+def last_started(facts, versions):
+    """The version that started last at or before t, if it hasn't ended; ties by end, then key."""
+    found = {}
+    for fact_id, k, t in facts:
+        begun = [(a, b, s) for vk, a, b, s in versions if vk == k and a <= t]
+        _, end, skey = max(begun, default=(None, None, None))
+        found[fact_id] = skey if begun and t < end else None
+    return found

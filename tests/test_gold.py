@@ -8,7 +8,7 @@ from strata.operators.gold import Lookup, cons, dimension, fact, mapped, with_sk
 from strata.operators.processed import read_rules
 from strata.operators.skew import SkewPolicy, find_long_keys
 
-from .brute import as_of
+from .brute import as_of, last_started
 
 
 def random_history(seed):
@@ -50,6 +50,43 @@ def test_as_of_lookup_equals_brute_force(spark, way):
     assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) or way != "broadcast"
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_overlapping_versions_have_one_answer(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    versions = []
+    for i in range(400):
+        start = rng.randint(0, 60)
+        versions.append((rng.choice([1, 2, 99, 99, 99]), start, start + rng.randint(1, 25), rng.randint(0, 300)))
+    facts = [(i, rng.choice([1, 2, 3, 99, 99]), rng.choice([30, rng.randint(0, 90)])) for i in range(700)]
+    dim = spark.createDataFrame(versions, "k int, s int, e int, k_skey long").select(
+        "k", "k_skey", *(F.timestamp_seconds(c).alias(n) for c, n in (("s", "__etl_effective_from"), ("e", "__etl_effective_to")))
+    )
+    frame = spark.createDataFrame(facts, "id int, k int, t int").withColumn("at", F.timestamp_seconds("t"))
+    lookup = Lookup(dim, {"k": "k"}, "k_skey", event_time="at")
+    monkeypatch.setattr("strata.operators.gold.BROADCAST_VERSIONS", 10_000)
+    want = last_started(facts, versions)
+    ways = {
+        "broadcast": with_skey_as_of(frame, lookup),
+        "ordered": with_skey_as_of(frame, lookup, SkewPolicy(enabled=False), broadcast_rows=0),
+        "bytes": with_skey_as_of(frame, lookup, SkewPolicy(enabled=False), broadcast_bytes=10),
+        "sliced": with_skey_as_of(frame, lookup, SkewPolicy(min_rows=20, target_slices=100), broadcast_rows=0),
+    }
+    for way, got in ways.items():
+        rows = got.select("id", "k_skey").collect()
+        assert len(rows) == len(facts), way
+        assert {r["id"]: r["k_skey"] for r in rows} == want, way
+        assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) or way != "broadcast"
+
+
+def test_custom_sql_leaves_views_alone(spark):
+    from strata.operators.gold import custom_sql
+
+    spark.range(3).createOrReplaceTempView("mine")
+    got = custom_sql(spark, "SELECT count(*) AS n FROM mine JOIN other USING (id)", {"mine": spark.range(7), "other": spark.range(5)})
+    assert spark.table("mine").count() == 3 and got.first()["n"] == 5
+    assert not spark.catalog.tableExists("other")
+
+
 def test_crowded_moments_are_found(spark):
     _, facts = random_history(4)
     frame = spark.createDataFrame(facts, "id int, k int, t int").dropna().withColumn("at", F.timestamp_seconds("t"))
