@@ -33,7 +33,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.exact = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters = _byte_letters()
@@ -41,6 +41,11 @@ class Encoder:
         ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def exact(self) -> Tokenizer:
+        """The library itself, loaded where it is needed."""
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
         if not any(s in text for s in self.special):
