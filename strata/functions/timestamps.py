@@ -30,10 +30,14 @@ TIMESTAMP_FORMATS = (
 )
 
 # What text a layout letter can match at all. Trying a layout on text that it cannot read
-# costs twenty times as much as this check. Years stop at 99999: a year that overflows
-# a timestamp makes even try_to_timestamp fail, and with it the job.
+# costs twenty times as much as this check. Years stop where every moment of them still fits a
+# timestamp, 290307 BC and AD 294246: one that overflows makes even try_to_timestamp fail, and
+# with it the job.
 _SHAPES = {
-    "yyyy": r"[+-]?0*\d{4,5}",
+    "yyyy": (
+        r"(?:\+?0*(?:\d{4,5}|1\d{5}|2[0-8]\d{4}|29[0-3]\d{3}|294[01]\d{2}|2942[0-3]\d|29424[0-6])"
+        r"|-0*(?:\d{4,5}|1\d{5}|2[0-8]\d{4}|290[0-2]\d{2}|29030[0-7]))"
+    ),
     "SSSSSS": r"\d{1,6}",
     "SSS": r"\d{1,3}",
     "X": r"(?:Z|[+-]\d\d(?:\d\d)?)",
@@ -63,13 +67,33 @@ def parse_timestamp(text: Column) -> Column:
     return F.coalesce(*by_layout, by_cast)
 
 
+# Epoch seconds whose microseconds fit 64 bits.
+_MOST_SECONDS = (2**63 - 1) // 1_000_000
+
+
 def column_as_timestamp(df: DataFrame, name: str) -> Column:
     """The column as a timestamp, whatever its type: timestamps pass through, dates and
-    numbers (epoch seconds) are cast, text is parsed."""
+    numbers (epoch seconds) are cast, text is parsed. Numbers that no timestamp holds are an
+    error: a cast would give them all the same moment."""
     kind = df.schema[name].dataType
     column = F.col(f"`{name}`")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return column
     if isinstance(kind, T.StringType):
         return parse_timestamp(column)
-    return column.cast("timestamp")
+    stamp = column.cast("timestamp")
+    if isinstance(kind, (T.LongType, T.DecimalType)):
+        message = F.concat(F.lit(f"{name}: not epoch seconds that a timestamp can hold: "), column.cast("string"))
+        fits = column.between(F.lit(-_MOST_SECONDS), F.lit(_MOST_SECONDS))
+        return F.when(column.isNull() | fits, stamp).otherwise(F.raise_error(message).cast("timestamp"))
+    return stamp
+
+
+def column_as_sequence(df: DataFrame, name: str) -> Column:
+    """The column as something that orders changes: numbers as they are, all else as a timestamp."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(f"`{name}`").cast("bigint")
+    if isinstance(kind, T.NumericType):
+        return F.col(f"`{name}`")
+    return column_as_timestamp(df, name)

@@ -1,7 +1,7 @@
 """Change feeds to SCD type 1 and type 2 tables.
 
 The result depends on the set of changes only, never on their arrival order. Changes are
-ordered by the parsed sequence; of several changes with the same key and sequence the one
+ordered by the parsed sequence (a number stays a number, and so do the bounds of versions); of several changes with the same key and sequence the one
 with the largest tie-breaker counts. Validity is half-open, [__START_AT, __END_AT).
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import END_AT, LOADED_AT, RESCUED, SOURCE_UPDATED_AT, START_AT
-from ..functions.timestamps import column_as_timestamp
+from ..functions.timestamps import column_as_sequence
 from ..session import scratch_dir, stored_once
 from .columns import comparable, holds_map, named, named_all
 from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, split_long_keys
@@ -65,7 +65,7 @@ class ChangeSpec:
 
 
 def _is_refused(feed: DataFrame, spec: ChangeSpec) -> Column:
-    refused = column_as_timestamp(feed, spec.sequence_by).isNull()
+    refused = column_as_sequence(feed, spec.sequence_by).isNull()
     for key in spec.keys:
         refused = refused | named(key).isNull()
     return refused
@@ -89,7 +89,7 @@ def change_events(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
     ties = _tie_columns(feed, spec)
     return feed.select(
         *named_all(spec.stored(feed)),
-        column_as_timestamp(feed, spec.sequence_by).alias(SEQ),
+        column_as_sequence(feed, spec.sequence_by).alias(SEQ),
         deleted.alias(DELETED),
         *(comparable(feed, c).alias(name) for name, c in ties.items() if name != c),
     )
@@ -102,7 +102,7 @@ def _tie_columns(feed: DataFrame, spec: ChangeSpec) -> dict[str, str]:
     stored = spec.stored(feed)
     ties = {}
     for i, c in enumerate(chosen):
-        if c == spec.sequence_by and isinstance(feed.schema[c].dataType, (T.TimestampType, T.TimestampNTZType)):
+        if c == spec.sequence_by and isinstance(feed.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.IntegralType)):
             continue
         ties[c if c in stored and not holds_map(feed.schema[c].dataType) else f"{TIE}{i}"] = c
     return ties

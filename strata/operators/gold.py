@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import (
     EFFECTIVE_FROM,
@@ -147,6 +148,9 @@ def with_skey_as_of(
         named(EFFECTIVE_TO).alias("__to"),
         named(lookup.skey).alias("__skey"),
     ).dropna(subset=[*keys, "__from"])
+    numbers = [isinstance(x, T.NumericType) for x in (versions.schema["__from"].dataType, facts.schema[lookup.event_time].dataType)]
+    if numbers[0] != numbers[1]:
+        raise ValueError(f"{lookup.event_time}: event time and validity must both be times or both be sequence numbers")
     keyed = facts.withColumns({k: named(ours) for k, ours in zip(keys, lookup.on)}).withColumn(
         "__t", named(lookup.event_time).cast(versions.schema["__from"].dataType)
     )

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import (
     EFFECTIVE_FROM,
@@ -106,12 +107,23 @@ def skey_of(df: DataFrame, spec: ProcessedSpec) -> Column:
     return surrogate_key(parts, spec.separator)
 
 
+def _forever(kind: T.DataType, end_of_time: str) -> Column:
+    """The end of a current version: the configured time, or the largest number of the type."""
+    if isinstance(kind, T.LongType):
+        return F.lit(2**63 - 1)
+    if isinstance(kind, T.DecimalType):
+        return F.lit("9" * (kind.precision - kind.scale) + "." + "9" * kind.scale).cast(kind)
+    if isinstance(kind, T.FractionalType):
+        return F.lit(float("inf")).cast(kind)
+    return F.lit(end_of_time).cast(kind)
+
+
 def audit_columns(df: DataFrame, end_of_time: str = END_OF_TIME) -> dict[str, Column]:
     """The audit columns of the processed hop, in table order."""
     audit = {c: named(c) for c in (SOURCE_UPDATED_AT, LOADED_AT) if c in df.columns}
     audit[PROCESSED_AT] = F.current_timestamp()
     if has_versions(df):
-        forever = F.lit(end_of_time).cast(df.schema[START_AT].dataType)
+        forever = _forever(df.schema[START_AT].dataType, end_of_time)
         audit[EFFECTIVE_FROM] = named(START_AT)
         audit[EFFECTIVE_TO] = F.coalesce(named(END_AT), forever)
         audit[IS_CURRENT] = named(END_AT).isNull()

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import gold
-from ..operators.cdc import apply_changes
+from ..operators.cdc import apply_changes, refused_changes
 from ..operators.expectations import enforce, expectations_of, observe
 from ..operators.processed import processed, read_rules
 from ..operators.raw import raw
@@ -25,7 +25,8 @@ from .specs import LAYERS, HopSpec, plan_objects
 class Medallion:
     """A registry bound to a session and a folder that all executors share.
 
-    `violations` holds, per table, the constraint counts of the last run.
+    `violations` holds, per table, the constraint counts of the last run, `refused` how many
+    changes of the last run had no key or no sequence that could be read.
     """
 
     spark: SparkSession
@@ -34,6 +35,7 @@ class Medallion:
     buckets: int = 256
     skew: SkewPolicy = SkewPolicy()
     violations: dict[str, dict[str, int]] = field(default_factory=dict)
+    refused: dict[str, int] = field(default_factory=dict)
 
     def run(self, layers: Sequence[str] = LAYERS) -> list[HopSpec]:
         """One refresh. Running it again takes in what is new."""
@@ -71,6 +73,7 @@ class Medallion:
         if not self._raw_only_grows(spec):
             feed = read_hop(self.spark, spec.source_table)
             replace_table(apply_changes(feed, changes, self.skew), spec.table, self._location(spec), spec.comment)
+            self.refused[spec.table] = refused_changes(feed, changes).count()
             return
         feed = read_hop(self.spark, spec.source_table, "stream", append_only=True)
         store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, self.buckets, skew=self.skew)
@@ -81,6 +84,7 @@ class Medallion:
             .start()
         )
         query.awaitTermination()
+        self.refused[spec.table] = sum(store.refused.values())
         store.publish(spec.table, spec.comment)
 
     def _processed(self, spec: HopSpec) -> None:

@@ -85,10 +85,27 @@ def scd2_long_keys(spark: SparkSession, sf: str) -> DataFrame:
     return apply_changes(_feed(spark, sf), event_changes(), SkewPolicy(min_rows=20, target_slices=1_000_000))
 
 
+def _numbered(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("lsn"), "event_type")
+
+
+def _by_number() -> ChangeSpec:
+    return event_changes(sequence_by="lsn", except_column_list=["lsn"])
+
+
+def scd2_integer_sequence(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes ordered by a 64-bit number, as logs have it; versions are bounded by such numbers."""
+    return apply_changes(_numbered(spark, sf), _by_number())
+
+
+def scd2_integer_sequence_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf, "numbers", _numbered(spark, sf), _by_number())
+
+
 def _streamed(spark: SparkSession, sf: str, label: str, feed: DataFrame, spec: ChangeSpec) -> DataFrame:
     """The feed as three files in no order, one micro-batch each."""
     work = scratch_dir(spark, label)
-    feed.repartition(3, F.xxhash64("ts")).write.parquet(f"{work}/in")
+    feed.repartition(3, F.xxhash64(spec.sequence_by)).write.parquet(f"{work}/in")
     store = HistoryStore(spark, f"{work}/cdc", spec, feed.schema, buckets=8)
     stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
     query = (
@@ -110,6 +127,19 @@ def scd1_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, "scd1", feed, event_changes(scd_type=1, except_column_list=[]))
 
 
+def scd2_incremental_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Four micro-batches in order of time, then one with every tenth change of all times."""
+    feed = _feed(spark, sf)
+    late = F.pmod(F.xxhash64("user_id", "ts"), F.lit(10)) == 0
+    store = HistoryStore(spark, scratch_dir(spark, "scd2-late"), event_changes(), feed.schema, buckets=8)
+    span = feed.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
+    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(span["a"])) * 4 / (F.lit(span["b"]) - F.lit(span["a"]) + 1))
+    for i in range(4):
+        store.apply(feed.where(~late & (part == i)), i + 1)
+    store.apply(feed.where(late), 5)
+    return store.read()
+
+
 def cdc_refused_rows(spark: SparkSession, sf: str) -> DataFrame:
     """How many changes lack a key or a sequence."""
     feed = table(spark, sf, "events").select(
@@ -137,6 +167,11 @@ WITH {EVENT_VERSIONS}
 SELECT user_id, event_type, start_at AS __START_AT, end_at AS __END_AT FROM versions
 """
 
+_NUMBERED_SQL = f"""
+WITH {EVENT_VERSIONS}
+SELECT user_id, event_type, epoch_us(start_at) AS __START_AT, epoch_us(end_at) AS __END_AT FROM versions
+"""
+
 _DELETE_SQL = """
 SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events
@@ -273,4 +308,7 @@ SELECT user_id, event_type, ts, value FROM (
     "scd2_long_keys": Query(scd2_long_keys, _VERSIONS_SQL),
     "scd2_incremental": Query(scd2_incremental, _VERSIONS_SQL),
     "scd1_incremental": Query(scd1_incremental, _DELETE_SQL),
+    "scd2_incremental_late": Query(scd2_incremental_late, _VERSIONS_SQL),
+    "scd2_integer_sequence": Query(scd2_integer_sequence, _NUMBERED_SQL),
+    "scd2_integer_sequence_incremental": Query(scd2_integer_sequence_incremental, _NUMBERED_SQL),
 }

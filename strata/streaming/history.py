@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import END_AT, START_AT
-from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, tie_order
+from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, refused_changes, tie_order
 from ..operators.columns import named_all
 from ..operators.skew import SkewPolicy
 from ..operators.tables import ensure_schema, literal, quoted
@@ -61,6 +61,7 @@ class HistoryStore:
     it so that one bucket of open runs is a few files.
 
     A bucket's closed runs are merged into one version after `merge_after` additions.
+    refused: by micro-batch of this session, how many changes could not be applied.
     """
 
     spark: SparkSession
@@ -70,6 +71,7 @@ class HistoryStore:
     buckets: int = 256
     merge_after: int = 16
     skew: SkewPolicy = field(default=SkewPolicy())
+    refused: dict[int, int] = field(default_factory=dict)
 
     # -- what is stored ------------------------------------------------------------
 
@@ -156,6 +158,8 @@ class HistoryStore:
         path = f"{self.root}/changes/{BATCH}={batch_id}"
         stored = events.withColumn(BUCKET, self._bucket())
         stored.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        # Over the key and sequence columns alone.
+        self.refused[batch_id] = refused_changes(changes, self.spec).count()
         bucketed = T.StructType([*events.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         arrived = _read(spark, path, bucketed)
         touched = {bucket for (bucket,) in _folders(arrived, BUCKET)}

@@ -15,7 +15,7 @@ WHOLE = SkewPolicy(enabled=False)
 
 
 def epoch(seq):
-    return None if seq is None else dt.datetime(1970, 1, 1) + dt.timedelta(seconds=seq)
+    return seq
 
 
 def random_feed(seed, keys=60, hot=400, hot_ties=False):
@@ -174,3 +174,14 @@ def test_one_shuffle_for_history(spark, sf):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
     assert text.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("base", [1_700_000_000_000_000, 1_700_000_000_000_000_000, 2**63 - 4])
+def test_large_integer_sequences_keep_their_order(spark, base):
+    feed = spark.createDataFrame([(1, base + i, v) for i, v in ((2, "C"), (0, "A"), (1, "B"))], "k int, seq long, v string")
+    got = apply_changes(feed, ChangeSpec(keys=["k"], sequence_by="seq", except_column_list=["seq"])).collect()
+    assert sorted((r["__START_AT"], r["__END_AT"], r["v"]) for r in got) == [
+        (base, base + 1, "A"),
+        (base + 1, base + 2, "B"),
+        (base + 2, None, "C"),
+    ]

@@ -87,6 +87,23 @@ def test_year_out_of_range_is_null(spark):
     assert set(parsed(spark, ["9999990101", "999999-01-01", "01/01/9999999", "+999999999-01-01 00:00:00"]).values()) == {None}
 
 
+def test_years_up_to_what_a_timestamp_holds(spark):
+    texts = ["+100000-01-02", "+200000-01-02 03:04:05", "+294246-12-31", "+294247-01-01", "-290307-01-01", "-290308-12-31"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.unix_micros(parse_timestamp(F.col("t"))).alias("m"))
+    got = {r["t"]: r["m"] for r in df.collect()}
+    plain = spark.sql("select unix_micros(timestamp'+100000-01-02') a, unix_micros(timestamp'+200000-01-02 03:04:05') b").first()
+    assert (got["+100000-01-02"], got["+200000-01-02 03:04:05"]) == tuple(plain)
+    assert got["+294246-12-31"] > 0 and got["+294247-01-01"] is None
+    assert got["-290308-12-31"] is None
+
+
+@pytest.mark.parametrize("number", [9_300_000_000_000, -9_300_000_000_000, 2**63 - 1])
+def test_numbers_beyond_a_timestamp_are_an_error(spark, number):
+    df = spark.createDataFrame([(number,)], "n long")
+    with pytest.raises(Exception, match="not epoch seconds"):
+        df.select(column_as_timestamp(df, "n").cast("string")).collect()
+
+
 def test_typed_columns(spark):
     df = spark.sql(
         "select timestamp'2024-03-05 06:07:08' a, timestamp_ntz'2024-03-05 06:07:08' b, date'2024-03-05' c,"
