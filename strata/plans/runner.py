@@ -9,7 +9,6 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import gold
-from ..operators.cdc import apply_changes, refused_changes
 from ..operators.expectations import enforce, expectations_of, observe
 from ..operators.processed import processed, read_rules
 from ..operators.raw import raw
@@ -67,16 +66,19 @@ class Medallion:
         return bool(above) and above[0].option("merge_strategy") == "append"
 
     def _cdc(self, spec: HopSpec) -> None:
-        """Only new raw rows are read where raw only grows. An overwritten raw table is a
-        new feed each time."""
+        """Only new raw rows are read where raw only grows. An overwritten raw table is taken as
+        one more load of changes: versions known from earlier loads stay."""
         changes = spec.changes()
+        buckets = int(spec.option("buckets", self.buckets))
         if not self._raw_only_grows(spec):
             feed = read_hop(self.spark, spec.source_table)
-            replace_table(apply_changes(feed, changes, self.skew), spec.table, self._location(spec), spec.comment)
-            self.refused[spec.table] = refused_changes(feed, changes).count()
+            store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, buckets, skew=self.skew)
+            store.apply_snapshot(feed)
+            self.refused[spec.table] = sum(store.refused.values())
+            store.publish(spec.table, spec.comment)
             return
         feed = read_hop(self.spark, spec.source_table, "stream", append_only=True)
-        store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, self.buckets, skew=self.skew)
+        store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, buckets, skew=self.skew)
         query = (
             feed.writeStream.foreachBatch(store.apply)
             .option("checkpointLocation", self._checkpoint(spec))

@@ -5,12 +5,17 @@ Nothing is ever too late.
 
 Most changes are newer than all that is known of their key. They need that key's open run
 only. A change that is not newer may split or join old runs, so its key is computed again
-from its stored changes, back to the run that the late change falls into. Everything is split into key buckets, and a micro-batch reads and
-writes the buckets it touches:
+from its stored changes, back to the run that the late change falls into. Either way a
+micro-batch writes the new runs of the keys it touches, and for each of them the start from
+which older runs no longer count:
 
     changes/__batch=<id>/__bucket=<b>              all changes, append-only
-    runs/__version=<id>/__open=<0|1>/__bucket=<b>  open runs are rewritten, closed runs added to
-    manifest/__batch=<id>                          the (open, bucket, version) parts that count
+    runs/__version=<id>/__open=<0|1>/__bucket=<b>  runs of the keys that the micro-batch touched
+    cuts/__version=<id>/__bucket=<b>               their older runs end before this start (NULL: all go)
+    manifest/__batch=<id>                          the (kind, bucket, version) parts that count
+
+So what is written follows the micro-batch, not the table. Everything is split into key buckets;
+once a bucket has cuts of `merge_after` micro-batches it is written anew without them.
 
 A micro-batch takes effect when its manifest is in place. Run again after a failure, it
 starts from the manifest before it and gives the same rows.
@@ -19,8 +24,7 @@ starts from the manifest before it and gives the same rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -30,14 +34,17 @@ from pyspark.sql import types as T
 
 from ..constants import END_AT, START_AT
 from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, refused_changes, tie_order
-from ..operators.columns import named_all
+from ..operators.columns import comparable, named_all
 from ..operators.skew import SkewPolicy
 from ..operators.tables import ensure_schema, literal, quoted
 from ..session import stored_once
 
 BUCKET, OPEN, VERSION, BATCH = "__bucket", "__open", "__version", "__batch"
 
-Part = tuple[int, int, int]  # open, bucket, version
+CUT = "__cut"
+
+CLOSED_RUNS, OPEN_RUNS, CUTS = 0, 1, 2
+Part = tuple[int, int, int]  # kind, bucket, version
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -55,12 +62,28 @@ def _folders(df: DataFrame, *columns: str) -> set[tuple[int, ...]]:
     return {tuple(int(re.search(f"/{c}=([0-9]+)/", file)[1]) for c in columns) for file in df.inputFiles()}
 
 
+class _Folders:
+    """Folders of the store's file system, found by pattern and removed one by one."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def remove(self, pattern: str, dead: Callable[[str], bool]) -> int:
+        path = self.jvm.org.apache.hadoop.fs.Path(pattern)
+        files = path.getFileSystem(self.conf)
+        found = [f.getPath() for f in files.globStatus(path) or ()]
+        gone = [p for p in found if dead(p.toString())]
+        for p in gone:
+            files.delete(p, True)
+        return len(gone)
+
+
 @dataclass(frozen=True)
 class HistoryStore:
     """root: a folder all executors share. buckets: fixed for the life of the store; choose
     it so that one bucket of open runs is a few files.
 
-    A bucket's closed runs are merged into one version after `merge_after` additions.
+    A bucket is written anew once `merge_after` micro-batches have replaced runs of it.
     refused: by micro-batch of this session, how many changes could not be applied.
     """
 
@@ -114,47 +137,102 @@ class HistoryStore:
         rows = self.spark.range(0, 1, 1, 1).select(F.explode(F.split(F.lit(text), ",")).alias("part"))
         rows.write.mode("overwrite").parquet(f"{self.root}/manifest/{BATCH}={batch_id}")
 
-    def _runs(self, parts: Iterable[Part]) -> DataFrame:
-        schema = T.StructType([*self._runs_schema().fields, T.StructField(OPEN, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
-        paths = [f"{self.root}/runs/{VERSION}={v}/{OPEN}={o}/{BUCKET}={b}" for o, b, v in sorted(parts)]
+    def _parts(self, parts: Iterable[Part], schema: T.StructType, folder: str, place: str) -> DataFrame:
+        """Rows of these parts with their bucket and version."""
+        schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField(VERSION, T.LongType())])
+        paths = [f"{self.root}/{folder}/" + place.format(k=k, b=b, v=v) for k, b, v in sorted(parts)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        full = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
-        reader = self.spark.read.schema(full).option("basePath", f"{self.root}/runs")
-        return reader.parquet(*paths).select(*schema.names)
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(*paths).select(*schema.names)
+
+    def _cut_rows(self, parts: Iterable[Part]) -> DataFrame:
+        feed = self._feed()
+        start = self._runs_schema()[START_AT].dataType
+        schema = T.StructType([*(feed.schema[k] for k in self.spec.keys), T.StructField(CUT, start)])
+        return self._parts((p for p in parts if p[0] == CUTS), schema, "cuts", f"{VERSION}={{v}}/{BUCKET}={{b}}")
+
+    def _runs(self, parts: Iterable[Part], of: DataFrame | None = None) -> DataFrame:
+        """Runs in force in these parts, of all keys or of the keys in `of`."""
+        parts, keys = set(parts), list(self.spec.keys)
+        found = self._parts((p for p in parts if p[0] != CUTS), self._runs_schema(), "runs", f"{VERSION}={{v}}/{OPEN}={{k}}/{BUCKET}={{b}}")
+        if of is not None:
+            found = found.join(of.select(*named_all(keys)).distinct(), keys, "left_semi")
+        if any(p[0] == CUTS for p in parts):
+            cuts = self._cut_rows(parts).drop(BUCKET)
+            gone = cuts.select(*(F.col(f"`{k}`").alias(f"__c{i}") for i, k in enumerate(keys)), F.col(VERSION).alias("__since"), CUT)
+            dead = [F.col(f"`{k}`") == F.col(f"__c{i}") for i, k in enumerate(keys)]
+            dead += [F.col(VERSION) < F.col("__since"), F.col(CUT).isNull() | (F.col(START_AT) >= F.col(CUT))]
+            found = found.join(gone, dead, "left_anti")
+        return found.drop(VERSION)
 
     # -- reading -------------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """The SCD table."""
-        parts = self.manifest()
-        if self.spec.scd_type == 1:
-            parts = {p for p in parts if p[0] == 1}
-        return self._visible(self._runs(parts))
+        return self._visible(self._runs(self.manifest()))
+
+    def _columns(self) -> list[str]:
+        return self.spec.stored(self._feed()) + ([START_AT, END_AT] if self.spec.scd_type == 2 else [])
 
     def _visible(self, runs: DataFrame) -> DataFrame:
-        columns = self.spec.stored(self._feed())
-        validity = [START_AT, END_AT] if self.spec.scd_type == 2 else []
-        return runs.where(~F.col(DELETED)).select(*named_all([*columns, *validity]))
+        return runs.where(~F.col(DELETED)).select(*named_all(self._columns()))
 
     def publish(self, view: str, comment: str | None = None) -> None:
-        """Points a catalog view at the parts in force now."""
+        """Points a catalog view at the parts in force now. Before the first run it has no rows."""
         ensure_schema(self.spark, view)
-        live = ", ".join(f"'{o}/{b}/{v}'" for o, b, v in sorted(self.manifest())) or "''"
-        names = self.spec.stored(self._feed()) + ([START_AT, END_AT] if self.spec.scd_type == 2 else [])
-        columns = ", ".join(f"`{c}`" for c in names)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {quoted(view)} {f'COMMENT {literal(comment)} ' if comment else ''}"
-            f"AS SELECT {columns} FROM parquet.`{self.root}/runs` "
-            f"WHERE NOT {DELETED} AND concat_ws('/', {OPEN}, {BUCKET}, {VERSION}) IN ({live})"
-        )
+        parts = self.manifest()
+        columns = ", ".join(f"r.`{c}`" for c in self._columns())
+        if any(p[0] != CUTS for p in parts):
+            live = ", ".join(f"'{k}/{b}/{v}'" for k, b, v in sorted(parts) if k != CUTS)
+            text = (
+                f"SELECT {columns} FROM parquet.`{self.root}/runs` r "
+                f"WHERE NOT r.{DELETED} AND concat_ws('/', r.{OPEN}, r.{BUCKET}, r.{VERSION}) IN ({live})"
+            )
+            cuts = ", ".join(f"'{b}/{v}'" for k, b, v in sorted(parts) if k == CUTS)
+            if cuts:
+                same = " AND ".join(f"c.`{k}` = r.`{k}`" for k in self.spec.keys)
+                text += (
+                    f" AND NOT EXISTS (SELECT 1 FROM parquet.`{self.root}/cuts` c WHERE concat_ws('/', c.{BUCKET}, c.{VERSION}) IN ({cuts})"
+                    f" AND {same} AND r.{VERSION} < c.{VERSION} AND (c.{CUT} IS NULL OR r.{START_AT} >= c.{CUT}))"
+                )
+        else:
+            schema = self._visible(self._runs(())).schema
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+            text = f"SELECT {nothing} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(view)} {f'COMMENT {literal(comment)} ' if comment else ''}AS {text}")
+
+    def clean(self, keep: int = 2) -> int:
+        """Removes parts and notes that none of the newest `keep` manifests names; how many folders went.
+
+        Readers of a view or frame older than those manifests must be done.
+        """
+        ids = self._batches()
+        if not ids:
+            return 0
+        kept = ids[-keep:]
+        live = set().union(*(self._manifest_of(i) for i in kept))
+        names = {f"runs/{VERSION}={v}/{OPEN}={k}/{BUCKET}={b}" if k != CUTS else f"cuts/{VERSION}={v}/{BUCKET}={b}" for k, b, v in live}
+        files = _Folders(self.spark)
+        gone = 0
+        for pattern in (f"runs/{VERSION}=*/{OPEN}=*/{BUCKET}=*", f"cuts/{VERSION}=*/{BUCKET}=*"):
+            gone += files.remove(f"{self.root}/{pattern}", lambda path: not any(path.endswith("/" + n) for n in names))
+        newest = kept[0]
+        gone += files.remove(f"{self.root}/manifest/{BATCH}=*", lambda path: int(path.rsplit("=", 1)[1]) < newest)
+        gone += files.remove(f"{self.root}/status/batch=*", lambda path: int(path.rsplit("=", 1)[1]) < newest)
+        return gone
+
+    def _batches(self) -> list[int]:
+        schema = T.StructType([T.StructField("part", T.StringType()), T.StructField(BATCH, T.LongType())])
+        return sorted(batch for (batch,) in _folders(_read(self.spark, f"{self.root}/manifest", schema), BATCH))
 
     # -- one micro-batch -----------------------------------------------------------
 
-    def apply(self, changes: DataFrame, batch_id: int) -> None:
+    def apply(self, changes: DataFrame, batch_id: int, new_only: bool = False) -> None:
         """Body for foreachBatch. Also fits plain batch loads with rising ids."""
         spark, keys = self.spark, list(self.spec.keys)
         events = change_events(changes, self.spec)
+        if new_only:
+            events = self._unseen(events, batch_id)
         path = f"{self.root}/changes/{BATCH}={batch_id}"
         stored = events.withColumn(BUCKET, self._bucket())
         stored.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
@@ -168,44 +246,78 @@ class HistoryStore:
             self._write_manifest(base, batch_id)
             return
 
-        current = self._runs(p for p in base if p[0] == 1 and p[1] in touched)
+        touched_keys = arrived.select(*named_all(keys))
+        mine = {p for p in base if p[1] in touched}
+        current = self._runs((p for p in mine if p[0] != CLOSED_RUNS), touched_keys)
         span = arrived.groupBy(*named_all(keys), BUCKET).agg(F.min(SEQ).alias("__min"), F.max(SEQ).alias("__max"))
-        known = current.select(*named_all(keys), LAST_SEQ)
+        known = current.select(*named_all(keys), LAST_SEQ, F.col(START_AT).alias("__open_start"))
         only_latest = self.spec.scd_type == 1 and not self.spec.ignore_null_updates
         late = F.col("__max") == F.col(LAST_SEQ) if only_latest else F.col("__min") <= F.col(LAST_SEQ)
         status = span.join(known, keys, "left").withColumn("__late", F.coalesce(late, F.lit(False)))
-        status = stored_once(status.drop(LAST_SEQ), f"{self.root}/status/batch={batch_id}")
+        status = stored_once(status, f"{self.root}/status/batch={batch_id}/keys")
         late_buckets = {r[0] for r in status.where("__late").select(BUCKET).distinct().collect()}
-        closed_parts = [p for p in base if p[0] == 0 and p[1] in touched]
         cuts = None
         if late_buckets:
-            known_runs = self._runs(p for p in closed_parts if p[1] in late_buckets).unionByName(current)
-            cuts = stored_once(self._cuts(status.where("__late"), known_runs), f"{self.root}/cuts/batch={batch_id}")
+            late_keys = status.where("__late")
+            known_runs = self._runs((p for p in mine if p[1] in late_buckets), late_keys)
+            cuts = stored_once(self._cuts(late_keys, known_runs), f"{self.root}/status/batch={batch_id}/cuts")
 
         new = self._new_runs(arrived, current, status, cuts, late_buckets, bucketed, batch_id)
-        kept_open = current.join(status.select(*named_all(keys)), keys, "left_anti")
-        result = kept_open.unionByName(new)
-        merged = set()
         if self.spec.scd_type == 1:
-            result = result.where(F.col(END_AT).isNull())
-        else:
-            additions = Counter(b for _, b, _ in closed_parts)
-            merged = late_buckets | {b for b, n in additions.items() if n >= self.merge_after}
-            closed = self._runs(p for p in closed_parts if p[1] in merged)
-            if cuts is not None:
-                before_cut = F.col("__hit").isNull() | (F.col(START_AT) < F.col("__cut"))
-                marked = closed.join(cuts.withColumn("__hit", F.lit(True)), keys, "left")
-                closed = marked.where(before_cut).drop("__hit", "__cut")
-            result = result.unionByName(closed)
-
-        out = f"{self.root}/runs/{VERSION}={batch_id}"
-        parts = result.withColumn(OPEN, F.col(END_AT).isNull().cast("int"))
-        parts.hint("rebalance", F.col(OPEN), F.col(BUCKET)).write.mode("overwrite").partitionBy(OPEN, BUCKET).parquet(out)
-        written = _folders(_read(spark, out, parts.schema), OPEN, BUCKET)
-        replaced = {(1, b) for b in touched} | {(0, b) for b in merged}
-        live = {p for p in base if p[:2] not in replaced} | {(*part, batch_id) for part in written}
+            new = new.where(F.col(END_AT).isNull())
+        replaced = self._replaced(status, cuts)
+        additions: dict[int, int] = {}
+        for kind, bucket, _ in mine:
+            additions[bucket] = additions.get(bucket, 0) + (kind == CUTS)
+        merged = {b for b, n in additions.items() if n >= self.merge_after}
+        if merged:
+            old = self._runs(p for p in mine if p[1] in merged)
+            gone = replaced.select(*(F.col(f"`{k}`").alias(f"__c{i}") for i, k in enumerate(keys)), CUT)
+            dead = [F.col(f"`{k}`") == F.col(f"__c{i}") for i, k in enumerate(keys)]
+            dead.append(F.col(CUT).isNull() | (F.col(START_AT) >= F.col(CUT)))
+            new = new.unionByName(old.join(gone, dead, "left_anti").withColumn(OPEN, F.col(END_AT).isNull().cast("int")))
+            replaced = replaced.where(~F.col(BUCKET).isin(sorted(merged)))
+
+        live = {p for p in base if p[1] not in merged}
+        live |= {(*part, batch_id) for part in self._write(new, f"{self.root}/runs/{VERSION}={batch_id}", OPEN, BUCKET)}
+        live |= {(CUTS, *part, batch_id) for part in self._write(replaced, f"{self.root}/cuts/{VERSION}={batch_id}", BUCKET)}
         self._write_manifest(live, batch_id)
 
+    def _write(self, rows: DataFrame, path: str, *by: str) -> set[tuple[int, ...]]:
+        rows.hint("rebalance", *(F.col(c) for c in by)).write.mode("overwrite").partitionBy(*by).parquet(path)
+        return _folders(_read(self.spark, path, rows.schema), *by)
+
+    def _replaced(self, status: DataFrame, cuts: DataFrame | None) -> DataFrame:
+        """(keys, cut, bucket): from where on this micro-batch replaces what was known of a key.
+
+        In order, that is the open run; late, the run that the earliest late change falls into.
+        """
+        keys = list(self.spec.keys)
+        known = status.where(F.col("__open_start").isNotNull())
+        if self.spec.scd_type == 1:
+            nothing = F.lit(None).cast(status.schema["__open_start"].dataType)
+            return known.select(*named_all(keys), nothing.alias(CUT), BUCKET)
+        in_order = known.where(~F.col("__late")).select(*named_all(keys), F.col("__open_start").alias(CUT), BUCKET)
+        if cuts is None:
+            return in_order
+        return in_order.unionByName(known.where("__late").select(*named_all(keys), BUCKET).join(cuts, keys).select(*named_all(keys), CUT, BUCKET))
+
+    def apply_snapshot(self, rows: DataFrame) -> None:
+        """A whole feed as it stands now, as the next micro-batch: changes that are stored already are left out."""
+        self.apply(rows, max(self._batches(), default=0) + 1, new_only=True)
+
+    def _unseen(self, events: DataFrame, batch_id: int) -> DataFrame:
+        """Events that no earlier micro-batch stored, by key, sequence and a hash of all columns."""
+        schema = T.StructType([*events.schema.fields, T.StructField(BATCH, T.LongType())])
+        stored = _read(self.spark, f"{self.root}/changes", schema).where(F.col(BATCH) < batch_id)
+        at = [*self.spec.keys, SEQ]
+
+        def marked(df: DataFrame) -> DataFrame:
+            return df.withColumn("__mark", F.xxhash64(*[comparable(df, c) for c in events.columns]))
+
+        seen = marked(stored).select(*named_all(at), "__mark").distinct()
+        return marked(events).join(seen, [*at, "__mark"], "left_anti").select(*named_all(events.columns))
+
     def _cuts(self, late: DataFrame, runs: DataFrame) -> DataFrame:
         """Per late key, the moment from which its changes must be read again.
 

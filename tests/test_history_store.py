@@ -49,9 +49,76 @@ def test_in_order_batches_add_closed_runs_only(spark, tmp_path):
     store.apply(frame(spark, []), 7)
     assert store.manifest() == before, "an empty micro-batch changes nothing"
     assert versions(store.read()) == expected(rows, ["v"], False)
-    closed = sorted((b, v) for o, b, v in store.manifest() if o == 0)
-    assert {v for _, v in closed} == {2, 6}, "earlier closed runs stay where they were"
-    assert {v for o, _, v in store.manifest() if o == 1} == {6}
+    for version in (2, 6):
+        written = spark.read.parquet(f"{tmp_path}/s/runs/__version={version}")
+        assert written.groupBy("__open").count().orderBy("__open").collect() == [(0, 4), (1, 4)], "one closed and one open run a key"
+
+
+def many_keys(n):
+    return [dict(k=k, seq=s, v=str(s % 3), u=0, op="u", id=s) for k in range(n) for s in range(10, 50, 10)]
+
+
+def written_runs(spark, path, version):
+    return spark.read.parquet(f"{path}/runs/__version={version}").select("k").collect()
+
+
+def test_cost_follows_the_micro_batch(spark, tmp_path):
+    rows = many_keys(500)
+    changes = spec(track_history_column_list=["v"])
+    store = HistoryStore(spark, f"{tmp_path}/s", changes, frame(spark, rows).schema, buckets=4)
+    store.apply(frame(spark, rows), 1)
+    four = [dict(k=k, seq=60, v="new", u=0, op="u", id=9) for k in (1, 2, 3, 4)]
+    store.apply(frame(spark, four), 2)
+    assert len(written_runs(spark, f"{tmp_path}/s", 2)) == 8, "the closed and the new open run of four keys"
+    late = [dict(k=k, seq=25, v="late", u=0, op="u", id=9) for k in range(100, 112)]
+    store.apply(frame(spark, late), 3)
+    assert {r["k"] for r in written_runs(spark, f"{tmp_path}/s", 3)} == set(range(100, 112))
+    assert versions(store.read()) == expected(rows + four + late, ["v"], False)
+
+
+def test_folding_and_cleaning(spark, tmp_path):
+    rows = many_keys(20)
+    changes = spec(track_history_column_list=["v"])
+    store = HistoryStore(spark, f"{tmp_path}/s", changes, frame(spark, rows).schema, buckets=2, merge_after=2)
+    taken = []
+    for i in range(6):
+        part = [r for j, r in enumerate(rows) if j % 6 == i]
+        taken += part
+        store.apply(frame(spark, part), i + 1)
+        assert versions(store.read()) == expected(taken, ["v"], False)
+        assert max(sum(k == 2 for k, b, _ in store.manifest() if b == x) for x in (0, 1)) <= 2
+    assert store.clean(keep=1) > 0
+    assert versions(store.read()) == expected(rows, ["v"], False)
+    named = {(k, b, v) for k, b, v in store.manifest() if k != 2}
+    folders = {tuple(map(int, (p.parent.name[-1], p.name.split("=")[1], p.parent.parent.name.split("=")[1]))) for p in (tmp_path / "s/runs").glob("*/*/*=*")}
+    assert folders == named
+    assert store.clean(keep=1) == 0
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_snapshots_keep_what_they_no_longer_hold(spark, tmp_path, scd_type):
+    first = [dict(k=1, seq=1, v="A", u=0, op="u", id=1), dict(k=2, seq=1, v="X", u=0, op="u", id=2)]
+    second = [dict(k=1, seq=2, v="B", u=0, op="u", id=3)]
+    changes = spec(scd_type=scd_type, track_history_column_list=["v"])
+    store = HistoryStore(spark, f"{tmp_path}/s", changes, frame(spark, first).schema, buckets=2)
+    for rows in (first, second, second, first):
+        store.apply_snapshot(frame(spark, rows))
+    assert same(store.read(), apply_changes(frame(spark, first + second), changes, WHOLE))
+
+
+def test_empty_first_load(spark, tmp_path):
+    changes = spec(track_history_column_list=["v"])
+    refused = [dict(k=None, seq=1, v="A", u=0, op="u", id=1)]
+    store = HistoryStore(spark, f"{tmp_path}/s", changes, frame(spark, refused).schema, buckets=2)
+    view = f"spark_catalog.s{uuid.uuid4().hex[:6]}.cdc_empty"
+    for i, rows in enumerate(([], refused)):
+        store.apply(frame(spark, rows), i)
+        store.publish(view)
+        assert spark.table(view).count() == 0 and store.read().count() == 0
+    assert store.refused == {0: 0, 1: 1}
+    store.apply(frame(spark, [dict(k=1, seq=1, v="A", u=0, op="u", id=1)]), 2)
+    store.publish(view)
+    assert spark.table(view).count() == 1
 
 
 def test_late_delete_and_emptied_key(spark, tmp_path):
