@@ -5,6 +5,7 @@ A constraint that is NULL for a row is violated. Nothing here adds a pass over t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -53,11 +54,17 @@ def expectations_of(rules: Iterable[ColumnRule]) -> list[Expectation]:
 
 
 def enforce(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """Applies FAIL, then DROP. Both are filters: a check in a column could be pruned away."""
-    for rule in expectations:
-        if rule.does("FAIL"):
-            stop = F.raise_error(F.lit(f"expectation {rule.name} violated: {rule.expression}")).cast("boolean")
-            df = df.where(F.when(rule.holds(), True).otherwise(stop))
+    """Applies FAIL, then DROP. Both are filters: a check in a column could be pruned away.
+
+    A later filter must not reach below a FAIL check, where it would skip the rows or files that
+    fail; metrics stand between them, which no filter is moved through.
+    """
+    failing = [rule for rule in expectations if rule.does("FAIL")]
+    for rule in failing:
+        stop = F.raise_error(F.lit(f"expectation {rule.name} violated: {rule.expression}")).cast("boolean")
+        df = df.where(F.when(rule.holds(), True).otherwise(stop))
+    if failing:
+        df = df.observe(f"checked {uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
     dropping = [rule.holds() for rule in expectations if rule.does("DROP")]
     for holds in dropping:
         df = df.where(holds)
@@ -81,6 +88,12 @@ def observe(df: DataFrame, expectations: Sequence[Expectation]) -> tuple[DataFra
     return enforce(watched, expectations), observation
 
 
+def watch(df: DataFrame, expectations: Sequence[Expectation], name: str) -> DataFrame:
+    """The frame with counts of violations as metrics of that name, for streams."""
+    counted = [rule for rule in expectations if not rule.does("FAIL")]
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *_failures(counted)) if counted else df
+
+
 def violation_counts(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per constraint: (constraint_name, passed, failed). One pass over `df`."""
     totals = df.agg(F.count(F.lit(1)).alias("__rows"), *_failures(expectations))

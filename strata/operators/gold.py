@@ -17,7 +17,7 @@ from ..constants import (
     PROCESSED_AT,
     SOURCE_UPDATED_AT,
 )
-from .columns import named, named_all
+from .columns import comparable, named, named_all
 from .processed import ColumnRule, build_columns
 from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, split_long_keys
 from .tables import quoted
@@ -70,6 +70,18 @@ def dimension(df: DataFrame) -> DataFrame:
     return df.drop(*DIM_SHEDS)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each business key, and of each of its versions in a type 2 table: the one that was
+    updated or loaded last, then the largest in all columns. Spark keeps one row per key and task
+    before it shuffles."""
+    part = [*keys, *(c for c in (EFFECTIVE_FROM,) if c in df.columns and c not in keys)]
+    stamps = [c for c in (SOURCE_UPDATED_AT, LOADED_AT) if c in df.columns]
+    order = [named(c).desc_nulls_last() for c in stamps]
+    order += [comparable(df, c).desc_nulls_last() for c in df.columns if c not in (*part, *stamps, PROCESSED_AT)]
+    newest = Window.partitionBy(*named_all(part)).orderBy(*order or [F.lit(0)])
+    return df.withColumn("__place", F.row_number().over(newest)).where("__place = 1").drop("__place")
+
+
 @dataclass(frozen=True)
 class Lookup:
     """How a fact finds the surrogate key of one dimension.

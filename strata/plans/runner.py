@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import gold
-from ..operators.expectations import enforce, expectations_of, observe
+from ..operators.expectations import enforce, expectations_of, observe, watch
 from ..operators.processed import processed, read_rules
 from ..operators.raw import raw
 from ..operators.skew import SkewPolicy
@@ -20,6 +20,9 @@ from ..streaming.ingest import land_stream, read_hop
 from .specs import LAYERS, HopSpec, plan_objects
 
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
+
+
 @dataclass
 class Medallion:
     """A registry bound to a session and a folder that all executors share.
@@ -38,6 +41,9 @@ class Medallion:
 
     def run(self, layers: Sequence[str] = LAYERS) -> list[HopSpec]:
         """One refresh. Running it again takes in what is new."""
+        zone = self.spark.conf.get("spark.sql.session.timeZone")
+        if zone not in UTC_NAMES:
+            raise ValueError(f"surrogate keys of versions follow the session time zone, which is {zone}: set spark.sql.session.timeZone to UTC")
         specs = plan_objects(self.registry, layers)
         steps = {"l01": self._raw, "l02": self._cdc, "l03": self._processed, "gold": self._gold}
         for spec in specs:
@@ -101,12 +107,21 @@ class Medallion:
             mode = spec.option("read_mode", "snapshot")
             append_only = spec.option("append_only_source", False)
             source = read_hop(self.spark, spec.source_table, mode, append_only)
+            lookups = [self._lookup(item) for item in spec.option("lookups", ())]
+            if lookups:
+                source = gold.fact(source, lookups, self.skew)
+            if spec.option("primary_key_columns"):
+                source = gold.one_per_key(source, spec.option("primary_key_columns"))
             shed = gold.cons if spec.object_key.startswith("cons_") else gold.dimension
             built = gold.mapped(shed(source) if not rules else source, rules, spec.option("filter"))
         self._write(spec, built, rules)
         if spec.option("create_scd2_view"):
             create_current_view(self.spark, spec.table, spec.option("scd2_view_name"))
 
+    def _lookup(self, item: Mapping[str, Any]) -> gold.Lookup:
+        dimension = read_hop(self.spark, item["dimension"])
+        return gold.Lookup(dimension, item["on"], item["skey"], item.get("into"), item.get("event_time"), item.get("unknown"))
+
     def _write(self, spec: HopSpec, df: DataFrame, rules: Sequence[Any]) -> None:
         mode = spec.option("write_mode", "materialized_view")
         if mode not in WRITE_MODES:
@@ -114,8 +129,12 @@ class Medallion:
         if df.isStreaming:
             if mode != "streaming_table":
                 raise ValueError(f"{spec.table}: a streaming read needs write_mode 'streaming_table', not {mode!r}")
-            checked = enforce(df, expectations_of(rules))
-            land_stream(checked, self._checkpoint(spec), self._location(spec), spec.table, spec.comment)
+            rules = expectations_of(rules)
+            name = f"expectations of {spec.table}"
+            watched = enforce(watch(df, rules, name), rules)
+            seen = land_stream(watched, self._checkpoint(spec), self._location(spec), spec.table, spec.comment, name)
+            if seen:
+                self.violations[spec.table] = seen
             return
         checked, counts = observe(df, expectations_of(rules))
         replace_table(checked, spec.table, self._location(spec), spec.comment)

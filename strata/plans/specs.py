@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -31,10 +32,41 @@ SETTINGS = {
 
 SECTIONS = (("dimension", "dimensions"), ("fact", "facts"))
 
+_STREAMED = re.compile(r"\bSTREAM\s*\(\s*([\w.`]+)\s*\)", re.IGNORECASE)
+
 # Type 1 for facts, type 2 for dimensions.
 SCD_TYPE = {"dimension": 2, "fact": 1}
 
 
+# Where an object's name goes in its source system's connection.
+PLACEHOLDER = "{object}"
+
+# The fields a section of each hop may have.
+_ANY_HOP = "catalog comment enabled metadata_driven object_alias object_category object_name primary_key_columns schema source_object".split()
+_SETTINGS = "end_date field_separator null_value start_date".split()
+OPTIONS = {
+    "l01": frozenset(
+        [*_ANY_HOP, *_SETTINGS, *"connection data_items filter ingestion_mode merge_strategy source_connection source_type source_updated_at_col".split()]
+    ),
+    "l02": frozenset(
+        [
+            *_ANY_HOP, *_SETTINGS,
+            *"apply_as_deletes buckets ignore_null_updates keys on_refused scd_type sequence_by tie_breaker track_audit track_history_column_list".split(),
+        ]
+    ),
+    "l03": frozenset([*_ANY_HOP, *_SETTINGS, *"business_key_columns columns leading_columns read_mode skey_column write_mode".split()]),
+    "gold": frozenset(
+        [
+            *_ANY_HOP, *_SETTINGS,
+            *"append_only_source columns create_scd2_view custom_sql filter lookups read_mode scd2_view_name source_catalog source_schema write_mode".split(),
+        ]
+    ),
+}
+
+# The fields of a gold hop's lookup.
+LOOKUP_FIELDS = frozenset("dimension event_time into on skey unknown".split())
+
+
 @dataclass(frozen=True)
 class HopSpec:
     """One table: where it comes from, where it goes and the options of its hop."""
@@ -52,6 +84,13 @@ class HopSpec:
         value = self.options.get(name)
         return default if value is None else value
 
+    def reads(self, table: str) -> bool:
+        """Whether this hop needs the table first, by its source, a lookup or the text of its statement."""
+        if self.source_table == table or any(x["dimension"] == table for x in self.option("lookups", ())):
+            return True
+        short = table.rsplit(".", 1)[-1]
+        return bool(re.search(rf"(?<![\w]){re.escape(short)}(?![\w])", self.option("custom_sql") or ""))
+
     # The views of a spec that the operators take.
 
     def raw(self) -> RawSpec:
@@ -106,34 +145,75 @@ def load_registry(path: str, config_root: str | None = None) -> dict[str, Any]:
     for source in (registry.get("source_systems") or {}).values():
         for _, section in SECTIONS:
             for object_key, value in ((source or {}).get(section) or {}).items():
-                keys, own = object_keys(value)
+                entry = ObjectEntry.read(section, object_key, value)
+                merged: dict[str, Any] = {"primary_key_columns": list(entry.keys), **entry.own}
                 for layer in LAYERS:
                     name = hops[layer]["name"]
                     file = Path(config_root, hops[layer]["location"], name, f"{name}_{object_key}.yml")
                     if file.exists():
-                        own[layer] = {**_present(own.get(layer)), **_present(_read_yaml(file))}
-                source[section][object_key] = {"primary_key_columns": keys, **own}
+                        merged[layer] = {**_present(merged.get(layer)), **_present(_read_yaml(file))}
+                source[section][object_key] = merged
     gold = [_read_yaml(file) for file in sorted(Path(config_root, hops["gold"]["location"]).rglob("*.yml"))]
     registry["gold"] = [*(registry.get("gold") or []), *gold]
     return registry
 
 
-def object_keys(value: Any) -> tuple[list[str], dict[str, Any]]:
-    """Key columns and per-object overrides of a registry entry: a column name, a list of
-    names, or a mapping with primary_key_columns."""
-    if isinstance(value, str):
-        return [value], {}
-    if isinstance(value, Sequence):
-        return list(value), {}
-    if isinstance(value, Mapping):
-        keys = value.get("primary_key_columns") or []
-        rest = {k: v for k, v in value.items() if k != "primary_key_columns"}
-        return ([keys] if isinstance(keys, str) else list(keys)), rest
-    return [], {}
+@dataclass(frozen=True)
+class ObjectEntry:
+    """One dimension or fact of a source system: its key columns and what it sets itself.
 
+    An entry may be written as a column name, a list of names, or a mapping.
+    """
 
-def resolve_connection(connection: Mapping[str, Any], object_key: str) -> dict[str, Any]:
-    return {k: v.replace("{object}", object_key) if isinstance(v, str) else v for k, v in connection.items()}
+    kind: str
+    name: str
+    keys: tuple[str, ...]
+    own: Mapping[str, Any]
+
+    @classmethod
+    def read(cls, kind: str, name: str, value: Any) -> ObjectEntry:
+        own: dict[str, Any] = {}
+        if isinstance(value, Mapping):
+            own = dict(value)
+            value = own.pop("primary_key_columns", None)
+        match value:
+            case None:
+                keys: tuple[Any, ...] = ()
+            case str():
+                keys = (value,)
+            case [*names]:
+                keys = tuple(names)
+            case _:
+                raise ValueError(f"{name}: keys must be a column name or a list of them, not {value!r}")
+        if not all(isinstance(k, str) for k in keys):
+            raise ValueError(f"{name}: keys must be column names, not {list(keys)!r}")
+        _refuse_unknown(name, own, frozenset().union(*OPTIONS.values(), LAYERS))
+        for layer in LAYERS:
+            _refuse_unknown(f"{name}.{layer}", own.get(layer) or {}, OPTIONS[layer])
+        return cls(kind, name, keys, own)
+
+    def section(self, layer: str) -> dict[str, Any]:
+        """What the entry sets for this layer: its own values, then those of the layer's section."""
+        everywhere = {k: v for k, v in _present(self.own).items() if k not in LAYERS}
+        return everywhere | _present(self.own.get(layer))
+
+    def placed(self, value: Any) -> Any:
+        """The value with the object's name put in wherever a text, however deep, asks for it."""
+        match value:
+            case str():
+                return value.replace(PLACEHOLDER, self.name)
+            case Mapping():
+                return {k: self.placed(v) for k, v in value.items()}
+            case [*items]:
+                return [self.placed(v) for v in items]
+        return value
+
+
+def _refuse_unknown(label: str, section: Mapping[str, Any], known: frozenset[str]) -> None:
+    """A field that nothing reads is a typing mistake, and its effect would be missed in silence."""
+    unknown = sorted(set(section) - known)
+    if unknown:
+        raise ValueError(f"{label}: unknown fields {', '.join(map(str, unknown))}")
 
 
 def _present(options: Mapping[str, Any] | None) -> dict[str, Any]:
@@ -161,10 +241,10 @@ def _hops(registry: Mapping[str, Any]) -> dict[str, dict[str, Any]]:
     return {layer: {**HOPS[layer], **_present((registry.get("hops") or {}).get(layer))} for layer in HOPS}
 
 
-def _objects(source: Mapping[str, Any]) -> Iterator[tuple[str, str, Any]]:
+def _objects(source: Mapping[str, Any]) -> Iterator[ObjectEntry]:
     for kind, section in SECTIONS:
         for key, value in (source.get(section) or {}).items():
-            yield kind, key, value
+            yield ObjectEntry.read(kind, key, value)
 
 
 def plan_objects(registry: Mapping[str, Any], layers: Sequence[str] = LAYERS) -> list[HopSpec]:
@@ -180,67 +260,86 @@ def plan_objects(registry: Mapping[str, Any], layers: Sequence[str] = LAYERS) ->
     planned: dict[str, list[HopSpec]] = {layer: [] for layer in (*LAYERS, "gold")}
 
     for source_name, source in (registry.get("source_systems") or {}).items():
-        for kind, object_key, value in _objects(source or {}):
-            keys, overrides = object_keys(value)
+        for layer, section in ((source or {}).get("defaults") or {}).items():
+            _refuse_unknown(f"{source_name}.defaults.{layer}", section or {}, OPTIONS.get(layer, frozenset()))
+        for entry in _objects(source or {}):
             tables: dict[str, str] = {}
+            label = f"{source_name}.{entry.name}"
             for layer in LAYERS:
                 defaults = _present((source.get("defaults") or {}).get(layer))
-                # A mapping may override one layer only, in a section named after it.
-                shared = {k: v for k, v in _present(overrides).items() if k not in LAYERS}
-                own = {**shared, **_present(overrides.get(layer))}
+                own = entry.section(layer)
                 options = {**settings, **defaults, **own}
-                short = (overrides.get(layer) or {}).get("object_name") or naming.short(layer, object_key)
+                short = (entry.own.get(layer) or {}).get("object_name") or naming.short(layer, entry.name)
                 tables[layer] = naming.full(layer, short, options)
                 if not defaults.get("enabled", False) or own.get("enabled") is False:
                     continue
-                if defaults.get("metadata_driven") is False and not overrides.get(layer):
-                    raise ValueError(
-                        f"{source_name}.{object_key}: {layer} is not metadata-driven, so the object needs its own {layer} section"
-                    )
-                options |= _layer_options(layer, kind, object_key, keys, options, source, settings)
+                if defaults.get("metadata_driven") is False and not entry.own.get(layer):
+                    raise ValueError(f"{label}: {layer} is not metadata-driven, so the object needs its own {layer} section")
+                options |= _layer_options(layer, entry, options, source, settings)
                 spec = HopSpec(
                     layer=layer,
-                    object_key=object_key,
-                    kind=kind,
+                    object_key=entry.name,
+                    kind=entry.kind,
                     table=tables[layer],
                     source_table=_upstream(layer, options, tables, naming),
                     location=f"{hops[layer]['location']}/{short}",
                     comment=options.get("comment"),
                     options=options,
                 )
-                _check(spec, f"{source_name}.{object_key}")
+                _check(spec, label)
                 planned[layer].append(spec)
 
     for entry in registry.get("gold") or ():
         if entry.get("enabled", True):
             planned["gold"].append(_gold(entry, naming, settings))
+    planned["gold"] = _by_sources(planned["gold"])
+    _refuse_streamed_rewrites([spec for specs in planned.values() for spec in specs])
     wanted = [*layers, *(["gold"] if "gold" not in layers and set(layers) == set(LAYERS) else [])]
     return [spec for layer in wanted for spec in planned[layer]]
 
 
+def _by_sources(specs: list[HopSpec]) -> list[HopSpec]:
+    """The gold hops, each after those it reads; else in the order they are listed."""
+    waiting, out = list(specs), []
+    while waiting:
+        ahead = [s for s in waiting if not any(t.table != s.table and s.reads(t.table) for t in waiting)]
+        if not ahead:
+            raise ValueError(f"gold hops read each other in a circle: {', '.join(s.object_key for s in waiting)}")
+        out.append(ahead[0])
+        waiting.remove(ahead[0])
+    return out
+
+
+def _refuse_streamed_rewrites(specs: list[HopSpec]) -> None:
+    """A table that is written anew with each run can't be read as a stream: the second run would fail."""
+    rewritten = {s.table for s in specs if s.layer in ("l02", "l03") or s.layer == "gold" and s.option("write_mode") != "streaming_table"}
+    rewritten |= {s.table for s in specs if s.layer == "l01" and s.option("merge_strategy") == "overwrite"}
+    for spec in specs:
+        for name in _STREAMED.findall(spec.option("custom_sql") or ""):
+            plain = name.replace("`", "")
+            hit = next((t for t in sorted(rewritten) if t == plain or t.endswith(f".{plain}")), None)
+            if hit:
+                raise ValueError(f"gold hop {spec.object_key}: {hit} is rewritten with each run; read it as a snapshot, without STREAM()")
+
+
 def _layer_options(
-    layer: str,
-    kind: str,
-    object_key: str,
-    keys: list[str],
-    options: Mapping[str, Any],
-    source: Mapping[str, Any],
-    settings: Mapping[str, Any],
+    layer: str, entry: ObjectEntry, options: Mapping[str, Any], source: Mapping[str, Any], settings: Mapping[str, Any]
 ) -> dict[str, Any]:
+    keys = list(entry.keys)
     if layer == "l01":
-        connection = resolve_connection({**_present(source.get("connection")), **_present(options.get("connection"))}, object_key)
+        connection = {**_present(source.get("connection")), **_present(options.get("connection"))}
         connection.setdefault("null_value", settings["null_value"])
         return {
             "source_type": options.get("source_type") or source.get("source_type") or "cloud_storage",
-            "connection": connection,
+            "connection": entry.placed(connection),
             "ingestion_mode": options.get("ingestion_mode") or "snapshot",
             "merge_strategy": options.get("merge_strategy") or "append",
         }
     if layer == "l02":
-        return {"keys": options.get("keys") or keys, "scd_type": options.get("scd_type") or SCD_TYPE[kind]}
+        return {"keys": options.get("keys") or keys, "scd_type": options.get("scd_type") or SCD_TYPE[entry.kind]}
     return {
         "business_key_columns": options.get("business_key_columns") or keys,
-        "skey_column": options.get("skey_column") or f"{object_key}_skey",
+        "skey_column": options.get("skey_column") or f"{entry.name}_skey",
         "write_mode": options.get("write_mode") or "materialized_view",
         "read_mode": options.get("read_mode") or "snapshot",
     }
@@ -254,6 +353,25 @@ def _upstream(layer: str, options: Mapping[str, Any], tables: Mapping[str, str],
     return naming.full(before, source, {}) if source else tables[before]
 
 
+def _hop_table(source: str, naming: _Naming, place: Mapping[str, Any] | None = None) -> str:
+    """Gold reads gold (cons) or processed tables; the name prefix tells which."""
+    if "." in source:
+        return source
+    layer = "l03" if source.startswith(f"{naming.hops['l03']['name']}_") else "gold"
+    return naming.full(layer, source, place or {})
+
+
+def _lookup(name: str, item: Mapping[str, Any], naming: _Naming) -> dict[str, Any]:
+    """A surrogate key that a fact takes from a dimension: `on` maps the fact's columns to the dimension's."""
+    _refuse_unknown(f"gold hop {name}, lookup", item, LOOKUP_FIELDS)
+    for needed in ("dimension", "on", "skey"):
+        if not item.get(needed):
+            raise ValueError(f"gold hop {name}: a lookup needs {needed}")
+    on = item["on"]
+    on = {on: on} if isinstance(on, str) else dict(on) if isinstance(on, Mapping) else {c: c for c in on}
+    return {**item, "on": on, "dimension": _hop_table(item["dimension"], naming)}
+
+
 def _gold(entry: Mapping[str, Any], naming: _Naming, settings: Mapping[str, Any]) -> HopSpec:
     name = entry.get("object_name")
     if not name:
@@ -261,11 +379,12 @@ def _gold(entry: Mapping[str, Any], naming: _Naming, settings: Mapping[str, Any]
     source = entry.get("source_object")
     if not source and not entry.get("custom_sql"):
         raise ValueError(f"gold hop {name} needs a source_object or custom_sql")
-    if source and "." not in source:
-        # Gold reads gold (cons) or processed tables; the name prefix tells which.
-        layer = "l03" if source.startswith(f"{naming.hops['l03']['name']}_") else "gold"
-        place = {"catalog": entry.get("source_catalog"), "schema": entry.get("source_schema")}
-        source = naming.full(layer, source, place)
+    if source:
+        source = _hop_table(source, naming, {"catalog": entry.get("source_catalog"), "schema": entry.get("source_schema")})
+    _refuse_unknown(f"gold hop {name}", entry, OPTIONS["gold"])
+    lookups = [_lookup(name, item, naming) for item in entry.get("lookups") or ()]
+    if lookups and entry.get("custom_sql"):
+        raise ValueError(f"gold hop {name}: lookups go with a source_object, not with custom_sql")
     return HopSpec(
         layer="gold",
         object_key=name,
@@ -274,7 +393,7 @@ def _gold(entry: Mapping[str, Any], naming: _Naming, settings: Mapping[str, Any]
         source_table=source,
         location=f"{naming.hops['gold']['location']}/{name}",
         comment=entry.get("comment"),
-        options={**settings, **_present(entry)},
+        options={**settings, **_present(entry), "lookups": lookups},
     )
 
 
@@ -282,7 +401,7 @@ def _check(spec: HopSpec, label: str) -> None:
     """Every refusal that needs no data, before any job runs."""
     if spec.layer == "l01":
         check_raw_modes(spec.option("ingestion_mode"), spec.option("merge_strategy"), label)
-        if spec.option("source_type") in ("jdbc", "kafka") and not spec.option("source_updated_at_col"):
+        if spec.option("source_type") != "cloud_storage" and not spec.option("source_updated_at_col"):
             raise ValueError(f"{label}: a {spec.option('source_type')} source has no file time; set source_updated_at_col")
     if spec.layer == "l02":
         try:

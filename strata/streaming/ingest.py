@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.tables import ensure_table, quoted
 
 
+_REMEMBERED = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def read_hop(spark: SparkSession, table: str, read_mode: str = "snapshot", append_only: bool = False) -> DataFrame:
     """An upstream hop as a whole table or as a stream. Tables that are rewritten (cdc and
     everything after it) cannot be streamed."""
@@ -20,9 +23,13 @@ def read_hop(spark: SparkSession, table: str, read_mode: str = "snapshot", appen
 
 
 def land_stream(
-    df: DataFrame, checkpoint: str, location: str, table: str | None = None, comment: str | None = None
-) -> None:
-    """Appends all data that is available now; the checkpoint makes each file count once."""
+    df: DataFrame, checkpoint: str, location: str, table: str | None = None, comment: str | None = None, metrics: str | None = None
+) -> dict[str, int]:
+    """Appends all data that is available now; the checkpoint makes each file count once.
+
+    Returns the sums over this run of the counts that the frame observes under the name `metrics`.
+    """
+    spark = df.sparkSession
     writer = (
         df.writeStream.outputMode("append")
         .format("parquet")
@@ -30,8 +37,17 @@ def land_stream(
         .trigger(availableNow=True)
     )
     if table:
-        ensure_table(df.sparkSession, df, table, location, comment)
-        query = writer.toTable(quoted(table))
-    else:
-        query = writer.start(location)
+        ensure_table(spark, df, table, location, comment)
+    # Every micro-batch of the run must be remembered to be counted.
+    spark.conf.set(_REMEMBERED, str(1_000_000))
+    try:
+        query = writer.toTable(quoted(table)) if table else writer.start(location)
+    finally:
+        spark.conf.unset(_REMEMBERED)
     query.awaitTermination()
+    sums: dict[str, int] = {}
+    for progress in query.recentProgress if metrics else ():
+        row = (progress["observedMetrics"] or {}).get(metrics)
+        for name, value in (row.asDict() if row is not None else {}).items():
+            sums[name] = sums.get(name, 0) + (value or 0)
+    return sums

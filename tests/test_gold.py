@@ -159,6 +159,24 @@ def test_fail_stops_even_if_the_column_is_not_read(spark):
     assert enforce(values(spark).dropna(), [Expectation("known", "v is not null", "FAIL")]).count() == 3
 
 
+def test_fail_holds_under_a_later_filter(spark, tmp_path):
+    """Each file alone would be skipped by the filter's statistics."""
+    for i, (k, v) in enumerate(((1, 5), (None, -5))):
+        spark.createDataFrame([(k, v)], "k int, v int").coalesce(1).write.parquet(f"{tmp_path}/x/part={i}")
+    df = spark.read.parquet(f"{tmp_path}/x")
+    rules = [Expectation("k_set", "k is not null", "FAIL")]
+    with pytest.raises(Exception, match="k_set"):
+        enforce(df, rules).where("v > 0").collect()
+    assert enforce(df.where("v > 0"), rules).where("v > 0").count() == 1
+
+
+def test_one_per_key(spark):
+    from strata.operators.gold import one_per_key
+
+    df = spark.sql("select * from values (1, 'a', 1), (1, 'b', 2), (1, 'c', 2), (2, 'z', null), (null, 'n', 1) t(k, v, __etl_loaded_at)")
+    assert sorted((str(r["k"]), r["v"]) for r in one_per_key(df, ["k"]).collect()) == [("1", "c"), ("2", "z"), ("None", "n")]
+
+
 def test_expectations_from_columns():
     rules = read_rules(
         [

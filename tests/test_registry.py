@@ -4,7 +4,7 @@ import pytest
 
 from strata.operators.tables import append_table, create_current_view, ensure_table, replace_table
 from strata.plans import Medallion, load_registry, plan_objects
-from strata.plans.specs import object_keys, resolve_connection
+from strata.plans.specs import ObjectEntry
 
 
 def registry(**changes):
@@ -71,11 +71,14 @@ def test_overrides_and_settings():
 
 
 def test_key_forms():
-    assert object_keys("a") == (["a"], {})
-    assert object_keys(["a", "b"]) == (["a", "b"], {})
-    assert object_keys({"primary_key_columns": "a", "x": 1}) == (["a"], {"x": 1})
-    assert object_keys(None) == ([], {})
-    assert resolve_connection({"p": "/{object}/x", "n": 3}, "o") == {"p": "/o/x", "n": 3}
+    read = lambda value: ObjectEntry.read("fact", "o", value)
+    assert read("a").keys == ("a",) and read(["a", "b"]).keys == ("a", "b") and read(None).keys == ()
+    entry = read({"primary_key_columns": "a", "comment": "x", "l01": {"filter": "f"}})
+    assert (entry.keys, entry.section("l01"), entry.section("l02")) == (("a",), {"comment": "x", "filter": "f"}, {"comment": "x"})
+    assert entry.placed({"p": "/{object}/x", "n": 3, "q": ["{object}"]}) == {"p": "/o/x", "n": 3, "q": ["o"]}
+    for bad in (5, ["a", 1], {"primary_key_columns": 7}):
+        with pytest.raises(ValueError, match="keys must be"):
+            read(bad)
 
 
 @pytest.mark.parametrize(
@@ -87,6 +90,10 @@ def test_key_forms():
         ({"defaults": {"l02": {"enabled": True, "sequence_by": "s"}}, "facts": {"f": None}, "dimensions": {}}, "key"),
         ({"defaults": {"l03": {"enabled": True, "read_mode": "stream"}}}, "snapshot"),
         ({"source_type": "jdbc", "defaults": {"l01": {"enabled": True}}}, "source_updated_at_col"),
+        ({"source_type": "lakehouse_federation", "defaults": {"l01": {"enabled": True}}}, "source_updated_at_col"),
+        ({"defaults": {"l02": {"enabled": True, "sequence_by": "s", "apply_as_delete": "x"}}}, "apply_as_delete"),
+        ({"facts": {"f": {"primary_key_columns": "k", "l03": {"lead_columns": ["k"]}}}}, "lead_columns"),
+        ({"facts": {"f": 5}}, "keys must be"),
     ],
 )
 def test_refusals_before_any_job(changes, text):
@@ -110,6 +117,45 @@ def test_gold_entries():
         plan_objects(registry() | {"gold": [{"object_name": "x"}]})
 
 
+@pytest.mark.parametrize(
+    "entry, text",
+    [
+        ({"source_object": "cons_a", "filtr": "x"}, "filtr"),
+        ({"source_object": "cons_a", "lookups": [{"dimension": "dim_a", "on": "k"}]}, "needs skey"),
+        ({"source_object": "cons_a", "lookups": [{"dimension": "dim_a", "on": "k", "skey": "s", "event": "t"}]}, "event"),
+        ({"custom_sql": "SELECT 1", "lookups": [{"dimension": "dim_a", "on": "k", "skey": "s"}]}, "custom_sql"),
+        ({"custom_sql": "SELECT * FROM STREAM(spark_catalog.02_silver.processed_material)"}, "snapshot"),
+        ({"custom_sql": "select * from stream( processed_sales )", "write_mode": "streaming_table"}, "snapshot"),
+    ],
+)
+def test_gold_refusals(entry, text):
+    with pytest.raises(ValueError, match=text):
+        plan_objects(registry() | {"gold": [{"object_name": "x", **entry}]})
+
+
+def test_gold_goes_by_sources():
+    gold = [
+        {"object_name": "fact_a", "source_object": "cons_b", "lookups": [{"dimension": "dim_a", "on": "k", "skey": "s"}]},
+        {"object_name": "dim_a", "source_object": "cons_a"},
+        {"object_name": "cons_b", "custom_sql": "SELECT * FROM spark_catalog.03_gold.cons_a"},
+        {"object_name": "cons_a", "source_object": "processed_material"},
+    ]
+    order = [s.object_key for s in plan_objects(registry() | {"gold": gold}) if s.layer == "gold"]
+    assert order == ["cons_a", "dim_a", "cons_b", "fact_a"]
+    with pytest.raises(ValueError, match="circle"):
+        plan_objects(registry() | {"gold": [{"object_name": "a", "source_object": "b"}, {"object_name": "b", "source_object": "a"}]})
+
+
+def test_medallion_needs_utc(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            Medallion(spark, registry(), str(tmp_path)).run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_yaml(tmp_path):
     pytest.importorskip("yaml")
     path = tmp_path / "objects.yml"
@@ -150,6 +196,21 @@ def test_streamed_gold(spark, sf, tmp_path):
     }
     for _ in range(2):  # the second refresh finds nothing new
         Medallion(spark, one, f"{tmp_path}/lake").run()
+    checked = {
+        "object_name": "cons_checked",
+        "source_object": f"spark_catalog.l01_{run}.raw_part",
+        "read_mode": "stream",
+        "append_only_source": True,
+        "write_mode": "streaming_table",
+        "columns": [
+            {"source_col": "p_partkey", "target_col": "k", "constraint_name": "small", "constraint_expression": "k < 10"},
+        ],
+    }
+    medallion = Medallion(spark, {**one, "gold": [checked]}, f"{tmp_path}/lake")
+    medallion.run()
+    parts = spark.read.parquet(f"{sf}/part.parquet")
+    counts = medallion.violations[f"spark_catalog.gold_{run}.cons_checked"]
+    assert counts == {"rows": parts.count(), "small": parts.where("not p_partkey < 10").count()}
     assert spark.table(f"spark_catalog.gold_{run}.cons_part").count() == spark.read.parquet(f"{sf}/part.parquet").count()
     with pytest.raises(ValueError, match="streaming_table"):
         Medallion(spark, {**one, "gold": [stream]}, f"{tmp_path}/lake").run()
