@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..constants import IS_CURRENT
-from .columns import named_all
+from .columns import named
 
 WRITE_MODES = ("materialized_view", "streaming_table", "permanent_table")
 
@@ -39,14 +40,34 @@ def ensure_table(spark: SparkSession, like: DataFrame, table: str, location: str
     set_comment(spark, table, comment)
 
 
+def grow_table(df: DataFrame, table: str) -> list[str]:
+    """Adds the columns that the frame has besides, as the last ones; the table's columns after that.
+
+    A column that changed its type is an error.
+    """
+    spark, name = df.sparkSession, quoted(table)
+    held = {f.name.lower(): f for f in spark.table(name).schema.fields}
+    more = [f for f in df.schema.fields if f.name.lower() not in held]
+    if more:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in more)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    changed = [f.name for f in df.schema.fields if f.name.lower() in held and f.dataType != held[f.name.lower()].dataType]
+    if changed:
+        raise ValueError(f"{table}: cannot append, types differ: {', '.join(changed)}")
+    return spark.table(name).columns
+
+
 def append_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:
+    """Appends by name. New columns are added to the table, NULL in its older rows; columns that the
+    frame lacks are NULL in the new ones."""
     spark = df.sparkSession
     ensure_table(spark, df, table, location, comment)
-    columns = spark.table(quoted(table)).columns
-    if set(columns) != set(df.columns):
-        raise ValueError(f"{table}: cannot append, columns differ: {sorted(set(columns) ^ set(df.columns))}")
+    columns = grow_table(df, table)
+    there = {c.lower() for c in df.columns}
+    types = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
     # Appending goes by position.
-    df.select(*named_all(columns)).write.mode("append").insertInto(quoted(table))
+    row = [named(c) if c.lower() in there else F.lit(None).cast(types[c]).alias(c) for c in columns]
+    df.select(*row).write.mode("append").insertInto(quoted(table))
 
 
 def replace_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:

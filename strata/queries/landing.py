@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LOADED_AT, SOURCE_UPDATED_AT
 from ..functions.timestamps import parse_timestamp
 from ..operators.raw import RawSpec, raw
+from ..operators.tables import append_table
 from ..session import scratch_dir
 from ..sources import read_source
 from ..streaming.ingest import land_stream
@@ -143,6 +146,39 @@ def raw_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _typed_part(spark.read.parquet(f"{work}/raw"))
 
 
+def raw_json_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Json lines by stream in two runs. The second brings a field in its newest file, which lands, and
+    one in an older file, whose lines are rescued."""
+    work = scratch_dir(spark, "part-json")
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size", F.lit("x").alias("odd"))
+    connection = {"cloud_storage_type": "json", "cloud_storage_path": f"{work}/in", "cloud_schema_location": f"{work}/schema"}
+
+    def land() -> None:
+        land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{work}/checkpoint", f"{work}/raw")
+
+    def write(n: int, *columns: str) -> None:
+        part.where(F.col("p_partkey") % 3 == n).select(*columns).coalesce(1).write.mode("append").json(f"{work}/in")
+
+    write(0, "p_partkey", "p_name")
+    land()
+    write(1, "p_partkey", "p_name", "odd")
+    write(2, "p_partkey", "p_name", "p_size")
+    land()
+    landed = spark.read.option("mergeSchema", "true").parquet(f"{work}/raw")
+    odd = F.get_json_object("_rescued_data", "$.odd").alias("odd")
+    return landed.select("p_partkey", "p_name", "p_size", odd)
+
+
+def raw_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot source that gains a column and loses another: the table has both."""
+    name = f"spark_catalog.raw_{uuid.uuid4().hex[:8]}.part"
+    location = scratch_dir(spark, "part-grown")
+    part = table(spark, sf, "part")
+    append_table(part.where("p_partkey % 2 = 0").select("p_partkey", "p_brand"), name, location)
+    append_table(part.where("p_partkey % 2 = 1").select("p_size", "p_partkey"), name, location)
+    return spark.table(name)
+
+
 def raw_rescued(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "part-bad")
     line = F.expr(
@@ -193,6 +229,21 @@ FROM lineitem WHERE l_quantity > 25 AND l_returnflag = 'R'
     ),
     "raw_snapshot": Query(raw_snapshot, _PART_SQL),
     "raw_stream": Query(raw_stream, _PART_SQL),
+    "raw_json_stream": Query(
+        raw_json_stream,
+        """
+SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 = 2 THEN CAST(p_size AS BIGINT) END AS p_size,
+       CASE WHEN p_partkey % 3 = 1 THEN 'x' END AS odd
+FROM part
+""",
+    ),
+    "raw_new_column": Query(
+        raw_new_column,
+        """
+SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand, CASE WHEN p_partkey % 2 = 1 THEN p_size END AS p_size
+FROM part
+""",
+    ),
     "raw_rescued": Query(
         raw_rescued,
         """

@@ -8,7 +8,8 @@ from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import RESCUED
@@ -75,21 +76,55 @@ def _remembered_schema(spark: SparkSession, location: str) -> T.StructType | Non
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
+def _newest_file(spark: SparkSession, path: str) -> str | None:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    row = files.select("path", "modificationTime").orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    return row["path"] if row else None
+
+
 def _stream_schema(spark: SparkSession, connection: Mapping[str, Any], batch: Any, path: str) -> T.StructType:
-    """The schema of a file stream: remembered, or inferred once and then remembered."""
-    location = connection.get("cloud_schema_location")
-    if location:
-        known = _remembered_schema(spark, location)
-        if known is not None:
+    """The schema of a file stream: inferred once and remembered, and grown at a restart by the fields
+    that the newest file has besides. A field that comes and goes between restarts is rescued (json,
+    csv without header) or stops the load (csv with header)."""
+    location, kind = connection.get("cloud_schema_location"), connection["cloud_storage_type"]
+    known = _remembered_schema(spark, location) if location else None
+    if known is None:
+        schema = _load(batch, kind, path).schema
+    else:
+        newest = _newest_file(spark, path)
+        found = _load(batch, kind, newest).schema if newest else T.StructType([])
+        names = {f.name.lower() for f in known.fields}
+        more = [T.StructField(f.name, f.dataType) for f in found.fields if f.name.lower() not in names]
+        if not more:
             return known
-    schema = _load(batch, connection["cloud_storage_type"], path).schema
-    if connection["cloud_storage_type"] in ("csv", "json") and RESCUED not in schema.names:
+        schema = T.StructType([*(f for f in known.fields if f.name != RESCUED), *more])
+    if kind in ("csv", "json") and RESCUED not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
     if location:
         spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
     return schema
 
 
+def _json_lines(reader: Any, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines under a schema; a line with a field that the schema lacks is kept whole in RESCUED."""
+    fields = [f.name for f in schema.fields if f.name != RESCUED]
+    lines = _load(reader, "text", path)
+    line = F.col("value")
+    parsed = F.from_json(line, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED})
+    others = F.array_except(F.json_object_keys(line), F.array(*[F.lit(f) for f in fields]).cast("array<string>"))
+    unknown = F.size(others) > 0
+    rescued = F.coalesce(F.col(f"__row.`{RESCUED}`"), F.when(unknown, line)).alias(RESCUED)
+    rows = lines.where(F.length(F.trim(line)) > 0).withColumn("__row", parsed)
+    folders = [c for c in lines.columns if c != "value"]  # columns that the folders' names hold
+
+    def column(name: str) -> Column:
+        if name in folders:
+            return F.col(f"`{name}`")
+        return rescued if name == RESCUED else F.col(f"__row.`{name}`").alias(name)
+
+    return rows.select(*[column(f.name) for f in schema.fields])
+
+
 def _cloud_storage(spark: SparkSession, connection: Mapping[str, Any], streaming: bool) -> DataFrame:
     """Files of any Spark format. Text is read as strings unless a `schema` is given; a
     schema with a _rescued_data column keeps malformed lines there."""
@@ -109,6 +144,11 @@ def _cloud_storage(spark: SparkSession, connection: Mapping[str, Any], streaming
             options["maxFilesPerTrigger"] = str(connection["max_files_per_trigger"])
     if schema is not None and RESCUED in schema.names:
         options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED}
+    if kind == "csv" and options.get("header") == "true":
+        options["enforceSchema"] = "false"  # columns in another order stop the load
+    if kind == "json" and schema is not None and RESCUED in schema.names and streaming:
+        kept = {k: v for k, v in options.items() if k in ("cleanSource", "sourceArchiveDir", "maxFilesPerTrigger")}
+        return _json_lines(spark.readStream.format("text").options(**kept), path, schema)
     reader = (spark.readStream if streaming else spark.read).format(kind).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

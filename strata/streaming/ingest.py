@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.tables import ensure_table, quoted
+from ..operators.tables import ensure_table, grow_table, quoted
 
 
 _REMEMBERED = "spark.sql.streaming.numRecentProgressUpdates"
@@ -38,6 +38,7 @@ def land_stream(
     )
     if table:
         ensure_table(spark, df, table, location, comment)
+        grow_table(df, table)
     # Every micro-batch of the run must be remembered to be counted.
     spark.conf.set(_REMEMBERED, str(1_000_000))
     try:

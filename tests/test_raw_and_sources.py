@@ -1,3 +1,5 @@
+import uuid
+
 import os
 
 import pytest
@@ -65,10 +67,50 @@ def test_stream_takes_each_file_once_and_keeps_its_schema(spark, csv, tmp_path):
     folder = csv["cloud_storage_path"]
     with open(f"{folder}/two.csv", "w") as more:
         more.write("id|v|new\n4|d|extra\n")
-    later = load()
+    load()
+    later = spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/raw")
     assert later.count() == 4
-    assert "new" not in later.columns and "_rescued_data" in later.columns
-    assert later.where("_rescued_data is not null").count() == 1
+    assert [r["new"] for r in later.where("id = '4'").collect()] == ["extra"]
+    assert load().count() == 4, "the grown schema is remembered"
+
+
+def test_csv_columns_in_another_order_stop_the_load(spark, csv, tmp_path):
+    connection = {**csv, "cloud_schema_location": f"{tmp_path}/schema"}
+
+    def load():
+        land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{tmp_path}/c", f"{tmp_path}/raw")
+
+    load()
+    with open(f"{csv['cloud_storage_path']}/two.csv", "w") as more:
+        more.write("v|id\nb|2\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        load()
+
+
+def test_parquet_streams_grow(spark, tmp_path):
+    connection = {"cloud_storage_type": "parquet", "cloud_storage_path": f"{tmp_path}/in", "cloud_schema_location": f"{tmp_path}/schema"}
+    name = f"spark_catalog.g{uuid.uuid4().hex[:6]}.raw"
+    for i, columns in enumerate((["id"], ["id", "id * 2 AS twice"])):
+        spark.range(i * 10, i * 10 + 3).selectExpr(*columns).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{tmp_path}/c", f"{tmp_path}/raw", name)
+    found = sorted((r["id"], r["twice"]) for r in spark.table(name).collect())
+    assert found == [(0, None), (1, None), (2, None), (10, 20), (11, 22), (12, 24)]
+
+
+def test_json_lines_that_cannot_be_read_are_rescued(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"k": 1, "v": "a"}\n\n{"k": 2, "v": \n{"k": 3, "w": true}\n')
+    connection = {
+        "cloud_storage_type": "json",
+        "cloud_storage_path": f"{tmp_path}/in",
+        "schema": "k int, v string, _rescued_data string",
+    }
+    land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{tmp_path}/c", f"{tmp_path}/raw")
+    rows = spark.read.parquet(f"{tmp_path}/raw")
+    assert rows.where("__source_updated_at is null").count() == 0
+    assert sorted(map(str, (tuple(r)[:3] for r in rows.collect()))) == sorted(
+        map(str, [(1, "a", None), (None, None, '{"k": 2, "v": '), (3, None, '{"k": 3, "w": true}')])
+    )
 
 
 def test_stream_file_time(spark, csv, tmp_path):

@@ -236,8 +236,10 @@ def test_append_goes_by_name(spark, tmp_path):
     append_table(spark.sql("select 1 a, 2 b"), name, f"{tmp_path}/x")
     append_table(spark.sql("select 4 b, 3 a"), name, f"{tmp_path}/x")
     assert sorted(map(tuple, spark.table(name).collect())) == [(1, 2), (3, 4)]
-    with pytest.raises(ValueError, match="columns differ"):
-        append_table(spark.sql("select 4 b"), name, f"{tmp_path}/x")
+    append_table(spark.sql("select 6 b, 'new' c"), name, f"{tmp_path}/x")
+    assert sorted(map(str, map(tuple, spark.table(name).collect()))) == ["(1, 2, None)", "(3, 4, None)", "(None, 6, 'new')"]
+    with pytest.raises(ValueError, match="types differ"):
+        append_table(spark.sql("select 'x' b"), name, f"{tmp_path}/x")
 
 
 def test_refresh_takes_in_new_files(spark, tmp_path):
