@@ -4,9 +4,9 @@ A window over a key runs in one task. Here the long keys are cut into slices of
 sequence, so that a window over (key, slice) stays bounded, and a few rows per slice carry
 what crosses a border. Short keys are worked on apart and pay nothing.
 
-Which keys are long is found by counting rows per key, over the key columns only. The
-cut points come from approximate quantiles. Both steer placement alone: results are the
-same for every choice of cut points.
+Which keys are long, and where they are cut, comes from a sample of rows of bounded size, over
+the key and sequence columns only. It steers placement alone: results are the same for every
+choice of cut points.
 """
 
 from __future__ import annotations
@@ -24,14 +24,16 @@ from .columns import named_all
 SLICE = "__slice"
 
 _CHUNK = 32
+# Sampled rows for each slice: slices are then even within about an eighth.
+_SAMPLE = 64
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is cut once it holds more than max(min_rows, all rows / target_slices) rows.
+    """A key is cut once it holds more than about max(min_rows, all rows / target_slices) rows.
 
-    At most target_slices keys can be that long, and their cut points together number at
-    most 2 * target_slices. That bounds what is broadcast, whatever the data size. By default
+    About target_slices keys can be that long, and their cut points together number about
+    2 * target_slices at most. That bounds what is broadcast, whatever the data size. By default
     the target is the number of shuffle partitions, but at least 2,000, so that a slice is
     no larger than an even share of the data.
     """
@@ -59,36 +61,28 @@ def find_long_keys(
 ) -> Slicing | None:
     """Cut points for keys too long for one task, or None where there are none.
 
-    Runs one aggregation over the key columns, and a second one over the long keys'
-    sequence values only if there are such keys.
+    Counts the rows, and only if a key could be too long takes a sample of about 64 rows for each
+    slice that all rows would make: two passes, and a shuffle of the sample.
     """
     if not policy.enabled:
         return None
-    per_key = df.groupBy(*named_all(keys)).agg(F.count(F.lit(1)).alias("__rows"))
-    total, longest = per_key.agg(F.sum("__rows"), F.max("__rows")).first()
-    limit = policy.row_limit(df.sparkSession, total or 0)
-    if not longest or longest <= limit:
+    total = df.count()
+    limit = policy.row_limit(df.sparkSession, total)
+    if total <= limit:
         return None
-
-    long_keys = per_key.where(F.col("__rows") > limit)
-    parts = math.ceil(longest / limit)
-    fractions = [i / parts for i in range(1, parts)]
-    quantiles = (
-        df.select(*named_all(keys), order)
-        .join(F.broadcast(long_keys), list(keys))
-        .groupBy(*named_all(keys), "__rows")
-        .agg(F.percentile_approx(order, fractions, max(10_000, 4 * parts)).alias("__all"))
-    )
-    # The array has a point every longest/parts rows of the longest key; a shorter key
-    # takes every n-th point, so that each of its slices holds about `limit` rows.
-    every = F.greatest(F.lit(1), F.floor(F.lit(longest) / F.col("__rows"))).cast("int")
-    points = quantiles.select(
-        *named_all(keys),
-        every.alias("__every"),
-        "__all",
-    ).select(
-        *named_all(keys),
-        F.expr("filter(__all, (p, i) -> (i + 1) % __every = 0)").alias("__points"),
+    rate = min(1.0, _SAMPLE / limit)
+    rows = df.select(*named_all(keys), order)
+    sample = rows if rate == 1.0 else rows.where(F.rand(17) < rate)
+    size = limit * rate
+    points = (
+        sample.groupBy(*named_all(keys))
+        .agg(F.sort_array(F.collect_list(order)).alias("__all"))
+        .where(F.size("__all") > size)
+        .select(*named_all(keys), "__all", F.ceil(F.size("__all") / size).cast("int").alias("__parts"))
+        .select(
+            *named_all(keys),
+            F.expr("transform(sequence(1, __parts - 1), i -> __all[cast(i * size(__all) / __parts as int)])").alias("__points"),
+        )
     )
     cuts = points.select(
         *named_all(keys),
@@ -104,8 +98,10 @@ def find_long_keys(
         ).alias("__chunks"),
         "__repeats",
     ).withColumn("__heads", F.transform("__chunks", lambda chunk: chunk[0]))
-    # Written once, so that no later branch counts or ranks again.
-    stored = stored_once(cuts.coalesce(1), scratch_dir(df.sparkSession, "slices"))
+    # Written once, so that no later branch samples again.
+    stored = stored_once(cuts, scratch_dir(df.sparkSession, "slices"))
+    if stored.isEmpty():
+        return None
     repeats = stored.select(*named_all(keys), F.explode("__repeats").alias(order))
     return Slicing(stored.drop("__repeats"), None if repeats.isEmpty() else repeats)
 
@@ -148,11 +144,11 @@ def fill_forward(
     if not sliced:
         return local
 
+    # Read twice below: the last filled values of a slice are what it hands on.
+    local = stored_once(local, scratch_dir(df.sparkSession, "filled"))
     position = F.struct(*named_all(order))
-    tails = (
-        df.withColumns(dict(marks))
-        .groupBy(*named_all(part))
-        .agg(*(F.max_by(name, F.when(F.col(name).isNotNull(), position)).alias(name) for name in marks))
+    tails = local.groupBy(*named_all(part)).agg(
+        *(F.max_by(name, F.when(F.col(name).isNotNull(), position)).alias(name) for name in marks)
     )
     before = (
         Window.partitionBy(*named_all(keys)).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
