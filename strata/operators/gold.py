@@ -180,15 +180,9 @@ def with_skey_as_of(
 
 def _join_versions(keyed: DataFrame, versions: DataFrame, keys: list[str]) -> DataFrame:
     """Each version cut off where the next one starts, so that one at most holds a fact's time."""
-    best = versions.groupBy(*keys, "__from").agg(F.max(F.struct("__to", "__skey")).alias("__version"))
-    later = F.lead("__from").over(Window.partitionBy(*keys).orderBy("__from"))
-    cut = best.select(
-        *(F.col(k).alias(f"__d{k}") for k in keys),
-        "__from",
-        F.col("__version.__to").alias("__to"),
-        F.col("__version.__skey").alias("__skey"),
-        later.alias("__until"),
-    )
+    # Of versions with one start, all but the last are cut off at that start, and so hold nothing.
+    later = F.lead("__from").over(Window.partitionBy(*keys).orderBy("__from", "__to", "__skey"))
+    cut = versions.select(*(F.col(k).alias(f"__d{k}") for k in keys), "__from", "__to", "__skey", later.alias("__until"))
     condition = [F.col(k) == F.col(f"__d{k}") for k in keys]
     condition += [F.col("__t") >= F.col("__from"), F.col("__t") < F.col("__to")]
     condition += [F.col("__until").isNull() | (F.col("__t") < F.col("__until"))]
