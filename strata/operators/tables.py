@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,34 @@ from .columns import named
 WRITE_MODES = ("materialized_view", "streaming_table", "permanent_table")
 
 
+class Folders:
+    """Folders of a shared file system, found by pattern and removed one by one."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _files(self, pattern: str) -> tuple[Any, list[Any]]:
+        path = self.jvm.org.apache.hadoop.fs.Path(pattern)
+        files = path.getFileSystem(self.conf)
+        return files, list(files.globStatus(path) or ())
+
+    def remove(self, pattern: str, dead: Callable[[str], bool]) -> int:
+        files, found = self._files(pattern)
+        gone = [f.getPath() for f in found if dead(f.getPath().toString())]
+        for path in gone:
+            files.delete(path, True)
+        return len(gone)
+
+    def remove_older(self, pattern: str, keep: int) -> int:
+        """All but the `keep` that were changed last."""
+        files, found = self._files(pattern)
+        found.sort(key=lambda f: (f.getModificationTime(), f.getPath().toString()))
+        gone = found[: max(0, len(found) - keep)]
+        for f in gone:
+            files.delete(f.getPath(), True)
+        return len(gone)
+
+
 def quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
@@ -70,24 +100,25 @@ def append_table(df: DataFrame, table: str, location: str, comment: str | None =
     df.select(*row).write.mode("append").insertInto(quoted(table))
 
 
-def replace_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:
+def replace_table(df: DataFrame, table: str, location: str, comment: str | None = None, keep: int | None = None) -> None:
     """Full recompute: writes a fresh folder, then points the table at it. A reader sees the
-    old rows or the new ones. Older folders stay for readers still running."""
+    old rows or the new ones. Older folders stay for readers still running: all of them, or the
+    newest `keep` with the one in use."""
     spark = df.sparkSession
     version = f"{location.rstrip('/')}/version={uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(version)
     ensure_schema(spark, table)
     name = quoted(table)
-    if spark.catalog.tableExists(name):
-        old = spark.table(name).schema.simpleString()
-        if old == df.schema.simpleString():
-            spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(version)}")
-            spark.catalog.refreshTable(name)
-            set_comment(spark, table, comment)
-            return
-        spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
+    if spark.catalog.tableExists(name) and spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(version)}")
+        spark.catalog.refreshTable(name)
+    else:
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
     set_comment(spark, table, comment)
+    if keep is not None:
+        Folders(spark).remove_older(f"{location.rstrip('/')}/version=*", max(1, keep))
 
 
 def create_current_view(spark: SparkSession, table: str, view_name: str | None = None) -> str:

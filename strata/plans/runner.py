@@ -28,13 +28,16 @@ class Medallion:
     """A registry bound to a session and a folder that all executors share.
 
     `violations` holds, per table, the constraint counts of the last run, `refused` how many
-    changes of the last run had no key or no sequence that could be read.
+    changes of the last run had no key or no sequence that could be read. keep_versions: how many
+    copies of a table that is written anew, and states of a history, stay for readers still
+    running; all of them if not given.
     """
 
     spark: SparkSession
     registry: Mapping[str, Any]
     root: str
     buckets: int = 256
+    keep_versions: int | None = None
     skew: SkewPolicy = SkewPolicy()
     violations: dict[str, dict[str, int]] = field(default_factory=dict)
     refused: dict[str, int] = field(default_factory=dict)
@@ -63,7 +66,7 @@ class Medallion:
         if streaming:
             land_stream(df, self._checkpoint(spec), self._location(spec), spec.table, spec.comment)
         elif spec.option("merge_strategy") == "overwrite":
-            replace_table(df, spec.table, self._location(spec), spec.comment)
+            replace_table(df, spec.table, self._location(spec), spec.comment, self.keep_versions)
         else:
             append_table(df, spec.table, self._location(spec), spec.comment)
 
@@ -81,7 +84,7 @@ class Medallion:
             store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, buckets, skew=self.skew)
             store.apply_snapshot(feed)
             self.refused[spec.table] = sum(store.refused.values())
-            store.publish(spec.table, spec.comment)
+            self._publish(store, spec)
             return
         feed = read_hop(self.spark, spec.source_table, "stream", append_only=True)
         store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, buckets, skew=self.skew)
@@ -93,7 +96,12 @@ class Medallion:
         )
         query.awaitTermination()
         self.refused[spec.table] = sum(store.refused.values())
+        self._publish(store, spec)
+
+    def _publish(self, store: HistoryStore, spec: HopSpec) -> None:
         store.publish(spec.table, spec.comment)
+        if self.keep_versions is not None:
+            store.clean(max(1, self.keep_versions))
 
     def _processed(self, spec: HopSpec) -> None:
         built = processed(read_hop(self.spark, spec.source_table), spec.processed())
@@ -137,6 +145,6 @@ class Medallion:
                 self.violations[spec.table] = seen
             return
         checked, counts = observe(df, expectations_of(rules))
-        replace_table(checked, spec.table, self._location(spec), spec.comment)
+        replace_table(checked, spec.table, self._location(spec), spec.comment, self.keep_versions)
         if isinstance(counts, Observation):
             self.violations[spec.table] = counts.get

@@ -163,6 +163,8 @@ def _jdbc(spark: SparkSession, connection: Mapping[str, Any], streaming: bool) -
     ranged = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
     if connection.get("partitionColumn"):
         _needs(connection, "jdbc", *ranged)
+    elif not connection.get("single_task"):
+        warnings.warn("a jdbc source without partitionColumn is read by a single task; set single_task if it is small")
     fields = ("url", "driver", "dbtable", "fetchsize", *ranged)
     options = {f: str(connection[f]) for f in fields if connection.get(f) not in (None, "")}
     return _load(spark.read.format("jdbc").options(**options), "jdbc")

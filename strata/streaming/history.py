@@ -24,7 +24,7 @@ starts from the manifest before it and gives the same rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -36,7 +36,7 @@ from ..constants import END_AT, START_AT
 from ..operators.cdc import DELETED, LAST_SEQ, SEQ, TIE, ChangeSpec, change_events, history_runs, refused_changes, tie_order
 from ..operators.columns import comparable, named_all
 from ..operators.skew import SkewPolicy
-from ..operators.tables import ensure_schema, literal, quoted
+from ..operators.tables import Folders, ensure_schema, literal, quoted
 from ..session import stored_once
 
 BUCKET, OPEN, VERSION, BATCH = "__bucket", "__open", "__version", "__batch"
@@ -62,22 +62,6 @@ def _folders(df: DataFrame, *columns: str) -> set[tuple[int, ...]]:
     return {tuple(int(re.search(f"/{c}=([0-9]+)/", file)[1]) for c in columns) for file in df.inputFiles()}
 
 
-class _Folders:
-    """Folders of the store's file system, found by pattern and removed one by one."""
-
-    def __init__(self, spark: SparkSession):
-        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def remove(self, pattern: str, dead: Callable[[str], bool]) -> int:
-        path = self.jvm.org.apache.hadoop.fs.Path(pattern)
-        files = path.getFileSystem(self.conf)
-        found = [f.getPath() for f in files.globStatus(path) or ()]
-        gone = [p for p in found if dead(p.toString())]
-        for p in gone:
-            files.delete(p, True)
-        return len(gone)
-
-
 @dataclass(frozen=True)
 class HistoryStore:
     """root: a folder all executors share. buckets: fixed for the life of the store; choose
@@ -212,7 +196,7 @@ class HistoryStore:
         kept = ids[-keep:]
         live = set().union(*(self._manifest_of(i) for i in kept))
         names = {f"runs/{VERSION}={v}/{OPEN}={k}/{BUCKET}={b}" if k != CUTS else f"cuts/{VERSION}={v}/{BUCKET}={b}" for k, b, v in live}
-        files = _Folders(self.spark)
+        files = Folders(self.spark)
         gone = 0
         for pattern in (f"runs/{VERSION}=*/{OPEN}=*/{BUCKET}=*", f"cuts/{VERSION}=*/{BUCKET}=*"):
             gone += files.remove(f"{self.root}/{pattern}", lambda path: not any(path.endswith("/" + n) for n in names))

@@ -227,6 +227,9 @@ def test_replace_table_keeps_readers_and_comment(spark, tmp_path):
     assert spark.table(create_current_view(spark, name)).count() == 2
     replace_table(spark.range(2).selectExpr("cast(id as string) id"), name, f"{tmp_path}/x")
     assert spark.table(name).dtypes == [("id", "string")]
+    assert len(list((tmp_path / "x").glob("version=*"))) == 3
+    replace_table(spark.range(4).selectExpr("cast(id as string) id"), name, f"{tmp_path}/x", keep=2)
+    assert len(list((tmp_path / "x").glob("version=*"))) == 2 and spark.table(name).count() == 4
     ensure_table(spark, spark.range(1), name, f"{tmp_path}/y")
     assert spark.table(name).dtypes == [("id", "string")]
 
@@ -268,7 +271,7 @@ def test_refresh_takes_in_new_files(spark, tmp_path):
         },
         "gold": [{"object_name": "dim_customer", "source_object": "processed_customer", "create_scd2_view": True, "filter": "id <> '9'"}],
     }
-    medallion = Medallion(spark, one, f"{tmp_path}/lake", buckets=2)
+    medallion = Medallion(spark, one, f"{tmp_path}/lake", buckets=2, keep_versions=1)
 
     def dim(name="dim_customer"):
         rows = spark.table(f"spark_catalog.gold_{run}.{name}").collect()
