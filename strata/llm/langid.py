@@ -1,8 +1,9 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
 A zstandard raw-content dictionary is built for each language from labelled texts. A text is encoded
-with each of them, in blocks, and the smallest total wins. A narrow margin to the next language
-means that the text says little, and the document is rejected.
+with each of them, in blocks, and the smallest total wins. If the margin to the next language is
+narrow, it is encoded once more with a finer search; still narrow, the text says little, and the
+document is rejected.
 """
 
 from __future__ import annotations
@@ -46,11 +47,15 @@ class LanguageModel:
     margin: float = 0.005
     block: int = 4096
 
-    def encoders(self) -> dict[str, zstandard.ZstdCompressor]:
+    def encoders(self) -> list[dict[str, zstandard.ZstdCompressor]]:
+        """Encoders by language: fast ones, and slower ones with a finer search for texts that those leave open."""
+        return [self._encoders(6, zstandard.STRATEGY_GREEDY), self._encoders(19, zstandard.STRATEGY_BTLAZY2)]
+
+    def _encoders(self, level: int, strategy: int) -> dict[str, zstandard.ZstdCompressor]:
         out = {}
         for lang, content in self.dictionaries.items():
             params = zstandard.ZstdCompressionParameters.from_level(
-                6, source_size=self.block, dict_size=len(content), strategy=zstandard.STRATEGY_GREEDY, min_match=3,
+                level, source_size=self.block, dict_size=len(content), strategy=strategy, min_match=3,
                 write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
             )
             shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -58,19 +63,23 @@ class LanguageModel:
             out[lang] = zstandard.ZstdCompressor(dict_data=shared, compression_params=params)
         return out
 
-    def predict(self, text: str | None, encoders: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float, bool]:
+    def predict(self, text: str | None, encoders: list[dict[str, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
         """(language, share by which the best is below the second, rejected)."""
-        if not encoders or not has_letter(text):
+        if not self.dictionaries or not has_letter(text):
             return UNKNOWN, 0.0, True
         data = plain(text)
         blocks = [data[i : i + self.block] for i in range(0, len(data), self.block)]
-        sizes = {lang: sum(len(e.compress(b)) for b in blocks) for lang, e in encoders.items()}
-        best = min(sizes, key=sizes.__getitem__)  # ties: the language with more labelled rows
-        if len(sizes) == 1:
-            return best, 1.0, False
-        second = min(size for lang, size in sizes.items() if lang != best)
-        score = (second - sizes[best]) / max(second, 1)
-        return best, score, score < self.margin
+        best, score = UNKNOWN, 0.0
+        for by_language in encoders:
+            sizes = {lang: sum(len(e.compress(b)) for b in blocks) for lang, e in by_language.items()}
+            best = min(sizes, key=sizes.__getitem__)  # ties: the language with more labelled rows
+            if len(sizes) == 1:
+                return best, 1.0, False
+            second = min(size for lang, size in sizes.items() if lang != best)
+            score = (second - sizes[best]) / max(second, 1)
+            if score >= self.margin:
+                return best, score, False
+        return best, score, True
 
 
 def fit(docs: DataFrame, rows: int = 600, window: int = 600, size: int = 65536, languages: int = 200, margin: float = 0.005) -> LanguageModel:

@@ -32,7 +32,7 @@ def test_letters():
     assert model.predict("andere worte", model.encoders())[0] == "b"
     tie = model.predict("q", model.encoders())
     assert tie[0] == "a" and tie[2]
-    assert langid.LanguageModel({}).predict("words", {}) == ("und", 0.0, True)
+    assert langid.LanguageModel({}).predict("words", []) == ("und", 0.0, True)
 
 
 def test_odd_documents(spark):
