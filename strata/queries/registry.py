@@ -162,6 +162,7 @@ def registry_fact_as_of(spark: SparkSession, sf: str) -> DataFrame:
             {
                 "object_name": "dim_user",
                 "source_object": "processed_events",
+                "write_mode": "permanent_table",
                 "columns": [
                     {"source_col": c, "target_col": c}
                     for c in ("user_skey", "user_id", "__etl_effective_from", "__etl_effective_to", "__etl_is_current")
