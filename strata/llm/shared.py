@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -27,6 +31,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return stored_once(df, scratch_dir(df.sparkSession, label))
 
 
+def shipped(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The function in a form that a Python worker can load where this package isn't on its path yet.
+
+    Workers that see the folder the package lies in find it there; others need it installed.
+    """
+    packed, root = cloudpickle.dumps(run), str(Path(__file__).resolve().parents[2])
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if root not in sys.path:
+            sys.path.append(root)
+        yield from pickle.loads(packed)(batches)
+
+    return call
+
+
 def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Table | None]], schema: str) -> DataFrame:
     """mapInArrow where `make` runs once per task and its result turns each batch into rows."""
 
@@ -37,7 +56,7 @@ def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Tab
             if table is not None:
                 yield from table.to_batches()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(shipped(run), schema)
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows_per_part: int = 2048) -> DataFrame:
@@ -95,8 +114,3 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         out = below.join(least, "n").select(F.col("m").alias("u"), F.col("w").alias("v"))
         out = out.union(least.select(F.col("m").alias("u"), F.col("n").alias("v")))
     return out.where(F.col("u") != F.col("v")).distinct()
-
-
-def ascii_words(text: Column) -> Column:
-    """Words `[^\\x20\\x09-\\x0D]+` of a text; none for NULL or blank text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")

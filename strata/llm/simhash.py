@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_batch, components, stored
+from .shared import by_batch, components, shipped, stored
 
 BITS = 64
 GROUPS = (2, 3, 4, 5)
@@ -89,7 +89,7 @@ def bit_counts(prints: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.record_batch({"at": pa.array(at, pa.int32()), "n": pa.array(total.ravel()[at].astype(np.int64))})
 
-    rows = prints.select("fp").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
+    rows = prints.select("fp").mapInArrow(shipped(run), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(BITS * BITS)
     for row in rows:
         out[row["at"]] = row["n"]

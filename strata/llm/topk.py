@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import by_batch, stored
+from .shared import by_batch, shipped, stored
 
 #: Rows in a block of candidates and of queries: what a task holds at once.
 BLOCK, QUERY_BLOCK = 4096, 512
@@ -134,7 +134,7 @@ def packed_blocks(rows: DataFrame, size: int) -> DataFrame:
         for key in list(held):
             yield flush(key)
 
-    return rows.select("id", "dim", "block", "v").mapInArrow(run, "dim int, block long, n int, ids binary, v binary")
+    return rows.select("id", "dim", "block", "v").mapInArrow(shipped(run), "dim int, block long, n int, ids binary, v binary")
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = 2048) -> DataFrame:
