@@ -40,11 +40,12 @@ def land_stream(
         ensure_table(spark, df, table, location, comment)
         grow_table(df, table)
     # Every micro-batch of the run must be remembered to be counted.
+    usual = spark.conf.get(_REMEMBERED)
     spark.conf.set(_REMEMBERED, str(1_000_000))
     try:
         query = writer.toTable(quoted(table)) if table else writer.start(location)
     finally:
-        spark.conf.unset(_REMEMBERED)
+        spark.conf.set(_REMEMBERED, usual)
     query.awaitTermination()
     sums: dict[str, int] = {}
     for progress in query.recentProgress if metrics else ():
