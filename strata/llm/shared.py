@@ -59,7 +59,7 @@ def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Tab
     return df.mapInArrow(shipped(run), schema)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows_per_part: int = 2048) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows_per_part: int = 512) -> DataFrame:
     """Adds `name`: 0, 1, 2 ... within each value of `keys`, without gathering a key in one task.
 
     A key is cut by a hash of `order` into parts of about `rows_per_part` rows; rows are counted
