@@ -8,8 +8,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import IS_CURRENT
+from ..functions.schemas import merged
 from .columns import named
 
 WRITE_MODES = ("materialized_view", "streaming_table", "permanent_table")
@@ -71,11 +73,17 @@ def ensure_table(spark: SparkSession, like: DataFrame, table: str, location: str
 
 
 def grow_table(df: DataFrame, table: str) -> list[str]:
-    """Adds the columns that the frame has besides, as the last ones; the table's columns after that.
+    """Adds the columns that the frame has besides, as the last ones, and what its structs have besides; the
+    table's columns after that.
 
     A column that changed its type is an error.
     """
     spark, name = df.sparkSession, quoted(table)
+    given = {f.name.lower(): f.dataType for f in df.schema.fields}
+    schema = spark.table(name).schema
+    grown = T.StructType([T.StructField(f.name, merged(f.dataType, given.get(f.name.lower(), f.dataType)), f.nullable, f.metadata) for f in schema.fields])
+    if grown != schema and all(f.dataType == given.get(f.name.lower(), f.dataType) for f in grown.fields):
+        _remake(spark, table, grown)
     held = {f.name.lower(): f for f in spark.table(name).schema.fields}
     more = [f for f in df.schema.fields if f.name.lower() not in held]
     if more:
@@ -87,6 +95,16 @@ def grow_table(df: DataFrame, table: str) -> list[str]:
     return spark.table(name).columns
 
 
+def _remake(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """The table's entry anew with another schema, over the same files. Structs can't be altered in place."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+    if facts.get("Type") != "EXTERNAL" or facts.get("Provider", "").lower() != "parquet" or "# Partition Information" in facts:
+        raise ValueError(f"{table}: types differ, and only external parquet tables without partitions can have structs that grow")
+    spark.sql(f"DROP TABLE {quoted(table)}")
+    spark.catalog.createTable(quoted(table), path=facts["Location"], source="parquet", schema=schema)
+    set_comment(spark, table, facts.get("Comment"))
+
+
 def append_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:
     """Appends by name. New columns are added to the table, NULL in its older rows; columns that the
     frame lacks are NULL in the new ones."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import RESCUED
+from ..functions.schemas import merged
 
 Reader = Callable[[SparkSession, Mapping[str, Any], bool], DataFrame]
 
@@ -42,7 +43,7 @@ def _needs(connection: Mapping[str, Any], source_type: str, *fields: str) -> Non
         raise ValueError(f"{source_type} connection lacks {', '.join(missing)}")
 
 
-def _load(reader: Any, kind: str, path: str | None = None) -> DataFrame:
+def _load(reader: Any, kind: str, path: str | list[str] | None = None) -> DataFrame:
     try:
         return reader.load(path) if path else reader.load()
     except AnalysisException as error:
@@ -76,43 +77,105 @@ def _remembered_schema(spark: SparkSession, location: str) -> T.StructType | Non
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
-def _newest_file(spark: SparkSession, path: str) -> str | None:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    row = files.select("path", "modificationTime").orderBy(F.desc("modificationTime"), F.desc("path")).first()
-    return row["path"] if row else None
+#: Below the remembered schema: the files that it was inferred from. Readers skip the name.
+_SEEN = "_files"
+_CORRUPT = "_corrupt_record"
+
+
+def _new_files(spark: SparkSession, path: str, location: str | None) -> tuple[DataFrame, list[str]]:
+    """All files there are now, and the paths of those that no schema was inferred from, the newest first."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "modificationTime")
+    files = spark.createDataFrame(files.collect(), files.schema)  # one listing: what comes later is new next time
+    new = files
+    try:
+        if location:
+            new = files.join(spark.read.schema("path string").parquet(f"{location}/{_SEEN}"), "path", "left_anti")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
+    return files, [r["path"] for r in new.orderBy(F.desc("modificationTime"), F.desc("path")).collect()]
+
+
+def _found_schema(batch: Any, kind: str, paths: list[str]) -> T.StructType:
+    """The fields of all the files; of csv, whose fields go by place, those of the first one."""
+    if kind == "json":
+        found = _load(batch, kind, paths).schema
+    elif kind in ("parquet", "orc"):
+        try:
+            found = _load(batch.option("mergeSchema", "true"), kind, paths).schema
+        except Exception as error:
+            if "CANNOT_MERGE" not in str(error) and "Failed to merge" not in str(error):
+                raise
+            found = _one_by_one(batch.option("mergeSchema", "false"), kind, paths)
+    elif kind == "avro":
+        found = _one_by_one(batch, kind, paths)
+    else:
+        found = _load(batch, kind, paths[0]).schema
+    return T.StructType([f for f in found.fields if kind != "json" or f.name not in (RESCUED, _CORRUPT)])
+
+
+def _one_by_one(batch: Any, kind: str, paths: list[str]) -> T.StructType:
+    found = T.StructType([])
+    for path in paths:
+        found = merged(found, _load(batch, kind, path).schema)
+    return found
 
 
 def _stream_schema(spark: SparkSession, connection: Mapping[str, Any], batch: Any, path: str) -> T.StructType:
-    """The schema of a file stream: inferred once and remembered, and grown at a restart by the fields
-    that the newest file has besides. A field that comes and goes between restarts is rescued (json,
-    csv without header) or stops the load (csv with header)."""
+    """The schema of a file stream: inferred once and remembered, and grown at a restart by the fields, at
+    any depth, of all files that came since; of csv by those of the newest one. A csv header with other
+    fields stops the load; a json line or csv row with other fields is rescued."""
     location, kind = connection.get("cloud_schema_location"), connection["cloud_storage_type"]
     known = _remembered_schema(spark, location) if location else None
+    files, new = _new_files(spark, path, location if known is not None else None)
+    if known is not None and not new:
+        return known
     if known is None:
+        # The folder, not its files: its subfolders' names may hold columns.
         schema = _load(batch, kind, path).schema
+        if new and kind in ("parquet", "orc", "avro"):
+            schema = merged(schema, _found_schema(batch, kind, new))
     else:
-        newest = _newest_file(spark, path)
-        found = _load(batch, kind, newest).schema if newest else T.StructType([])
-        names = {f.name.lower() for f in known.fields}
-        more = [T.StructField(f.name, f.dataType) for f in found.fields if f.name.lower() not in names]
-        if not more:
-            return known
-        schema = T.StructType([*(f for f in known.fields if f.name != RESCUED), *more])
+        body = T.StructType([f for f in known.fields if f.name != RESCUED])
+        schema = merged(body, _found_schema(batch, kind, new))
+        if schema == body:
+            schema = known
     if kind in ("csv", "json") and RESCUED not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
     if location:
-        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
+        if schema != known:
+            spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
+        files.select("path").coalesce(1).write.mode("overwrite").parquet(f"{location}/{_SEEN}")
     return schema
 
 
+def _has_struct(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_struct(kind.elementType)
+    return _has_struct(kind.valueType) if isinstance(kind, T.MapType) else isinstance(kind, T.StructType)
+
+
+def _unknown(text: Column, kind: T.DataType) -> Column:
+    """Whether a json text has a field, at any depth, that the type lacks."""
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.exists(F.from_json(text, "array<string>"), lambda x: _unknown(x, kind.elementType)), F.lit(False))
+    if isinstance(kind, T.MapType):
+        return F.coalesce(F.exists(F.map_values(F.from_json(text, "map<string,string>")), lambda x: _unknown(x, kind.valueType)), F.lit(False))
+    others = F.array_except(F.json_object_keys(text), F.array(*[F.lit(f.name) for f in kind.fields]).cast("array<string>"))
+    found = F.coalesce(F.size(others) > 0, F.lit(False))
+    for f in kind.fields:
+        if _has_struct(f.dataType):
+            inner = F.from_json(text, T.StructType([T.StructField(f.name, T.StringType())]))
+            found = found | _unknown(inner.getField(f.name), f.dataType)
+    return found
+
+
 def _json_lines(reader: Any, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines under a schema; a line with a field that the schema lacks is kept whole in RESCUED."""
-    fields = [f.name for f in schema.fields if f.name != RESCUED]
+    """JSON lines under a schema; a line with a field, at any depth, that the schema lacks is kept whole in RESCUED."""
     lines = _load(reader, "text", path)
     line = F.col("value")
     parsed = F.from_json(line, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED})
-    others = F.array_except(F.json_object_keys(line), F.array(*[F.lit(f) for f in fields]).cast("array<string>"))
-    unknown = F.size(others) > 0
+    unknown = _unknown(line, T.StructType([f for f in schema.fields if f.name != RESCUED]))
     rescued = F.coalesce(F.col(f"__row.`{RESCUED}`"), F.when(unknown, line)).alias(RESCUED)
     rows = lines.where(F.length(F.trim(line)) > 0).withColumn("__row", parsed)
     folders = [c for c in lines.columns if c != "value"]  # columns that the folders' names hold

@@ -97,6 +97,56 @@ def test_parquet_streams_grow(spark, tmp_path):
     assert found == [(0, None), (1, None), (2, None), (10, 20), (11, 22), (12, 24)]
 
 
+def test_parquet_fields_of_older_new_files_land(spark, tmp_path):
+    connection = {"cloud_storage_type": "parquet", "cloud_storage_path": f"{tmp_path}/in", "cloud_schema_location": f"{tmp_path}/schema"}
+    name = f"spark_catalog.g{uuid.uuid4().hex[:6]}.raw"
+
+    def write(i, *columns):
+        spark.range(i, i + 1).selectExpr(*columns).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def load():
+        land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{tmp_path}/c", f"{tmp_path}/raw", name, "kept")
+        return {r["id"]: r.asDict(True) for r in spark.table(name).collect()}
+
+    write(0, "id", "named_struct('a', id) s")
+    write(1, "id", "named_struct('a', id) s", "'first' one")
+    write(2, "id", "named_struct('a', id) s")
+    assert [r["one"] for _, r in sorted(load().items())] == [None, "first", None]
+    write(3, "id", "named_struct('a', id, 'b', 'in') s", "'second' two")
+    write(4, "id", "named_struct('a', id) s")
+    found = load()
+    assert [r["two"] for _, r in sorted(found.items())] == [None, None, None, "second", None]
+    assert found[3]["s"] == {"a": 3, "b": "in"} and found[1]["s"] == {"a": 1, "b": None}
+    assert spark.catalog.getTable(name).description == "kept"
+    before = read_source(spark, "cloud_storage", connection, True).schema
+    assert read_source(spark, "cloud_storage", connection, True).schema == before
+
+
+def test_nested_json_fields_land_or_are_rescued(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    connection = {"cloud_storage_type": "json", "cloud_storage_path": f"{tmp_path}/in", "cloud_schema_location": f"{tmp_path}/schema"}
+
+    def load():
+        land_stream(raw(read_source(spark, "cloud_storage", connection, True)), f"{tmp_path}/c", f"{tmp_path}/raw")
+        return {r["k"]: r.asDict(True) for r in spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/raw").collect()}
+
+    (tmp_path / "in" / "a.json").write_text('{"k": 1, "s": {"a": 1}, "l": [{"x": 1}]}\n')
+    load()
+    (tmp_path / "in" / "b.json").write_text('{"k": 2, "s": {"a": 2, "b": {"c": 3}}}\n')
+    (tmp_path / "in" / "c.json").write_text('{"k": 3, "l": [{"x": 1}, {"x": 2, "y": 4}]}\n')
+    found = load()
+    assert found[2]["s"] == {"a": 2, "b": {"c": 3}} and found[3]["l"][1] == {"x": 2, "y": 4}
+    assert [found[k]["_rescued_data"] for k in (1, 2, 3)] == [None] * 3
+    given = {**connection, "schema": "k int, s struct<a int>, l array<struct<x int>>, m map<string, struct<z int>>, _rescued_data string"}
+    lines = ['{"k":4,"s":{"a":1,"q":2}}', '{"k":5,"l":[{"x":1},{"w":1}]}', '{"k":6,"m":{"any":{"v":1}}}', '{"k":7,"s":{"a":1},"l":[],"m":{"any":{"z":1}}}', '{"k":8,"s":null}']
+    (tmp_path / "in2").mkdir()
+    (tmp_path / "in2" / "d.json").write_text("\n".join(lines))
+    given["cloud_storage_path"] = f"{tmp_path}/in2"
+    land_stream(raw(read_source(spark, "cloud_storage", given, True)), f"{tmp_path}/c2", f"{tmp_path}/raw2")
+    rescued = {r["k"]: r["_rescued_data"] for r in spark.read.parquet(f"{tmp_path}/raw2").collect()}
+    assert rescued == {4: lines[0], 5: lines[1], 6: lines[2], 7: None, 8: None}
+
+
 def test_json_lines_that_cannot_be_read_are_rescued(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"k": 1, "v": "a"}\n\n{"k": 2, "v": \n{"k": 3, "w": true}\n')
