@@ -3,25 +3,32 @@
 The field labels whole spans. A stretch of words with a digit or an @ is cut into tokens; every span
 of up to MOST_TOKENS tokens is scored as a whole (its shape, its numbers, what stands around it),
 and a dynamic programme over bounded segments picks boundaries and kinds together. It is trained on
-a bounded sample of stretches whose base matches are the labels, some written the way people also
-write them. Spans it is sure of, apart from the base matches, are added.
+a bounded sample of stretches with each kind, and of those with none, drawn over all documents; their
+base matches are the labels, some written the way people also write them. Spans it is sure of, apart from the base matches, are added.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import re
+import warnings
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_batch
+from .shared import by_batch, stored
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 16
+#: Longest stretch to learn from; of a longer one, what stands around its matches.
+LONGEST = 160
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # Possessive repeats and the look behind only keep long runs from being tried again and again.
@@ -228,23 +235,40 @@ def _labelled(text: str, original: str, base: list[tuple[int, int, int]]) -> lis
     return out
 
 
-def train(samples: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 20, most: int = 120) -> SpanModel:
-    """Weights from (stretch, its base spans) by gradients of the log-likelihood, over at most `most` distinct forms."""
+def _forms(samples: list[tuple[str, list[tuple[int, int, int]]]], most: int) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """(text, gold segments) of distinct forms: at most `most` with each kind, without any, and of counterexamples of each kind."""
     chosen: dict[str, tuple[str, list]] = {}
+    counts: dict[tuple[str, int], int] = {}
+
+    def add(form: str, groups: set[tuple[str, int]], text: str, gold: list) -> None:
+        if form not in chosen and len(text) <= LONGEST and any(counts.get(g, 0) < most for g in groups):
+            chosen[form] = text, gold
+            for g in groups:
+                counts[g] = counts.get(g, 0) + 1
+
     for original, base in samples:
         for text in variants(original):
             gold = _labelled(text, original, base) if base or text == original else None
             form = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]", "9", text)) + str(gold)
-            if gold is not None and len(chosen) < most and len(text) <= 160:
-                chosen.setdefault(form, (text, gold))
+            if gold is not None:
+                add(form, {("has", label) for *_, label in gold} or {("has", 0)}, text, gold)
         for text in counterexamples(original, base):
-            if not base_spans(text) and len(chosen) < most and len(text) <= 160:
-                chosen.setdefault(re.sub("[0-9]", "9", text) + " none", (text, []))
-    if not any(gold for _, gold in chosen.values()):
+            if not base_spans(text):
+                add(re.sub("[0-9]", "9", text) + " none", {("not", base[0][0])}, text, [])
+    return list(chosen.values())
+
+
+def train(samples: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 20, most: int = 120) -> SpanModel:
+    """Weights from (stretch, its base spans) by gradients of the log-likelihood, over at most `most` distinct forms of each kind."""
+    return _trained(_forms(samples, most), rounds)
+
+
+def _trained(chosen: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 20) -> SpanModel:
+    if not any(gold for _, gold in chosen):
         return SpanModel()
     names: dict[str, int] = {}
     items = []
-    for text, gold in chosen.values():
+    for text, gold in chosen:
         tokens, segments = _spans(text)
         ids = np.array([[names.setdefault(f, len(names)) for f in s[2]] for s in segments])
         wanted = {(i, j): label for i, j, label in gold}
@@ -294,25 +318,80 @@ def train(samples: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 2
     return SpanModel(weights, moves.round(4).tolist())
 
 
-def fit(docs: DataFrame, documents: int = 4000, samples: int = 2000) -> SpanModel:
-    """A model from the stretches of about `documents` documents chosen by a hash of the id, `samples` at most.
-
-    The classifier alone sees a sample; base patterns and the field read every text in full.
+def _pieces(text: str) -> Iterator[tuple[int, str | None]]:
+    """(kind, stretch) by the base matches in each stretch, kind -1 if it has none; (kind, None) of a match in no stretch."""
+    runs = stretches(text)
+    starts = [a for a, _ in runs]
+    inside: dict[int, list[tuple[int, int, int]]] = {}
+    for kind, a, b in base_spans(text):
+        k = bisect_right(starts, a) - 1
+        if k >= 0 and b <= runs[k][1]:
+            inside.setdefault(k, []).append((kind, a, b))
+        else:
+            yield kind, None
+    for k, (start, end) in enumerate(runs):
+        base = inside.get(k, ())
+        if end - start <= LONGEST:
+            for kind in {s[0] for s in base} or {-1}:
+                yield kind, text[start:end]
+            continue
+        for kind, a, b in base:
+            room = (LONGEST - (b - a)) // 2
+            left, right = max(start, a - room), min(end, b + room)
+            while left > start and left < a and not text[left - 1].isspace():
+                left += 1
+            while right < end and right > b and not text[right].isspace():
+                right -= 1
+            yield kind, text[left:right]
+
+
+def fit(docs: DataFrame, samples: int = 400, most: int = 120) -> SpanModel:
+    """A model from `samples` distinct stretches with each base kind and `samples` with none, chosen by a hash over all documents.
+
+    `most` distinct forms of each kind, and of stretches with none, are learned, which bounds the time of
+    training. A kind that occurs but has no form to learn from is warned of. The classifier alone sees a
+    sample; base patterns and the field read every text in full.
     """
-    total = docs.count()
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("pii")), F.lit(1 << 30))
-    some = docs.where((place <= int((1 << 30) * min(1.0, documents / max(total, 1)))) & F.col("text").rlike("[0-9@]"))
+    some = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
 
     def make():
+        # The smallest hashes of each kind in this task so far: others can't be among the smallest of all.
+        kept: dict[int, list[int]] = {k: [] for k in range(-1, len(KINDS))}
+        seen: dict[int, set[int]] = {k: set() for k in kept}
+        apart: set[int] = set()
+
         def each(batch: pa.RecordBatch) -> pa.Table:
-            rows = [text[a:b] for text in batch.column("text").to_pylist() for a, b in stretches(text) if b - a <= 160]
-            return pa.table({"stretch": pa.array(rows, pa.string())})
+            rows: list[tuple] = []
+            for text in batch.column("text").to_pylist():
+                for kind, piece in _pieces(text):
+                    if piece is None:
+                        if kind not in apart:
+                            apart.add(kind)
+                            rows.append((kind, None, None))
+                        continue
+                    h = xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    heap = kept[kind]
+                    if h in seen[kind] or len(heap) >= samples and h > -heap[0]:
+                        continue
+                    rows.append((kind, h, piece))
+                    seen[kind].add(h)
+                    heapq.heappush(heap, -h)
+                    if len(heap) > samples:
+                        seen[kind].discard(-heapq.heappop(heap))
+            kinds = {"kind": pa.int32(), "hash": pa.int64(), "stretch": pa.string()}
+            return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(kinds.items())})
 
         return each
 
-    rows = by_batch(some.select("text"), make, "stretch string").distinct()
-    found = [r["stretch"] for r in rows.orderBy(F.xxhash64("stretch"), "stretch").limit(samples).collect()]
-    return train([(s, base_spans(s)) for s in found])
+    rows = stored(by_batch(some, make, "kind int, hash long, stretch string").distinct(), "pii-sample")
+    taken = [rows.where((F.col("kind") == k) & F.col("stretch").isNotNull()).orderBy("hash", "stretch").limit(samples) for k in range(-1, len(KINDS))]
+    found = {(r["hash"], r["stretch"]) for part in taken for r in part.collect()}
+    forms = _forms([(s, base_spans(s)) for _, s in sorted(found)], most)
+    learned = {label - 1 for _, gold in forms for *_, label in gold}
+    occur = {r["kind"] for r in rows.select("kind").distinct().collect()} - {-1}
+    if occur - learned:
+        warnings.warn(f"personal data found by base patterns alone, for lack of forms to learn from: {', '.join(KINDS[k] for k in sorted(occur - learned))}")
+    return _trained(forms)
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:

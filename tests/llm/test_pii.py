@@ -1,5 +1,8 @@
 import random
 import re
+import warnings
+
+import pytest
 
 from strata.llm import pii
 from strata.llm.queries import op6_pii
@@ -114,3 +117,24 @@ def test_odd_documents(spark):
     assert "<EMAIL> or <PHONE>, <IP>" in out.where("doc_id = 7").first()["text"]
     empty = docs.limit(0)
     assert pii.fit(empty).weights == {} and pii.find(empty, m).count() == 0
+
+
+def test_rare_kinds_are_learned(spark):
+    """Among many years, prices and code, each of few matches is learned from, also in a long stretch."""
+    text = "concat('in ', id, ' for ', id, '.', id % 7, ' ', repeat('x', cast(id % 150 as int)), '-', id, repeat('(', cast(id % 40 as int)), id, ' of')"
+    noise = spark.range(1000, 9000).selectExpr("id AS doc_id", f"{text} AS text")
+    long = " ".join(["77"] * 90) + " a.b1@mail.example.com " + " ".join(["88"] * 90)
+    rare = [(1, "call +1 (017) 555-7713 now"), (2, "from 10.2.3.44 and"), (3, "pay 4111111111111111 by"), (4, f"x {long} y")]
+    docs = noise.union(spark.createDataFrame(rare, "doc_id long, text string"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        model = pii.fit(docs)
+    assert model.spans("(017) 555-7713") == [(3, 0, 14)]
+    for kind, text in enumerate(["c.d2@mail.example.com", "10.2.9.45", "4111111111111111"]):
+        assert model.spans(text) == [(kind, 0, len(text))]
+
+
+def test_kinds_without_a_form_are_warned_of(spark):
+    docs = spark.createDataFrame([(1, "ring +1  -  017 555 7713 or 12"), (2, "a.b@c.example.org or")], "doc_id long, text string")
+    with pytest.warns(UserWarning, match="learn from: phone"):
+        assert pii.fit(docs).weights
