@@ -9,6 +9,7 @@ document is rejected.
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -82,27 +83,37 @@ class LanguageModel:
         return best, score, True
 
 
-def fit(docs: DataFrame, rows: int = 600, window: int = 600, size: int = 65536, languages: int = 200, margin: float = 0.005) -> LanguageModel:
+def fit(docs: DataFrame, rows: int = 600, window: int = 600, size: int = 65536, total: int = 200 * 65536, least: int = 4096, margin: float = 0.005) -> LanguageModel:
     """Dictionaries from about `rows` labelled rows of each language, chosen by a hash of the id.
 
     Of every chosen row a window of `window` characters, placed by the hash, is read; `size` bytes
-    make a dictionary. Rows whose crc32(doc_id) mod 5 is 0, and those without id, label or text, are
-    never learned from. At most the `languages` labels with the most rows are learned.
+    make a dictionary. Every label is learned: all dictionaries hold `total` bytes at most, so with many
+    labels each is smaller, from fewer rows; labels too many for `least` bytes each are an error. Rows
+    whose crc32(doc_id) mod 5 is 0, and those without id, label or text, are never learned from; labels
+    without enough letters in the others are warned of.
     """
     learn = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    counts = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(total // least + 1).collect()
     if not counts:
         return LanguageModel({}, margin)
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, rows / r["count"]))) for r in counts], F.lit(0.0))
+    if len(counts) > total // least:
+        raise ValueError(f"more than {total // least} languages: dictionaries of {least} bytes each would exceed {total} bytes in all")
+    each = min(size, total // len(counts))
+    rows = max(min(rows, 32), -(-rows * each // size))  # so few that the hash may choose none would lose a label
+    shares = learn.sparkSession.createDataFrame([(r["lang"], min(1.0, rows / r["count"])) for r in counts], "lang string, __share double")
     place = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
     start = F.pmod(place, F.greatest(F.length("text") - window, F.lit(0)) + 1).cast("int") + 1
-    chosen = learn.where((F.pmod(place, F.lit(1 << 30)) / (1 << 30)) < share)
+    sampled = learn.select("doc_id", "text", "lang").join(F.broadcast(shares), "lang")
+    chosen = sampled.where((F.pmod(place, F.lit(1 << 30)) / (1 << 30)) < F.col("__share"))
     taken = chosen.select("lang", place.alias("place"), F.substring(F.col("text"), start, F.lit(window)).alias("part")).collect()
     content = {r["lang"]: b"" for r in counts}
     for row in sorted(taken, key=lambda r: (r["place"], r["part"])):
-        if len(content[row["lang"]]) < size:
+        if len(content[row["lang"]]) < each:
             content[row["lang"]] += plain(row["part"]) + b" "
-    return LanguageModel({lang: data[:size] for lang, data in content.items() if len(data) >= 8}, margin)
+    scant = [lang for lang, data in content.items() if len(data) < 8]
+    if scant:
+        warnings.warn(f"{len(scant)} languages have too few letters to learn from: {', '.join(scant[:20])}")
+    return LanguageModel({lang: data[:each] for lang, data in content.items() if len(data) >= 8}, margin)
 
 
 def held_out():

@@ -1,3 +1,6 @@
+import pytest
+
+import corpus_pipeline
 from strata.llm import langid
 from strata.llm.queries import op3_langid
 
@@ -44,3 +47,24 @@ def test_odd_documents(spark):
     assert {r["lang_pred"] for r in found.where("doc_id in (2, 3, 4, 6)").collect()} == {"und"}
     empty = docs.limit(0)
     assert langid.fit(empty).dictionaries == {} and langid.identify(empty, langid.fit(empty), ["doc_id"]).count() == 0
+
+
+def test_every_label_is_learned(spark):
+    # Words of five letters that no two of the 240 languages share.
+    word = "concat_ws(' ', transform(sequence(0, 39), i -> translate(lpad(cast(id % 240 * 40 + i as string), 5, '0'), '0123456789', 'abcdefghij')))"
+    docs = spark.range(2400).selectExpr("id AS doc_id", "concat('l', id % 240) AS lang", f"{word} AS text")
+    model = langid.fit(docs)
+    assert len(model.dictionaries) == 240 and sum(map(len, model.dictionaries.values())) <= 200 * 65536
+    encoders = model.encoders()
+    found = {r["lang"]: model.predict(r["text"], encoders)[0] for r in docs.where("doc_id < 240 AND doc_id % 16 = 0").collect()}
+    assert all(a == b for a, b in found.items())
+    small = langid.fit(docs, total=240 * 100, least=100)
+    assert len(small.dictionaries) == 240 and max(map(len, small.dictionaries.values())) <= 100
+    with pytest.raises(ValueError, match="more than 239 languages"):
+        langid.fit(docs, total=239 * 100, least=100)
+
+
+def test_nothing_learned_is_an_error(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "cast(null as string) AS lang", "source", "n_chars")
+    with pytest.raises(ValueError, match="no language"):
+        corpus_pipeline.language(spark, docs, sf)
