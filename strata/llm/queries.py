@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, licenses, mixing, packing, pii, quality, simhash, site_tree, tokencount, topk
+from . import langid, licenses, mixing, packing, pii, quality, runs, simhash, site_tree, tokencount, topk
 from .shared import prepared
 
 
@@ -77,6 +79,34 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def with_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In a tenth of the documents, by their id, the words from some place on repeat with some period."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    block = words[a : a + p]
+    return words[:a] + (block * ((n - a) // p + 1))[: n - a]
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(prepared(spark), sf_dir, "documents"), least=6, exponent=4, change=with_repeats)
+    best = F.col("runs")[F.col("strongest")]
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * runs[strongest].length div runs[strongest].period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_site_tree": op1_site_tree,
     "op2_simhash": op2_simhash,
@@ -88,6 +118,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_licenses": op9_licenses,
     "op10_mixing": op10_mixing,
+    "op11_runs": op11_runs,
 }
 
 SQL: dict[str, str] = {
