@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, licenses, mixing, packing, pii, quality, runs, simhash, site_tree, tokencount, topk
+from . import langid, licenses, minhash, mixing, packing, pii, quality, runs, simhash, site_tree, tokencount, topk
 from .shared import prepared
 
 
@@ -107,6 +107,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(prepared(spark), sf_dir, "documents"), words=4, percent=80)
+
+
 QUERIES = {
     "op1_site_tree": op1_site_tree,
     "op2_simhash": op2_simhash,
@@ -119,6 +123,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_mixing": op10_mixing,
     "op11_runs": op11_runs,
+    "op12_minhash": op12_minhash,
 }
 
 SQL: dict[str, str] = {
