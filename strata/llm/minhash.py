@@ -8,10 +8,11 @@ hashes or one a shingle, whichever is more. Two texts agree in a coordinate with
 the similarity of their sets, and the number of agreements is at least as concentrated as with
 independent hashes.
 
-Bands of the sketch give buckets. Within a bucket every text is compared with a pivot; texts that
-are linked already need no comparison, so a crowded bucket of near copies takes a row per text and
-round, never its pairs. Buckets with texts that are still apart go on with other pivots, twice as many
-in each round, until all their pairs are compared or linked. Each comparison is on the full sets.
+Bands of the sketch give buckets. A pivot of each bucket, first the text that shares the most buckets, is
+compared with the others on their full sets. Most texts are linked by that, or shown to link with
+nothing: too much of them is neither in the pivot nor in any other text compared with it. Only the rest goes on
+with pivots of its own, twice as many in each round, until every pair of a bucket is compared,
+linked or ruled out. So a crowded bucket takes a few rows per text, not its pairs.
 """
 
 from __future__ import annotations
@@ -134,58 +135,90 @@ def with_sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, linked) of every pair, by its two full sets."""
+    """(a, b, crowd, common, linked, rest) of every pair (a, b, crowd), by its two full sets.
+
+    common is what b's set shares with a's; rest, of pairs in a crowd, hashes what it does not.
+    """
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "crowd", "text_a", "text_b")
 
     def make():
         last: list = [None, set()]
 
         def each(batch: pa.RecordBatch) -> pa.Table:
-            linked = []
-            for a, one, two in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
+            shared, linked, rests = [], [], []
+            for a, crowd, one, two in zip(*(batch.column(c).to_pylist() for c in ("a", "crowd", "text_a", "text_b")), strict=True):
                 if last[0] != a:  # pairs of one pivot come together
                     last[:] = a, shingle_set(one, words)
                 mine, other = last[1], shingle_set(two, words)
                 common = len(mine & other)
+                shared.append(common)
                 linked.append(100 * common >= percent * (len(mine) + len(other) - common))
-            return pa.table({"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(linked, pa.bool_())})
+                rests.append([xxhash.xxh64_intdigest(b" ".join(x)) for x in other - mine] if crowd else [])
+            rest = pa.array([np.array(r, np.uint64).astype(np.int64) for r in rests], pa.list_(pa.int64()))
+            found = {"common": pa.array(shared, pa.int64()), "linked": pa.array(linked, pa.bool_()), "rest": rest}
+            return pa.table({c: batch.column(c) for c in ("a", "b", "crowd")} | found)
 
         return each
 
-    return by_batch(both, make, "a binary, b binary, linked boolean")
+    return by_batch(both, make, "a binary, b binary, crowd boolean, common long, linked boolean, rest array<long>")
+
+
+def _most_common(compared: DataFrame) -> DataFrame:
+    """(a, b, most) of pairs of a crowd without a link: the most that b shares with any text compared with a there.
+
+    What b shares with such a text lies in a, or in what several of them have beside a.
+    """
+    parts = compared.select("a", "b", F.explode("rest").alias("h"))
+    several = parts.groupBy("a", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "h")
+    extra = parts.join(several, ["a", "h"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("extra"))
+    found = compared.where("crowd and not linked").select("a", "b", "common").join(extra, ["a", "b"], "left")
+    return found.select("a", "b", (F.col("common") + F.coalesce("extra", F.lit(0))).alias("most"))
 
 
 def _linked(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame | None:
-    """(node, root) of nodes that a link joins to another, from the buckets (key, node, n)."""
+    """(node, root) of nodes that a link joins to another, from the buckets (key, node, n, c) of c nodes.
+
+    Each round takes pivots of every bucket that holds several groups of linked nodes, first the node that shares
+    the most buckets, later nodes outside the bucket's largest group, and compares them with the whole bucket. A
+    node leaves the bucket once it was a pivot, or once what it shares with the pivot, and beside it with any other
+    node there, is too little for a link. A bucket is done when one group is left.
+    """
+    popular = members.groupBy("node").agg(F.sum("c").alias("fame"))
+    members = stored(members.join(popular, "node").select("key", "node", "n", F.least("fame", F.lit(1 << 40)).alias("fame")), "minhash-open")
     roots = tested = None
     turn = 0
     while True:
-        placed = members
-        if roots is not None:
-            placed = placed.join(roots, "node", "left")
-        group = F.coalesce("root", "node") if roots is not None else F.col("node")
-        placed = placed.select("key", "node", "n", group.alias("group"))
-        apart = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-        placed = stored(placed.join(apart, "key", "left_semi"), "minhash-open")
+        placed = members if roots is None else members.join(roots, "node", "left")
+        group = F.col("node") if roots is None else F.coalesce("root", "node")
+        placed = placed.select("key", "node", "n", "fame", group.alias("group"))
+        sizes = placed.groupBy("key", "group").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n"))
+        lead = F.max_by("group", F.struct("c", "group")).alias("lead")
+        apart = sizes.groupBy("key").agg(lead, F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c"), F.min("n").alias("least")).where("groups > 1")
+        placed = stored(placed.join(apart.drop("groups"), "key"), "minhash-open")
         if placed.isEmpty():
             return roots
-        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(turn, 30)))
-        chosen = placed.groupBy("key", part.alias("part")).agg(F.min(F.struct("node", "n", "group")).alias("p"))
-        pivots = stored(chosen.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.group").alias("pgroup")), "minhash-pivots")
-        alike = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("group") != F.col("pgroup"))
-        met = placed.join(pivots, "key").where(alike)
-        # The pivot first: a pivot's pairs are compared together.
-        pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.least("pivot", "node").alias("u"), F.greatest("pivot", "node").alias("v"))
-        pairs = pairs.dropDuplicates(["u", "v"])
+        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(max(turn - 1, 0), 30)))
+        best = F.max_by(F.col("node"), F.struct("fame", "node")).alias("pivot")
+        chosen = (placed.where(F.col("group") != F.col("lead")) if turn else placed).groupBy("key", part.alias("part")).agg(best)
+        pivots = stored(chosen.select("key", "pivot"), "minhash-pivots")
+        met = placed.join(pivots, "key").where(F.col("node") != F.col("pivot"))
+        pairs = met.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg((F.max("c") > 2).alias("crowd"))
         if tested is not None:
-            pairs = pairs.join(tested.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")), ["u", "v"], "left_anti")
-        compared = stored(_confirmed(pairs.select("a", "b"), texts, words, percent), "minhash-compared")
+            # A pair compared outside a crowd lacks the rest that the others need.
+            known = tested.groupBy("a", "b").agg(F.max("crowd").alias("whole"))
+            pairs = pairs.join(known, ["a", "b"], "left").where(F.col("whole").isNull() | (F.col("crowd") & ~F.col("whole"))).drop("whole")
+        compared = stored(_confirmed(pairs, texts, words, percent), "minhash-compared")
         tested = compared if tested is None else tested.unionByName(compared)
         if not compared.where("linked").isEmpty():
             roots = components(tested.where("linked").select("a", "b"), label="minhash-links")
-        members = placed.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").select("key", "node", "n")
+        most = stored(_most_common(tested), "minhash-most").withColumnsRenamed({"a": "pivot", "b": "node"})
+        # The smallest partner that a node can have here sets the least overlap of a link.
+        partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+        hopeless = met.join(most, ["pivot", "node"]).where((100 + percent) * F.col("most") < percent * (F.col("n") + partner))
+        gone = pivots.select("key", F.col("pivot").alias("node")).union(hopeless.select("key", "node"))
+        members = placed.join(gone, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
         turn += 1
 
 
@@ -204,8 +237,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, id_col:
     sets = rows.where("n > 0").groupBy("node").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys"))
     sets = stored(sets, "minhash-sets")
     held = sets.select("node", "n", F.explode("keys").alias("key"))
-    crowded = held.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members = stored(held.join(crowded, "key", "left_semi"), "minhash-members")
+    crowded = held.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    members = stored(held.join(crowded, "key"), "minhash-members")
     texts = _texts(docs, sets.join(members.select("node").distinct(), "node", "left_semi"), id_col, text_col)
     roots = _linked(members, stored(texts, "minhash-texts"), words, percent)
 
