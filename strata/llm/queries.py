@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..queries.base import table
-from . import langid, licenses, minhash, mixing, packing, pii, quality, runs, simhash, site_tree, tokencount, topk
+from . import langid, licenses, minhash, mixing, packing, phrases, pii, quality, runs, simhash, site_tree, tokencount, topk
 from .shared import prepared
 
 
@@ -111,6 +111,10 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(prepared(spark), sf_dir, "documents"), words=4, percent=80)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(prepared(spark), sf_dir, "documents"), least=30, most=2000)
+
+
 QUERIES = {
     "op1_site_tree": op1_site_tree,
     "op2_simhash": op2_simhash,
@@ -124,6 +128,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_runs": op11_runs,
     "op12_minhash": op12_minhash,
+    "op13_phrases": op13_phrases,
 }
 
 SQL: dict[str, str] = {
