@@ -9,10 +9,10 @@ the similarity of their sets, and the number of agreements is at least as concen
 independent hashes.
 
 Bands of the sketch give buckets. A pivot of each bucket, first the text that shares the most buckets, is
-compared with the others on their full sets. Most texts are linked by that, or shown to link with
-nothing: too much of them is neither in the pivot nor in any other text compared with it. Only the rest goes on
-with pivots of its own, twice as many in each round, until every pair of a bucket is compared,
-linked or ruled out. So a crowded bucket takes a few rows per text, not its pairs.
+compared with the others on their full sets. Most texts are linked by that. How the others differ from what
+the bucket has in common bounds what any two of them share, and most pairs are ruled out by that bound. Only
+what is left goes on with pivots of its own, eight times as many in each round, until every pair of a bucket is
+compared, linked or ruled out. So a crowded bucket takes a few rows per text, not its pairs.
 """
 
 from __future__ import annotations
@@ -135,9 +135,10 @@ def with_sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, crowd, common, linked, rest) of every pair (a, b, crowd), by its two full sets.
+    """(a, b, linked, size, difference) of every pair (a, b, crowd), by its two full sets.
 
-    common is what b's set shares with a's; rest, of pairs in a crowd, hashes what it does not.
+    size is that of a's set; difference, of pairs in a crowd, hashes where b's set differs from it: even for
+    what b has more, odd for what it lacks.
     """
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -146,79 +147,115 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     def make():
         last: list = [None, set()]
 
+        def hashed(shingles: set[tuple[bytes, ...]], lacking: int) -> list[int]:
+            return [xxhash.xxh64_intdigest(b" ".join(x)) >> 1 << 1 | lacking for x in shingles]
+
         def each(batch: pa.RecordBatch) -> pa.Table:
-            shared, linked, rests = [], [], []
+            linked, sizes, differences = [], [], []
             for a, crowd, one, two in zip(*(batch.column(c).to_pylist() for c in ("a", "crowd", "text_a", "text_b")), strict=True):
                 if last[0] != a:  # pairs of one pivot come together
                     last[:] = a, shingle_set(one, words)
                 mine, other = last[1], shingle_set(two, words)
                 common = len(mine & other)
-                shared.append(common)
                 linked.append(100 * common >= percent * (len(mine) + len(other) - common))
-                rests.append([xxhash.xxh64_intdigest(b" ".join(x)) for x in other - mine] if crowd else [])
-            rest = pa.array([np.array(r, np.uint64).astype(np.int64) for r in rests], pa.list_(pa.int64()))
-            found = {"common": pa.array(shared, pa.int64()), "linked": pa.array(linked, pa.bool_()), "rest": rest}
-            return pa.table({c: batch.column(c) for c in ("a", "b", "crowd")} | found)
+                sizes.append(len(mine))
+                differences.append(hashed(other - mine, 0) + hashed(mine - other, 1) if crowd else [])
+            found = {"linked": pa.array(linked, pa.bool_()), "size": pa.array(sizes, pa.int64())}
+            lists = pa.array([np.array(d, np.uint64).astype(np.int64) for d in differences], pa.list_(pa.int64()))
+            return pa.table({c: batch.column(c) for c in ("a", "b")} | found | {"difference": lists})
 
         return each
 
-    return by_batch(both, make, "a binary, b binary, crowd boolean, common long, linked boolean, rest array<long>")
+    return by_batch(both, make, "a binary, b binary, linked boolean, size long, difference array<long>")
 
 
-def _most_common(compared: DataFrame) -> DataFrame:
-    """(a, b, most) of pairs of a crowd without a link: the most that b shares with any text compared with a there.
+def _reference(compared: DataFrame) -> DataFrame:
+    """(pivot, node, core, lacks, gaps, extras) of the pairs compared with a pivot.
 
-    What b shares with such a text lies in a, or in what several of them have beside a.
+    The core is the pivot's set with the differences that most of its group have: what the group has in common.
+    core is its size, lacks how much of it the node has not, gaps how much of that another node lacks too, and extras
+    how much the node shares with another outside the core. So two nodes have in common at most
+    core - lacks - lacks + the smaller gaps + the smaller extras.
     """
-    parts = compared.select("a", "b", F.explode("rest").alias("h"))
-    several = parts.groupBy("a", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "h")
-    extra = parts.join(several, ["a", "h"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).alias("extra"))
-    found = compared.where("crowd and not linked").select("a", "b", "common").join(extra, ["a", "b"], "left")
-    return found.select("a", "b", (F.col("common") + F.coalesce("extra", F.lit(0))).alias("most"))
-
-
-def _linked(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame | None:
+    groups = compared.groupBy("a").agg((F.count(F.lit(1)) + 1).alias("g"), F.first("size").alias("size"))
+    parts = compared.select("a", "b", F.explode("difference").alias("h"))
+    counts = parts.groupBy("a", "h").agg(F.count(F.lit(1)).alias("c")).join(groups, "a")
+    most, lacking = 2 * F.col("c") > F.col("g"), F.col("h").bitwiseAND(F.lit(1)) == 1
+    # Of a difference that most have, those are odd that do not have it.
+    several = F.when(most, F.col("g") - F.col("c") > 1).otherwise(F.col("c") > 1)
+    counts = counts.select("a", "h", most.alias("most"), lacking.alias("lacking"), several.alias("several"))
+    most, lacking, several = F.col("most"), F.col("lacking"), F.col("several")
+    cores = counts.where(most).groupBy("a").agg(
+        F.count_if(~lacking).alias("gained"),
+        F.count_if(lacking).alias("lost"),
+        F.count_if(several & ~lacking).alias("gained_odd"),
+        F.count_if(several & lacking).alias("lost_odd"),
+    )
+    # A node differs from the core where it differs from the pivot without most, and where most do without it.
+    own = parts.join(counts, ["a", "h"]).groupBy("a", "b").agg(
+        F.count_if(~most & lacking).alias("lacks"),
+        F.count_if(~most & lacking & several).alias("gaps"),
+        F.count_if(~most & ~lacking & several).alias("extras"),
+        F.count_if(most & ~lacking).alias("has"),
+        F.count_if(most & ~lacking & several).alias("has_odd"),
+        F.count_if(most & lacking & several).alias("left_odd"),
+    )
+    found = compared.select("a", "b").join(groups, "a").join(cores, "a", "left").join(own, ["a", "b"], "left").na.fill(0)
+    return found.select(
+        F.col("a").alias("pivot"),
+        F.col("b").alias("node"),
+        F.expr("size + gained - lost").alias("core"),
+        F.expr("lacks + gained - has").alias("lacks"),
+        F.expr("gaps + gained_odd - has_odd").alias("gaps"),
+        F.expr("extras + lost_odd - left_odd").alias("extras"),
+    )
+
+
+def _linked(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, root) of nodes that a link joins to another, from the buckets (key, node, n, c) of c nodes.
 
-    Each round takes pivots of every bucket that holds several groups of linked nodes, first the node that shares
-    the most buckets, later nodes outside the bucket's largest group, and compares them with the whole bucket. A
-    node leaves the bucket once it was a pivot, or once what it shares with the pivot, and beside it with any other
-    node there, is too little for a link. A bucket is done when one group is left.
+    First every bucket is compared with its node that shares the most buckets. That links most nodes, and shows how
+    much any two others can have in common. From then on only pairs that can be linked and are not yet in one
+    group are compared, with pivots from outside the bucket's largest group, until none is left to be a pivot.
     """
     popular = members.groupBy("node").agg(F.sum("c").alias("fame"))
-    members = stored(members.join(popular, "node").select("key", "node", "n", F.least("fame", F.lit(1 << 40)).alias("fame")), "minhash-open")
-    roots = tested = None
+    opened = stored(members.join(popular, "node"), "minhash-open")
+    first = opened.groupBy("key").agg(F.max_by(F.col("node"), F.struct("fame", "node")).alias("pivot"))
+    met = opened.join(first, "key").where(F.col("node") != F.col("pivot"))
+    met = stored(met.groupBy("pivot", "node").agg(F.first("n").alias("n"), (F.max("c") > 2).alias("crowd")), "minhash-met")
+    pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "crowd")
+    compared = stored(_confirmed(pairs, texts, words, percent), "minhash-compared")
+    seen = compared.select("a", "b", "linked")
+    roots = components(seen.where("linked").select("a", "b"), label="minhash-links")
+    # From here on, the nodes compared with one pivot stand together: a superset of its buckets.
+    met = met.where("crowd").withColumnRenamed("pivot", "key")
+    least = met.groupBy("key").agg(F.min("n").alias("least"))
+    reference = _reference(compared.join(pairs.where("crowd"), ["a", "b"], "left_semi")).withColumnRenamed("pivot", "key")
+    # The smallest partner that a node can have here sets the least overlap of a link.
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    hopeful = (100 + percent) * F.expr("core - lacks + extras") >= percent * (F.col("n") + partner)
+    opened = met.join(reference, ["key", "node"]).join(least, "key").where(hopeful).drop("crowd", "least")
     turn = 0
     while True:
-        placed = members if roots is None else members.join(roots, "node", "left")
-        group = F.col("node") if roots is None else F.coalesce("root", "node")
-        placed = placed.select("key", "node", "n", "fame", group.alias("group"))
-        sizes = placed.groupBy("key", "group").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n"))
-        lead = F.max_by("group", F.struct("c", "group")).alias("lead")
-        apart = sizes.groupBy("key").agg(lead, F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c"), F.min("n").alias("least")).where("groups > 1")
-        placed = stored(placed.join(apart.drop("groups"), "key"), "minhash-open")
+        placed = opened.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+        sizes = placed.groupBy("key", "group").agg(F.count(F.lit(1)).alias("c"))
+        lead = sizes.groupBy("key").agg(F.max_by("group", F.struct("c", "group")).alias("lead"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+        placed = stored(placed.join(lead.drop("groups"), "key"), "minhash-open")
         if placed.isEmpty():
             return roots
-        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(max(turn - 1, 0), 30)))
-        best = F.max_by(F.col("node"), F.struct("fame", "node")).alias("pivot")
-        chosen = (placed.where(F.col("group") != F.col("lead")) if turn else placed).groupBy("key", part.alias("part")).agg(best)
-        pivots = stored(chosen.select("key", "pivot"), "minhash-pivots")
-        met = placed.join(pivots, "key").where(F.col("node") != F.col("pivot"))
-        pairs = met.groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg((F.max("c") > 2).alias("crowd"))
-        if tested is not None:
-            # A pair compared outside a crowd lacks the rest that the others need.
-            known = tested.groupBy("a", "b").agg(F.max("crowd").alias("whole"))
-            pairs = pairs.join(known, ["a", "b"], "left").where(F.col("whole").isNull() | (F.col("crowd") & ~F.col("whole"))).drop("whole")
-        compared = stored(_confirmed(pairs, texts, words, percent), "minhash-compared")
-        tested = compared if tested is None else tested.unionByName(compared)
+        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(3 * turn, 30)))
+        pick = F.max_by(F.struct("node", "n", "lacks", "gaps", "extras", "group"), F.struct(-F.col("lacks"), "node")).alias("p")
+        chosen = placed.where(F.col("group") != F.col("lead")).groupBy("key", part.alias("part")).agg(pick)
+        pivots = stored(chosen.select("key", "p.*").toDF("key", "pivot", "pn", "plack", "pgaps", "pextras", "pgroup"), "minhash-pivots")
+        able = (100 + percent) * F.expr("core - lacks - plack + least(gaps, pgaps) + least(extras, pextras)") >= percent * (F.col("n") + F.col("pn"))
+        able &= (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")) & (F.col("group") != F.col("pgroup"))
+        pairs = placed.join(pivots, "key").where(able).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti").withColumn("crowd", F.lit(False))
+        compared = stored(_confirmed(pairs, texts, words, percent), "minhash-compared").select("a", "b", "linked")
+        seen = seen.unionByName(compared)
         if not compared.where("linked").isEmpty():
-            roots = components(tested.where("linked").select("a", "b"), label="minhash-links")
-        most = stored(_most_common(tested), "minhash-most").withColumnsRenamed({"a": "pivot", "b": "node"})
-        # The smallest partner that a node can have here sets the least overlap of a link.
-        partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-        hopeless = met.join(most, ["pivot", "node"]).where((100 + percent) * F.col("most") < percent * (F.col("n") + partner))
-        gone = pivots.select("key", F.col("pivot").alias("node")).union(hopeless.select("key", "node"))
-        members = placed.join(gone, ["key", "node"], "left_anti").select("key", "node", "n", "fame")
+            roots = components(seen.where("linked").select("a", "b"), label="minhash-links")
+        opened = placed.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").drop("group", "lead")
         turn += 1
 
 
@@ -242,9 +279,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, id_col:
     texts = _texts(docs, sets.join(members.select("node").distinct(), "node", "left_semi"), id_col, text_col)
     roots = _linked(members, stored(texts, "minhash-texts"), words, percent)
 
-    placed = sets.select("node", F.col("rep.id").alias("least"), F.col("node").alias("root"))
-    if roots is not None:
-        placed = placed.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = sets.select("node", F.col("rep.id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component"))
     placed = stored(placed.join(ids, "root").select("node", "component"), "minhash-placed")
     alone = rows.where("n = 0").select("id", "n", F.col("id").alias("component"))
