@@ -29,9 +29,9 @@ from .shared import shipped, stored
 #: Words of a phrase at most.
 LONGEST = 4
 #: A shard is closed at so many words.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 600_000
 #: Words behind one range, about; there are as many ranges as shuffle partitions at least.
-RANGE_WORDS = 2_000_000
+RANGE_WORDS = 1_000_000
 #: Words of the sample in which common prefixes are found: so many in all and per range.
 SAMPLE_WORDS, SAMPLE_PER_RANGE = 400_000, 2_000
 
