@@ -127,7 +127,7 @@ def with_skey(facts: DataFrame, lookup: Lookup) -> DataFrame:
     return joined.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
 
 
-# A dimension is sent to every task only below both bounds; they choose the plan, never the answer.
+# A dimension is sent to every task only below both bounds; they choose the plan, never the answer or whether there is one.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 # The second one bounds the versions a single fact is compared with.
@@ -151,8 +151,10 @@ def with_skey_as_of(
     A dimension that is measured small, in rows, bytes and versions per key, is broadcast.
     Otherwise facts and versions are ordered together by key and time and the last version
     is filled forward: one shuffle and one sort, never facts x versions. Measuring runs one job
-    over the dimension's key columns while the plan is built.
+    over the dimension's key columns while the plan is built. Streamed facts are refused whatever the
+    dimension's size: strata.streaming.facts.land_facts runs this for each micro-batch.
     """
+    _refuse_stream(facts, lookup)
     keys = [f"__k{i}" for i in range(len(lookup.on))]
     versions = lookup.dimension.select(
         *(named(theirs).alias(k) for k, theirs in zip(keys, lookup.on.values())),
@@ -178,6 +180,11 @@ def with_skey_as_of(
     return found.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
 
 
+def _refuse_stream(facts: DataFrame, lookup: Lookup) -> None:
+    if facts.isStreaming:
+        raise ValueError(f"{lookup.target}: streamed facts find versions by micro-batch, with land_facts")
+
+
 def _join_versions(keyed: DataFrame, versions: DataFrame, keys: list[str]) -> DataFrame:
     """Each version cut off where the next one starts, so that one at most holds a fact's time."""
     # Of versions with one start, all but the last are cut off at that start, and so hold nothing.
@@ -245,12 +252,12 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
     return found if crowds is None else found.unionByName(crowds.select(*named_all(found.columns)))
 
 
-def fact(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy = SkewPolicy()) -> DataFrame:
+def fact(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy = SkewPolicy(), broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A fact table: one surrogate key per dimension in front, then the fact's columns."""
     for lookup in lookups:
         versioned = EFFECTIVE_FROM in lookup.dimension.columns
         if versioned and lookup.event_time:
-            facts = with_skey_as_of(facts, lookup, skew)
+            facts = with_skey_as_of(facts, lookup, skew, broadcast_rows)
         else:
             facts = with_skey(facts, lookup)
     skeys = [lookup.target for lookup in lookups]

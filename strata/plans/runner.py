@@ -15,6 +15,7 @@ from ..operators.raw import raw
 from ..operators.skew import SkewPolicy
 from ..operators.tables import WRITE_MODES, append_table, create_current_view, replace_table
 from ..sources import read_source
+from ..streaming.facts import land_facts
 from ..streaming.history import HistoryStore
 from ..streaming.ingest import land_stream, read_hop
 from .specs import LAYERS, HopSpec, plan_objects
@@ -115,19 +116,47 @@ class Medallion:
             mode = spec.option("read_mode", "snapshot")
             append_only = spec.option("append_only_source", False)
             source = read_hop(self.spark, spec.source_table, mode, append_only)
-            lookups = [self._lookup(item) for item in spec.option("lookups", ())]
+            if source.isStreaming and spec.option("primary_key_columns"):
+                raise ValueError(f"{spec.table}: primary_key_columns need read_mode 'snapshot': which row of a key is the last is never settled on a stream")
+            if source.isStreaming and spec.option("lookups"):
+                self._stream_facts(spec, source, rules)
+                return
+            lookups = [self._lookup(self.spark, item) for item in spec.option("lookups", ())]
             if lookups:
                 source = gold.fact(source, lookups, self.skew)
             if spec.option("primary_key_columns"):
                 source = gold.one_per_key(source, spec.option("primary_key_columns"))
-            shed = gold.cons if spec.object_key.startswith("cons_") else gold.dimension
-            built = gold.mapped(shed(source) if not rules else source, rules, spec.option("filter"))
+            built = self._mapped(spec, source, rules)
         self._write(spec, built, rules)
         if spec.option("create_scd2_view"):
             create_current_view(self.spark, spec.table, spec.option("scd2_view_name"))
 
-    def _lookup(self, item: Mapping[str, Any]) -> gold.Lookup:
-        dimension = read_hop(self.spark, item["dimension"])
+    def _mapped(self, spec: HopSpec, source: DataFrame, rules: Sequence[Any]) -> DataFrame:
+        shed = gold.cons if spec.object_key.startswith("cons_") else gold.dimension
+        return gold.mapped(shed(source) if not rules else source, rules, spec.option("filter"))
+
+    def _stream_facts(self, spec: HopSpec, source: DataFrame, rules: Sequence[Any]) -> None:
+        """New facts only, each micro-batch with the dimensions as they stand when it runs."""
+        if spec.option("write_mode", "materialized_view") != "streaming_table":
+            raise ValueError(f"{spec.table}: a streaming read needs write_mode 'streaming_table', not {spec.option('write_mode', 'materialized_view')!r}")
+        if spec.option("create_scd2_view"):
+            raise ValueError(f"{spec.table}: create_scd2_view is for dimensions, not for streamed facts")
+        counts = land_facts(
+            source,
+            lambda spark: [self._lookup(spark, item) for item in spec.option("lookups")],
+            self._checkpoint(spec),
+            self._location(spec),
+            spec.table,
+            spec.comment,
+            lambda df: self._mapped(spec, df, rules),
+            expectations_of(rules),
+            self.skew,
+        )
+        if counts:
+            self.violations[spec.table] = counts
+
+    def _lookup(self, spark: SparkSession, item: Mapping[str, Any]) -> gold.Lookup:
+        dimension = read_hop(spark, item["dimension"])
         return gold.Lookup(dimension, item["on"], item["skey"], item.get("into"), item.get("event_time"), item.get("unknown"))
 
     def _write(self, spec: HopSpec, df: DataFrame, rules: Sequence[Any]) -> None:

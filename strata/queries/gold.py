@@ -13,6 +13,7 @@ from ..operators.processed import read_rules
 from ..operators.skew import SkewPolicy
 from ..operators.tables import append_table, create_current_view, replace_table
 from ..session import scratch_dir, stored_once
+from ..streaming.facts import land_facts, landed_facts
 from ..streaming.ingest import land_stream
 from .base import EVENT_VERSIONS, Query, skey_sql, table
 from .processed import PROCESSED_VERSIONS, customer_keys, event_versions
@@ -68,6 +69,32 @@ def gold_pit_skey_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return with_skey_as_of(_facts(spark, sf), _as_of(spark, sf), broadcast_rows=0)
 
 
+def _streamed(spark: SparkSession, sf: str, **how) -> DataFrame:
+    """The facts arrive in three files, each a micro-batch; the dimension is read anew for each."""
+    facts, work, dim = _facts(spark, sf), scratch_dir(spark, "stream-facts"), scratch_dir(spark, "processed_user")
+    event_versions(spark, sf).write.parquet(dim)
+    for part in range(3):
+        facts.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{work}/raw")
+    stream = spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/raw")
+    land_facts(
+        stream,
+        lambda spark: [Lookup(spark.read.parquet(dim), {"user_id": "user_id"}, "user_skey", event_time="ts")],
+        f"{work}/checkpoint",
+        f"{work}/facts",
+        **how,
+    )
+    return landed_facts(spark, f"{work}/facts")
+
+
+def gold_pit_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf)
+
+
+def gold_pit_stream_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where nothing may be broadcast."""
+    return _streamed(spark, sf, broadcast_rows=0)
+
+
 def _overlapping(spark: SparkSession, sf: str) -> Lookup:
     """A dimension whose versions overlap and start together: one per event, from its day on for some hours."""
     start = F.date_trunc("day", "ts")
@@ -252,6 +279,8 @@ FROM events e LEFT JOIN dim d ON e.user_id = d.user_id AND d.__etl_is_current
     "gold_pit_skey": Query(gold_pit_skey, _PIT_SQL),
     "gold_pit_skey_ordered": Query(gold_pit_skey_ordered, _PIT_SQL),
     "gold_pit_skey_long_keys": Query(gold_pit_skey_long_keys, _PIT_SQL),
+    "gold_pit_stream": Query(gold_pit_stream, _PIT_SQL),
+    "gold_pit_stream_ordered": Query(gold_pit_stream_ordered, _PIT_SQL),
     "gold_pit_overlapping": Query(gold_pit_overlapping, _OVERLAPPING_SQL),
     "gold_pit_overlapping_ordered": Query(gold_pit_overlapping_ordered, _OVERLAPPING_SQL),
     "gold_current_view": Query(

@@ -174,16 +174,63 @@ def registry_fact_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"spark_catalog.{hops['gold']['schema']}.fact_event")
 
 
-QUERIES = {
-    "registry_fact_as_of": Query(
-        registry_fact_as_of,
-        f"""
+def registry_fact_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Streamed raw facts that take the key of the dimension's version at their time, as they come."""
+    hops = _hops()
+    columns = ("user_skey", "user_id", "__etl_effective_from", "__etl_effective_to", "__etl_is_current")
+    registry = {
+        "hops": hops,
+        "source_systems": {
+            "shop": {
+                "source_type": "cloud_storage",
+                "connection": {"cloud_storage_path": sf.rstrip("/") + "/{object}*.parquet", "cloud_storage_type": "parquet"},
+                "defaults": _defaults(ingestion_mode="streaming", merge_strategy="append"),
+                "dimensions": {
+                    "events": {
+                        "primary_key_columns": "user_id",
+                        "l01": {"source_updated_at_col": "ts", "data_items": ["user_id", "ts", "event_type"]},
+                        "l02": {"apply_as_deletes": "event_type = 'error'", "track_history_column_list": ["event_type"], "buckets": 8},
+                        "l03": {"skey_column": "user_skey"},
+                    }
+                },
+                "facts": {
+                    "event": {
+                        "primary_key_columns": "event_id",
+                        "l01": {"source_updated_at_col": "ts", "data_items": ["event_id", "user_id", "ts", "value"]},
+                        "l02": {"enabled": False},
+                        "l03": {"enabled": False},
+                    }
+                },
+            }
+        },
+        "gold": [
+            {
+                "object_name": "fact_event",
+                "source_object": "raw_event",
+                "source_schema": hops["l01"]["schema"],
+                "read_mode": "stream",
+                "append_only_source": True,
+                "write_mode": "streaming_table",
+                "lookups": [{"dimension": "dim_user", "on": "user_id", "skey": "user_skey", "event_time": "ts", "unknown": -1}],
+                "columns": [{"source_col": c, "target_col": c} for c in ("user_skey", "event_id", "user_id", "ts", "value")],
+            },
+            {"object_name": "dim_user", "source_object": "processed_events", "columns": [{"source_col": c, "target_col": c} for c in columns]},
+        ],
+    }
+    Medallion(spark, registry, scratch_dir(spark, "registry-stream")).run()
+    return spark.table(f"spark_catalog.{hops['gold']['schema']}.fact_event")
+
+
+_AS_OF_SQL = f"""
 WITH {EVENT_VERSIONS}, dim AS ({PROCESSED_VERSIONS})
 SELECT coalesce(d.user_skey, -1) AS user_skey, e.event_id, e.user_id, e.ts, e.value
 FROM events e LEFT JOIN dim d
   ON e.user_id = d.user_id AND e.ts >= d.__etl_effective_from AND e.ts < d.__etl_effective_to
-""",
-    ),
+"""
+
+QUERIES = {
+    "registry_fact_as_of": Query(registry_fact_as_of, _AS_OF_SQL),
+    "registry_fact_stream": Query(registry_fact_stream, _AS_OF_SQL),
     "registry_dim_end_to_end": Query(
         registry_dim_end_to_end, f"WITH {EVENT_VERSIONS} {PROCESSED_VERSIONS}"
     ),
