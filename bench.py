@@ -88,6 +88,25 @@ def growing_state(spark, sf_dir: str) -> dict[str, float]:
     return taken
 
 
+def many_batches(spark, sf_dir: str, batches: int = 64) -> dict[str, float]:
+    """Median seconds of the last sixteen of many micro-batches of a hundred changes, and the rows of runs that all wrote."""
+    spec = ChangeSpec(keys=["k"], sequence_by="seq", except_column_list=["seq"])
+    feed = copies(spark, sf_dir, 2).where("k >= 0")
+    store = HistoryStore(spark, scratch_dir(spark, "bench-batches"), spec, feed.schema, buckets=4)
+    store.apply(feed, 1)
+    last = feed.agg({"seq": "max"}).first()[0]
+    few = feed.select("k").distinct().orderBy("k").limit(100)
+    taken, written = [], 0
+    for i in range(2, batches + 2):
+        changes = few.select("k", F.lit(last + i).alias("seq"), F.lit(f"bench {i}").alias("event_type"))
+        begin = time.perf_counter()
+        store.apply(changes, i)
+        taken.append(time.perf_counter() - begin)
+        written += sum(p.rows for p in store.manifest() if p.version == i and p.kind in (0, 1, 2))
+    print(f"{batches} micro-batches of 100 changes wrote {written} rows of runs and cuts", file=sys.stderr, flush=True)
+    return {"micro_batch_after_48_batches": round(statistics.median(taken[-16:]), 3)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -106,7 +125,7 @@ def main() -> None:
         print(f"{name}: {seconds[name]} s", file=sys.stderr, flush=True)
 
     if "BENCH_QUERIES" not in os.environ:
-        for more in (hot_key, growing_state):
+        for more in (hot_key, growing_state, many_batches):
             seconds |= more(spark, sf_dir)
             print(seconds, file=sys.stderr, flush=True)
 

@@ -127,19 +127,29 @@ def scd1_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, "scd1", feed, event_changes(scd_type=1, except_column_list=[]))
 
 
-def scd2_incremental_late(spark: SparkSession, sf: str) -> DataFrame:
+def _late(spark: SparkSession, feed: DataFrame, spec: ChangeSpec, label: str) -> DataFrame:
     """Four micro-batches in order of time, then one with every tenth change of all times."""
-    feed = _feed(spark, sf)
     late = F.pmod(F.xxhash64("user_id", "ts"), F.lit(10)) == 0
-    store = HistoryStore(spark, scratch_dir(spark, "scd2-late"), event_changes(), feed.schema, buckets=8)
-    span = feed.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
-    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(span["a"])) * 4 / (F.lit(span["b"]) - F.lit(span["a"]) + 1))
+    store = HistoryStore(spark, scratch_dir(spark, label), spec, feed.schema, buckets=8)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = feed.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+    part = F.floor((at - F.lit(span["a"])) * 4 / (F.lit(span["b"]) - F.lit(span["a"]) + 1))
     for i in range(4):
         store.apply(feed.where(~late & (part == i)), i + 1)
     store.apply(feed.where(late), 5)
     return store.read()
 
 
+def scd2_incremental_late(spark: SparkSession, sf: str) -> DataFrame:
+    return _late(spark, _feed(spark, sf), event_changes(), "scd2-late")
+
+
+def scd2_ignore_nulls_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Late changes meet carried values: each reads on from its run, with what the run before it ended with."""
+    spec = event_changes(apply_as_deletes="event_type = 'signup'", ignore_null_updates=True)
+    return _late(spark, _nulled(spark, sf), spec, "scd2-nulls-late")
+
+
 def cdc_refused_rows(spark: SparkSession, sf: str) -> DataFrame:
     """How many changes lack a key or a sequence."""
     feed = table(spark, sf, "events").select(
@@ -194,6 +204,18 @@ _CARRIED = f"""
   )
 """
 
+_IGNORE_NULLS_SQL = f"""
+WITH {_CARRIED}, marked AS (
+  SELECT *, row_number() OVER w = 1 OR gone <> lag(gone) OVER w
+            OR (NOT gone AND (event_type IS DISTINCT FROM lag(event_type) OVER w
+                              OR value IS DISTINCT FROM lag(value) OVER w)) AS opens
+  FROM carried WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), bounded AS (
+  SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at FROM marked WHERE opens
+)
+SELECT user_id, event_type, value, ts AS __START_AT, end_at AS __END_AT FROM bounded WHERE NOT gone
+"""
+
 QUERIES = {
     "scd1_latest": Query(
         scd1_latest,
@@ -254,20 +276,8 @@ SELECT user_id, event_type, value, start_at AS __START_AT,
 FROM merged
 """,
     ),
-    "scd2_ignore_nulls": Query(
-        scd2_ignore_nulls,
-        f"""
-WITH {_CARRIED}, marked AS (
-  SELECT *, row_number() OVER w = 1 OR gone <> lag(gone) OVER w
-            OR (NOT gone AND (event_type IS DISTINCT FROM lag(event_type) OVER w
-                              OR value IS DISTINCT FROM lag(value) OVER w)) AS opens
-  FROM carried WINDOW w AS (PARTITION BY user_id ORDER BY ts)
-), bounded AS (
-  SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at FROM marked WHERE opens
-)
-SELECT user_id, event_type, value, ts AS __START_AT, end_at AS __END_AT FROM bounded WHERE NOT gone
-""",
-    ),
+    "scd2_ignore_nulls": Query(scd2_ignore_nulls, _IGNORE_NULLS_SQL),
+    "scd2_ignore_nulls_late": Query(scd2_ignore_nulls_late, _IGNORE_NULLS_SQL),
     "scd2_composite": Query(
         scd2_composite,
         """

@@ -9,13 +9,17 @@ from its stored changes, back to the run that the late change falls into. Either
 micro-batch writes the new runs of the keys it touches, and for each of them the start from
 which older runs no longer count:
 
-    changes/__batch=<id>/__bucket=<b>              all changes, append-only
+    changes/__batch=<id>/__bucket=<b>              the changes of a micro-batch
+    merged/__batch=<id>/__bucket=<b>               changes of earlier micro-batches, put together
     runs/__version=<id>/__open=<0|1>/__bucket=<b>  runs of the keys that the micro-batch touched
     cuts/__version=<id>/__bucket=<b>               their older runs end before this start (NULL: all go)
-    manifest/__batch=<id>                          the (kind, bucket, version) parts that count
+    manifest/__batch=<id>                          the parts that count, with rows and range of sequences
 
-So what is written follows the micro-batch, not the table. Everything is split into key buckets;
-once a bucket has cuts of `merge_after` micro-batches it is written anew without them.
+So what is written follows the micro-batch, not the table. Everything is split into key buckets. Once
+a bucket has parts of `merge_after` micro-batches, the newest of them are put together, back to one that
+is more than twice as large as all of those: a run is written again about log2 times of the bucket's rows in its
+life, and what no merge reaches is never written again. Changes are merged in the same way; a late change opens
+only parts whose range of sequences reaches its cut.
 
 A micro-batch takes effect when its manifest is in place. Run again after a failure, it
 starts from the manifest before it and gives the same rows.
@@ -26,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +48,37 @@ BUCKET, OPEN, VERSION, BATCH = "__bucket", "__open", "__version", "__batch"
 
 CUT = "__cut"
 
-CLOSED_RUNS, OPEN_RUNS, CUTS = 0, 1, 2
-Part = tuple[int, int, int]  # kind, bucket, version
+FROM = "__from"
+
+CLOSED_RUNS, OPEN_RUNS, CUTS, CHANGES, MERGED = 0, 1, 2, 3, 4
+#: A late change of up to so many keys has them pushed down into the scan of its stored changes.
+PUSHED_KEYS = 200
+
+
+class Part(NamedTuple):
+    """What a micro-batch wrote of one kind in one bucket. low, high: least and greatest sequence of changes, as integers."""
+
+    kind: int
+    bucket: int
+    version: int
+    rows: int = 0
+    low: int = 0
+    high: int = 0
+
+
+def newest_to_merge(sizes: list[int], merge_after: int) -> int:
+    """How many of the newest parts, given oldest first by their sizes, are to be put together now.
+
+    Nothing below `merge_after` parts. Then the newest, and on to older ones until one is more than twice as large
+    as all those together.
+    """
+    if len(sizes) < merge_after:
+        return 0
+    taken, total = 1, sizes[-1]
+    while taken < len(sizes) and sizes[-taken - 1] <= 2 * total:
+        taken += 1
+        total += sizes[-taken]
+    return taken
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -67,7 +101,7 @@ class HistoryStore:
     """root: a folder all executors share. buckets: fixed for the life of the store; choose
     it so that one bucket of open runs is a few files.
 
-    A bucket is written anew once `merge_after` micro-batches have replaced runs of it.
+    Newest parts of a bucket are put together once it has parts of `merge_after` micro-batches.
     refused: by micro-batch of this session, how many changes could not be applied.
     """
 
@@ -112,7 +146,10 @@ class HistoryStore:
     def _manifest_of(self, batch_id: int) -> set[Part]:
         schema = T.StructType([T.StructField("part", T.StringType())])
         rows = _read(self.spark, f"{self.root}/manifest/{BATCH}={batch_id}", schema).collect()
-        return {tuple(map(int, row["part"].split("/"))) for row in rows}
+        parts = {Part(*map(int, row["part"].split("/"))) for row in rows}
+        if parts and not any(p.kind in (CHANGES, MERGED) for p in parts):
+            raise ValueError(f"{self.root}: its manifest does not list changes; it was written in an older layout and must be loaded anew")
+        return parts
 
     def _write_manifest(self, parts: set[Part], batch_id: int) -> None:
         if not parts:
@@ -124,7 +161,7 @@ class HistoryStore:
     def _parts(self, parts: Iterable[Part], schema: T.StructType, folder: str, place: str) -> DataFrame:
         """Rows of these parts with their bucket and version."""
         schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField(VERSION, T.LongType())])
-        paths = [f"{self.root}/{folder}/" + place.format(k=k, b=b, v=v) for k, b, v in sorted(parts)]
+        paths = [f"{self.root}/{folder}/" + place.format(k=p.kind, b=p.bucket, v=p.version) for p in sorted(parts)]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(*paths).select(*schema.names)
@@ -133,15 +170,15 @@ class HistoryStore:
         feed = self._feed()
         start = self._runs_schema()[START_AT].dataType
         schema = T.StructType([*(feed.schema[k] for k in self.spec.keys), T.StructField(CUT, start)])
-        return self._parts((p for p in parts if p[0] == CUTS), schema, "cuts", f"{VERSION}={{v}}/{BUCKET}={{b}}")
+        return self._parts((p for p in parts if p.kind == CUTS), schema, "cuts", f"{VERSION}={{v}}/{BUCKET}={{b}}")
 
     def _runs(self, parts: Iterable[Part], of: DataFrame | None = None) -> DataFrame:
         """Runs in force in these parts, of all keys or of the keys in `of`."""
-        parts, keys = set(parts), list(self.spec.keys)
-        found = self._parts((p for p in parts if p[0] != CUTS), self._runs_schema(), "runs", f"{VERSION}={{v}}/{OPEN}={{k}}/{BUCKET}={{b}}")
+        parts, keys = {p for p in parts if p.kind in (CLOSED_RUNS, OPEN_RUNS, CUTS)}, list(self.spec.keys)
+        found = self._parts((p for p in parts if p.kind != CUTS), self._runs_schema(), "runs", f"{VERSION}={{v}}/{OPEN}={{k}}/{BUCKET}={{b}}")
         if of is not None:
             found = found.join(of.select(*named_all(keys)).distinct(), keys, "left_semi")
-        if any(p[0] == CUTS for p in parts):
+        if any(p.kind == CUTS for p in parts):
             cuts = self._cut_rows(parts).drop(BUCKET)
             gone = cuts.select(*(F.col(f"`{k}`").alias(f"__c{i}") for i, k in enumerate(keys)), F.col(VERSION).alias("__since"), CUT)
             dead = [F.col(f"`{k}`") == F.col(f"__c{i}") for i, k in enumerate(keys)]
@@ -164,15 +201,15 @@ class HistoryStore:
     def publish(self, view: str, comment: str | None = None) -> None:
         """Points a catalog view at the parts in force now. Before the first run it has no rows."""
         ensure_schema(self.spark, view)
-        parts = self.manifest()
+        parts = {p for p in self.manifest() if p.kind in (CLOSED_RUNS, OPEN_RUNS, CUTS)}
         columns = ", ".join(f"r.`{c}`" for c in self._columns())
-        if any(p[0] != CUTS for p in parts):
-            live = ", ".join(f"'{k}/{b}/{v}'" for k, b, v in sorted(parts) if k != CUTS)
+        if any(p.kind != CUTS for p in parts):
+            live = ", ".join(f"'{p.kind}/{p.bucket}/{p.version}'" for p in sorted(parts) if p.kind != CUTS)
             text = (
                 f"SELECT {columns} FROM parquet.`{self.root}/runs` r "
                 f"WHERE NOT r.{DELETED} AND concat_ws('/', r.{OPEN}, r.{BUCKET}, r.{VERSION}) IN ({live})"
             )
-            cuts = ", ".join(f"'{b}/{v}'" for k, b, v in sorted(parts) if k == CUTS)
+            cuts = ", ".join(f"'{p.bucket}/{p.version}'" for p in sorted(parts) if p.kind == CUTS)
             if cuts:
                 same = " AND ".join(f"c.`{k}` = r.`{k}`" for k in self.spec.keys)
                 text += (
@@ -195,10 +232,14 @@ class HistoryStore:
             return 0
         kept = ids[-keep:]
         live = set().union(*(self._manifest_of(i) for i in kept))
-        names = {f"runs/{VERSION}={v}/{OPEN}={k}/{BUCKET}={b}" if k != CUTS else f"cuts/{VERSION}={v}/{BUCKET}={b}" for k, b, v in live}
+        places = {CUTS: f"cuts/{VERSION}=", CHANGES: f"changes/{BATCH}=", MERGED: f"merged/{BATCH}="}
+        names = {
+            f"{places[p.kind]}{p.version}/{BUCKET}={p.bucket}" if p.kind in places else f"runs/{VERSION}={p.version}/{OPEN}={p.kind}/{BUCKET}={p.bucket}"
+            for p in live
+        }
         files = Folders(self.spark)
         gone = 0
-        for pattern in (f"runs/{VERSION}=*/{OPEN}=*/{BUCKET}=*", f"cuts/{VERSION}=*/{BUCKET}=*"):
+        for pattern in (f"runs/{VERSION}=*/{OPEN}=*/{BUCKET}=*", *(f"{place}*/{BUCKET}=*" for place in places.values())):
             gone += files.remove(f"{self.root}/{pattern}", lambda path: not any(path.endswith("/" + n) for n in names))
         newest = kept[0]
         gone += files.remove(f"{self.root}/manifest/{BATCH}=*", lambda path: int(path.rsplit("=", 1)[1]) < newest)
@@ -214,25 +255,25 @@ class HistoryStore:
     def apply(self, changes: DataFrame, batch_id: int, new_only: bool = False) -> None:
         """Body for foreachBatch. Also fits plain batch loads with rising ids."""
         spark, keys = self.spark, list(self.spec.keys)
+        base = self.manifest(before=batch_id)
         events = change_events(changes, self.spec)
         if new_only:
-            events = self._unseen(events, batch_id)
+            events = self._unseen(events, base, batch_id)
         path = f"{self.root}/changes/{BATCH}={batch_id}"
-        stored = events.withColumn(BUCKET, self._bucket())
-        stored.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        self._write_changes(events.withColumn(BUCKET, self._bucket()), path)
         # Over the key and sequence columns alone.
         self.refused[batch_id] = refused_changes(changes, self.spec).count()
         bucketed = T.StructType([*events.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         arrived = _read(spark, path, bucketed)
-        touched = {bucket for (bucket,) in _folders(arrived, BUCKET)}
-        base = self.manifest(before=batch_id)
+        new_parts = self._change_parts(arrived, CHANGES, batch_id)
+        touched = {p.bucket for p in new_parts}
         if not touched:
             self._write_manifest(base, batch_id)
             return
 
         touched_keys = arrived.select(*named_all(keys))
-        mine = {p for p in base if p[1] in touched}
-        current = self._runs((p for p in mine if p[0] != CLOSED_RUNS), touched_keys)
+        mine = {p for p in base if p.bucket in touched}
+        current = self._runs((p for p in mine if p.kind != CLOSED_RUNS), touched_keys)
         span = arrived.groupBy(*named_all(keys), BUCKET).agg(F.min(SEQ).alias("__min"), F.max(SEQ).alias("__max"))
         known = current.select(*named_all(keys), LAST_SEQ, F.col(START_AT).alias("__open_start"))
         only_latest = self.spec.scd_type == 1 and not self.spec.ignore_null_updates
@@ -240,36 +281,96 @@ class HistoryStore:
         status = span.join(known, keys, "left").withColumn("__late", F.coalesce(late, F.lit(False)))
         status = stored_once(status, f"{self.root}/status/batch={batch_id}/keys")
         late_buckets = {r[0] for r in status.where("__late").select(BUCKET).distinct().collect()}
-        cuts = None
+        cuts = old = None
         if late_buckets:
             late_keys = status.where("__late")
-            known_runs = self._runs((p for p in mine if p[1] in late_buckets), late_keys)
+            known_runs = self._runs((p for p in mine if p.bucket in late_buckets), late_keys)
             cuts = stored_once(self._cuts(late_keys, known_runs), f"{self.root}/status/batch={batch_id}/cuts")
+            # With carried values, the run before the cut stands for all that came before.
+            before = cuts.where(F.col(CUT) < F.col(FROM)).select(*named_all(keys), CUT)
+            old = known_runs.join(before, keys).where(F.col(START_AT) == F.col(CUT)).drop(CUT)
 
-        new = self._new_runs(arrived, current, status, cuts, late_buckets, bucketed, batch_id)
+        new = self._new_runs(arrived, current, status, cuts, old, mine | new_parts, bucketed)
         if self.spec.scd_type == 1:
             new = new.where(F.col(END_AT).isNull())
         replaced = self._replaced(status, cuts)
-        additions: dict[int, int] = {}
-        for kind, bucket, _ in mine:
-            additions[bucket] = additions.get(bucket, 0) + (kind == CUTS)
-        merged = {b for b, n in additions.items() if n >= self.merge_after}
+        merged, whole = self._merging(mine)
         if merged:
-            old = self._runs(p for p in mine if p[1] in merged)
+            again = self._runs(merged)
             gone = replaced.select(*(F.col(f"`{k}`").alias(f"__c{i}") for i, k in enumerate(keys)), CUT)
             dead = [F.col(f"`{k}`") == F.col(f"__c{i}") for i, k in enumerate(keys)]
             dead.append(F.col(CUT).isNull() | (F.col(START_AT) >= F.col(CUT)))
-            new = new.unionByName(old.join(gone, dead, "left_anti").withColumn(OPEN, F.col(END_AT).isNull().cast("int")))
-            replaced = replaced.where(~F.col(BUCKET).isin(sorted(merged)))
-
-        live = {p for p in base if p[1] not in merged}
-        live |= {(*part, batch_id) for part in self._write(new, f"{self.root}/runs/{VERSION}={batch_id}", OPEN, BUCKET)}
-        live |= {(CUTS, *part, batch_id) for part in self._write(replaced, f"{self.root}/cuts/{VERSION}={batch_id}", BUCKET)}
-        self._write_manifest(live, batch_id)
-
-    def _write(self, rows: DataFrame, path: str, *by: str) -> set[tuple[int, ...]]:
+            new = new.unionByName(again.join(gone, dead, "left_anti").withColumn(OPEN, F.col(END_AT).isNull().cast("int")))
+            # What was cut anywhere in the merged parts is cut in the older ones.
+            every = replaced.unionByName(self._cut_rows(merged).select(*replaced.columns))
+            least = F.when(F.count_if(F.col(CUT).isNull()) == 0, F.min(CUT)).alias(CUT)
+            replaced = every.where(~F.col(BUCKET).isin(sorted(whole))).groupBy(*named_all(keys), BUCKET).agg(least).select(*replaced.columns)
+
+        live = (base - merged) | new_parts
+        live |= {Part(*place, batch_id, rows) for *place, rows in self._write(new, f"{self.root}/runs/{VERSION}={batch_id}", OPEN, BUCKET)}
+        live |= {Part(CUTS, *place, batch_id, rows) for *place, rows in self._write(replaced, f"{self.root}/cuts/{VERSION}={batch_id}", BUCKET)}
+        self._write_manifest(self._with_merged_changes(live, touched, bucketed, batch_id), batch_id)
+
+    def _write(self, rows: DataFrame, path: str, *by: str) -> list[tuple[int, ...]]:
+        """(partition values, rows) of what was written."""
         rows.hint("rebalance", *(F.col(c) for c in by)).write.mode("overwrite").partitionBy(*by).parquet(path)
-        return _folders(_read(self.spark, path, rows.schema), *by)
+        return [tuple(r) for r in _read(self.spark, path, rows.schema).groupBy(*by).count().collect()]
+
+    def _write_changes(self, rows: DataFrame, path: str) -> None:
+        """In order of the keys, so that a scan for few keys skips most of a large part."""
+        spread = rows.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, *named_all(self.spec.keys))
+        spread.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+    def _ordinal(self, seq: F.Column, kind: T.DataType, up: bool) -> F.Column:
+        """The sequence as an integer, rounded down or up."""
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.unix_micros(seq.cast("timestamp"))
+        return (F.ceil(seq) if up else F.floor(seq)).cast("decimal(38,0)")
+
+    def _change_parts(self, rows: DataFrame, kind: int, version: int) -> set[Part]:
+        seq = rows.schema[SEQ].dataType
+        found = rows.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"), F.min(SEQ).alias("low"), F.max(SEQ).alias("high"))
+        found = found.select(BUCKET, "n", self._ordinal(F.col("low"), seq, False).alias("low"), self._ordinal(F.col("high"), seq, True).alias("high"))
+        return {Part(kind, r[BUCKET], version, r["n"], int(r["low"]), int(r["high"])) for r in found.collect()}
+
+    def _merging(self, mine: set[Part]) -> tuple[set[Part], set[int]]:
+        """The parts of runs and cuts that are put together now, and the buckets where those are all there are."""
+        sizes: dict[int, dict[int, int]] = {}
+        held = [p for p in mine if p.kind in (CLOSED_RUNS, OPEN_RUNS, CUTS)]
+        for p in held:
+            versions = sizes.setdefault(p.bucket, {})
+            versions[p.version] = versions.get(p.version, 0) + p.rows
+        since, whole = {}, set()
+        for bucket, versions in sizes.items():
+            order = sorted(versions)
+            n = newest_to_merge([versions[v] for v in order], self.merge_after)
+            if n:
+                since[bucket] = order[-n]
+                if n == len(order):
+                    whole.add(bucket)
+        return {p for p in held if p.bucket in since and p.version >= since[p.bucket]}, whole
+
+    def _with_merged_changes(self, live: set[Part], touched: set[int], schema: T.StructType, batch_id: int) -> set[Part]:
+        """The parts after the newest changes of buckets with many parts were put together, those of this micro-batch aside."""
+        merged: set[Part] = set()
+        for bucket in touched:
+            held = sorted((p for p in live if p.kind in (CHANGES, MERGED) and p.bucket == bucket and p.version < batch_id), key=lambda p: (p.version, p.kind))
+            n = newest_to_merge([p.rows for p in held], self.merge_after)
+            if n > 1:
+                merged |= set(held[-n:])
+        if not merged:
+            return live
+        path = f"{self.root}/merged/{BATCH}={batch_id}"
+        self._write_changes(self._change_rows(merged, schema), path)
+        return (live - merged) | self._change_parts(_read(self.spark, path, schema), MERGED, batch_id)
+
+    def _change_rows(self, parts: Iterable[Part], schema: T.StructType) -> DataFrame:
+        """The changes of these parts, with their bucket."""
+        parts = set(parts)
+        plain = T.StructType([f for f in schema.fields if f.name != BUCKET])
+        kinds = ((CHANGES, "changes"), (MERGED, "merged"))
+        one, two = (self._parts((p for p in parts if p.kind == kind), plain, folder, f"{BATCH}={{v}}/{BUCKET}={{b}}") for kind, folder in kinds)
+        return one.unionByName(two).drop(VERSION).select(*schema.names)
 
     def _replaced(self, status: DataFrame, cuts: DataFrame | None) -> DataFrame:
         """(keys, cut, bucket): from where on this micro-batch replaces what was known of a key.
@@ -284,53 +385,86 @@ class HistoryStore:
         in_order = known.where(~F.col("__late")).select(*named_all(keys), F.col("__open_start").alias(CUT), BUCKET)
         if cuts is None:
             return in_order
-        return in_order.unionByName(known.where("__late").select(*named_all(keys), BUCKET).join(cuts, keys).select(*named_all(keys), CUT, BUCKET))
+        return in_order.unionByName(known.where("__late").select(*named_all(keys)).join(cuts, keys).select(*named_all(keys), CUT, BUCKET))
 
     def apply_snapshot(self, rows: DataFrame) -> None:
         """A whole feed as it stands now, as the next micro-batch: changes that are stored already are left out."""
         self.apply(rows, max(self._batches(), default=0) + 1, new_only=True)
 
-    def _unseen(self, events: DataFrame, batch_id: int) -> DataFrame:
-        """Events that no earlier micro-batch stored, by key, sequence and a hash of all columns."""
-        schema = T.StructType([*events.schema.fields, T.StructField(BATCH, T.LongType())])
-        stored = _read(self.spark, f"{self.root}/changes", schema).where(F.col(BATCH) < batch_id)
-        at = [*self.spec.keys, SEQ]
+    def _unseen(self, events: DataFrame, base: set[Part], batch_id: int) -> DataFrame:
+        """Events that no earlier micro-batch stored.
+
+        An event newer than its key's open run is new, one equal to the change that run ends with is not. Only the
+        others are compared with stored changes, by key, sequence and a hash of all columns.
+        """
+        if not base:
+            return events
+        keys = list(self.spec.keys)
+        current = self._runs(p for p in base if p.kind != CLOSED_RUNS)
+        values = [c for c in events.columns if c not in (*keys, SEQ) and not c.startswith(TIE)]
+        known = current.select(*named_all(keys), F.col(LAST_SEQ).alias("__known"), *(F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(values)))
+        joined = events.join(known, keys, "left")
+        newer = F.col("__known").isNull() | (F.col(SEQ) > F.col("__known"))
+        same = F.lit(not self.spec.ignore_null_updates and not any(c.startswith(TIE) for c in events.columns)) & (F.col(SEQ) == F.col("__known"))
+        for i, c in enumerate(values):
+            same = same & comparable(events, c).eqNullSafe(comparable(joined.select(F.col(f"__v{i}")), f"__v{i}"))
+        asked = joined.withColumn("__ask", F.when(newer, 0).when(same, 1).otherwise(2)).where("__ask <> 1")
+        asked = stored_once(asked.select(*named_all(events.columns), "__ask"), f"{self.root}/status/batch={batch_id}/asked")
+        doubtful = asked.where("__ask = 2").drop("__ask")
+        fresh = asked.where("__ask = 0").drop("__ask")
+        low = doubtful.agg(self._ordinal(F.min(SEQ), events.schema[SEQ].dataType, False)).first()[0]
+        if low is None:
+            return fresh
+        schema = T.StructType([*events.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        stored = self._change_rows((p for p in base if p.kind in (CHANGES, MERGED) and p.high >= int(low)), schema)
 
         def marked(df: DataFrame) -> DataFrame:
             return df.withColumn("__mark", F.xxhash64(*[comparable(df, c) for c in events.columns]))
 
-        seen = marked(stored).select(*named_all(at), "__mark").distinct()
-        return marked(events).join(seen, [*at, "__mark"], "left_anti").select(*named_all(events.columns))
+        at = [*keys, SEQ, "__mark"]
+        seen = marked(stored).select(*named_all(at)).distinct()
+        return fresh.unionByName(marked(doubtful).join(seen, at, "left_anti").select(*named_all(events.columns)))
 
     def _cuts(self, late: DataFrame, runs: DataFrame) -> DataFrame:
-        """Per late key, the moment from which its changes must be read again.
+        """Per late key and bucket, the start from which its runs are replaced, and the moment from which its changes
+        must be read again.
 
-        That is the start of the run that the earliest late change falls into: the change
-        that opened it stays, so all earlier runs stay too. NULL means from the beginning,
-        as always with carried values, which a run does not keep in full.
+        Both are the start of the run that the earliest late change falls into: the change
+        that opened it stays, so all earlier runs stay too. With carried values, the run before that one has
+        what is carried into it, or that it was deleted: it is replaced by itself. NULL means from the beginning.
         """
         keys = list(self.spec.keys)
-        if self.spec.ignore_null_updates:
-            nothing = F.lit(None).cast(late.schema["__min"].dataType)
-            return late.select(*named_all(keys), nothing.alias("__cut"))
+        stamp = late.schema["__min"].dataType
         if self.spec.scd_type == 1:
-            return late.select(*named_all(keys), F.col("__max").alias("__cut"))
-        earlier = F.when(F.col(START_AT) < F.col("__min"), F.col(START_AT))
-        spans = runs.select(*named_all(keys), START_AT).join(late.select(*named_all(keys), "__min"), keys)
-        return spans.groupBy(*named_all(keys)).agg(F.max(earlier).alias("__cut"))
-
-    def _history(self, cuts: DataFrame, late_buckets: set[int], schema: T.StructType, batch_id: int) -> DataFrame:
-        """All changes of the late keys so far, from their cuts on."""
-        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
-        changes = stored.parquet(f"{self.root}/changes").where(
-            F.col(BUCKET).isin(sorted(late_buckets)) & (F.col(BATCH) <= batch_id)
-        )
-        # The oldest cut as a literal lets the scan skip what is older.
-        oldest, open_ended = cuts.agg(F.min("__cut").cast("string"), F.count_if(F.col("__cut").isNull())).first()
-        if not open_ended:
-            changes = changes.where(F.col(SEQ) >= F.lit(oldest).cast(schema[SEQ].dataType))
-        needed = F.col("__cut").isNull() | (F.col(SEQ) >= F.col("__cut"))
-        return changes.drop(BATCH).join(cuts, list(self.spec.keys)).where(needed).drop("__cut")
+            # Type 1 keeps no runs: carried values must be read from the beginning.
+            cut = F.lit(None).cast(stamp) if self.spec.ignore_null_updates else F.col("__max")
+            return late.select(*named_all(keys), BUCKET, cut.alias(CUT), cut.alias(FROM))
+        starts = runs.select(*named_all(keys), START_AT).join(late.select(*named_all(keys), BUCKET, "__min"), keys)
+        into = starts.groupBy(*named_all(keys), BUCKET).agg(F.max(F.when(F.col(START_AT) < F.col("__min"), F.col(START_AT))).alias(FROM))
+        if not self.spec.ignore_null_updates:
+            return into.withColumn(CUT, F.col(FROM))
+        before = runs.select(*named_all(keys), START_AT).join(into.select(*named_all(keys), FROM), keys).where(F.col(START_AT) < F.col(FROM))
+        before = before.groupBy(*named_all(keys)).agg(F.max(START_AT).alias(CUT))
+        return into.join(before, keys, "left").withColumn(CUT, F.coalesce(CUT, FROM))
+
+    def _history(self, cuts: DataFrame, parts: set[Part], schema: T.StructType) -> DataFrame:
+        """All changes of the late keys so far, from their cuts on: only parts that reach the oldest cut of their bucket."""
+        keys = list(self.spec.keys)
+        seq = schema[SEQ].dataType
+        oldest = F.when(F.count_if(F.col(FROM).isNull()) == 0, F.min(FROM))
+        found = cuts.groupBy(BUCKET).agg(self._ordinal(oldest, seq, False).alias("at"), oldest.cast("string").alias("text")).collect()
+        limits = {r[BUCKET]: r["at"] for r in found}
+        needed = {p for p in parts if p.kind in (CHANGES, MERGED) and p.bucket in limits and (limits[p.bucket] is None or p.high >= int(limits[p.bucket]))}
+        changes = self._change_rows(needed, schema)
+        # The oldest cut, and a few keys, as literals let the scan skip what is not needed within a part.
+        if all(r["at"] is not None for r in found):
+            least = min(found, key=lambda r: r["at"])["text"]
+            changes = changes.where(F.col(SEQ) >= F.lit(least).cast(seq))
+        few = [r[0] for r in cuts.select(*named_all(keys[:1])).distinct().limit(PUSHED_KEYS + 1).collect()]
+        if len(few) <= PUSHED_KEYS:
+            changes = changes.where(F.col(f"`{keys[0]}`").isin(few))
+        wanted = F.col(FROM).isNull() | (F.col(SEQ) >= F.col(FROM))
+        return changes.join(cuts.select(*named_all(keys), FROM), keys).where(wanted).drop(FROM)
 
     def _new_runs(
         self,
@@ -338,9 +472,9 @@ class HistoryStore:
         current: DataFrame,
         status: DataFrame,
         cuts: DataFrame | None,
-        late_buckets: set[int],
+        old: DataFrame | None,
+        parts: set[Part],
         schema: T.StructType,
-        batch_id: int,
     ) -> DataFrame:
         """Runs of the touched keys, in place of their open run or of all runs since a cut."""
         keys = list(self.spec.keys)
@@ -350,16 +484,19 @@ class HistoryStore:
         seed_at = LAST_SEQ if self.spec.scd_type == 1 else START_AT
         extra = [f for f in schema.fields if f.name.startswith(TIE)]
         columns = [c for c in schema.names if c != SEQ and not c.startswith(TIE)]
-        seeds = current.join(in_order, keys, "left_semi").select(
-            *named_all(columns),
-            F.col(seed_at).alias(SEQ),
-            *(F.lit(None).cast(f.dataType).alias(f.name) for f in extra),
-            LAST_SEQ,
-        )
-        fresh = arrived
+
+        def seeds_of(runs: DataFrame) -> DataFrame:
+            return runs.select(
+                *named_all(columns),
+                F.col(seed_at).alias(SEQ),
+                *(F.lit(None).cast(f.dataType).alias(f.name) for f in extra),
+                LAST_SEQ,
+            )
+
+        seeds, fresh = seeds_of(current.join(in_order, keys, "left_semi")), arrived
         if cuts is not None:
-            history = self._history(cuts, late_buckets, schema, batch_id)
-            fresh = arrived.join(in_order, keys, "left_semi").unionByName(history)
+            fresh = arrived.join(in_order, keys, "left_semi").unionByName(self._history(cuts, parts, schema))
+            seeds = seeds.unionByName(seeds_of(old.select(*current.columns)))
         events = seeds.unionByName(fresh.withColumn(LAST_SEQ, F.col(SEQ)))
         tracked = [] if self.spec.scd_type == 1 else self.spec.tracked(self._feed())
         ties = tie_order(self._feed(), self.spec)
