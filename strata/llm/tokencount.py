@@ -1,10 +1,11 @@
 """Token counts that follow edits: only touched parts of a text are encoded again.
 
-A text is cut where every reading of it starts a new pre-token: before a single space between two
-other characters. So the parts are encoded apart and their counts add up. A segment tree over the
-parts holds characters and tokens below each node. An edit finds its parts by characters, encodes
-them anew, with the neighbouring part where the cut between them no longer holds, and updates the
-sums on the way up.
+A text is cut where every reading of it starts a new pre-token, told by the two characters at the
+cut alone: before white space after anything else, and where letters, digits and punctuation meet. So the
+parts are encoded apart and their counts add up. A segment tree over the parts holds characters and tokens
+below each node. The edits of a text find their parts by characters; parts that edits touch are put together,
+with the neighbour where the cut between them no longer holds, cut again and encoded once, and
+the sums on the way up are updated. A text without any such place is one part, encoded once for all its edits.
 """
 
 from __future__ import annotations
@@ -21,15 +22,26 @@ from .tokens import encoder, vocabulary_path
 
 #: Characters after which a part ends at the next place it may.
 PART = 256
-_CUT = re.compile(r"\S(?= \S)")
+# Characters whose class no version of Unicode has changed.
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u0410-\u044f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+#: Neither the apostrophe, which short forms start with, nor what the strings of special tokens have.
+_MARK = "!\"#$%&()*+,\\-./:;=?@\\[\\]^_`{}~\u3001\u3002\u300a-\u300f\uff01\uff0c\uff1a\uff1b\uff1f\u2026\u201c\u201d"
+#: The character before a place where a new pre-token starts for sure.
+_CUT = re.compile(rf"\S(?=[ \t\n\r])|[{_LETTER}](?=[0-9{_MARK}])|[0-9](?=[{_LETTER}{_MARK}])|[{_MARK}](?=[{_LETTER}0-9])")
+
 
 Edit = tuple[int, int, str]
 EDITS = "array<struct<start:long,end:long,text:string>>"
 
 
+def _sure(before: str, after: str) -> bool:
+    """Whether a new pre-token starts between these texts for sure."""
+    return _CUT.match(before[-1] + after[0]) is not None
+
+
 def parts_of(text: str) -> list[str]:
     out, start = [], 0
-    while m := _CUT.search(text, start + PART - 1):
+    while m := _CUT.search(text, start + PART - 1):  # from the first place that leaves PART characters
         out.append(text[start : m.end()])
         start = m.end()
     return [*out, text[start:]] if start < len(text) else out
@@ -39,13 +51,17 @@ class CountTree:
     """Parts of one text with the sums of characters and tokens over them, as a binary tree in two lists."""
 
     def __init__(self, parts: list[str], tokens: list[int], encode: Callable[[str], int]):
-        self.parts, self.encode, self.encoded = list(parts), encode, 0
+        self.encode, self.encoded = encode, 0
+        self._fill(list(parts), list(tokens))
+
+    def _fill(self, parts: list[str], tokens: list[int]) -> None:
+        self.parts = parts
         self.width = 1
         while self.width < max(len(parts), 1):
             self.width *= 2
         pad = [0] * (self.width - len(parts))
         self.chars = [0] * self.width + [len(p) for p in parts] + pad
-        self.tokens = [0] * self.width + list(tokens) + pad
+        self.tokens = [0] * self.width + tokens + pad
         for node in range(self.width - 1, 0, -1):
             self._sum(node)
 
@@ -92,35 +108,68 @@ class CountTree:
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replaces the characters from start to end, both held to the text, and counts what that touches again."""
-        length = self.chars[1]
-        start = min(max(start, 0), length)
-        end = min(max(end, start), length)
-        if not self.parts:
-            self.__init__([""], [0], self.encode)
-        (low, before), (high, after) = self._find(start), self._find(end)
-        part = self.parts[low][:before] + new + self.parts[high][after:]
-        for i in range(low, high + 1):
-            if self.parts[i]:
-                self._set(i, "", 0)
-        while (i := self._beside(low, -1)) is not None and not (len(part) > 1 and part[0] == " " and not part[1].isspace()):
-            part, low = self.parts[i] + part, i
-            self._set(i, "", 0)
-        while (i := self._beside(high, 1)) is not None and (not part or part[-1].isspace()):
-            part, high = part + self.parts[i], i
-            self._set(i, "", 0)
-        self.encoded += len(part)
-        self._set(low, part, self.encode(part) if part else 0)
+        self.apply([(start, end, new)])
 
     def apply(self, edits: list[Edit]) -> None:
         """Edits in places of the text as it was before all of them; where they overlap, the earlier one goes first."""
-        kept: list[Edit] = []
         length, done = self.chars[1], 0
+        if edits and not self.parts:
+            self._fill([""], [0])
+        groups: list[tuple[int, int, list]] = []  # first and last part touched, and the edits there
         for start, end, new in sorted(edits, key=lambda e: (e[0], e[1])):
             start = min(max(start, done), length)
             done = min(max(end, start), length)
-            kept.append((start, done, new or ""))
-        for start, end, new in reversed(kept):
-            self.edit(start, end, new)
+            (i, a), (j, b) = self._find(start), self._find(done)
+            if groups and i <= groups[-1][1]:
+                first, last, spots = groups.pop()
+                groups.append((first, max(last, j), [*spots, (i, a, j, b, new or "")]))
+            else:
+                groups.append((i, j, [(i, a, j, b, new or "")]))
+        parts, touched, fresh = self.parts, set(), set()
+        # From the last to the first, so that what follows a group is final but for their border.
+        for g in range(len(groups) - 1, -1, -1):
+            low, high, spots = groups[g]
+            joined = self._edited(low, high, spots)
+            touched.update(range(low, high + 1))
+            parts[low : high + 1] = [""] * (high + 1 - low)
+            while (i := self._beside(high, 1)) is not None and (not joined or not _sure(joined, parts[i])):
+                joined, parts[i], high = joined + parts[i], "", i
+                touched.add(i)
+            floor = groups[g - 1][1] if g else -1  # the group before sees to its own border with this one
+            while joined and (i := self._beside(low, -1)) is not None and i > floor and not _sure(parts[i], joined):
+                joined, parts[i], low = parts[i] + joined, "", i
+                touched.add(i)
+            parts[low] = joined
+            fresh.add(low)
+        self._count(touched, {i for i in fresh if parts[i]})
+
+    def _edited(self, low: int, high: int, spots: list[tuple[int, int, int, int, str]]) -> str:
+        """The text of these parts after edits from (part, place) to (part, place), in order."""
+        out, part, place = [], low, 0
+        for i, a, j, b, new in spots:
+            out += [self.parts[part][place:a]] if i == part else [self.parts[part][place:], *self.parts[part + 1 : i], self.parts[i][:a]]
+            out.append(new)
+            part, place = j, b
+        return "".join([*out, self.parts[part][place:], *self.parts[part + 1 : high + 1]])
+
+    def _count(self, touched: set[int], fresh: set[int]) -> None:
+        """Encodes the fresh parts. Those that grew are cut again, which gives another tree; else sums change in place."""
+        self.encoded += sum(len(self.parts[i]) for i in fresh)
+        if all(len(self.parts[i]) <= 2 * PART for i in fresh):
+            for i in sorted(touched):
+                self._set(i, self.parts[i], self.encode(self.parts[i]) if i in fresh else 0)
+            return
+        parts: list[str] = []
+        tokens: list[int] = []
+        for i, part in enumerate(self.parts):
+            if i in fresh:
+                pieces = parts_of(part)
+                parts += pieces
+                tokens += [self.encode(p) for p in pieces]
+            elif part:
+                parts.append(part)
+                tokens.append(self.tokens[self.width + i])
+        self._fill(parts, tokens)
 
 
 def trees(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from strata.llm import tokencount
 from strata.llm.queries import cleaning_edits, op4_tokencount
 from strata.llm.tokens import encoder, vocabulary_path
@@ -40,6 +42,50 @@ def test_any_edits_count_as_from_scratch():
             assert tree.total == exact(tree.text())
 
 
+ODD = "aZé漢字ひハ한я019٣.,!'\"|<>。，！ \t\n\r\u00a0\u0085\x1c_-$€😀"
+
+
+def test_cuts_of_any_characters():
+    """A text of parts is encoded as the whole, whatever meets at a cut."""
+    random.seed(8)
+    for _ in range(400):
+        text = "".join(random.choice(ODD) * random.choice([1, 1, 2]) for _ in range(40)) + random.choice(["", "<|endoftext|>", "it's we'll 'd"])
+        cuts = [m.end() for m in tokencount._CUT.finditer(text)]
+        parts = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        assert sum(map(count, parts)) == exact(text), text
+
+
+def million(kind):
+    random.seed(2)
+    if kind == "lines":
+        return "\n".join(random.choice(["word", "list", "of", "names", "item"]) for _ in range(200_000))
+    if kind == "no spaces":
+        return "".join(random.choice(["key=", "value&", "x", "10", "_id", ";"]) for _ in range(330_000))
+    return "".join(random.choice(["今天", "天气", "很好", "我们", "一起", "去", "公园", "，", "。"]) for _ in range(550_000))
+
+
+@pytest.mark.parametrize("kind", ["lines", "no spaces", "chinese"])
+def test_many_edits_of_a_long_text(kind):
+    """A million characters, ten thousand edits, in two rounds: about a part is encoded for an edit."""
+    text = million(kind)
+    tree = tokencount.CountTree.of(text, count)
+    for round_ in range(2):
+        held = tree.text()
+        edits = [(a, a + random.choice([0, 1, 3]), random.choice(["", "x", "\n", "新", " 7"])) for a in random.sample(range(len(held)), 5_000)]
+        tree.encoded = 0
+        tree.apply(edits)
+        assert tree.encoded < 2 * len(edits) * tokencount.PART
+        assert tree.text() == plainly(held, edits)
+    assert max(map(len, tree.parts)) < 10 * tokencount.PART
+    assert tree.total == exact(tree.text())
+
+
+def test_a_text_without_any_cut_is_encoded_once_for_all_edits():
+    tree = tokencount.CountTree.of("x" * 50_000, count)
+    tree.apply([(i * 40, i * 40 + 1, "y") for i in range(1000)])
+    assert tree.encoded == 50_000 and tree.total == exact(tree.text())
+
+
 def test_a_small_edit_encodes_little():
     text = sentence(20000)
     tree = tokencount.CountTree.of(text, count)
