@@ -13,8 +13,10 @@ to look up their counts. Scores, containment and ranks are DataFrame operations.
 from __future__ import annotations
 
 import pickle
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -143,22 +145,25 @@ def _counted(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[lis
     return [c[first] for c in columns], [s[first] for s in states], total
 
 
+def _numbering() -> defaultdict[bytes, int]:
+    """Numbers words as they come; 0 is the end of a piece."""
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+    numbers[b"\n"]
+    return numbers
+
+
 class Shard:
     """Words of texts as numbers, until they are made into n-grams. Number 0 ends a piece; languages have numbers too."""
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {b"\n": 0}
+        self.numbers = _numbering()
         self.parts: list[tuple[int, np.ndarray]] = []
         self.size = 0
 
-    def number(self, word: bytes) -> int:
-        return self.numbers.setdefault(word, len(self.numbers))
-
     def add(self, lang: str, texts: list[bytes]) -> None:
-        numbers = self.numbers
         tokens = filter(None, b"\n".join([*texts, b""]).lower().translate(BREAKS).replace(b"\n", b" \n ").split(b" "))
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in tokens], np.int64)
-        self.parts.append((self.number(lang.encode()), ids))
+        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64)
+        self.parts.append((self.numbers[lang.encode()], ids))
         self.size += len(ids)
 
     def grams(self) -> Grams:
@@ -239,7 +244,7 @@ def _place(prefixes: list[np.ndarray], common: np.ndarray) -> np.ndarray:
 
 def united(pieces: list[bytes]) -> Grams:
     """The union of pieces, weights summed, a few pieces at a time."""
-    numbers: dict[bytes, int] = {b"\n": 0}
+    numbers = _numbering()
     held: list[list] = [[], []]
     sizes = [0, 0]
 
@@ -253,7 +258,7 @@ def united(pieces: list[bytes]) -> Grams:
 
     for piece in pieces:
         words, *levels = pickle.loads(zstandard.decompress(piece))
-        own = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
+        own = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
         for kind in (0, 1):
             columns, weights = Automaton(levels[kind]).paths()
             held[kind].append(([own[c] for c in columns], weights))
@@ -266,14 +271,14 @@ def united(pieces: list[bytes]) -> Grams:
 def frequent(grams: Grams, least: int, common: np.ndarray) -> Iterator[tuple[str, str, int, int]]:
     """(language, phrase, words, count) of one range: whole counts from `least` on, and the share of phrases
     whose prefix is spread over ranges. A phrase without words has the language's count of words."""
-    text = [w.decode() for w in grams.words]
+    words = grams.words
     langs, first, inverse = np.unique(grams.single[0], return_index=True, return_inverse=True)
     total = np.zeros(len(langs), np.int64)
     np.add.at(total, inverse, grams.counts)
     for lang, n in zip(langs.tolist(), total.tolist(), strict=True):
-        yield text[lang], "", 0, n
+        yield words[lang].decode(), "", 0, n
     for i in np.flatnonzero(grams.counts >= least).tolist():
-        yield text[grams.single[0][i]], text[grams.single[1][i]], 1, int(grams.counts[i])
+        yield words[grams.single[0][i]].decode(), words[grams.single[1][i]].decode(), 1, int(grams.counts[i])
     prefixes = grams.prefixes(grams.windows)
     spread = np.ones(len(grams.weights), bool)
     for size in range(2, LONGEST + 1):
@@ -290,7 +295,7 @@ def frequent(grams: Grams, least: int, common: np.ndarray) -> Iterator[tuple[str
         rows = real[begins]
         keep = (sums >= least) | spread[rows] if size < LONGEST else sums >= least
         for i, n in zip(rows[keep].tolist(), sums[keep].tolist(), strict=True):
-            yield text[columns[0][i]], " ".join([text[c[i]] for c in columns[1:]]), size, n
+            yield words[columns[0][i]].decode(), b" ".join([words[c[i]] for c in columns[1:]]).decode(), size, n
 
 
 def _sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
