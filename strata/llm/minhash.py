@@ -11,7 +11,7 @@ independent hashes.
 Bands of the sketch give buckets. A pivot of each bucket, first the text that shares the most buckets, is
 compared with the others on their full sets. Most texts are linked by that. How the others differ from what
 the bucket has in common bounds what any two of them share, and most pairs are ruled out by that bound. Only
-what is left goes on with pivots of its own, eight times as many in each round, until every pair of a bucket is
+what is left goes on with pivots of its own, 256 times as many in each round, until every pair of a bucket is
 compared, linked or ruled out. So a crowded bucket takes a few rows per text, not its pairs.
 """
 
@@ -235,15 +235,15 @@ def _linked(members: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
     hopeful = (100 + percent) * F.expr("core - lacks + extras") >= percent * (F.col("n") + partner)
     opened = met.join(reference, ["key", "node"]).join(least, "key").where(hopeful).drop("crowd", "least")
-    turn = 0
+    turn = late = 0
     while True:
         placed = opened.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
         sizes = placed.groupBy("key", "group").agg(F.count(F.lit(1)).alias("c"))
         lead = sizes.groupBy("key").agg(F.max_by("group", F.struct("c", "group")).alias("lead"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
         placed = stored(placed.join(lead.drop("groups"), "key"), "minhash-open")
         if placed.isEmpty():
-            return roots
-        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(3 * turn, 30)))
+            return components(seen.where("linked").select("a", "b"), label="minhash-links") if late else roots
+        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << min(8 * turn, 28)))
         pick = F.max_by(F.struct("node", "n", "lacks", "gaps", "extras", "group"), F.struct(-F.col("lacks"), "node")).alias("p")
         chosen = placed.where(F.col("group") != F.col("lead")).groupBy("key", part.alias("part")).agg(pick)
         pivots = stored(chosen.select("key", "p.*").toDF("key", "pivot", "pn", "plack", "pgaps", "pextras", "pgroup"), "minhash-pivots")
@@ -253,8 +253,10 @@ def _linked(members: DataFrame, texts: DataFrame, words: int, percent: int) -> D
         pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti").withColumn("crowd", F.lit(False))
         compared = stored(_confirmed(pairs, texts, words, percent), "minhash-compared").select("a", "b", "linked")
         seen = seen.unionByName(compared)
-        if not compared.where("linked").isEmpty():
-            roots = components(seen.where("linked").select("a", "b"), label="minhash-links")
+        links, tried = compared.agg(F.count_if("linked"), F.count(F.lit(1))).first()
+        late += links
+        if late * 20 > tried:  # few links would join few groups, and cost more than they spare
+            roots, late = components(seen.where("linked").select("a", "b"), label="minhash-links"), 0
         opened = placed.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").drop("group", "lead")
         turn += 1
 
