@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,9 +17,10 @@ from ..constants import (
     PROCESSED_AT,
     SOURCE_UPDATED_AT,
 )
+from ..session import scratch_dir, stored_once
 from .columns import comparable, named, named_all
 from .processed import ColumnRule, build_columns
-from .skew import SLICE, SkewPolicy, fill_forward, find_long_keys, split_long_keys
+from .skew import SLICE, SkewPolicy, Slicing, fill_forward, find_long_keys, split_long_keys
 from .tables import quoted
 
 CONS_SHEDS = (SOURCE_UPDATED_AT, PROCESSED_AT)
@@ -90,6 +91,8 @@ class Lookup:
     event_time: fact column for a type 2 dimension; the version valid then is taken.
         Without it, a type 2 dimension gives its current version.
     unknown: key for facts without a match; NULL if not given.
+    repeated: what a key gives that several rows of a type 1 dimension, or several current versions, have:
+        "fail" is an error once the dimension is read, "largest" takes the largest surrogate key.
     """
 
     dimension: DataFrame
@@ -98,35 +101,64 @@ class Lookup:
     into: str | None = None
     event_time: str | None = None
     unknown: int | None = None
+    repeated: str = "fail"
+
+    def __post_init__(self) -> None:
+        if self.repeated not in ("fail", "largest"):
+            raise ValueError(f"{self.target}: repeated must be 'fail' or 'largest', not {self.repeated!r}")
 
     @property
     def target(self) -> str:
         return self.into or self.skey
 
+    @property
+    def as_of(self) -> bool:
+        return bool(self.event_time) and EFFECTIVE_FROM in self.dimension.columns
+
+    @property
+    def reads(self) -> list[str]:
+        """The fact columns that the lookup needs."""
+        return [*self.on, *([self.event_time] if self.as_of else [])]
+
 
 def _with_unknown(skey: Column, lookup: Lookup) -> Column:
     return skey if lookup.unknown is None else F.coalesce(skey, F.lit(lookup.unknown).cast("bigint"))
 
 
 def with_skey(facts: DataFrame, lookup: Lookup) -> DataFrame:
-    """Adds the key of the only (type 1) or current (type 2) dimension row.
+    """Adds the key of the only (type 1) or current (type 2) dimension row; every fact stays one row.
 
-    A plain left equi-join over two or three dimension columns: Spark broadcasts the
-    dimension if its measured size allows, and else splits long keys of the fact side
-    in the sort-merge join (adaptive skew join; the dimension has one row per key).
+    A left equi-join over two or three dimension columns: Spark broadcasts the dimension if its
+    measured size allows, and else splits long keys of the fact side in the sort-merge join (adaptive
+    skew join). Grouping the dimension by its key shows keys that it has twice; where the join
+    shuffles, it is by the same columns and costs no shuffle of its own.
     """
-    dim = lookup.dimension
-    if IS_CURRENT in dim.columns:
-        dim = current_versions(dim)
-    right = dim.select(
-        *(named(theirs).alias(f"__d{i}") for i, theirs in enumerate(lookup.on.values())),
-        named(lookup.skey).alias("__skey"),
-    )
-    matches = [named(ours) == F.col(f"__d{i}") for i, ours in enumerate(lookup.on)]
-    joined = facts.join(right, matches, "left")
+    return _join_row(facts, lookup, small=False)
+
+
+def _join_row(facts: DataFrame, lookup: Lookup, small: bool) -> DataFrame:
+    rows = _rows_of(lookup)
+    keys = [c for c in rows.columns if c != "__skey"]
+    one = F.max("__skey")
+    if lookup.repeated == "fail":
+        shown = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
+        twice = F.raise_error(F.concat(F.lit(f"{lookup.target}: the dimension has more than one row of the key "), shown))
+        one = F.when(F.count(F.lit(1)) > 1, twice).otherwise(one)
+    right = rows.groupBy(*keys).agg(one.alias("__skey"))
+    matches = [named(ours) == F.col(k) for k, ours in zip(keys, lookup.on)]
+    joined = facts.join(F.broadcast(right) if small else right, matches, "left")
     return joined.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
 
 
+def _rows_of(lookup: Lookup) -> DataFrame:
+    """Keys and surrogate key of the rows that a lookup without time can find."""
+    dim = current_versions(lookup.dimension) if IS_CURRENT in lookup.dimension.columns else lookup.dimension
+    keys = [f"__d{i}" for i in range(len(lookup.on))]
+    return dim.select(
+        *(named(theirs).alias(k) for k, theirs in zip(keys, lookup.on.values())), named(lookup.skey).alias("__skey")
+    ).dropna(subset=keys)
+
+
 # A dimension is sent to every task only below both bounds; they choose the plan, never the answer or whether there is one.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -155,6 +187,26 @@ def with_skey_as_of(
     dimension's size: strata.streaming.facts.land_facts runs this for each micro-batch.
     """
     _refuse_stream(facts, lookup)
+    return _as_of(facts, lookup, _is_small(lookup, broadcast_rows, broadcast_bytes), skew)
+
+
+def _as_of(facts: DataFrame, lookup: Lookup, small: bool, skew: SkewPolicy) -> DataFrame:
+    if not small:
+        return _ordered(facts, lookup, _slices(facts, lookup, skew))
+    versions, keys = _versions_of(lookup)
+    return _answered(facts, lookup, _join_versions(_keyed(facts, lookup, versions), versions, keys))
+
+
+def _ordered(facts: DataFrame, lookup: Lookup, slicing: Slicing | None) -> DataFrame:
+    versions, keys = _versions_of(lookup)
+    return _answered(facts, lookup, _fill_versions(_keyed(facts, lookup, versions), versions, keys, slicing))
+
+
+def _answered(facts: DataFrame, lookup: Lookup, found: DataFrame) -> DataFrame:
+    return found.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
+
+
+def _versions_of(lookup: Lookup) -> tuple[DataFrame, list[str]]:
     keys = [f"__k{i}" for i in range(len(lookup.on))]
     versions = lookup.dimension.select(
         *(named(theirs).alias(k) for k, theirs in zip(keys, lookup.on.values())),
@@ -162,22 +214,43 @@ def with_skey_as_of(
         named(EFFECTIVE_TO).alias("__to"),
         named(lookup.skey).alias("__skey"),
     ).dropna(subset=[*keys, "__from"])
-    numbers = [isinstance(x, T.NumericType) for x in (versions.schema["__from"].dataType, facts.schema[lookup.event_time].dataType)]
-    if numbers[0] != numbers[1]:
+    return versions, keys
+
+
+def _keyed(facts: DataFrame, lookup: Lookup, versions: DataFrame) -> DataFrame:
+    """The facts with the lookup's key columns and time beside them."""
+    start = versions.schema["__from"].dataType
+    if isinstance(start, T.NumericType) != isinstance(facts.schema[lookup.event_time].dataType, T.NumericType):
         raise ValueError(f"{lookup.event_time}: event time and validity must both be times or both be sequence numbers")
-    keyed = facts.withColumns({k: named(ours) for k, ours in zip(keys, lookup.on)}).withColumn(
-        "__t", named(lookup.event_time).cast(versions.schema["__from"].dataType)
+    return facts.withColumns({f"__k{i}": named(ours) for i, ours in enumerate(lookup.on)}).withColumn(
+        "__t", named(lookup.event_time).cast(start)
     )
 
+
+def _is_small(lookup: Lookup, broadcast_rows: int, broadcast_bytes: int) -> bool:
+    """Whether the dimension may be sent to every task. Runs one job over its key columns."""
+    rows = _versions_of(lookup)[0] if lookup.as_of else _rows_of(lookup)
+    keys = rows.columns[: len(lookup.on)]
     # Three fixed columns and a row's overhead, and the keys as text.
     width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(64))
-    per_key = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
     total, size, longest = (x or 0 for x in per_key.agg(F.sum("n"), F.sum("bytes"), F.max("n")).first())
-    if total <= broadcast_rows and size <= broadcast_bytes and longest <= BROADCAST_VERSIONS:
-        found = _join_versions(keyed, versions, keys)
-    else:
-        found = _fill_versions(keyed, versions, keys, skew)
-    return found.select(*named_all(facts.columns), _with_unknown(F.col("__skey"), lookup).alias(lookup.target))
+    return total <= broadcast_rows and size <= broadcast_bytes and longest <= BROADCAST_VERSIONS
+
+
+def _complete(keys: Sequence[str]) -> Column:
+    held = F.col("__t").isNotNull()
+    for key in keys:
+        held = held & F.col(key).isNotNull()
+    return held
+
+
+def _slices(facts: DataFrame, lookup: Lookup, skew: SkewPolicy) -> Slicing | None:
+    """Where the keys are cut that have too many facts and versions for one task."""
+    versions, keys = _versions_of(lookup)
+    rows = _keyed(facts, lookup, versions).where(_complete(keys))
+    moments = rows.select(*keys, "__t").unionByName(versions.select(*keys, F.col("__from").alias("__t")))
+    return find_long_keys(moments, keys, "__t", skew)
 
 
 def _refuse_stream(facts: DataFrame, lookup: Lookup) -> None:
@@ -196,34 +269,38 @@ def _join_versions(keyed: DataFrame, versions: DataFrame, keys: list[str]) -> Da
     return keyed.join(F.broadcast(cut), condition, "left")
 
 
-def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew: SkewPolicy) -> DataFrame:
+def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], slicing: Slicing | None) -> DataFrame:
     # Facts without key or time match nothing. They stay out of the shuffle, where they
     # would all meet in one task.
-    complete = F.col("__t").isNotNull()
-    for key in keys:
-        complete = complete & F.col(key).isNotNull()
+    complete = _complete(keys)
     unmatched = keyed.where(~complete).withColumn("__skey", F.lit(None).cast("bigint"))
     rows = keyed.where(complete)
-    moments = rows.select(*keys, "__t").unionByName(versions.select(*keys, F.col("__from").alias("__t")))
-    slicing = find_long_keys(moments, keys, "__t", skew)
 
     crowds = None
     if slicing is not None and slicing.repeats is not None:
-        # Many facts with one key and one time cannot be cut apart, but have one answer.
+        # Many facts with one key and one time cannot be cut apart, but have one answer: that of the moment.
         at = [*keys, "__t"]
         repeats = F.broadcast(slicing.repeats)
-        started = versions.join(repeats, keys).where(F.col("__t") >= F.col("__from"))
-        last = started.groupBy(*at).agg(F.max(F.struct("__from", "__to", "__skey")).alias("__last"))
-        answers = last.where(F.col("__t") < F.col("__last.__to")).select(*at, F.col("__last.__skey").alias("__skey"))
+        theirs = versions.join(F.broadcast(slicing.repeats.select(*keys).distinct()), keys, "left_semi")
+        moments = slicing.repeats.select(*at, F.struct(*at).alias("__fact"))
+        answers = _fill_moments(moments, theirs, keys, slicing).select("__fact.*", "__skey")
         crowds = rows.join(repeats, at, "left_semi").join(F.broadcast(answers), at, "left")
         rows = rows.join(repeats, at, "left_anti")
 
+    asked = rows.select(*keys, "__t", F.struct(*named_all(keyed.columns)).alias("__fact"))
+    found = _fill_moments(asked, versions, keys, slicing).select("__fact.*", "__skey").unionByName(unmatched)
+    return found if crowds is None else found.unionByName(crowds.select(*named_all(found.columns)))
+
+
+def _fill_moments(asked: DataFrame, versions: DataFrame, keys: list[str], slicing: Slicing | None) -> DataFrame:
+    """The surrogate key in force for each row of `asked` (keys, __t, __fact): rows and versions in one order, the last
+    version filled forward."""
     nothing = F.lit(None)
-    left = rows.select(
+    left = asked.select(
         *keys,
         "__t",
         F.lit(1).alias("__kind"),
-        F.struct(*named_all(keyed.columns)).alias("__fact"),
+        "__fact",
         nothing.cast(versions.schema["__skey"].dataType).alias("__skey"),
         nothing.cast(versions.schema["__to"].dataType).alias("__to"),
     )
@@ -245,21 +322,57 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], skew:
         filled = fill_forward(short, keys, order, mark, False)
         filled = filled.unionByName(fill_forward(long, keys, order, mark, True).drop(SLICE))
     valid = F.col("__t") < F.col("__version.__to")
-    matched = filled.where(F.col("__kind") == 1).select(
-        "__fact.*", F.when(valid, F.col("__version.__skey")).alias("__skey")
-    )
-    found = matched.unionByName(unmatched)
-    return found if crowds is None else found.unionByName(crowds.select(*named_all(found.columns)))
+    return filled.where(F.col("__kind") == 1).select("__fact", F.when(valid, F.col("__version.__skey")).alias("__skey"))
 
 
 def fact(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy = SkewPolicy(), broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A fact table: one surrogate key per dimension in front, then the fact's columns."""
-    for lookup in lookups:
-        versioned = EFFECTIVE_FROM in lookup.dimension.columns
-        if versioned and lookup.event_time:
-            facts = with_skey_as_of(facts, lookup, skew, broadcast_rows)
+    """A fact table: one surrogate key per dimension in front, then the fact's columns.
+
+    Where two or more dimensions are too large to broadcast, their keys are found for the distinct
+    keys and times of the facts, a narrow table that is written once, and come back to the facts in one
+    join: the facts' own columns are shuffled once, however many dimensions there are. A lookup may
+    read the key that an earlier one gave; such a one runs after that join. The facts are then read twice and
+    must read the same (no rand() above a key or time).
+    """
+    small: dict[int, bool] = {}
+    if len(lookups) > 1 and not facts.isStreaming:
+        there = set(facts.columns)
+        small = {i: _is_small(x, broadcast_rows, BROADCAST_BYTES) for i, x in enumerate(lookups) if there.issuperset(x.reads)}
+    together = [i for i, fits in small.items() if not fits]
+    if len(together) > 1:
+        facts = _in_one_pass(facts, [lookups[i] for i in together], skew)
+    else:
+        together = []
+    for i, lookup in enumerate(lookups):
+        if i in together:
+            continue
+        if not lookup.as_of:
+            facts = _join_row(facts, lookup, small.get(i, False))
+        elif i in small:
+            facts = _as_of(facts, lookup, small[i], skew)
         else:
-            facts = with_skey(facts, lookup)
+            facts = with_skey_as_of(facts, lookup, skew, broadcast_rows)
     skeys = [lookup.target for lookup in lookups]
     rest = [c for c in facts.columns if c not in (*skeys, *DIM_SHEDS)]
     return facts.select(*named_all(skeys), *named_all(rest))
+
+
+def _in_one_pass(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy) -> DataFrame:
+    """All these keys, with one shuffle of the facts."""
+    names: dict[str, str] = {}
+    for column in (c for lookup in lookups for c in lookup.reads):
+        names.setdefault(column, f"__f{len(names)}")
+    distinct = facts.select(*(named(c).alias(name) for c, name in names.items())).distinct()
+    asked = found = stored_once(distinct, scratch_dir(facts.sparkSession, "asked"))
+    for i, lookup in enumerate(lookups):
+        narrow = replace(
+            lookup,
+            on={names[ours]: theirs for ours, theirs in lookup.on.items()},
+            event_time=names[lookup.event_time] if lookup.as_of else None,
+            into=f"__s{i}",
+        )
+        # The keys and times stay as they are from one lookup to the next, so all are cut by the stored ones.
+        found = _ordered(found, narrow, _slices(asked, narrow, skew)) if narrow.as_of else _join_row(found, narrow, small=False)
+    same = [named(c).eqNullSafe(F.col(name)) for c, name in names.items()]
+    keys = [F.col(f"__s{i}").alias(lookup.target) for i, lookup in enumerate(lookups)]
+    return facts.join(found, same, "left").select(*named_all(facts.columns), *keys)

@@ -157,7 +157,8 @@ class Medallion:
 
     def _lookup(self, spark: SparkSession, item: Mapping[str, Any]) -> gold.Lookup:
         dimension = read_hop(spark, item["dimension"])
-        return gold.Lookup(dimension, item["on"], item["skey"], item.get("into"), item.get("event_time"), item.get("unknown"))
+        more = {field: item[field] for field in ("into", "event_time", "unknown", "repeated") if field in item}
+        return gold.Lookup(dimension, item["on"], item["skey"], **more)
 
     def _write(self, spec: HopSpec, df: DataFrame, rules: Sequence[Any]) -> None:
         mode = spec.option("write_mode", "materialized_view")

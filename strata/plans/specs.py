@@ -64,7 +64,7 @@ OPTIONS = {
 }
 
 # The fields of a gold hop's lookup.
-LOOKUP_FIELDS = frozenset("dimension event_time into on skey unknown".split())
+LOOKUP_FIELDS = frozenset("dimension event_time into on repeated skey unknown".split())
 
 
 @dataclass(frozen=True)

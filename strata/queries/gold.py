@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import EFFECTIVE_FROM, EFFECTIVE_TO
+from ..functions.keys import key_collisions, surrogate_key
 from ..operators.gold import Lookup, cons, custom_sql, dimension, fact, mapped, with_skey, with_skey_as_of
 from ..operators.processed import read_rules
 from ..operators.skew import SkewPolicy
@@ -150,6 +151,58 @@ def gold_fact(spark: SparkSession, sf: str) -> DataFrame:
     return fact(facts, lookups).drop("buyer")
 
 
+def _periods(rows: DataFrame, key: str, at: str, unit: str, name: str) -> DataFrame:
+    """A type 2 dimension: a version of each key for every period it is seen in, until the next one."""
+    starts = rows.select(key, F.date_trunc(unit, at).alias(EFFECTIVE_FROM)).distinct()
+    until = F.lead(EFFECTIVE_FROM).over(Window.partitionBy(key).orderBy(EFFECTIVE_FROM))
+    return starts.select(
+        key,
+        EFFECTIVE_FROM,
+        F.coalesce(until, F.lit("9999-12-31").cast("timestamp_ntz")).cast(starts.schema[EFFECTIVE_FROM].dataType).alias(EFFECTIVE_TO),
+        surrogate_key([key, EFFECTIVE_FROM]).alias(name),
+    )
+
+
+def _three_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, list[Lookup]]:
+    orders = _orders(spark, sf)
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    parts = _periods(lines, "l_partkey", "l_shipdate", "month", "part_skey")
+    suppliers = _periods(lines, "l_suppkey", "l_shipdate", "week", "supplier_skey")
+    buyers = _periods(orders, "o_custkey", "o_orderdate", "year", "customer_skey")
+    dims = {name: stored_once(dim, scratch_dir(spark, name)) for name, dim in (("parts", parts), ("suppliers", suppliers), ("buyers", buyers))}
+    facts = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
+    # Orders are often older than the first version of what they buy: those facts have the unknown key.
+    return facts, [
+        Lookup(dims["parts"], {"l_partkey": "l_partkey"}, "part_skey", event_time="o_orderdate", unknown=-1),
+        Lookup(dims["suppliers"], {"l_suppkey": "l_suppkey"}, "supplier_skey", event_time="l_shipdate"),
+        Lookup(dims["buyers"], {"o_custkey": "o_custkey"}, "customer_skey", event_time="l_shipdate", unknown=-1),
+    ]
+
+
+def gold_fact_three_dims(spark: SparkSession, sf: str) -> DataFrame:
+    """Three dimensions by version, none of which may be broadcast: one shuffle of the facts."""
+    facts, lookups = _three_dims(spark, sf)
+    return fact(facts, lookups, broadcast_rows=0)
+
+
+def gold_fact_three_dims_measured(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with each dimension's way chosen by its measured size."""
+    return fact(*_three_dims(spark, sf))
+
+
+def skey_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of customers and parts, and of nations made to collide: once as the first and once as the second part."""
+    nothing = F.lit(None).cast("string")
+    nations = table(spark, sf, "nation")
+    keys = (
+        table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"))
+        .unionByName(table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("a"), F.col("p_name").alias("b")))
+        .unionByName(nations.select(F.col("n_name").alias("a"), nothing.alias("b")))
+        .unionByName(nations.where("n_nationkey % 2 = 0").select(nothing.alias("a"), F.col("n_name").alias("b")))
+    )
+    return key_collisions(keys.withColumn("k", surrogate_key(["a", "b"])), ["a", "b"], "k")
+
+
 def gold_custom_sql(spark: SparkSession, sf: str) -> DataFrame:
     return custom_sql(
         spark,
@@ -251,6 +304,27 @@ FROM events e LEFT JOIN cut c
   ON e.user_id = c.user_id AND e.ts >= c.starts AND e.ts < c.ends AND (c.until IS NULL OR e.ts < c.until)
 """
 
+_THREE_DIMS_SQL = f"""
+WITH lines AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate, o_custkey, o_orderdate
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+part_starts AS (SELECT DISTINCT l_partkey AS k, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS starts FROM lineitem),
+parts AS (SELECT *, lead(starts) OVER (PARTITION BY k ORDER BY starts) AS ends FROM part_starts),
+supplier_starts AS (SELECT DISTINCT l_suppkey AS k, CAST(date_trunc('week', l_shipdate) AS TIMESTAMP) AS starts FROM lineitem),
+suppliers AS (SELECT *, lead(starts) OVER (PARTITION BY k ORDER BY starts) AS ends FROM supplier_starts),
+buyer_starts AS (SELECT DISTINCT o_custkey AS k, CAST(date_trunc('year', o_orderdate) AS TIMESTAMP) AS starts FROM orders),
+buyers AS (SELECT *, lead(starts) OVER (PARTITION BY k ORDER BY starts) AS ends FROM buyer_starts)
+SELECT CASE WHEN p.k IS NULL THEN -1 ELSE {skey_sql('p.k', 'p.starts')} END AS part_skey,
+       CASE WHEN s.k IS NOT NULL THEN {skey_sql('s.k', 's.starts')} END AS supplier_skey,
+       CASE WHEN b.k IS NULL THEN -1 ELSE {skey_sql('b.k', 'b.starts')} END AS customer_skey,
+       lines.*
+FROM lines
+LEFT JOIN parts p ON l_partkey = p.k AND o_orderdate >= p.starts AND (p.ends IS NULL OR o_orderdate < p.ends)
+LEFT JOIN suppliers s ON l_suppkey = s.k AND l_shipdate >= s.starts AND (s.ends IS NULL OR l_shipdate < s.ends)
+LEFT JOIN buyers b ON o_custkey = b.k AND l_shipdate >= b.starts AND (b.ends IS NULL OR l_shipdate < b.ends)
+"""
+
 QUERIES = {
     "gold_cons_join": Query(
         gold_cons_join,
@@ -303,6 +377,24 @@ SELECT coalesce(d.user_skey, -1) AS user_skey,
 FROM events e
 LEFT JOIN dim d ON e.user_id = d.user_id AND e.ts >= d.__etl_effective_from AND e.ts < d.__etl_effective_to
 LEFT JOIN customer c ON e.user_id % 100 + 1 = c.c_custkey
+""",
+    ),
+    "gold_fact_three_dims": Query(gold_fact_three_dims, _THREE_DIMS_SQL),
+    "gold_fact_three_dims_measured": Query(gold_fact_three_dims_measured, _THREE_DIMS_SQL),
+    "skey_collisions": Query(
+        skey_collisions,
+        f"""
+WITH keys AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS a, c_name AS b FROM customer
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name FROM part
+  UNION ALL SELECT n_name, NULL FROM nation
+  UNION ALL SELECT NULL, n_name FROM nation WHERE n_nationkey % 2 = 0
+),
+whole AS (
+  SELECT {skey_sql('a', 'b')} AS skey,
+         coalesce(strlen(a) || ':' || a, '-') || coalesce(strlen(b) || ':' || b, '-') AS whole FROM keys
+)
+SELECT skey, min(whole) AS least_key, max(whole) AS greatest_key FROM whole GROUP BY skey HAVING count(DISTINCT whole) > 1
 """,
     ),
     "gold_custom_sql": Query(

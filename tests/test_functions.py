@@ -137,3 +137,13 @@ def test_separator(spark, separator):
     import hashlib
 
     assert got == int(hashlib.md5(f"a{separator}b".encode()).hexdigest()[:15], 16)
+
+
+def test_key_collisions_are_found_and_nothing_else(spark):
+    from strata.functions.keys import key_collisions
+
+    rows = [("a", None), (None, "a"), ("a||b", "c"), ("a", "b||c"), ("x", "y"), ("x", "y"), (None, None), ("", "z"), ("1:x", None)]
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("k", surrogate_key(["a", "b"]))
+    got = {(r["least_key"], r["greatest_key"]) for r in key_collisions(df, ["a", "b"], "k").collect()}
+    assert got == {("-1:a", "1:a-"), ("1:a4:b||c", "4:a||b1:c")}
+    assert key_collisions(df.limit(0), ["a", "b"], "k").count() == 0

@@ -193,3 +193,95 @@ def test_expectations_from_columns():
     ]
     with pytest.raises(ValueError, match="on_violation"):
         Expectation("x", "true", "IGNORE")
+
+
+def test_a_key_twice_in_a_dimension_never_doubles_facts(spark):
+    dim = spark.sql("select * from values (1, 10L), (1, 11L), (2, 20L), (null, 30L), (null, 31L) t(k, s)")
+    facts = spark.sql("select * from values (1, 'a'), (2, 'b'), (null, 'c') t(fk, v)")
+    with pytest.raises(Exception, match="s: the dimension has more than one row of the key 1"):
+        with_skey(facts, Lookup(dim, {"fk": "k"}, "s")).collect()
+    got = with_skey(facts, Lookup(dim, {"fk": "k"}, "s", repeated="largest"))
+    assert {r["v"]: r["s"] for r in got.collect()} == {"a": 11, "b": 20, "c": None} and got.count() == 3
+    unique = dim.where("k = 2 or k is null")
+    assert {r["v"]: r["s"] for r in with_skey(facts, Lookup(unique, {"fk": "k"}, "s", unknown=-1)).collect()} == {"a": -1, "b": 20, "c": -1}
+    with pytest.raises(ValueError, match="repeated"):
+        Lookup(dim, {"fk": "k"}, "s", repeated="first")
+
+
+def periods(spark, key, name, seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(6):
+        at = rng.randint(0, 10)
+        for _ in range(rng.randint(0, 6)):
+            end = at + rng.randint(1, 9)
+            rows.append((k, at, end, 100 * seed + len(rows)))
+            at = end + rng.choice([0, 0, 4])
+    dim = spark.createDataFrame(rows, f"{key} int, s int, e int, {name} long").select(
+        key, name, *(F.timestamp_seconds(c).alias(n) for c, n in (("s", "__etl_effective_from"), ("e", "__etl_effective_to")))
+    )
+    return rows, dim
+
+
+@pytest.mark.parametrize("sliced", [False, True])
+def test_several_lookups_in_one_pass_equal_brute_force(spark, sliced):
+    rng = random.Random(8)
+    facts = [tuple(rng.choice([*range(7), None]) for _ in range(3)) + (rng.choice([None, 5, 5, *range(50)]), rng.choice([None, *range(50)])) for _ in range(600)]
+    facts = [(i, *f) for i, f in enumerate(facts + facts[:100])]
+    frame = spark.createDataFrame(facts, "id int, a int, b int, c int, t int, u int").withColumns(
+        {"at": F.timestamp_seconds("t"), "until": F.timestamp_seconds("u")}
+    )
+    (rows_a, dim_a), (rows_b, dim_b) = periods(spark, "a", "a_skey", 1), periods(spark, "k", "b_skey", 2)
+    flat = spark.createDataFrame([(k, k * 10) for k in range(5)], "c int, c_skey long")
+    chained = spark.createDataFrame([(k * 10, k) for k in range(4)], "c_skey long, d_skey long")
+    lookups = [
+        Lookup(dim_a, {"a": "a"}, "a_skey", event_time="at"),
+        Lookup(flat, {"c": "c"}, "c_skey"),
+        Lookup(chained, {"c_skey": "c_skey"}, "d_skey", unknown=-1),
+        Lookup(dim_b, {"b": "k"}, "b_skey", event_time="until", unknown=-1),
+    ]
+    skew = SkewPolicy(min_rows=20, target_slices=100, enabled=sliced)
+    got = fact(frame, lookups, skew, broadcast_rows=0)
+    assert got.columns == ["a_skey", "c_skey", "d_skey", "b_skey", *frame.columns]
+    want_a = as_of([(f[0], f[1], f[4]) for f in facts if f[1] is not None and f[4] is not None], rows_a)
+    want_b = as_of([(f[0], f[2], f[5]) for f in facts if f[2] is not None and f[5] is not None], rows_b)
+    want = {}
+    for i, _, _, c, _, _ in facts:
+        c_skey = c * 10 if c is not None and c < 5 else None
+        b_skey = want_b.get(i)
+        want[i] = (want_a.get(i), c_skey, c_skey // 10 if c_skey is not None and c_skey < 40 else -1, -1 if b_skey is None else b_skey)
+    for frame_of in (got, fact(frame, lookups, skew)):
+        rows = frame_of.collect()
+        assert len(rows) == len(facts)
+        assert {r["id"]: (r["a_skey"], r["c_skey"], r["d_skey"], r["b_skey"]) for r in rows} == want
+
+
+def test_facts_are_shuffled_once_for_all_large_dimensions(spark):
+    dims = [periods(spark, "k", f"skey_{i}", i)[1] for i in range(3)]
+    facts = spark.range(200).selectExpr("id", "id % 5 as a", "id % 6 as b", "id % 7 as c", "timestamp_seconds(id % 40) as at", "id * 2 as amount")
+    lookups = [Lookup(dim, {ours: "k"}, f"skey_{i}", event_time="at") for i, (dim, ours) in enumerate(zip(dims, "abc"))]
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = fact(facts, lookups, broadcast_rows=0)._jdf.queryExecution().explainString(formatted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    exchanges = [node for node in plan.split("\n\n") if ") Exchange" in node]
+    assert len(exchanges) > 4
+    assert len([node for node in exchanges if "amount#" in node]) == 1
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_repeated_instants_meet_versions_once(spark):
+    """A key with many versions and many instants at which facts crowd: no version is paired with each instant."""
+    versions, instants, each = 3000, 60, 40
+    dim = spark.range(versions).select(
+        F.lit(1).alias("k"), F.col("id").alias("s"),
+        F.timestamp_seconds("id").alias("__etl_effective_from"), F.timestamp_seconds(F.col("id") + 1).alias("__etl_effective_to"),
+    )
+    facts = spark.range(instants * each).select(F.lit(1).alias("k"), "id", F.timestamp_seconds(F.col("id") % instants * 50).alias("at"))
+    got = with_skey_as_of(facts, Lookup(dim, {"k": "k"}, "s", event_time="at"), SkewPolicy(min_rows=20, target_slices=1_000_000), broadcast_rows=0)
+    assert got.where(F.col("s") == F.unix_seconds("at")).count() == instants * each
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= __from" not in plan
