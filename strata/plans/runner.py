@@ -15,7 +15,7 @@ from ..operators.raw import raw
 from ..operators.skew import SkewPolicy
 from ..operators.tables import WRITE_MODES, append_table, create_current_view, replace_table
 from ..sources import read_source
-from ..streaming.facts import land_facts
+from ..streaming.facts import land_facts, resolve_late
 from ..streaming.history import HistoryStore
 from ..streaming.ingest import land_stream, read_hop
 from .specs import LAYERS, HopSpec, plan_objects
@@ -118,6 +118,8 @@ class Medallion:
             source = read_hop(self.spark, spec.source_table, mode, append_only)
             if source.isStreaming and spec.option("primary_key_columns"):
                 raise ValueError(f"{spec.table}: primary_key_columns need read_mode 'snapshot': which row of a key is the last is never settled on a stream")
+            if spec.option("late_dimensions") and not (source.isStreaming and spec.option("lookups")):
+                raise ValueError(f"{spec.table}: late_dimensions is for a streaming read with lookups; other tables are computed anew")
             if source.isStreaming and spec.option("lookups"):
                 self._stream_facts(spec, source, rules)
                 return
@@ -141,9 +143,11 @@ class Medallion:
             raise ValueError(f"{spec.table}: a streaming read needs write_mode 'streaming_table', not {spec.option('write_mode', 'materialized_view')!r}")
         if spec.option("create_scd2_view"):
             raise ValueError(f"{spec.table}: create_scd2_view is for dimensions, not for streamed facts")
+        lookups = lambda spark: [self._lookup(spark, item) for item in spec.option("lookups")]
+        late = bool(spec.option("late_dimensions", False))
         counts = land_facts(
             source,
-            lambda spark: [self._lookup(spark, item) for item in spec.option("lookups")],
+            lookups,
             self._checkpoint(spec),
             self._location(spec),
             spec.table,
@@ -151,7 +155,12 @@ class Medallion:
             lambda df: self._mapped(spec, df, rules),
             expectations_of(rules),
             self.skew,
+            late=late,
         )
+        if late:
+            resolve_late(
+                self.spark, lookups, self._location(spec), spec.table, lambda df: self._mapped(spec, df, rules), expectations_of(rules), self.skew
+            )
         if counts:
             self.violations[spec.table] = counts
 

@@ -58,7 +58,7 @@ OPTIONS = {
     "gold": frozenset(
         [
             *_ANY_HOP, *_SETTINGS,
-            *"append_only_source columns create_scd2_view custom_sql filter lookups read_mode scd2_view_name source_catalog source_schema write_mode".split(),
+            *"append_only_source columns create_scd2_view custom_sql filter late_dimensions lookups read_mode scd2_view_name source_catalog source_schema write_mode".split(),
         ]
     ),
 }

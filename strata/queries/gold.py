@@ -14,7 +14,7 @@ from ..operators.processed import read_rules
 from ..operators.skew import SkewPolicy
 from ..operators.tables import append_table, create_current_view, replace_table
 from ..session import scratch_dir, stored_once
-from ..streaming.facts import land_facts, landed_facts
+from ..streaming.facts import land_facts, landed_facts, resolve_late
 from ..streaming.ingest import land_stream
 from .base import EVENT_VERSIONS, Query, skey_sql, table
 from .processed import PROCESSED_VERSIONS, customer_keys, event_versions
@@ -96,6 +96,24 @@ def gold_pit_stream_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, broadcast_rows=0)
 
 
+def gold_late_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the users arrive after their facts, which have the unknown key until then."""
+    facts, work = _facts(spark, sf), scratch_dir(spark, "late-dimension")
+    users = event_versions(spark, sf)
+    users.where("user_id % 3 <> 0").write.parquet(f"{work}/dim")
+    for part in range(3):
+        facts.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{work}/raw")
+    stream = spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/raw")
+
+    def lookups(spark: SparkSession) -> list[Lookup]:
+        return [Lookup(spark.read.parquet(f"{work}/dim"), {"user_id": "user_id"}, "user_skey", event_time="ts", unknown=-1)]
+
+    land_facts(stream, lookups, f"{work}/checkpoint", f"{work}/facts", late=True)
+    users.where("user_id % 3 = 0").write.mode("append").parquet(f"{work}/dim")
+    resolve_late(spark, lookups, f"{work}/facts")
+    return landed_facts(spark, f"{work}/facts")
+
+
 def _overlapping(spark: SparkSession, sf: str) -> Lookup:
     """A dimension whose versions overlap and start together: one per event, from its day on for some hours."""
     start = F.date_trunc("day", "ts")
@@ -355,6 +373,7 @@ FROM events e LEFT JOIN dim d ON e.user_id = d.user_id AND d.__etl_is_current
     "gold_pit_skey_long_keys": Query(gold_pit_skey_long_keys, _PIT_SQL),
     "gold_pit_stream": Query(gold_pit_stream, _PIT_SQL),
     "gold_pit_stream_ordered": Query(gold_pit_stream_ordered, _PIT_SQL),
+    "gold_late_dimension": Query(gold_late_dimension, _PIT_SQL.replace("d.user_skey\n", "coalesce(d.user_skey, -1) AS user_skey\n")),
     "gold_pit_overlapping": Query(gold_pit_overlapping, _OVERLAPPING_SQL),
     "gold_pit_overlapping_ordered": Query(gold_pit_overlapping_ordered, _OVERLAPPING_SQL),
     "gold_current_view": Query(

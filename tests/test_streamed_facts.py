@@ -3,7 +3,7 @@ import pytest
 from strata.operators.expectations import Expectation
 from strata.operators.gold import Lookup, with_skey_as_of
 from strata.plans import Medallion
-from strata.streaming.facts import land_facts, landed_facts, narrowed
+from strata.streaming.facts import land_facts, landed_facts, narrowed, resolve_late
 
 VERSIONS = "k int, s long, __etl_effective_from timestamp, __etl_effective_to timestamp"
 
@@ -118,3 +118,75 @@ def test_refusals(spark, tmp_path, more, said):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     with pytest.raises(ValueError, match=said):
         Medallion(spark, registry(**more), str(tmp_path)).run()
+
+
+LATE = [[(1, 1, "2024-01-10"), (2, 7, "2024-03-01")], [(3, 2, "2024-02-01"), (4, 8, "2024-02-01"), (5, None, "2024-02-01")], [(6, 1, None), (7, 1, "2024-01-11")]]
+
+
+def files_of(path):
+    return {str(p): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_facts_of_late_versions_are_found_and_others_stay(spark, tmp_path, bound):
+    versions(spark, DIM).write.parquet(f"{tmp_path}/dim")
+    for part, rows in enumerate(LATE):
+        stream = landed(spark, tmp_path, rows, part)
+    where = (lookups(f"{tmp_path}/dim"), f"{tmp_path}/facts")
+    land_facts(stream, where[0], f"{tmp_path}/c", where[1], broadcast_rows=bound, late=True)
+
+    def answers():
+        rows = landed_facts(spark, where[1]).collect()
+        assert len(rows) == 7
+        return {r["id"]: r["s"] for r in rows}
+
+    before = {1: 10, 2: -1, 3: 20, 4: -1, 5: -1, 6: -1, 7: 10}
+    assert answers() == before
+    assert resolve_late(spark, *where, broadcast_rows=bound) == 0
+    held = files_of(tmp_path / "facts")
+    # User 7 comes, and a version of user 1 that facts found long ago do not take.
+    late = [(7, 70, "2024-01-01", "2024-12-31"), (1, 99, "2024-01-05", "2024-01-20")]
+    versions(spark, late).write.mode("append").parquet(f"{tmp_path}/dim")
+    assert resolve_late(spark, *where, broadcast_rows=bound) == 1
+    assert answers() == {**before, 2: 70}
+    gone = {path for path in held if path not in files_of(tmp_path / "facts")}
+    assert gone and all("/open/" in path or "/pending/" in path for path in gone)
+    assert len({path.rsplit("/", 2)[1] for path in gone}) == 1
+    assert resolve_late(spark, *where, broadcast_rows=bound) == 0
+    versions(spark, [(8, 80, "2024-01-01", "2024-12-31")]).write.mode("append").parquet(f"{tmp_path}/dim")
+    assert resolve_late(spark, *where, broadcast_rows=bound) == 1
+    assert answers() == {**before, 2: 70, 4: 80}
+    # Facts without key or time wait for nothing.
+    assert spark.read.parquet(f"{where[1]}/pending").count() == 0
+
+
+def test_resolving_goes_on_after_a_failure_between_its_writes(spark, tmp_path, monkeypatch):
+    import strata.streaming.facts as module
+
+    versions(spark, DIM).write.parquet(f"{tmp_path}/dim")
+    stream = landed(spark, tmp_path, LATE[0], 0)
+    where = (lookups(f"{tmp_path}/dim"), f"{tmp_path}/facts")
+    land_facts(stream, where[0], f"{tmp_path}/c", where[1], late=True)
+    versions(spark, [(7, 70, "2024-01-01", "2024-12-31")]).write.mode("append").parquet(f"{tmp_path}/dim")
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    whole = module._as_pending
+    monkeypatch.setattr(module, "_as_pending", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        resolve_late(spark, *where)
+    monkeypatch.setattr(module, "_as_pending", whole)
+    assert resolve_late(spark, *where) == 1
+    assert {r["id"]: r["s"] for r in landed_facts(spark, where[1]).collect()} == {1: 10, 2: 70}
+
+
+def test_nothing_is_pending_where_nothing_landed(spark, tmp_path):
+    assert resolve_late(spark, lookups(f"{tmp_path}/dim"), f"{tmp_path}/facts") == 0
+
+
+def test_late_dimensions_need_a_stream(spark, tmp_path):
+    spark.sql("create schema if not exists spark_catalog.streamed_refusals")
+    spark.sql("create table if not exists spark_catalog.streamed_refusals.raw_x (id int, k int) using parquet")
+    with pytest.raises(ValueError, match="late_dimensions"):
+        Medallion(spark, registry(late_dimensions=True), str(tmp_path)).run()
