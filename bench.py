@@ -45,6 +45,7 @@ HEADLINE = [
     "gold_pit_skey",
     "gold_pit_skey_ordered",
     "gold_pit_skey_long_keys",
+    "gold_fact_three_dims",
     "gold_custom_sql",
     "expect_warn_counts",
     "scd2_incremental",
