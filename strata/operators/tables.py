@@ -64,6 +64,18 @@ def set_comment(spark: SparkSession, table: str, comment: str | None) -> None:
         spark.sql(f"COMMENT ON TABLE {quoted(table)} IS {literal(comment)}")
 
 
+def replaces_kind(spark: SparkSession, table: str, kind: str) -> None:
+    """Drops a table where a view is to stand, and the other way round. Files stay."""
+    name = quoted(table)
+    if not spark.catalog.tableExists(name):
+        return
+    held = spark.catalog.getTable(name).tableType
+    if held == "MANAGED" and kind == "VIEW":
+        raise ValueError(f"{table}: a managed table stands there; its files would go with it")
+    if (held == "VIEW") != (kind == "VIEW"):
+        spark.sql(f"DROP {'VIEW' if held == 'VIEW' else 'TABLE'} {name}")
+
+
 def ensure_table(spark: SparkSession, like: DataFrame, table: str, location: str, comment: str | None = None) -> None:
     """Creates the table if it is not there. Safe to repeat."""
     ensure_schema(spark, table)
@@ -127,6 +139,7 @@ def replace_table(df: DataFrame, table: str, location: str, comment: str | None
     df.write.mode("overwrite").parquet(version)
     ensure_schema(spark, table)
     name = quoted(table)
+    replaces_kind(spark, table, "TABLE")
     if spark.catalog.tableExists(name) and spark.table(name).schema.simpleString() == df.schema.simpleString():
         spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(version)}")
         spark.catalog.refreshTable(name)

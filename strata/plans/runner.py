@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import gold
 from ..operators.expectations import enforce, expectations_of, observe, watch
-from ..operators.processed import processed, read_rules
+from ..operators.processed import ColumnRule, processed, read_rules
 from ..operators.raw import raw
 from ..operators.skew import SkewPolicy
 from ..operators.tables import WRITE_MODES, append_table, create_current_view, replace_table
 from ..sources import read_source
 from ..streaming.facts import land_facts, resolve_late
-from ..streaming.history import HistoryStore
+from ..streaming.history import AT, HistoryStore
 from ..streaming.ingest import land_stream, read_hop
+from ..streaming.views import RowView
 from .specs import LAYERS, HopSpec, plan_objects
 
 
@@ -78,17 +79,15 @@ class Medallion:
     def _cdc(self, spec: HopSpec) -> None:
         """Only new raw rows are read where raw only grows. An overwritten raw table is taken as
         one more load of changes: versions known from earlier loads stay."""
-        changes = spec.changes()
-        buckets = int(spec.option("buckets", self.buckets))
         if not self._raw_only_grows(spec):
             feed = read_hop(self.spark, spec.source_table)
-            store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, buckets, skew=self.skew)
+            store = self._store(spec, feed)
             store.apply_snapshot(feed)
             self.refused[spec.table] = sum(store.refused.values())
             self._publish(store, spec)
             return
         feed = read_hop(self.spark, spec.source_table, "stream", append_only=True)
-        store = HistoryStore(self.spark, self._location(spec), changes, feed.schema, buckets, skew=self.skew)
+        store = self._store(spec, feed)
         query = (
             feed.writeStream.foreachBatch(store.apply)
             .option("checkpointLocation", self._checkpoint(spec))
@@ -99,16 +98,48 @@ class Medallion:
         self.refused[spec.table] = sum(store.refused.values())
         self._publish(store, spec)
 
-    def _publish(self, store: HistoryStore, spec: HopSpec) -> None:
+    def _store(self, spec: HopSpec, feed: DataFrame) -> HistoryStore:
+        buckets = int(spec.option("buckets", self.buckets))
+        return HistoryStore(self.spark, self._location(spec), spec.changes(), feed.schema, buckets, skew=self.skew)
+
+    def _publish(self, store: HistoryStore | RowView, spec: HopSpec) -> None:
         store.publish(spec.table, spec.comment)
         if self.keep_versions is not None:
             store.clean(max(1, self.keep_versions))
 
+    def _row_view(self, spec: HopSpec) -> RowView:
+        """The table of a hop that is refreshed by what changed."""
+        above = next(s for s in plan_objects(self.registry) if s.table == spec.source_table)
+        source = self._store(above, read_hop(self.spark, above.source_table)) if above.layer == "l02" else self._row_view(above)
+        rules = read_rules(spec.option("columns"))
+        if spec.layer == "l03":
+            made_by, build = repr(spec.processed()), lambda df: processed(df, spec.processed())
+        else:
+            made_by = repr((spec.object_key, rules, spec.option("filter")))
+            with_place = [*rules, ColumnRule(AT, AT)] if rules else ()
+            build = lambda df: self._mapped(spec, df, with_place)
+        return RowView(self.spark, f"{self._location(spec)}/incremental", source, build, made_by, expectations_of(rules))
+
+    def _refresh(self, spec: HopSpec) -> None:
+        view = self._row_view(spec)
+        counts = view.refresh()
+        if counts:
+            self.violations[spec.table] = counts
+        self._publish(view, spec)
+
     def _processed(self, spec: HopSpec) -> None:
+        if spec.incremental:
+            self._refresh(spec)
+            return
         built = processed(read_hop(self.spark, spec.source_table), spec.processed())
         self._write(spec, built, spec.processed().columns)
 
     def _gold(self, spec: HopSpec) -> None:
+        if spec.incremental:
+            self._refresh(spec)
+            if spec.option("create_scd2_view"):
+                create_current_view(self.spark, spec.table, spec.option("scd2_view_name"))
+            return
         rules = read_rules(spec.option("columns"))
         if spec.option("custom_sql"):
             built, rules = gold.custom_sql(self.spark, spec.option("custom_sql")), ()

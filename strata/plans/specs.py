@@ -54,11 +54,11 @@ OPTIONS = {
             *"apply_as_deletes buckets ignore_null_updates keys on_refused scd_type sequence_by tie_breaker track_audit track_history_column_list".split(),
         ]
     ),
-    "l03": frozenset([*_ANY_HOP, *_SETTINGS, *"business_key_columns columns leading_columns read_mode skey_column write_mode".split()]),
+    "l03": frozenset([*_ANY_HOP, *_SETTINGS, *"business_key_columns columns leading_columns read_mode refresh skey_column write_mode".split()]),
     "gold": frozenset(
         [
             *_ANY_HOP, *_SETTINGS,
-            *"append_only_source columns create_scd2_view custom_sql filter late_dimensions lookups read_mode scd2_view_name source_catalog source_schema write_mode".split(),
+            *"append_only_source columns create_scd2_view custom_sql filter late_dimensions lookups read_mode refresh scd2_view_name source_catalog source_schema write_mode".split(),
         ]
     ),
 }
@@ -84,6 +84,10 @@ class HopSpec:
         value = self.options.get(name)
         return default if value is None else value
 
+    @property
+    def incremental(self) -> bool:
+        return self.option("refresh") == "incremental"
+
     def reads(self, table: str) -> bool:
         """Whether this hop needs the table first, by its source, a lookup or the text of its statement."""
         if self.source_table == table or any(x["dimension"] == table for x in self.option("lookups", ())):
@@ -293,7 +297,9 @@ def plan_objects(registry: Mapping[str, Any], layers: Sequence[str] = LAYERS) ->
         if entry.get("enabled", True):
             planned["gold"].append(_gold(entry, naming, settings))
     planned["gold"] = _by_sources(planned["gold"])
-    _refuse_streamed_rewrites([spec for specs in planned.values() for spec in specs])
+    every = [spec for specs in planned.values() for spec in specs]
+    _refuse_streamed_rewrites(every)
+    _check_refresh(every)
     wanted = [*layers, *(["gold"] if "gold" not in layers and set(layers) == set(LAYERS) else [])]
     return [spec for layer in wanted for spec in planned[layer]]
 
@@ -310,6 +316,23 @@ def _by_sources(specs: list[HopSpec]) -> list[HopSpec]:
     return out
 
 
+def _check_refresh(specs: list[HopSpec]) -> None:
+    """Tables refreshed by what changed are made row by row, from a cdc table or from one another."""
+    feeding = {s.table for s in specs if s.layer == "l02" or s.incremental}
+    for spec in specs:
+        if spec.layer in ("l03", "gold") and spec.option("refresh", "full") not in ("full", "incremental"):
+            raise ValueError(f"{spec.table}: refresh must be 'full' or 'incremental', not {spec.option('refresh')!r}")
+        if not spec.incremental:
+            continue
+        others = [name for name in ("lookups", "custom_sql", "late_dimensions") if spec.option(name)]
+        if spec.layer == "gold":
+            others += [name for name in ("primary_key_columns",) if spec.option(name)]
+        if spec.option("read_mode", "snapshot") != "snapshot" or spec.option("write_mode", "materialized_view") != "materialized_view" or others:
+            raise ValueError(f"{spec.table}: an incremental refresh is for materialized views of one table, without {', '.join(others) or 'streams'}")
+        if spec.source_table not in feeding:
+            raise ValueError(f"{spec.table}: an incremental refresh needs a source that is a cdc table or refreshed so too; {spec.source_table} is not")
+
+
 def _refuse_streamed_rewrites(specs: list[HopSpec]) -> None:
     """A table that is written anew with each run can't be read as a stream: the second run would fail."""
     rewritten = {s.table for s in specs if s.layer in ("l02", "l03") or s.layer == "gold" and s.option("write_mode") != "streaming_table"}

@@ -17,7 +17,7 @@ from ..session import scratch_dir, stored_once
 from ..streaming.facts import land_facts, landed_facts, resolve_late
 from ..streaming.ingest import land_stream
 from .base import EVENT_VERSIONS, Query, skey_sql, table
-from .processed import PROCESSED_VERSIONS, customer_keys, event_versions
+from .processed import PROCESSED_VERSIONS, customer_keys, event_versions, event_views
 
 
 def gold_cons_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,6 +160,11 @@ def gold_dim(spark: SparkSession, sf: str) -> DataFrame:
     return mapped(dimension(cons(event_versions(spark, sf))), rules)
 
 
+def gold_dim_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension over a processed table, both refreshed after each micro-batch by what changed."""
+    return event_views(spark, sf, gold=True).read()
+
+
 def gold_fact(spark: SparkSession, sf: str) -> DataFrame:
     facts = table(spark, sf, "events").select("event_id", "user_id", "ts", "value").withColumn("buyer", F.col("user_id") % 100 + 1)
     lookups = [
@@ -343,6 +348,11 @@ LEFT JOIN suppliers s ON l_suppkey = s.k AND l_shipdate >= s.starts AND (s.ends
 LEFT JOIN buyers b ON o_custkey = b.k AND l_shipdate >= b.starts AND (b.ends IS NULL OR l_shipdate < b.ends)
 """
 
+_DIM_SQL = f"""
+WITH {EVENT_VERSIONS}, dim AS ({PROCESSED_VERSIONS})
+SELECT user_skey, user_id, upper(event_type) AS status, __etl_effective_from, __etl_effective_to, __etl_is_current FROM dim
+"""
+
 QUERIES = {
     "gold_cons_join": Query(
         gold_cons_join,
@@ -379,13 +389,8 @@ FROM events e LEFT JOIN dim d ON e.user_id = d.user_id AND d.__etl_is_current
     "gold_current_view": Query(
         gold_current_view, f"WITH {EVENT_VERSIONS}, dim AS ({PROCESSED_VERSIONS}) SELECT * FROM dim WHERE __etl_is_current"
     ),
-    "gold_dim": Query(
-        gold_dim,
-        f"""
-WITH {EVENT_VERSIONS}, dim AS ({PROCESSED_VERSIONS})
-SELECT user_skey, user_id, upper(event_type) AS status, __etl_effective_from, __etl_effective_to, __etl_is_current FROM dim
-""",
-    ),
+    "gold_dim": Query(gold_dim, _DIM_SQL),
+    "gold_dim_incremental": Query(gold_dim_incremental, _DIM_SQL),
     "gold_fact": Query(
         gold_fact,
         f"""

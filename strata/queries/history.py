@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,16 +130,21 @@ def scd1_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _late(spark: SparkSession, feed: DataFrame, spec: ChangeSpec, label: str) -> DataFrame:
+    store = HistoryStore(spark, scratch_dir(spark, label), spec, feed.schema, buckets=8)
+    for batch_id, changes in with_late_changes(feed):
+        store.apply(changes, batch_id)
+    return store.read()
+
+
+def with_late_changes(feed: DataFrame) -> Iterator[tuple[int, DataFrame]]:
     """Four micro-batches in order of time, then one with every tenth change of all times."""
     late = F.pmod(F.xxhash64("user_id", "ts"), F.lit(10)) == 0
-    store = HistoryStore(spark, scratch_dir(spark, label), spec, feed.schema, buckets=8)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     span = feed.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
     part = F.floor((at - F.lit(span["a"])) * 4 / (F.lit(span["b"]) - F.lit(span["a"]) + 1))
     for i in range(4):
-        store.apply(feed.where(~late & (part == i)), i + 1)
-    store.apply(feed.where(late), 5)
-    return store.read()
+        yield i + 1, feed.where(~late & (part == i))
+    yield 5, feed.where(late)
 
 
 def scd2_incremental_late(spark: SparkSession, sf: str) -> DataFrame:

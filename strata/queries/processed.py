@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import PROCESSED_AT, START_AT
+from ..constants import EFFECTIVE_FROM, EFFECTIVE_TO, IS_CURRENT, PROCESSED_AT, START_AT
 from ..functions.keys import surrogate_key
 from ..operators.cdc import apply_changes
 from ..operators.expectations import Expectation, enforce, expectations_of, violation_counts
+from ..operators.gold import mapped
 from ..operators.processed import ProcessedSpec, processed, read_rules
 from ..operators.raw import RawSpec, raw
+from ..session import scratch_dir
+from ..streaming.history import AT, HistoryStore
+from ..streaming.views import RowView
 from .base import EVENT_FEED, EVENT_VERSIONS, Query, event_changes, skey_sql, table
+from .history import with_late_changes
 
 
 def event_versions(spark: SparkSession, sf: str) -> DataFrame:
@@ -21,6 +26,29 @@ def event_versions(spark: SparkSession, sf: str) -> DataFrame:
     return processed(history, spec).drop(PROCESSED_AT)
 
 
+def event_views(spark: SparkSession, sf: str, gold: bool) -> RowView:
+    """The processed versions of users, or a dimension of them, refreshed after each micro-batch by what changed."""
+    feed, work = table(spark, sf, "events").select(*EVENT_FEED), scratch_dir(spark, "views")
+    store = HistoryStore(spark, f"{work}/cdc", event_changes(), feed.schema, buckets=8, merge_after=3)
+    spec = ProcessedSpec(business_key_columns=["user_id"], skey_column="user_skey")
+    done = RowView(spark, f"{work}/processed", store, lambda df: processed(df, spec), repr(spec))
+    shown = read_rules(
+        [{"target_col": "status", "expression": "upper(event_type)"}]
+        + [{"source_col": c, "target_col": c} for c in ("user_skey", "user_id", EFFECTIVE_FROM, EFFECTIVE_TO, IS_CURRENT, AT)]
+    )
+    dim = RowView(spark, f"{work}/dim", done, lambda df: mapped(df, shown), repr(shown))
+    for batch_id, changes in with_late_changes(feed):
+        store.apply(changes, batch_id)
+        done.refresh()
+        if gold:
+            dim.refresh()
+    return dim if gold else done
+
+
+def processed_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    return event_views(spark, sf, gold=False).read().drop(PROCESSED_AT)
+
+
 def customer_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The type 1 dimension of customers with its surrogate key."""
     spec = ProcessedSpec(business_key_columns=["c_custkey"], skey_column="customer_skey")
@@ -165,6 +193,7 @@ SELECT {skey_sql('user_id')} AS user_skey, event_id, user_id, event_type, value,
 """,
     ),
     "processed_scd2": Query(processed_scd2, f"WITH {EVENT_VERSIONS} {PROCESSED_VERSIONS}"),
+    "processed_incremental": Query(processed_incremental, f"WITH {EVENT_VERSIONS} {PROCESSED_VERSIONS}"),
     "processed_user_columns": Query(
         processed_user_columns,
         """

@@ -6,10 +6,11 @@ import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans import Medallion
 from ..session import scratch_dir
-from .base import EVENT_VERSIONS, Query, skey_sql
+from .base import EVENT_VERSIONS, Query, skey_sql, table
 from .processed import PROCESSED_VERSIONS
 
 
@@ -32,28 +33,27 @@ def _defaults(**l01: Any) -> dict[str, Any]:
     }
 
 
-def registry_dim_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """A streamed dimension: files, raw, type 2 history by micro-batch, keys, cons, dim."""
-    hops = _hops()
-    registry = {
+def _dimension_of_users(hops: dict[str, dict[str, str]], files: str, **refresh: str) -> dict[str, Any]:
+    """Files, raw, type 2 history by micro-batch, keys, cons, dim."""
+    return {
         "hops": hops,
         "source_systems": {
             "shop": {
                 "source_type": "cloud_storage",
-                "connection": {"cloud_storage_path": sf.rstrip("/") + "/{object}*.parquet", "cloud_storage_type": "parquet"},
+                "connection": {"cloud_storage_path": files, "cloud_storage_type": "parquet"},
                 "defaults": _defaults(ingestion_mode="streaming", merge_strategy="append"),
                 "dimensions": {
                     "events": {
                         "primary_key_columns": "user_id",
                         "l01": {"source_updated_at_col": "ts", "data_items": ["user_id", "ts", "event_type"]},
                         "l02": {"apply_as_deletes": "event_type = 'error'", "track_history_column_list": ["event_type"]},
-                        "l03": {"skey_column": "user_skey", "leading_columns": ["user_id"]},
+                        "l03": {"skey_column": "user_skey", "leading_columns": ["user_id"], **refresh},
                     }
                 },
             }
         },
         "gold": [
-            {"object_name": "cons_user", "source_object": "processed_events"},
+            {"object_name": "cons_user", "source_object": "processed_events", **refresh},
             {
                 "object_name": "dim_user",
                 "source_object": "cons_user",
@@ -62,13 +62,31 @@ def registry_dim_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
                     {"source_col": c, "target_col": c}
                     for c in ("user_skey", "user_id", "event_type", "__etl_effective_from", "__etl_effective_to", "__etl_is_current")
                 ],
+                **refresh,
             },
         ],
     }
+
+
+def registry_dim_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """A streamed dimension, its processed and gold tables written in full."""
+    hops = _hops()
+    registry = _dimension_of_users(hops, sf.rstrip("/") + "/{object}*.parquet")
     Medallion(spark, registry, scratch_dir(spark, "registry-dim"), buckets=8).run()
     return spark.table(f"spark_catalog.{hops['gold']['schema']}.dim_user")
 
 
+def registry_dim_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two runs, each with half of the changes of all times; three tables are refreshed by what changed."""
+    hops, work = _hops(), scratch_dir(spark, "registry-incremental")
+    medallion = Medallion(spark, _dimension_of_users(hops, f"{work}/in/{{object}}", refresh="incremental"), work, buckets=8, keep_versions=1)
+    for half in (0, 1):
+        changes = table(spark, sf, "events").where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        changes.write.mode("append").parquet(f"{work}/in/events")
+        medallion.run()
+    return spark.table(f"spark_catalog.{hops['gold']['schema']}.dim_user")
+
+
 def registry_fact_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """A fact with the key of its dimension, both from snapshots."""
     hops = _hops()
@@ -234,6 +252,9 @@ QUERIES = {
     "registry_dim_end_to_end": Query(
         registry_dim_end_to_end, f"WITH {EVENT_VERSIONS} {PROCESSED_VERSIONS}"
     ),
+    "registry_dim_incremental": Query(
+        registry_dim_incremental, f"WITH {EVENT_VERSIONS} {PROCESSED_VERSIONS}"
+    ),
     "registry_fact_end_to_end": Query(
         registry_fact_end_to_end,
         f"""

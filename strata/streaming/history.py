@@ -28,7 +28,7 @@ starts from the manifest before it and gives the same rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -50,6 +50,9 @@ CUT = "__cut"
 
 FROM = "__from"
 
+#: Where a row of the table stands in the store: struct of the key (k0, k1, ..), start, bucket and version.
+AT = "__at"
+
 CLOSED_RUNS, OPEN_RUNS, CUTS, CHANGES, MERGED = 0, 1, 2, 3, 4
 #: A late change of up to so many keys has them pushed down into the scan of its stored changes.
 PUSHED_KEYS = 200
@@ -66,6 +69,28 @@ class Part(NamedTuple):
     high: int = 0
 
 
+class Place(NamedTuple):
+    """A part for those who read along: the runs, or the cuts, of a micro-batch in one bucket."""
+
+    bucket: int
+    version: int
+    rows: int
+
+
+class Snapshot(NamedTuple):
+    """What a store holds at one moment, part by part.
+
+    rows(parts): their rows in force, each with AT. cuts(parts): struct AT of a key, and the start from which older
+    parts' rows of the key no longer count. signature: text that changes when parts must be read anew.
+    """
+
+    signature: str
+    row_parts: frozenset[Place]
+    cut_parts: frozenset[Place]
+    rows: Callable[[Iterable[Place]], DataFrame]
+    cuts: Callable[[Iterable[Place]], DataFrame]
+
+
 def newest_to_merge(sizes: list[int], merge_after: int) -> int:
     """How many of the newest parts, given oldest first by their sizes, are to be put together now.
 
@@ -174,6 +199,9 @@ class HistoryStore:
 
     def _runs(self, parts: Iterable[Part], of: DataFrame | None = None) -> DataFrame:
         """Runs in force in these parts, of all keys or of the keys in `of`."""
+        return self._versioned_runs(parts, of).drop(VERSION)
+
+    def _versioned_runs(self, parts: Iterable[Part], of: DataFrame | None = None) -> DataFrame:
         parts, keys = {p for p in parts if p.kind in (CLOSED_RUNS, OPEN_RUNS, CUTS)}, list(self.spec.keys)
         found = self._parts((p for p in parts if p.kind != CUTS), self._runs_schema(), "runs", f"{VERSION}={{v}}/{OPEN}={{k}}/{BUCKET}={{b}}")
         if of is not None:
@@ -184,7 +212,7 @@ class HistoryStore:
             dead = [F.col(f"`{k}`") == F.col(f"__c{i}") for i, k in enumerate(keys)]
             dead += [F.col(VERSION) < F.col("__since"), F.col(CUT).isNull() | (F.col(START_AT) >= F.col(CUT))]
             found = found.join(gone, dead, "left_anti")
-        return found.drop(VERSION)
+        return found
 
     # -- reading -------------------------------------------------------------------
 
@@ -198,6 +226,33 @@ class HistoryStore:
     def _visible(self, runs: DataFrame) -> DataFrame:
         return runs.where(~F.col(DELETED)).select(*named_all(self._columns()))
 
+    def snapshot(self) -> Snapshot:
+        """The parts in force, for tables that are kept up to date part by part (see views)."""
+        parts = self.manifest()
+        sizes: dict[bool, dict[tuple[int, int], int]] = {False: {}, True: {}}
+        for p in parts:
+            if p.kind in (CLOSED_RUNS, OPEN_RUNS, CUTS):
+                held = sizes[p.kind == CUTS]
+                held[p.bucket, p.version] = held.get((p.bucket, p.version), 0) + p.rows
+        row_parts, cut_parts = (frozenset(Place(*at, n) for at, n in sizes[cuts].items()) for cuts in (False, True))
+        key = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(self.spec.keys)]
+
+        def of(places: Iterable[Place], cuts: bool) -> set[Part]:
+            wanted = {(p.bucket, p.version) for p in places}
+            buckets = {bucket for bucket, _ in wanted}
+            return {p for p in parts if (p.bucket, p.version) in wanted or not cuts and p.kind == CUTS and p.bucket in buckets}
+
+        def rows(places: Iterable[Place]) -> DataFrame:
+            at = F.struct(*key, F.col(START_AT).alias("start"), F.col(BUCKET).alias("bucket"), F.col(VERSION).alias("version"))
+            live = self._versioned_runs(of(places, False)).where(~F.col(DELETED))
+            return live.select(*named_all(self._columns()), at.alias(AT))
+
+        def cuts(places: Iterable[Place]) -> DataFrame:
+            at = F.struct(*key, F.col(BUCKET).alias("bucket"), F.col(VERSION).alias("version"))
+            return self._cut_rows(of(places, True)).select(at.alias(AT), CUT)
+
+        return Snapshot(repr((self.root, self.spec, self.buckets, self.schema.json())), row_parts, cut_parts, rows, cuts)
+
     def publish(self, view: str, comment: str | None = None) -> None:
         """Points a catalog view at the parts in force now. Before the first run it has no rows."""
         ensure_schema(self.spark, view)

@@ -359,3 +359,25 @@ def test_expectation_counts_of_a_run(spark, sf, tmp_path):
     counts = medallion.violations[table]
     assert counts["rows"] == spark.read.parquet(f"{sf}/orders.parquet").count()
     assert spark.table(table).count() == counts["rows"] - counts["big"] > 0
+
+
+@pytest.mark.parametrize(
+    "gold, l03, text",
+    [
+        ({}, {"refresh": "sometimes"}, "must be 'full' or 'incremental'"),
+        ({"refresh": "incremental"}, {}, "refreshed so too"),
+        ({"refresh": "incremental", "primary_key_columns": ["k"]}, {"refresh": "incremental"}, "without primary_key_columns"),
+        ({"refresh": "incremental", "write_mode": "permanent_table"}, {"refresh": "incremental"}, "materialized views of one table"),
+        ({"refresh": "incremental", "lookups": [{"dimension": "dim_x", "on": "k", "skey": "s"}]}, {"refresh": "incremental"}, "without lookups"),
+    ],
+)
+def test_refresh_that_does_not_fit_is_refused(gold, l03, text):
+    one = registry(dimensions={"material": {"primary_key_columns": "k", "l03": l03}}, facts={})
+    with pytest.raises(ValueError, match=text):
+        plan_objects({**one, "gold": [{"object_name": "dim_material", "source_object": "processed_material", **gold}]})
+
+
+def test_incremental_refresh_of_a_registry_is_planned():
+    one = registry(dimensions={"material": {"primary_key_columns": "k", "l03": {"refresh": "incremental"}}}, facts={})
+    specs = plan_objects({**one, "gold": [{"object_name": "dim_material", "source_object": "processed_material", "refresh": "incremental"}]})
+    assert [s.incremental for s in specs] == [False, False, True, True]
