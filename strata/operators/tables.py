@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from typing import Any
@@ -35,6 +36,22 @@ class Folders:
             files.delete(path, True)
         return len(gone)
 
+    def holds(self, path: str) -> bool:
+        return bool(self._files(path)[1])
+
+    def mark(self, path: str) -> None:
+        """An empty file; no error if it is there."""
+        files, _ = self._files(path)
+        files.create(self.jvm.org.apache.hadoop.fs.Path(path), True).close()
+
+    def move(self, pattern: str, folder: str) -> int:
+        files, found = self._files(pattern)
+        for f in found:
+            target = self.jvm.org.apache.hadoop.fs.Path(folder, f.getPath().getName())
+            if not files.rename(f.getPath(), target):
+                raise OSError(f"cannot move {f.getPath()} to {target}")
+        return len(found)
+
     def remove_older(self, pattern: str, keep: int) -> int:
         """All but the `keep` that were changed last."""
         files, found = self._files(pattern)
@@ -107,9 +124,13 @@ def grow_table(df: DataFrame, table: str) -> list[str]:
     return spark.table(name).columns
 
 
+def _facts(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+
+
 def _remake(spark: SparkSession, table: str, schema: T.StructType) -> None:
     """The table's entry anew with another schema, over the same files. Structs can't be altered in place."""
-    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+    facts = _facts(spark, table)
     if facts.get("Type") != "EXTERNAL" or facts.get("Provider", "").lower() != "parquet" or "# Partition Information" in facts:
         raise ValueError(f"{table}: types differ, and only external parquet tables without partitions can have structs that grow")
     spark.sql(f"DROP TABLE {quoted(table)}")
@@ -120,14 +141,67 @@ def _remake(spark: SparkSession, table: str, schema: T.StructType) -> None:
 def append_table(df: DataFrame, table: str, location: str, comment: str | None = None) -> None:
     """Appends by name. New columns are added to the table, NULL in its older rows; columns that the
     frame lacks are NULL in the new ones."""
+    # Appending goes by position.
+    _as_table(df, table, location, comment).write.mode("append").insertInto(quoted(table))
+
+
+def _as_table(df: DataFrame, table: str, location: str, comment: str | None) -> DataFrame:
+    """The frame with the columns of the table, which is made and grown as needed."""
     spark = df.sparkSession
     ensure_table(spark, df, table, location, comment)
     columns = grow_table(df, table)
     there = {c.lower() for c in df.columns}
     types = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
-    # Appending goes by position.
-    row = [named(c) if c.lower() in there else F.lit(None).cast(types[c]).alias(c) for c in columns]
-    df.select(*row).write.mode("append").insertInto(quoted(table))
+    return df.select(*(named(c) if c.lower() in there else F.lit(None).cast(types[c]).alias(c) for c in columns))
+
+
+def load_once(df: DataFrame, table: str, location: str, load_id: str, comment: str | None = None) -> bool:
+    """Appends the rows as the load of that id, once however often it is run. False if the load was in the table.
+
+    A load is written beside the table, sealed, and then entered by moving its files:
+
+        <location>/_loads/<id>/rows      not read by anyone; written anew if a run ends before the seal
+        <location>/_loads/<id>/_sealed   from here on a run with this id only moves what is not moved yet
+        <location>/_loads/<id>/_entered  nothing more to do
+
+    So the rows are those of the run that sealed the load. Files are moved one by one, as a commit of Spark's does it: a
+    reader in that moment may see a part of the load. Two runs of one id must not overlap.
+    """
+    if not stage_load(df, table, location, load_id, comment):
+        return False
+    enter_load(df.sparkSession, table, load_id)
+    return True
+
+
+def _load_folder(spark: SparkSession, table: str, load_id: str) -> tuple[str, str]:
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", load_id):
+        raise ValueError(f"{table}: a load id has letters, digits, dots, dashes and underscores, not {load_id!r}")
+    location = _facts(spark, table)["Location"].rstrip("/")
+    return location, f"{location}/_loads/{load_id}"
+
+
+def stage_load(df: DataFrame, table: str, location: str, load_id: str, comment: str | None = None) -> bool:
+    """First half of load_once: written and sealed, not in the table. False if the load was entered before."""
+    spark, files = df.sparkSession, Folders(df.sparkSession)
+    ensure_table(spark, df, table, location, comment)
+    _, load = _load_folder(spark, table, load_id)
+    if files.holds(f"{load}/_entered"):
+        return False
+    if not files.holds(f"{load}/_sealed"):
+        _as_table(df, table, location, comment).write.mode("overwrite").parquet(f"{load}/rows")
+        files.mark(f"{load}/_sealed")
+    return True
+
+
+def enter_load(spark: SparkSession, table: str, load_id: str) -> None:
+    """Second half of load_once."""
+    location, load = _load_folder(spark, table, load_id)
+    files = Folders(spark)
+    if not files.holds(f"{load}/_sealed"):
+        raise ValueError(f"{table}: load {load_id} is not written")
+    files.move(f"{load}/rows/part-*", location)
+    files.mark(f"{load}/_entered")
+    spark.catalog.refreshTable(quoted(table))
 
 
 def replace_table(df: DataFrame, table: str, location: str, comment: str | None = None, keep: int | None = None) -> None:

@@ -13,7 +13,7 @@ from ..operators.expectations import enforce, expectations_of, observe, watch
 from ..operators.processed import ColumnRule, processed, read_rules
 from ..operators.raw import raw
 from ..operators.skew import SkewPolicy
-from ..operators.tables import WRITE_MODES, append_table, create_current_view, replace_table
+from ..operators.tables import WRITE_MODES, append_table, create_current_view, load_once, replace_table
 from ..sources import read_source
 from ..streaming.facts import land_facts, resolve_late
 from ..streaming.history import AT, HistoryStore
@@ -32,7 +32,8 @@ class Medallion:
     `violations` holds, per table, the constraint counts of the last run, `refused` how many
     changes of the last run had no key or no sequence that could be read. keep_versions: how many
     copies of a table that is written anew, and states of a history, stay for readers still
-    running; all of them if not given.
+    running; all of them if not given. load_id: names the snapshot loads that runs append to raw tables; a run
+    again under the same id, after a failure or not, adds no row twice. Without it each run is a load of its own.
     """
 
     spark: SparkSession
@@ -40,6 +41,7 @@ class Medallion:
     root: str
     buckets: int = 256
     keep_versions: int | None = None
+    load_id: str | None = None
     skew: SkewPolicy = SkewPolicy()
     violations: dict[str, dict[str, int]] = field(default_factory=dict)
     refused: dict[str, int] = field(default_factory=dict)
@@ -69,6 +71,8 @@ class Medallion:
             land_stream(df, self._checkpoint(spec), self._location(spec), spec.table, spec.comment)
         elif spec.option("merge_strategy") == "overwrite":
             replace_table(df, spec.table, self._location(spec), spec.comment, self.keep_versions)
+        elif self.load_id is not None:
+            load_once(df, spec.table, self._location(spec), self.load_id, spec.comment)
         else:
             append_table(df, spec.table, self._location(spec), spec.comment)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import LOADED_AT, SOURCE_UPDATED_AT
 from ..functions.timestamps import parse_timestamp
 from ..operators.raw import RawSpec, raw
-from ..operators.tables import append_table
+from ..operators.tables import append_table, load_once, stage_load
 from ..session import scratch_dir
 from ..sources import read_source
 from ..streaming.ingest import land_stream
@@ -100,6 +100,19 @@ def raw_source_ts(spark: SparkSession, sf: str) -> DataFrame:
     return whole
 
 
+def raw_append_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in three loads: one run once, one run twice, one that stops before it is entered and runs again."""
+    work = scratch_dir(spark, "loads")
+    name = f"loads_{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", (F.col("o_orderkey") % 3).cast("int").alias("load"))
+    for load in (0, 1, 1):
+        load_once(orders.where(F.col("load") == load), name, f"{work}/orders", f"load-{load}")
+    stage_load(orders.where("load = 2"), name, f"{work}/orders", "load-2")
+    before = spark.table(name).where("load = 2").count()
+    load_once(orders.where("load = 2"), name, f"{work}/orders", "load-2")
+    return spark.table(name).withColumn("too_early", F.lit(before))
+
+
 def raw_projection(spark: SparkSession, sf: str) -> DataFrame:
     spec = RawSpec(
         data_items=["l_orderkey", "l_linenumber", "upper(l_returnflag) AS flag", "l_quantity * 2 AS doubled", "l_shipdate"],
@@ -211,6 +224,10 @@ SELECT kind, o_orderkey, CASE WHEN kind = 'date' THEN date_trunc('day', o_orderd
 FROM orders, (VALUES ('timestamp'), ('date'), ('text'), ('epoch')) kinds(kind)
 """,
     ),
+    "raw_append_loads": Query(
+        raw_append_loads,
+        "SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderkey % 3 AS INTEGER) AS load, CAST(0 AS INTEGER) AS too_early FROM orders",
+    ),
     "raw_projection": Query(
         raw_projection,
         """
