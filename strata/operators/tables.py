@@ -39,6 +39,10 @@ class Folders:
     def holds(self, path: str) -> bool:
         return bool(self._files(path)[1])
 
+    def is_folder(self, path: str) -> bool:
+        found = self._files(path)[1]
+        return bool(found) and found[0].isDirectory()
+
     def mark(self, path: str) -> None:
         """An empty file; no error if it is there."""
         files, _ = self._files(path)

@@ -16,6 +16,7 @@ from ..operators.skew import SkewPolicy
 from ..operators.tables import WRITE_MODES, append_table, create_current_view, load_once, replace_table
 from ..sources import read_source
 from ..streaming.facts import land_facts, resolve_late
+from ..streaming.files import land_files, lands_by_batch
 from ..streaming.history import AT, HistoryStore
 from ..streaming.ingest import land_stream, read_hop
 from ..streaming.views import RowView
@@ -65,7 +66,11 @@ class Medallion:
 
     def _raw(self, spec: HopSpec) -> None:
         streaming = spec.option("ingestion_mode") == "streaming"
-        source = read_source(self.spark, spec.option("source_type"), spec.option("connection"), streaming)
+        connection = spec.option("connection")
+        if streaming and spec.option("source_type") == "cloud_storage" and lands_by_batch(self.spark, connection, self._location(spec)):
+            land_files(self.spark, connection, lambda df: raw(df, spec.raw()), self._checkpoint(spec), self._location(spec), spec.table, spec.comment)
+            return
+        source = read_source(self.spark, spec.option("source_type"), connection, streaming)
         df = raw(source, spec.raw())
         if streaming:
             land_stream(df, self._checkpoint(spec), self._location(spec), spec.table, spec.comment)

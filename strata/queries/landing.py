@@ -13,6 +13,7 @@ from ..operators.raw import RawSpec, raw
 from ..operators.tables import append_table, load_once, stage_load
 from ..session import scratch_dir
 from ..sources import read_source
+from ..streaming.files import land_files
 from ..streaming.ingest import land_stream
 from .base import Query, table
 
@@ -209,6 +210,24 @@ def raw_rescued(spark: SparkSession, sf: str) -> DataFrame:
     return landed.select("p_partkey", "p_name", "p_size", F.col("_rescued_data").alias("rescued"))
 
 
+def raw_parquet_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts in three kinds of parquet files that all land in one stream: the second has a column more, the third has
+    sizes as text, some of which are no numbers. Two of the kinds come when the stream has run before."""
+    work, name = scratch_dir(spark, "part-files"), f"parts_{uuid.uuid4().hex}"
+    part = table(spark, sf, "part").select("p_partkey", "p_name", F.col("p_size").cast("int").alias("p_size"), "p_brand")
+    kinds = [
+        part.drop("p_brand"),
+        part,
+        part.drop("p_brand").withColumn("p_size", F.expr("CASE WHEN p_partkey % 2 = 0 THEN concat('about ', p_size) ELSE cast(p_size AS string) END")),
+    ]
+    connection = {"cloud_storage_type": "parquet", "cloud_storage_path": f"{work}/in"}
+    for i, files in enumerate(kinds):
+        files.where(F.col("p_partkey") % 3 == i).write.mode("append").parquet(f"{work}/in")
+        if i != 1:
+            land_files(spark, connection, lambda df: raw(df, RawSpec()), f"{work}/checkpoint", f"{work}/raw", name)
+    return spark.table(name).select("p_partkey", "p_name", "p_size", "p_brand", F.col("_rescued_data").alias("rescued"))
+
+
 _PART_SQL = """
 SELECT p_partkey, p_name, nullif(p_brand, 'Brand#13') AS p_brand, p_type, p_size, p_retailprice FROM part
 """
@@ -258,6 +277,15 @@ FROM part
         """
 SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand, CASE WHEN p_partkey % 2 = 1 THEN p_size END AS p_size
 FROM part
+""",
+    ),
+    "raw_parquet_rescued": Query(
+        raw_parquet_rescued,
+        """
+SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 <> 2 OR p_partkey % 2 = 1 THEN CAST(p_size AS INTEGER) END AS p_size,
+       CASE WHEN p_partkey % 3 = 1 THEN p_brand END AS p_brand,
+       CASE WHEN p_partkey % 3 = 2 AND p_partkey % 2 = 0 THEN '{"p_size":"about ' || p_size || '"}' END AS rescued
+FROM part
 """,
     ),
     "raw_rescued": Query(

@@ -67,7 +67,7 @@ def _text_options(connection: Mapping[str, Any]) -> dict[str, str]:
     return options
 
 
-def _remembered_schema(spark: SparkSession, location: str) -> T.StructType | None:
+def remembered_schema(spark: SparkSession, location: str) -> T.StructType | None:
     try:
         rows = spark.read.text(location, wholetext=True).collect()
     except AnalysisException as error:
@@ -126,7 +126,7 @@ def _stream_schema(spark: SparkSession, connection: Mapping[str, Any], batch: An
     any depth, of all files that came since; of csv by those of the newest one. A csv header with other
     fields stops the load; a json line or csv row with other fields is rescued."""
     location, kind = connection.get("cloud_schema_location"), connection["cloud_storage_type"]
-    known = _remembered_schema(spark, location) if location else None
+    known = remembered_schema(spark, location) if location else None
     files, new = _new_files(spark, path, location if known is not None else None)
     if known is not None and not new:
         return known
