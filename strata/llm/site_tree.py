@@ -12,7 +12,10 @@ articles that several pages carry. So the importance of a node whose element or
 is given: 0 for menus, headers, footers, sidebars, notices, adverts, forms and comments, 1 for the
 article. An element or role of an article outranks words of noise in its own class and around it, and a whole name
 of the article those beside it; a name says noise by its last word only (site-footer, ad-box; not
-category-social-media or ad-free). Entropy decides the rest, on pages where no element says it is the article, or the one that does is a small part.
+category-social-media or ad-free). Entropy decides the rest on every page, inside the article too: what
+the site's articles repeat, like share bars and calls to subscribe, goes. An article's headings stay, and
+so does an article of which entropy would take more than half, as a copied one. Pages of a host whose
+articles have one longest block count as one.
 """
 
 from __future__ import annotations
@@ -67,6 +70,8 @@ FURNITURE_WORDS = frozenset(
 COMMENT_STATES = frozenset("open opened close closed enabled disabled allowed on off".split())
 #: Share of the text outside noise that the article must hold to be taken alone.
 FAIR_SHARE = 0.25
+#: Share of an article's text that must be left by the tree; of copied articles less would be.
+LEFT_SHARE = 0.5
 MAIN_WORDS = frozenset("article content main post entry story".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: An open element of the first kind is closed by the start of one of the second.
@@ -103,6 +108,7 @@ class _Open:
     heading_only: bool = False  # the header of an article: its headings alone count
     commented: bool = False  # hard noise for no other reason than one element named as comments
     held: int = 0  # the article element, by its place, that one element named as comments is or holds
+    heading: bool = False  # a heading, or in one
     soft: int = 0  # the outermost element that is noise by its name alone, by its place; 0: none, or noise for good
 
 
@@ -147,7 +153,7 @@ def _opened(parent: _Open, tag: str, attributes: str, place: int) -> _Open:
             elif name == "style" and re.search(r"display\s*:\s*none", value):
                 hidden = True
     path = _hash(f"{parent.path}>{tag}.{' '.join(words)}")
-    node = _Open(tag, path, parent.main, parent.noise, parent.hard, parent.heading_only, parent.commented, parent.held, parent.soft)
+    node = _Open(tag, path, parent.main, parent.noise, parent.hard, parent.heading_only, parent.commented, parent.held, parent.heading, parent.soft)
     article = tag in ("article", "main") or role in ("main", "article")
     comments = bool(COMMENT_WORDS.intersection(said))
     main_named = tag in ("div", "section", "td") and (whole or bool(MAIN_WORDS.intersection(words)) and not said)
@@ -170,7 +176,7 @@ def _opened(parent: _Open, tag: str, attributes: str, place: int) -> _Open:
     elif article or main_named:
         node.main, node.noise, node.soft = True, node.hard, 0
     if tag in HEADINGS:
-        node.heading_only = False
+        node.heading_only, node.heading = False, True
     return node
 
 
@@ -287,14 +293,20 @@ def _raw_blocks(page: str | None, wanted: Callable[[_Open], bool] = lambda node:
 
 
 def nodes(page: str | None) -> tuple[int, set[tuple[int, int, int]]]:
-    """The page's body, a hash of its blocks; (path, 0, style) and (path, 1, text) of its elements outside noise, each once."""
+    """The page's body; (path, 0, style) and (path, 1, text) of its elements outside noise, each once.
+
+    The body is a hash of the article's longest block, so that near copies have one too; without an article, of all blocks.
+    """
     styles: dict[int, list[str]] = {}
     for text, node, tags in leaves(page):
         if text is None and not node.noise and not node.held and node.tag:
             styles.setdefault(node.path, []).append(" ".join(k for k, _ in _runs(tags)))
     out = {(path, 0, _hash("|".join(k for k, _ in _runs(seen)))) for path, seen in styles.items()}
-    blocks = [(node.path, _hash(text)) for text, node in _blocks(page)]
-    return _hash(repr(blocks)), out | {(path, 1, text) for path, text in blocks}
+    found = _blocks(page)
+    blocks = [(node.path, _hash(text)) for text, node in found]
+    longest = max((text for text, node in found if node.main), key=len, default=None)
+    body = _hash(repr(blocks) if longest is None else longest)
+    return body, out | {(path, 1, text) for path, text in blocks}
 
 
 def _runs(items) -> Iterator[tuple[str, int]]:
@@ -306,15 +318,20 @@ def _runs(items) -> Iterator[tuple[str, int]]:
 
 
 def main_text(page: str | None, removed: frozenset[int] = frozenset()) -> str:
-    """The article's blocks, joined by two line feeds; without an article, all blocks but noise and `removed` nodes.
+    """The article's blocks, joined by two line feeds; without an article, all blocks but noise; `removed` nodes go from both.
 
-    If the article's blocks hold less than FAIR_SHARE of the text that these would be with it, they are
+    An article keeps its headings, and all of its blocks if less than LEFT_SHARE of its text would be left.
+    If the article's blocks hold less than FAIR_SHARE of the text that is left with them, they are
     only some of them. If every block with text would be removed, none is; if names leave no text at all,
     the largest branch named as noise is put back, but for menus, headers, footers, forms, adverts and comments.
     """
     blocks = _blocks(page)
-    article = [text for text, node in blocks if node.main]
-    left = [text for text, node in blocks if node.main or node.path not in removed]
+    whole = [text for text, node in blocks if node.main]
+    article = [text for text, node in blocks if node.main and (node.heading or node.path not in removed)]
+    copied = sum(map(len, article)) < LEFT_SHARE * sum(map(len, whole))
+    if copied:
+        article = whole
+    left = [text for text, node in blocks if node.path not in removed or node.main and (copied or node.heading)]
     if article and sum(map(len, article)) >= FAIR_SHARE * sum(map(len, left)):
         return "\n\n".join(article)
     return "\n\n".join(left or [text for text, _ in blocks] or _put_back(page))
@@ -328,8 +345,8 @@ def host(url_col: str = "url"):
 def site_tree(pages: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of every node of every host's merged tree outside noise.
 
-    `pages` counts distinct bodies: pages of a host with equal blocks are one, with the least of their
-    styles. Node rows are counted by value before nodes are, so a host with a third of all pages is spread.
+    `pages` counts distinct bodies: pages of a host with equal blocks, or one longest block of their articles,
+    are one, with the least of their styles. Node rows are counted by value before nodes are, so a host with a third of all pages is spread.
     """
 
     def make():
@@ -366,7 +383,7 @@ def extract(pages: DataFrame, threshold: float = 0.3, least_pages: int = 3) -> D
     """(page_id, url, text, n_chars) of every row of `pages`.
 
     Nodes on at least `least_pages` distinct bodies of a host with an importance under `threshold` are
-    removed, but not all text of a page. NULL, empty and unreadable html gives an empty text. Repeated
+    removed, from articles too, but not all text of a page (see main_text). NULL, empty and unreadable html gives an empty text. Repeated
     rows are answered alike, and count for the tree once. Pages whose URL has no host belong to no tree. Other columns are not read.
     """
     rows = pages.select(F.col("page_id"), F.col("url"), F.col("html").cast("string").alias("html"), host().alias("host"))
@@ -375,45 +392,45 @@ def extract(pages: DataFrame, threshold: float = 0.3, least_pages: int = 3) -> D
     read = stored(_read(rows, dict(pages.dtypes)), "site-pages")
     done = read.where("blocks is null").select("page_id", "url", "text")
 
-    # Of the others, which of a page's own nodes are removed: rows of host and path, no list of a host's.
+    # Which of a page's own nodes are removed: rows of host and path, no list of a host's. They are
+    # written, so that Spark knows how few they are and does not shuffle the texts for them.
     open_ = read.where("blocks is not null")
-    own = open_.select("host", "page", F.explode(F.array_distinct(F.col("blocks.path"))).alias("path")).distinct()
-    gone = own.join(low, ["host", "path"]).groupBy("host", "page").agg(F.collect_list("path").alias("gone"))
-    found = open_.join(gone, ["host", "page"], "left").withColumn(
-        "left", F.expr("filter(blocks, b -> b.main or not array_contains(coalesce(gone, array()), b.path))")
-    )
-    size = "aggregate({}, 0L, (n, b) -> n + length(b.text))"
-    article = F.expr("filter(blocks, b -> b.main)")
-    fair = F.expr(f"{size.format('article')} >= {FAIR_SHARE} * {size.format('`left`')}") & (F.size("article") > 0)
-    best = F.when(fair, F.col("article")).when(F.size("left") > 0, F.col("left")).otherwise(F.col("blocks"))
-    found = found.withColumn("article", article).withColumn("best", best)
+    own = open_.select("host", "page", F.explode(F.array_distinct(F.col("blocks.path"))).alias("path"))
+    gone = own.join(low, ["host", "path"]).groupBy("host", "page").agg(F.collect_set("path").alias("gone"))
+    found = open_.join(stored(gone, "site-gone"), ["host", "page"], "left").withColumn("gone", F.expr("coalesce(gone, array())"))
+
+    def size(blocks):
+        return F.expr(f"aggregate({blocks}, 0L, (n, b) -> n + length(b.text))")
+
+    found = found.withColumn("whole", F.expr("filter(blocks, b -> b.main)"))
+    found = found.withColumn("article", F.expr("filter(whole, b -> b.heading or not array_contains(gone, b.path))"))
+    found = found.withColumn("copied", size("article") < LEFT_SHARE * size("whole"))
+    found = found.withColumn("article", F.when(F.col("copied"), F.col("whole")).otherwise(F.col("article")))
+    found = found.withColumn("left", F.expr("filter(blocks, b -> not array_contains(gone, b.path) or b.main and (copied or b.heading))"))
+    fair = (size("article") >= FAIR_SHARE * size("`left`")) & (F.size("article") > 0)
+    found = found.withColumn("best", F.when(fair, F.col("article")).when(F.size("left") > 0, F.col("left")).otherwise(F.col("blocks")))
     text = F.array_join(F.transform("best", lambda b: b["text"]), "\n\n")
     every = done.unionByName(found.select("page_id", "url", text.alias("text")))
     return every.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def _read(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """(page_id, url, host, page, text, blocks): the text, or the blocks where the site's tree decides about some."""
+    """(page_id, url, host, page, text, blocks): the blocks outside noise, of which the site's tree decides, or the text of pages without any."""
 
     def make():
-        kind = pa.list_(pa.struct([("path", pa.int64()), ("main", pa.bool_()), ("text", pa.string())]))
+        kind = pa.list_(pa.struct([("path", pa.int64()), ("main", pa.bool_()), ("heading", pa.bool_()), ("text", pa.string())]))
 
         def each(batch: pa.RecordBatch) -> pa.Table:
             texts, blocks = [], []
             for page in batch.column("html").to_pylist():
                 found = _blocks(page)
-                whole = sum(len(text) for text, _ in found)
-                article = sum(len(text) for text, node in found if node.main)
-                # Removing nodes can only raise the article's share.
-                settled = not found or article and article >= FAIR_SHARE * whole
-                sure = [text for text, node in found if node.main] if found else _put_back(page)
-                texts.append("\n\n".join(sure) if settled else None)
-                blocks.append(None if settled else [{"path": node.path, "main": node.main, "text": text} for text, node in found])
+                texts.append(None if found else "\n\n".join(_put_back(page)))
+                blocks.append([{"path": node.path, "main": node.main, "heading": node.heading, "text": text} for text, node in found] or None)
             kept = {c: batch.column(c) for c in ("page_id", "url", "host", "page")}
             return pa.table(kept | {"text": pa.array(texts, pa.string()), "blocks": pa.array(blocks, kind)})
 
         return each
 
     keyed = rows.withColumn("page", F.md5(F.col("html").cast("binary")))
-    schema = f"page_id {kinds['page_id']}, url {kinds['url']}, host string, page string, text string, blocks array<struct<path: long, main: boolean, text: string>>"
+    schema = f"page_id {kinds['page_id']}, url {kinds['url']}, host string, page string, text string, blocks array<struct<path: long, main: boolean, heading: boolean, text: string>>"
     return by_batch(keyed.select("page_id", "url", "host", "page", "html"), make, schema)

@@ -112,6 +112,21 @@ def test_rows_equal_the_pages_one_by_one(spark):
     assert found[60][0] == "Same words on all pages" and "Same" not in found[50][0]
 
 
+def test_the_tree_decides_inside_articles(spark):
+    """What the articles of a site repeat goes; headings stay, and so do copied articles with one block of their own."""
+    page = "<body><article><h1>Weekly</h1><div class=by>Share this story with friends</div><p>{}</p><p>{}</p></article></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(sentence(20, i), sentence(30, 100 + i))) for i in range(8)]
+    rows += [(50 + i, f"http://near.example/{i}", page.format(sentence(30, 1), f"copy {i}")) for i in range(8)]
+    changed = [f"{i} {sentence(30, 1)}" for i in range(8)]
+    more = "<p>{}</p>" * 3
+    rows += [(80 + i, f"http://changed.example/{i}", f"<article><p>{changed[i]}</p>{more.format(*(sentence(25, k) for k in (2, 3, 4)))}</article>") for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in site_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert found[i] == f"Weekly\n\n{sentence(20, i)}\n\n{sentence(30, 100 + i)}"
+        assert found[50 + i] == f"Weekly\n\nShare this story with friends\n\n{sentence(30, 1)}\n\ncopy {i}"
+        assert found[80 + i] == "\n\n".join([changed[i], *(sentence(25, k) for k in (2, 3, 4))])
+
+
 def test_a_page_keeps_its_last_text():
     page = "<div><p>Words</p></div><h2>More</h2>"
     (words, p), (more, h2) = site_tree._blocks(page)
