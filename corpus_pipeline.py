@@ -1,7 +1,7 @@
 """The training-data pipeline over `documents`: what is kept, in what order, in which sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last
-return the columns of `documents`; run() writes each stage's rows and reads them again for the next.
+return the columns of `documents`, and mixing the position by which packing orders the sequences; run() writes each stage's rows and reads them again for the next.
 """
 
 from __future__ import annotations
@@ -40,13 +40,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order that interleaves the sources to their target weights."""
-    return mixing.in_mixed_order(docs.select(COLUMNS), WEIGHTS, rest=1)
+    """All documents, in the order that interleaves the sources to their target weights, and their position in it."""
+    return mixing.in_mixed_order(docs.select(COLUMNS), WEIGHTS, rest=1, place="position")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in sequences of 2048 tokens."""
-    return packing.packed(docs.select(COLUMNS), capacity=2048)
+    """Where each piece of each document stands in sequences of 2048 tokens, which follow the mixed order."""
+    return packing.packed(docs.select(*COLUMNS, "position"), capacity=2048, order="position")
 
 
 STAGES = [

@@ -109,9 +109,13 @@ def row_key() -> Column:
     return F.xxhash64(F.col("text"), F.col("source"))
 
 
-def in_mixed_order(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows: int = 32) -> DataFrame:
-    """All rows and columns of `docs`, sorted into Pfair order: written files hold them interleaved."""
+def in_mixed_order(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_rows: int = 32, place: str | None = None) -> DataFrame:
+    """All rows and columns of `docs`, sorted into Pfair order: written files hold them interleaved.
+
+    `place` names a column for the position, by which later steps can follow the order.
+    """
     places = mixed(docs, weights, rest, block_rows).select(F.col("doc_id").alias("__place_id"), F.col("key").alias("__place_key"), F.col("position").alias("__position"))
     keyed = docs.withColumn("__key", row_key())
     same = F.col("doc_id").eqNullSafe(F.col("__place_id")) & (F.col("__key") == F.col("__place_key"))
-    return keyed.join(places, same).drop("__place_id", "__place_key", "__key").orderBy("__position").drop("__position")
+    found = keyed.join(places, same).drop("__place_id", "__place_key", "__key").orderBy("__position")
+    return found.withColumnRenamed("__position", place) if place else found.drop("__position")

@@ -5,6 +5,10 @@ a sequence exactly get repeat counts by non-negative least squares against the h
 are added where the residual asks for them. Counts are rounded down, never beyond what there is,
 and what is left over is packed by best fit, lengths in falling order, counts at a time. Pieces are
 then numbered within their length and look their place up in the plan.
+
+Where documents have an order, like that of a mixture, the plan is cut into turns with a share of every
+pattern each, and pieces are numbered in order: a turn's sequences hold documents of one stretch of the
+order, as far as lengths allow. Sequences are then numbered by the mean place of their tokens.
 """
 
 from __future__ import annotations
@@ -15,11 +19,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .shared import by_batch, ranked, stored
 from .tokens import encoder, vocabulary_path
 
 END = 0
+#: Entries of a plan in turns, about; and places of an order that are numbered together.
+TURN_ENTRIES, STRETCH = 1 << 16, 4096
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -29,27 +36,28 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, first if s == 0 and first else capacity) for s in starts]
 
 
-def pieces(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every row; a NULL text is the end id alone."""
+def pieces(docs: DataFrame, capacity: int, vocabulary: str, order: str | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32) of every row, and its `place` by `order`; a NULL text is the end id alone."""
 
     def make():
         encode = encoder(vocabulary).ids
 
         def each(batch: pa.RecordBatch) -> pa.Table:
-            rows: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            rows: list[list] = [[] for _ in names]
+            places = batch.column("place") if order else batch.column("doc_id")
+            for doc, text, place in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), places.to_pylist(), strict=True):
                 ids = np.append(encode(text), END).astype("<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
-                    for column, value in zip(rows, (doc, k, start, length, zlib.crc32(ids[start : start + length].tobytes())), strict=True):
+                    for column, value in zip(rows, (doc, k, start, length, zlib.crc32(ids[start : start + length].tobytes()), place), strict=False):
                         column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            names = ("doc_id", "piece", "start", "length", "ids_crc32")
+            kinds = (pa.int64(), pa.int32(), *[pa.int64()] * (len(names) - 2))
             return pa.table({n: pa.array(v, k) for n, v, k in zip(names, rows, kinds, strict=True)})
 
         return each
 
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    return by_batch(rows, make, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    names = ("doc_id", "piece", "start", "length", "ids_crc32", *(["place"] if order else []))
+    rows = docs.select(F.expr("cast(doc_id as long) doc_id"), F.expr("cast(text as string) text"), *([F.col(order).cast("long").alias("place")] if order else []))
+    return by_batch(rows, make, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", place long" if order else ""))
 
 
 @dataclass(frozen=True)
@@ -62,6 +70,13 @@ class Plan:
     def sequences(self) -> int:
         return sum(n for _, n in self.patterns)
 
+    def in_turns(self) -> Plan:
+        """The same sequences in turns, each with its share of every pattern; rare patterns are spread over the turns."""
+        turns = max(1, TURN_ENTRIES // max(1, len(self.patterns)))
+        late = [i * 40503 % turns for i in range(len(self.patterns))]
+        shares = ((p, (n * (k + 1) + d) // turns - (n * k + d) // turns) for k in range(turns) for (p, n), d in zip(self.patterns, late, strict=True))
+        return Plan([(pattern, n) for pattern, n in shares if n])
+
     def places(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """By length: ends of rank intervals, and for each the sequence less the rank, and the offset."""
         found: dict[int, list[tuple[int, int, int]]] = {}
@@ -189,17 +204,27 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 8) -> Plan:
     return Plan(out)
 
 
-def packed(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None, order: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row.
 
     Each row of `docs` is a document of its own, repeated rows and NULL ids too; a NULL or empty text
     is one token, the end id. Only documents over `capacity` tokens are cut. Sequences are gapless
     from offset 0. Other columns are not read; an empty table gives no rows.
+
+    order: a column with each document's place, numbers from 0 up without large gaps and few repeats. As many
+    sequences as without it hold documents of about one place, and are numbered 0, 1, 2 ... in that order.
     """
-    made = stored(pieces(docs, capacity, vocabulary or vocabulary_path()), "packing-pieces")
+    made = stored(pieces(docs, capacity, vocabulary or vocabulary_path(), order), "packing-pieces")
     histogram = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}
-    places = plan(histogram, capacity).places()
-    rows = ranked(made, ["length"], ["doc_id", "piece", "ids_crc32"], "rank")
+    found = plan(histogram, capacity)
+    if order:
+        places = found.in_turns().places()
+        rows = ranked(made, ["length"], ["place", "doc_id", "piece", "ids_crc32"], "rank", part=F.expr(f"place div {STRETCH}"))
+    else:
+        places = found.places()
+        rows = ranked(made, ["length"], ["doc_id", "piece", "ids_crc32"], "rank")
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    kept = [*names, *(["place"] if order else [])]
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.Table:
@@ -210,10 +235,16 @@ def packed(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None)
                 ends, shift, places_in = places[int(value)]
                 i = np.searchsorted(ends, rank[at], side="right")
                 sequence[at], offset[at] = rank[at] + shift[i], places_in[i]
-            kept = {c: batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            return pa.table(kept | {"sequence_id": sequence, "offset": offset})
+            return pa.table({c: batch.column(c) for c in kept} | {"sequence_id": sequence, "offset": offset})
 
         return each
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return by_batch(rows.select("doc_id", "piece", "start", "length", "ids_crc32", "rank"), make, schema)
+    schema = f"doc_id long, piece int, start long, length long, ids_crc32 long, {'place long, ' if order else ''}sequence_id long, offset long"
+    placed = by_batch(rows.select(*kept, "rank"), make, schema)
+    if not order:
+        return placed
+    placed = stored(placed, "packing-places")
+    mean = placed.groupBy("sequence_id").agg(F.expr("sum(place * length) div sum(length)").alias("mean"))
+    numbers = ranked(stored(mean, "packing-means"), [], ["mean", "sequence_id"], "number", part=F.expr(f"mean div {STRETCH}"))
+    numbered = placed.join(numbers.select("sequence_id", "number"), "sequence_id")
+    return numbered.select(*names, F.col("number").cast("long").alias("sequence_id"), "offset")

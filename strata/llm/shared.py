@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -59,26 +59,36 @@ def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Tab
     return df.mapInArrow(shipped(run), schema)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows_per_part: int = 512) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows_per_part: int = 512, part: Column | None = None) -> DataFrame:
     """Adds `name`: 0, 1, 2 ... within each value of `keys`, without gathering a key in one task.
 
     A key is cut by a hash of `order` into parts of about `rows_per_part` rows; rows are counted
     within a part, and the parts' sizes, one row each, are summed up. Rows equal in `order` may
     change places. `keys` must not be NULL and have few values, bounded by the caller's design (they
     are broadcast). The frame is read more than once: pass a stored one.
+
+    With `part`, an integer that rises with `order` and holds few rows a value, the parts are those and ranks
+    follow `order` within the whole key; nothing is broadcast.
     """
+    if part is not None:
+        cut = df.withColumn("__part", part)
+        return _ranked(cut, cut.groupBy(*keys, "__part").count(), keys, order, name)
     sizes = df.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / rows_per_part).alias("__parts"))
     sizes = F.broadcast(sizes)
     cut = df.join(sizes, keys).withColumn("__part", F.pmod(F.xxhash64(*order), F.col("__parts")))
+    counts = df.join(sizes, keys).groupBy(*keys, F.pmod(F.xxhash64(*order), F.col("__parts")).alias("__part")).count()
+    return _ranked(cut, counts, keys, order, name).drop("__parts")
+
+
+def _ranked(cut: DataFrame, counts: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     inside = W.partitionBy(*keys, "__part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     cut = cut.withColumn("__at", F.row_number().over(inside) - 1)
     before = W.partitionBy(*keys).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    counts = df.join(sizes, keys).groupBy(*keys, F.pmod(F.xxhash64(*order), F.col("__parts")).alias("__part")).count()
     starts = counts.select(*keys, "__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
     return (
         cut.join(starts, [*keys, "__part"])
         .withColumn(name, F.col("__start") + F.col("__at"))
-        .drop("__parts", "__part", "__at", "__start")
+        .drop("__part", "__at", "__start")
     )
 
 

@@ -36,6 +36,27 @@ def test_stages_against_plain_versions(spark, sf):
     check_packed(packed.collect(), {r["doc_id"]: r["text"] for r in mixed.collect()}, 2048)
 
 
+def test_sequences_follow_the_mixed_order(spark):
+    """src0 and src10 have weights 40 and 20: sequences in order hold two of three tokens of src0 until it runs out."""
+    docs = [(i, f"{'word ' * (150 + i % 3 * 50)}{i}", "en", "src0" if i < 400 else "src10", 1) for i in range(800)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.mix(spark, docs, "").localCheckpoint()
+    assert mixed.columns == [*corpus_pipeline.COLUMNS, "position"]
+    places = {r["doc_id"]: r["position"] for r in mixed.collect()}
+    found = corpus_pipeline.pack(spark, mixed, "").collect()
+    check_packed(found, {r["doc_id"]: r["text"] for r in mixed.collect()}, 2048)
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r["sequence_id"], []).append((places[r["doc_id"]], r["length"], r["doc_id"] < 400))
+    assert sorted(sequences) == list(range(len(sequences)))
+    means = [sum(p * n for p, n, _ in sequences[k]) // sum(n for _, n, _ in sequences[k]) for k in sorted(sequences)]
+    assert means == sorted(means)
+    first = [x for k in sorted(sequences)[: len(sequences) * 2 // 3] for x in sequences[k]]
+    assert abs(sum(n for _, n, a in first if a) / sum(n for _, n, _ in first) - 2 / 3) < 0.1
+    last = [x for k in sorted(sequences)[len(sequences) * 5 // 6 :] for x in sequences[k]]
+    assert not sum(n for _, n, a in last if a) > 0.1 * sum(n for _, n, _ in last)
+
+
 def test_odd_and_empty_tables(spark, tmp_path):
     docs = odd_documents(spark).selectExpr("*", "1 AS extra")
     for k, rows in enumerate((docs, docs.limit(0))):
