@@ -30,8 +30,8 @@ from .shared import shipped, stored
 
 #: Words of a phrase at most.
 LONGEST = 4
-#: A shard is closed at so many words.
-SHARD_WORDS = 600_000
+#: A shard is closed at so many words. Each shard sends its words to every range that has some of its n-grams, so few large ones send least.
+SHARD_WORDS = 2_000_000
 #: Words behind one range, about; there are as many ranges as shuffle partitions at least.
 RANGE_WORDS = 1_000_000
 #: Words of the sample in which common prefixes are found: so many in all and per range.
@@ -118,7 +118,8 @@ def _registered(begins: np.ndarray, sizes: np.ndarray, labels: np.ndarray, leads
         return begins, sizes, labels, leads
     place = np.arange(len(labels)) - np.repeat(begins, sizes)
     marks = _mixed(_mixed(labels.astype(np.uint64), leads.astype(np.uint64)), place.astype(np.uint64))
-    _, first, state = np.unique(np.add.reduceat(marks, begins), return_index=True, return_inverse=True)
+    order, opens = _grouped((np.add.reduceat(marks, begins) >> np.uint64(1)).astype(np.int64))
+    first, state = order[opens], _numbered(order, opens)
     model = first[state]
     alike = sizes[model] == sizes
     if alike.all():
@@ -130,19 +131,50 @@ def _registered(begins: np.ndarray, sizes: np.ndarray, labels: np.ndarray, leads
     return np.arange(len(begins)), sizes, labels, leads  # a hash erred: all stay
 
 
-def _counted(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Distinct rows in order and the sum of their weights; and for each depth, which state every row passes."""
-    base = np.int64(max((int(c.max(initial=0)) for c in columns), default=0) + 1)
-    state = np.zeros(len(columns[0]), np.int64)
-    states = []
-    for column in columns:
-        key = state * base + column
-        _, first, state = np.unique(key, return_index=True, return_inverse=True)
-        states.append(state)
-    # The last states are in order, and each is one distinct row.
-    total = np.zeros(len(first), np.int64)
-    np.add.at(total, state, 1 if weights is None else weights)
-    return [c[first] for c in columns], [s[first] for s in states], total
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts non-negative integers, and where in it each value begins; equal ones come in any order."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)) < 1 << (63 - bits):
+        # Sorting values with their places below is faster than sorting places by values.
+        both = key << np.int64(bits)
+        both |= np.arange(len(key))
+        both.sort()
+        order, key = both & np.int64((1 << bits) - 1), both >> np.int64(bits)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    opens = np.ones(len(key), bool)
+    opens[1:] = key[1:] != key[:-1]
+    return order, np.flatnonzero(opens)
+
+
+def _numbered(order: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For every value, the number of its group."""
+    opens = np.zeros(len(order), np.int64)
+    opens[begins[1:]] = 1
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(opens)
+    return out
+
+
+def _counted(columns: list[np.ndarray], weights: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in order and the sum of their weights."""
+    n = len(columns[0])
+    if not n:
+        return list(columns), np.zeros(0, np.int64)
+    # As many columns as 63 bits hold are one number; where they are too many, those so far get numbers in order.
+    key, limit = columns[0].astype(np.int64), int(columns[0].max()) + 1
+    for column in columns[1:]:
+        base = int(column.max()) + 1
+        if limit * base > 1 << (63 - n.bit_length()):
+            key = _numbered(*_grouped(key))
+            limit = int(key.max()) + 1
+        key = key * np.int64(base) + column
+        limit *= base
+    order, begins = _grouped(key)
+    total = np.diff(begins, append=n) if weights is None else np.add.reduceat(weights[order], begins)
+    first = order[begins]
+    return [c[first] for c in columns], total
 
 
 def _numbering() -> defaultdict[bytes, int]:
@@ -162,22 +194,22 @@ class Shard:
 
     def add(self, lang: str, texts: list[bytes]) -> None:
         tokens = filter(None, b"\n".join([*texts, b""]).lower().translate(BREAKS).replace(b"\n", b" \n ").split(b" "))
-        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64)
+        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int32)
         self.parts.append((self.numbers[lang.encode()], ids))
         self.size += len(ids)
 
     def grams(self) -> Grams:
         """All windows of LONGEST words, cut at the piece's end."""
-        langs = np.concatenate([np.full(len(ids), lang) for lang, ids in self.parts]) if self.parts else np.zeros(0, np.int64)
-        words = np.concatenate([ids for _, ids in self.parts]) if self.parts else np.zeros(0, np.int64)
-        words = np.append(words, np.zeros(LONGEST, np.int64))  # every part ends with a break, so none reaches into the next
+        langs = np.concatenate([np.zeros(0, np.int32), *(np.full(len(ids), lang, np.int32) for lang, ids in self.parts)])
+        words = np.concatenate([np.zeros(0, np.int32), *(ids for _, ids in self.parts)])
+        words = np.append(words, np.zeros(LONGEST, np.int32))  # every part ends with a break, so none reaches into the next
         at = np.flatnonzero(words[: len(langs)])
         columns = [langs[at], words[at]]
         for i in range(1, LONGEST):
-            columns.append(np.where(columns[-1] > 0, words[at + i], 0))
-        single, _, counts = _counted(columns[:2], None)
+            columns.append(np.where(columns[-1] > 0, words[at + i], np.int32(0)))
+        single, counts = _counted(columns[:2], None)
         longer = columns[2] > 0
-        windows, _, weights = _counted([c[longer] for c in columns], None)
+        windows, weights = _counted([c[longer] for c in columns], None)
         return Grams(list(self.numbers), single, counts, windows, weights)
 
 
@@ -220,7 +252,9 @@ class Grams:
 
     def packed(self) -> bytes:
         """As two automata over the words that occur."""
-        used, places = np.unique(np.concatenate([*self.single, *self.windows, [0]]), return_inverse=True)
+        held = np.concatenate([*self.single, *self.windows, [0]])
+        order, begins = _grouped(held.astype(np.int64))
+        used, places = held[order[begins]], _numbered(order, begins)
         cuts = np.cumsum([len(c) for c in (*self.single, *self.windows)])
         columns = np.split(places[:-1], cuts[:-1])
         n = len(self.single)
@@ -252,7 +286,7 @@ def united(pieces: list[bytes]) -> Grams:
         if not held[kind]:
             return [np.zeros(0, np.int64)] * (2 + (LONGEST - 1) * kind), np.zeros(0, np.int64)
         columns = [np.concatenate([p[0][d] for p in held[kind]]) for d in range(len(held[kind][0][0]))]
-        columns, _, weights = _counted(columns, np.concatenate([p[1] for p in held[kind]]))
+        columns, weights = _counted(columns, np.concatenate([p[1] for p in held[kind]]))
         held[kind], sizes[kind] = [(columns, weights)], 0
         return columns, weights
 
@@ -279,11 +313,12 @@ def frequent(grams: Grams, least: int, common: np.ndarray) -> Iterator[tuple[str
         yield words[lang].decode(), "", 0, n
     for i in np.flatnonzero(grams.counts >= least).tolist():
         yield words[grams.single[0][i]].decode(), words[grams.single[1][i]].decode(), 1, int(grams.counts[i])
-    prefixes = grams.prefixes(grams.windows)
-    spread = np.ones(len(grams.weights), bool)
+    prefixes = grams.prefixes(grams.windows) if len(common) else []
+    spread = np.full(len(grams.weights), len(common) > 0)
     for size in range(2, LONGEST + 1):
         columns = grams.windows[: size + 1]
-        spread &= np.isin(prefixes[size - 1], common)
+        if len(common):
+            spread &= np.isin(prefixes[size - 1], common)
         real = np.flatnonzero(columns[-1])
         if not len(real):
             return

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strata.llm import phrases, queries
@@ -105,3 +106,22 @@ def test_odd_documents(spark):
     assert rows(phrases.collocations(docs, least=3)) == rows(phrases.collocations(clashing(docs), least=3))
     assert phrases.collocations(docs.limit(0)).count() == 0
     assert phrases.collocations(docs.where("text is null")).count() == 0
+
+
+@pytest.mark.parametrize("top", [3, 1 << 20, 1 << 40])
+def test_rows_are_counted_whatever_their_numbers(top):
+    """Narrow numbers go into one sort, wide ones into several."""
+    columns = list(np.random.default_rng(1).integers(0, top, (5, 400)) * np.array([1, 0, 1, 1, 1])[:, None])
+    columns = [np.append(c, c[:150]) for c in columns]
+    weights = np.arange(550)
+    expected = {}
+    for row, n in zip(zip(*(c.tolist() for c in columns), strict=True), weights.tolist(), strict=True):
+        expected[row] = expected.get(row, 0) + n
+    found, sums = phrases._counted(columns, weights)
+    assert list(zip(zip(*(c.tolist() for c in found), strict=True), sums.tolist(), strict=True)) == sorted(expected.items())
+
+
+def test_few_pieces_for_many_ranges():
+    """A shard sends its words with every piece: so many texts make one shard, not one for each 600,000 words."""
+    batch = pa.record_batch({"lang": ["en"] * 100, "text": pa.array([b"a b c d e f g h i j " * 1500] * 100)})
+    assert [shard.size > 1_500_000 for shard in phrases._sharded(iter([batch.slice(k * 10, 10) for k in range(10)]))] == [True]
