@@ -199,7 +199,7 @@ def _as_of(facts: DataFrame, lookup: Lookup, small: bool, skew: SkewPolicy) -> D
 
 def _ordered(facts: DataFrame, lookup: Lookup, slicing: Slicing | None) -> DataFrame:
     versions, keys = _versions_of(lookup)
-    return _answered(facts, lookup, _fill_versions(_keyed(facts, lookup, versions), versions, keys, slicing))
+    return _answered(facts, lookup, _fill_versions(_keyed(facts, lookup, versions), versions, keys, slicing, facts.columns))
 
 
 def _answered(facts: DataFrame, lookup: Lookup, found: DataFrame) -> DataFrame:
@@ -269,7 +269,10 @@ def _join_versions(keyed: DataFrame, versions: DataFrame, keys: list[str]) -> Da
     return keyed.join(F.broadcast(cut), condition, "left")
 
 
-def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], slicing: Slicing | None) -> DataFrame:
+def _fill_versions(
+    keyed: DataFrame, versions: DataFrame, keys: list[str], slicing: Slicing | None, carried: Sequence[str]
+) -> DataFrame:
+    """The `carried` columns of each fact and its __skey."""
     # Facts without key or time match nothing. They stay out of the shuffle, where they
     # would all meet in one task.
     complete = _complete(keys)
@@ -287,9 +290,15 @@ def _fill_versions(keyed: DataFrame, versions: DataFrame, keys: list[str], slici
         crowds = rows.join(repeats, at, "left_semi").join(F.broadcast(answers), at, "left")
         rows = rows.join(repeats, at, "left_anti")
 
-    asked = rows.select(*keys, "__t", F.struct(*named_all(keyed.columns)).alias("__fact"))
-    found = _fill_moments(asked, versions, keys, slicing).select("__fact.*", "__skey").unionByName(unmatched)
-    return found if crowds is None else found.unionByName(crowds.select(*named_all(found.columns)))
+    # A single column needs no struct around it, which would more than double its bytes in the shuffle.
+    alone = len(carried) == 1
+    asked = rows.select(*keys, "__t", (named(carried[0]) if alone else F.struct(*named_all(carried))).alias("__fact"))
+    found = _fill_moments(asked, versions, keys, slicing)
+    found = found.select(F.col("__fact").alias(carried[0]) if alone else "__fact.*", "__skey")
+    for others in (unmatched, crowds):
+        if others is not None:
+            found = found.unionByName(others.select(*named_all(found.columns)))
+    return found
 
 
 def _fill_moments(asked: DataFrame, versions: DataFrame, keys: list[str], slicing: Slicing | None) -> DataFrame:
@@ -299,7 +308,6 @@ def _fill_moments(asked: DataFrame, versions: DataFrame, keys: list[str], slicin
     left = asked.select(
         *keys,
         "__t",
-        F.lit(1).alias("__kind"),
         "__fact",
         nothing.cast(versions.schema["__skey"].dataType).alias("__skey"),
         nothing.cast(versions.schema["__to"].dataType).alias("__to"),
@@ -307,32 +315,35 @@ def _fill_moments(asked: DataFrame, versions: DataFrame, keys: list[str], slicin
     right = versions.select(
         *keys,
         F.col("__from").alias("__t"),
-        F.lit(0).alias("__kind"),
         nothing.cast(left.schema["__fact"].dataType).alias("__fact"),
         "__skey",
         "__to",
     )
     both = left.unionByName(right)
-    # At one instant versions come before facts, and the one that counts comes last.
-    order, mark = ["__t", "__kind", "__to", "__skey"], {"__version": F.when(F.col("__kind") == 0, F.struct("__skey", "__to"))}
+
+    def filled(rows: DataFrame, sliced: bool) -> DataFrame:
+        # Shuffled before anything is derived, so that the mark does not travel beside its parts.
+        rows = rows.repartition(*keys, *([SLICE] if sliced else [])).withColumn("__asks", F.col("__fact").isNotNull())
+        mark = F.when(~F.col("__asks"), F.struct("__skey", "__to"))
+        # At one instant versions come before facts, and the one that counts comes last.
+        return fill_forward(rows, keys, ["__t", "__asks", "__to", "__skey"], {"__version": mark}, sliced)
+
     if slicing is None:
-        filled = fill_forward(both, keys, order, mark, False)
+        found = filled(both, False)
     else:
         short, long = split_long_keys(both, keys, "__t", slicing)
-        filled = fill_forward(short, keys, order, mark, False)
-        filled = filled.unionByName(fill_forward(long, keys, order, mark, True).drop(SLICE))
+        found = filled(short, False).unionByName(filled(long, True).drop(SLICE))
     valid = F.col("__t") < F.col("__version.__to")
-    return filled.where(F.col("__kind") == 1).select("__fact", F.when(valid, F.col("__version.__skey")).alias("__skey"))
+    return found.where("__asks").select("__fact", F.when(valid, F.col("__version.__skey")).alias("__skey"))
 
 
 def fact(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy = SkewPolicy(), broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A fact table: one surrogate key per dimension in front, then the fact's columns.
 
-    Where two or more dimensions are too large to broadcast, their keys are found for the distinct
-    keys and times of the facts, a narrow table that is written once, and come back to the facts in one
-    join: the facts' own columns are shuffled once, however many dimensions there are. A lookup may
-    read the key that an earlier one gave; such a one runs after that join. The facts are then read twice and
-    must read the same (no rand() above a key or time).
+    Where two or more dimensions are too large to broadcast, the facts are numbered and written once. Each
+    lookup shuffles numbers, keys and times only, and what it finds comes back to the facts by number: the facts'
+    own columns are shuffled once, however many dimensions there are. A lookup may read the key that an
+    earlier one gave; such a one runs after that join.
     """
     small: dict[int, bool] = {}
     if len(lookups) > 1 and not facts.isStreaming:
@@ -358,21 +369,55 @@ def fact(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy = SkewPol
 
 
 def _in_one_pass(facts: DataFrame, lookups: Sequence[Lookup], skew: SkewPolicy) -> DataFrame:
-    """All these keys, with one shuffle of the facts."""
-    names: dict[str, str] = {}
-    for column in (c for lookup in lookups for c in lookup.reads):
-        names.setdefault(column, f"__f{len(names)}")
-    distinct = facts.select(*(named(c).alias(name) for c, name in names.items())).distinct()
-    asked = found = stored_once(distinct, scratch_dir(facts.sparkSession, "asked"))
+    """All these keys, with one shuffle of the facts' columns."""
+    stored, number = _numbered(facts)
+    found = stored
     for i, lookup in enumerate(lookups):
-        narrow = replace(
-            lookup,
-            on={names[ours]: theirs for ours, theirs in lookup.on.items()},
-            event_time=names[lookup.event_time] if lookup.as_of else None,
-            into=f"__s{i}",
-        )
-        # The keys and times stay as they are from one lookup to the next, so all are cut by the stored ones.
-        found = _ordered(found, narrow, _slices(asked, narrow, skew)) if narrow.as_of else _join_row(found, narrow, small=False)
-    same = [named(c).eqNullSafe(F.col(name)) for c, name in names.items()]
-    keys = [F.col(f"__s{i}").alias(lookup.target) for i, lookup in enumerate(lookups)]
-    return facts.join(found, same, "left").select(*named_all(facts.columns), *keys)
+        answers = _answers(stored, number, lookup, skew).select(F.col(number).alias(f"__n{i}"), F.col("__skey").alias(f"__s{i}"))
+        # Only the groups are keys of the join, which would else scatter neighbours.
+        ours, theirs = F.col(number), F.col(f"__n{i}")
+        same = [_group(ours) == _group(theirs), ours >= theirs, ours <= theirs]
+        found = found.join(answers, same, "left").drop(f"__n{i}")
+    keys = [_with_unknown(F.col(f"__s{i}"), lookup).alias(lookup.target) for i, lookup in enumerate(lookups)]
+    return found.select(*named_all(facts.columns), *keys)
+
+
+# Facts meet their answers by groups of 2 ** _GROUP_BITS that were written one after another: neighbours are
+# alike, and much shorter in a shuffle where they stay together.
+_GROUP_BITS = 4
+
+
+def _group(number: Column) -> Column:
+    return F.shiftright(number, _GROUP_BITS)
+
+
+def _numbered(facts: DataFrame) -> tuple[DataFrame, str]:
+    """The facts, written once, and the column with their number: read again, each has the number it asked with."""
+    number = _unused("__number", facts)
+    written = facts.withColumn(number, F.monotonically_increasing_id())
+    stored = stored_once(written, scratch_dir(facts.sparkSession, "facts"))
+    # Spark's ids have the task above 33 bits of the place in it. Numbers without that gap are shorter.
+    task, place = F.shiftright(number, 33), F.col(number).bitwiseAND(F.lit((1 << 33) - 1))
+    tasks = (stored.agg(F.max(task)).first()[0] or 0) + 1
+    group, within = _group(place) * F.lit(tasks) + task, place.bitwiseAND(F.lit((1 << _GROUP_BITS) - 1))
+    return stored.withColumn(number, F.shiftleft(group, _GROUP_BITS).bitwiseOR(within)), number
+
+
+def _unused(name: str, df: DataFrame) -> str:
+    held = {c.lower() for c in df.columns}
+    while name in held:
+        name += "_"
+    return name
+
+
+def _answers(numbered: DataFrame, number: str, lookup: Lookup, skew: SkewPolicy) -> DataFrame:
+    """Number and surrogate key (__skey) of the facts that the lookup finds. No other column of the facts is shuffled."""
+    asked = numbered.select(number, *named_all(dict.fromkeys(lookup.reads)))
+    if not lookup.as_of:
+        held = asked.dropna(subset=list(lookup.on))
+        found = _join_row(held, replace(lookup, into="__skey", unknown=None), small=False)
+    else:
+        versions, keys = _versions_of(lookup)
+        slicing = _slices(asked, lookup, skew)
+        found = _fill_versions(_keyed(asked, lookup, versions).select(number, *keys, "__t"), versions, keys, slicing, [number])
+    return found.select(number, "__skey").where("__skey IS NOT NULL")

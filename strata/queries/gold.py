@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EFFECTIVE_FROM, EFFECTIVE_TO
@@ -176,13 +176,16 @@ def gold_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 def _periods(rows: DataFrame, key: str, at: str, unit: str, name: str) -> DataFrame:
     """A type 2 dimension: a version of each key for every period it is seen in, until the next one."""
-    starts = rows.select(key, F.date_trunc(unit, at).alias(EFFECTIVE_FROM)).distinct()
-    until = F.lead(EFFECTIVE_FROM).over(Window.partitionBy(key).orderBy(EFFECTIVE_FROM))
-    return starts.select(
-        key,
-        EFFECTIVE_FROM,
-        F.coalesce(until, F.lit("9999-12-31").cast("timestamp_ntz")).cast(starts.schema[EFFECTIVE_FROM].dataType).alias(EFFECTIVE_TO),
-        surrogate_key([key, EFFECTIVE_FROM]).alias(name),
+    start = F.date_trunc(unit, at)
+    # The periods of a key are few: gathered per task, then in one shuffle.
+    seen = rows.groupBy(key).agg(F.sort_array(F.collect_set(start)).alias("__starts"))
+    never = F.lit("9999-12-31").cast("timestamp_ntz").cast(seen.schema["__starts"].dataType.elementType)
+    spans = F.transform(
+        "__starts",
+        lambda s, i: F.struct(s.alias(EFFECTIVE_FROM), F.coalesce(F.get("__starts", i + 1), never).alias(EFFECTIVE_TO)),
+    )
+    return seen.select(key, F.inline(spans)).select(
+        key, EFFECTIVE_FROM, EFFECTIVE_TO, surrogate_key([key, EFFECTIVE_FROM]).alias(name)
     )
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -273,6 +274,52 @@ def test_facts_are_shuffled_once_for_all_large_dimensions(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_lookups_of_large_dimensions_shuffle_number_key_and_time_only(spark):
+    dims = [periods(spark, "k", f"skey_{i}", i)[1] for i in range(3)]
+    facts = spark.range(200).selectExpr("id", "id % 5 as a", "id % 6 as b", "id % 7 as c", "timestamp_seconds(id % 40) as at", "id * 2 as amount")
+    lookups = [Lookup(dim, {ours: "k"}, f"skey_{i}", event_time="at") for i, (dim, ours) in enumerate(zip(dims, "abc"))]
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = fact(facts, lookups, broadcast_rows=0)._jdf.queryExecution().explainString(formatted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    narrow = [node for node in plan.split("\n\n") if ") Exchange" in node and "amount#" not in node]
+    widths = sorted(int(re.search(r"Input \[(\d+)\]", node).group(1)) for node in narrow)
+    # By number: the number and the key found. By dimension key: key, time and number, or the version with its end and key.
+    assert widths == [2, 2, 2, 5, 5, 5]
+
+
+def test_facts_of_several_lookups_are_computed_once(spark):
+    """The keys of a fact are those of the time that it is given with, also where each run would give another time."""
+    drawn = F.udf(lambda i: random.randrange(3000), "int").asNondeterministic()
+    dims = [
+        spark.range(3000).select(
+            F.lit(k).alias("k"), (F.col("id") + k).alias(f"s{k}"),
+            F.timestamp_seconds("id").alias("__etl_effective_from"), F.timestamp_seconds(F.col("id") + 1).alias("__etl_effective_to"),
+        )
+        for k in (1000, 5000)
+    ]
+    facts = spark.range(500).select("id", F.lit(1000).alias("a"), F.lit(5000).alias("b"), F.timestamp_seconds(drawn("id")).alias("at"))
+    lookups = [Lookup(dims[0], {"a": "k"}, "s1000", event_time="at"), Lookup(dims[1], {"b": "k"}, "s5000", event_time="at")]
+    rows = fact(facts, lookups, broadcast_rows=0).withColumn("second", F.unix_seconds("at")).collect()
+    assert sorted(r["id"] for r in rows) == list(range(500))
+    assert all((r["s1000"], r["s5000"]) == (r["second"] + 1000, r["second"] + 5000) for r in rows)
+
+
+def test_several_lookups_keep_columns_and_odd_facts(spark):
+    """Columns of any type stay, one named like the number too; facts that are alike stay as many as they are."""
+    dims = [periods(spark, "k", f"skey_{i}", i)[1] for i in range(2)]
+    facts = spark.sql("select null as nothing, map('x', id % 2) as m, id % 3 as __number, id % 5 as a, timestamp_seconds(id % 4) as at from range(300)")
+    lookups = [Lookup(dim, {"a": "k"}, f"skey_{i}", event_time="at") for i, dim in enumerate(dims)]
+    got = fact(facts, lookups, broadcast_rows=0)
+    assert got.columns == ["skey_0", "skey_1", *facts.columns] and got.schema["nothing"].dataType == facts.schema["nothing"].dataType
+    kept = ["m.x", "__number", "a", "at"]
+    assert sorted(got.selectExpr(*kept).collect()) == sorted(facts.selectExpr(*kept).collect())
+    assert fact(facts.limit(0), lookups, broadcast_rows=0).collect() == []
+
+
 def test_repeated_instants_meet_versions_once(spark):
     """A key with many versions and many instants at which facts crowd: no version is paired with each instant."""
     versions, instants, each = 3000, 60, 40
