@@ -241,12 +241,14 @@ def history_runs(
     ties: Sequence[str],
     skew: SkewPolicy,
     passing: Sequence[str] = (),
+    total: int | None = None,
 ) -> DataFrame:
     """Runs of equal tracked values per key, deletes included.
 
     Columns: those of `events` without extra tie-breakers and sequence, then LAST_SEQ,
     __START_AT and __END_AT. `events` may bring its own LAST_SEQ for rows that stand for
-    several changes. `passing` names columns that are no values of the table.
+    several changes. `passing` names columns that are no values of the table. `total`: how many events there are
+    at most; without it they are counted.
     """
     if LAST_SEQ not in events.columns:
         events = events.withColumn(LAST_SEQ, F.col(SEQ))
@@ -263,7 +265,7 @@ def history_runs(
         return _runs_per_lane(single, part, F.struct(F.col(DELETED).alias("gone"), kept.alias("kept")))
 
     out = [*(c for c in events.columns if c not in internal), LAST_SEQ, START_AT, END_AT]
-    slicing = find_long_keys(events, spec.keys, SEQ, skew)
+    slicing = find_long_keys(events, spec.keys, SEQ, skew, total)
     if slicing is None:
         return runs_of(events, False).select(*named_all(out))
     short, long = split_long_keys(events, spec.keys, SEQ, slicing)

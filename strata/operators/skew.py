@@ -57,16 +57,16 @@ class Slicing:
 
 
 def find_long_keys(
-    df: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy
+    df: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy, total: int | None = None
 ) -> Slicing | None:
     """Cut points for keys too long for one task, or None where there are none.
 
-    Counts the rows, and only if a key could be too long takes a sample of about 64 rows for each
+    Counts the rows, if no `total` (how many there are at most) is given, and only if a key could be too long takes a sample of about 64 rows for each
     slice that all rows would make: two passes, and a shuffle of the sample.
     """
     if not policy.enabled:
         return None
-    total = df.count()
+    total = df.count() if total is None else total
     limit = policy.row_limit(df.sparkSession, total)
     if total <= limit:
         return None

@@ -106,6 +106,14 @@ def newest_to_merge(sizes: list[int], merge_after: int) -> int:
     return taken
 
 
+def later_cuts(cuts: Iterable[Part] | Iterable[Place], parts: Iterable[Part] | Iterable[Place]) -> set:
+    """Those of `cuts` that can end rows of these parts: cuts of later micro-batches in their buckets."""
+    oldest: dict[int, int] = {}
+    for p in parts:
+        oldest[p.bucket] = min(p.version, oldest.get(p.bucket, p.version))
+    return {c for c in cuts if c.bucket in oldest and c.version > oldest[c.bucket]}
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet under the path, or no rows where nothing was written yet."""
     try:
@@ -206,8 +214,9 @@ class HistoryStore:
         found = self._parts((p for p in parts if p.kind != CUTS), self._runs_schema(), "runs", f"{VERSION}={{v}}/{OPEN}={{k}}/{BUCKET}={{b}}")
         if of is not None:
             found = found.join(of.select(*named_all(keys)).distinct(), keys, "left_semi")
-        if any(p.kind == CUTS for p in parts):
-            cuts = self._cut_rows(parts).drop(BUCKET)
+        ending = later_cuts((p for p in parts if p.kind == CUTS), (p for p in parts if p.kind != CUTS))
+        if ending:
+            cuts = self._cut_rows(ending).drop(BUCKET)
             gone = cuts.select(*(F.col(f"`{k}`").alias(f"__c{i}") for i, k in enumerate(keys)), F.col(VERSION).alias("__since"), CUT)
             dead = [F.col(f"`{k}`") == F.col(f"__c{i}") for i, k in enumerate(keys)]
             dead += [F.col(VERSION) < F.col("__since"), F.col(CUT).isNull() | (F.col(START_AT) >= F.col(CUT))]
@@ -326,16 +335,21 @@ class HistoryStore:
             self._write_manifest(base, batch_id)
             return
 
-        touched_keys = arrived.select(*named_all(keys))
         mine = {p for p in base if p.bucket in touched}
-        current = self._runs((p for p in mine if p.kind != CLOSED_RUNS), touched_keys)
-        span = arrived.groupBy(*named_all(keys), BUCKET).agg(F.min(SEQ).alias("__min"), F.max(SEQ).alias("__max"))
-        known = current.select(*named_all(keys), LAST_SEQ, F.col(START_AT).alias("__open_start"))
+        current = self._runs((p for p in mine if p.kind != CLOSED_RUNS), arrived)
+        # By the keys alone, as the joins: a key is in one bucket.
+        span = arrived.groupBy(*named_all(keys)).agg(F.min(BUCKET).alias(BUCKET), F.min(SEQ).alias("__min"), F.max(SEQ).alias("__max"))
+        run = F.struct(*named_all(current.columns)).alias("__run")
+        known = current.select(*named_all(keys), LAST_SEQ, F.col(START_AT).alias("__open_start"), run)
         only_latest = self.spec.scd_type == 1 and not self.spec.ignore_null_updates
         late = F.col("__max") == F.col(LAST_SEQ) if only_latest else F.col("__min") <= F.col(LAST_SEQ)
         status = span.join(known, keys, "left").withColumn("__late", F.coalesce(late, F.lit(False)))
         status = stored_once(status, f"{self.root}/status/batch={batch_id}/keys")
-        late_buckets = {r[0] for r in status.where("__late").select(BUCKET).distinct().collect()}
+        found = status.groupBy(BUCKET).agg(F.max("__late"), F.count("__open_start")).collect()
+        late_buckets = {bucket for bucket, late, _ in found if late}
+        # What the new runs are made from, at most: with late changes, their keys' part of the stored ones.
+        total = sum(p.rows for p in new_parts) + sum(n for _, _, n in found)
+        total += sum(p.rows for p in mine | new_parts if p.kind in (CHANGES, MERGED) and p.bucket in late_buckets)
         cuts = old = None
         if late_buckets:
             late_keys = status.where("__late")
@@ -345,7 +359,7 @@ class HistoryStore:
             before = cuts.where(F.col(CUT) < F.col(FROM)).select(*named_all(keys), CUT)
             old = known_runs.join(before, keys).where(F.col(START_AT) == F.col(CUT)).drop(CUT)
 
-        new = self._new_runs(arrived, current, status, cuts, old, mine | new_parts, bucketed)
+        new = self._new_runs(arrived, status, cuts, old, mine | new_parts, bucketed, total)
         if self.spec.scd_type == 1:
             new = new.where(F.col(END_AT).isNull())
         replaced = self._replaced(status, cuts)
@@ -524,16 +538,16 @@ class HistoryStore:
     def _new_runs(
         self,
         arrived: DataFrame,
-        current: DataFrame,
         status: DataFrame,
         cuts: DataFrame | None,
         old: DataFrame | None,
         parts: set[Part],
         schema: T.StructType,
+        total: int,
     ) -> DataFrame:
-        """Runs of the touched keys, in place of their open run or of all runs since a cut."""
+        """Runs of the touched keys, in place of their open run or of all runs since a cut. total: changes and runs read, at most."""
         keys = list(self.spec.keys)
-        in_order = status.where(~F.col("__late")).select(*named_all(keys))
+        in_order = status.where(~F.col("__late"))
         # The open run of a key stands for all that came before. Type 1 has one run per
         # key whose values are those at its end.
         seed_at = LAST_SEQ if self.spec.scd_type == 1 else START_AT
@@ -548,12 +562,12 @@ class HistoryStore:
                 LAST_SEQ,
             )
 
-        seeds, fresh = seeds_of(current.join(in_order, keys, "left_semi")), arrived
+        seeds, fresh = seeds_of(in_order.where(F.col("__open_start").isNotNull()).select("__run.*")), arrived
         if cuts is not None:
-            fresh = arrived.join(in_order, keys, "left_semi").unionByName(self._history(cuts, parts, schema))
-            seeds = seeds.unionByName(seeds_of(old.select(*current.columns)))
+            fresh = arrived.join(in_order.select(*named_all(keys)), keys, "left_semi").unionByName(self._history(cuts, parts, schema))
+            seeds = seeds.unionByName(seeds_of(old))
         events = seeds.unionByName(fresh.withColumn(LAST_SEQ, F.col(SEQ)))
         tracked = [] if self.spec.scd_type == 1 else self.spec.tracked(self._feed())
         ties = tie_order(self._feed(), self.spec)
-        runs = history_runs(events, self.spec, tracked, ties, self.skew, passing=[BUCKET])
+        runs = history_runs(events, self.spec, tracked, ties, self.skew, passing=[BUCKET], total=total)
         return runs.withColumn(OPEN, F.col(END_AT).isNull().cast("int"))

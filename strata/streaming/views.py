@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..operators.columns import named_all
 from ..operators.expectations import Expectation, observe
 from ..operators.tables import Folders, ensure_schema, literal, quoted, replaces_kind
-from .history import AT, BATCH, BUCKET, CUT, VERSION, HistoryStore, Place, Snapshot, _folders, _read
+from .history import AT, BATCH, BUCKET, CUT, VERSION, HistoryStore, Place, Snapshot, _folders, _read, later_cuts
 
 REFRESH = "__refresh"
 _ENTRIES = T.StructType([T.StructField("entry", T.StringType())])
@@ -128,9 +128,8 @@ class RowView:
     def _live(self, state: State, places: Iterable[Place] | None = None) -> DataFrame:
         """Rows in force of these parts, or of all, with AT."""
         wanted = state.rows if places is None else {p: state.rows[p] for p in places}
-        buckets = {p.bucket for p in wanted}
         found = self._parts("rows", wanted, state.schema)
-        cuts = {p: at for p, at in state.cuts.items() if at.rows and p.bucket in buckets}
+        cuts = {p: state.cuts[p] for p in later_cuts(state.cuts, wanted) if state.cuts[p].rows}
         return without_cut(found, self._parts("cuts", cuts, state.cuts_schema)) if cuts else found
 
     def snapshot(self) -> Snapshot:
@@ -172,10 +171,11 @@ class RowView:
         cuts |= {p: Written(now, 0) for p in fresh_cuts - needed}
         cut_rows = upstream.cuts(needed)
         if needed:
-            cuts |= self._written(_placed(cut_rows), "cuts", now, needed)
+            cuts |= self._written(_placed(cut_rows, False), "cuts", now, needed)
         if fresh:
             # Counted behind the shuffle: below it, counts were not reported.
-            built, counts = observe(_placed(self.build(upstream.rows(fresh))), self.expectations)
+            spread = bool(later_cuts(upstream.cut_parts, fresh))
+            built, counts = observe(_placed(self.build(upstream.rows(fresh)), spread), self.expectations)
             rows |= self._written(built, "rows", now, fresh)
         self._write_state(State(signature, empty.schema, cut_rows.schema, rows, cuts), now)
         return counts.get if isinstance(counts, Observation) else {}
@@ -232,10 +232,12 @@ class RowView:
         return gone + files.remove(f"{self.root}/manifest/{BATCH}=*", lambda path: int(path.rsplit("=", 1)[1]) < oldest)
 
 
-def _placed(df: DataFrame) -> DataFrame:
-    """Spread by the parts that the rows belong to, a large one over several tasks."""
+def _placed(df: DataFrame, spread: bool) -> DataFrame:
+    """With the parts that the rows belong to. Read from files of single parts, the rows stand together; where a join has
+    scattered them, they are to be spread by part, a large one over several tasks."""
     at = F.col(AT)
-    return df.withColumns({BUCKET: at["bucket"], VERSION: at["version"]}).hint("rebalance", F.col(BUCKET), F.col(VERSION))
+    placed = df.withColumns({BUCKET: at["bucket"], VERSION: at["version"]})
+    return placed.hint("rebalance", F.col(BUCKET), F.col(VERSION)) if spread else placed
 
 
 def _where(place: Place, at: Written) -> str:

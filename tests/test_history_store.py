@@ -259,3 +259,22 @@ def test_an_older_layout_is_refused(spark, tmp_path):
     spark.createDataFrame([("1/0/1",)], "part string").write.parquet(f"{tmp_path}/s/manifest/__batch=1")
     with pytest.raises(ValueError, match="older layout"):
         store.apply(feed, 2)
+
+
+def test_events_of_a_batch_are_not_counted_by_a_pass_of_their_own(spark, tmp_path, monkeypatch):
+    """What is known of a micro-batch says how many changes and runs it reads: exactly in order, at most with late changes."""
+    given = []
+
+    def spy(df, keys, order, policy, total=None):
+        given.append((total, df.count()))
+
+    monkeypatch.setattr("strata.operators.cdc.find_long_keys", spy)
+    rows = sorted(many_keys(40), key=lambda r: r["seq"])
+    store = HistoryStore(spark, str(tmp_path / "s"), spec(track_history_column_list=["v"]), frame(spark, rows).schema, buckets=2)
+    late, third = rows[::7], [r for i, r in enumerate(rows) if i % 7]
+    third = [third[i * len(third) // 3 : (i + 1) * len(third) // 3] for i in range(3)]
+    for i, part in enumerate([*third, late]):
+        store.apply(frame(spark, part), i)
+    assert all(total is not None and total >= there for total, there in given) and len(given) == 4
+    assert given[0] == (len(third[0]), len(third[0]))
+    assert same(store.read(), apply_changes(frame(spark, rows), store.spec))

@@ -130,3 +130,32 @@ def test_empty_source(spark, tmp_path):
     assert first.read().count() == second.read().count() == 0
     first.publish("views_test.nothing")
     assert spark.table("views_test.nothing").columns == first.read().columns
+
+
+def test_parts_without_later_cuts_are_built_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Refreshed after each micro-batch, a view joins no cuts and spreads no rows, of merged parts either; refreshed later, it does."""
+    plans, write = [], RowView._written
+
+    def spy(self, df, folder, *rest):
+        plans.append((folder, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, df, folder, *rest)
+
+    monkeypatch.setattr(RowView, "_written", spy)
+    rows = sorted(many_keys(60), key=lambda r: r["seq"])
+    store, first, second = views(spark, tmp_path, spec(track_history_column_list=["v"]), frame(spark, rows).schema)
+    other = RowView(spark, f"{tmp_path}/o", store, done, "other")
+    for i in range(3):
+        store.apply(frame(spark, rows[80 * i : 80 * (i + 1)]), i + 1)
+        first.refresh()
+        second.refresh()
+    assert plans and not any("Rebalance" in plan or "Join" in plan for _, plan in plans)
+    plans.clear()
+    assert same(first.read(), done(store.read()))
+    whole = HistoryStore(spark, f"{tmp_path}/t", store.spec, store.schema, buckets=2)
+    for i in range(3):
+        whole.apply(frame(spark, rows[80 * i : 80 * (i + 1)]), i + 1)
+    late = RowView(spark, f"{tmp_path}/l", whole, done, "late")
+    late.refresh()
+    assert any("Rebalance" in plan and "Join" in plan for _, plan in plans)
+    other.refresh()
+    assert same(late.read(), done(whole.read())) and same(other.read(), late.read())
