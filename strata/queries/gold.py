@@ -195,7 +195,7 @@ def _three_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, list[Lookup]]:
     parts = _periods(lines, "l_partkey", "l_shipdate", "month", "part_skey")
     suppliers = _periods(lines, "l_suppkey", "l_shipdate", "week", "supplier_skey")
     buyers = _periods(orders, "o_custkey", "o_orderdate", "year", "customer_skey")
-    dims = {name: stored_once(dim, scratch_dir(spark, name)) for name, dim in (("parts", parts), ("suppliers", suppliers), ("buyers", buyers))}
+    dims = {name: stored_once(dim, scratch_dir(spark, name), "zstd") for name, dim in (("parts", parts), ("suppliers", suppliers), ("buyers", buyers))}
     facts = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).drop("o_orderkey")
     # Orders are often older than the first version of what they buy: those facts have the unknown key.
     return facts, [

@@ -30,9 +30,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored_once(df: DataFrame, path: str) -> DataFrame:
+def stored_once(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """The frame from a written copy: computed now, once, and safe from lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

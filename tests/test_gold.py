@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -291,6 +292,16 @@ def test_lookups_of_large_dimensions_shuffle_number_key_and_time_only(spark):
     assert widths == [2, 2, 2, 5, 5, 5]
 
 
+def test_the_written_facts_are_small(spark):
+    """Their written copy counts as the shuffles do: a number and few values a fact."""
+    dims = [periods(spark, "k", f"skey_{i}", i)[1] for i in range(2)]
+    facts = spark.range(0, 50_000, 1, 1).selectExpr("id div 4 as a", "id div 3 as b", "timestamp_seconds(id div 4) as at")
+    lookups = [Lookup(dim, {ours: "k"}, f"skey_{i}", event_time="at") for i, (dim, ours) in enumerate(zip(dims, "ab"))]
+    copy = [f for f in fact(facts, lookups, broadcast_rows=0).inputFiles() if "/facts-" in f]
+    size = sum(os.path.getsize(f.removeprefix("file:").replace("//", "/")) for f in copy)
+    assert 0 < size < 9 * 50_000
+
+
 def test_facts_of_several_lookups_are_computed_once(spark):
     """The keys of a fact are those of the time that it is given with, also where each run would give another time."""
     drawn = F.udf(lambda i: random.randrange(3000), "int").asNondeterministic()
